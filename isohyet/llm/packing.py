@@ -42,19 +42,18 @@ def cut(n: int, capacity: int) -> tuple[int, ...]:
 def _pieces(batches: Iterator[pa.RecordBatch], vocabulary: str, capacity: int) -> Iterator[pa.RecordBatch]:
     worker = TaskContext.get().partitionId()
     used: dict[int, int] = defaultdict(int)
-    encoder = tokens.chunk_tokenizer(vocabulary, 4)
+    coder = tokens.encoder(vocabulary, 4)
     end = tokens.END_ID.to_bytes(4, "little")
     for batch in batches:
         rows: list[tuple] = []
         texts = common.utf8(batch.column(1))
-        for begin in range(0, len(texts), 256):
-            for doc, ids in zip(batch.column(0).slice(begin, 256).to_pylist(), encoder.encode_many(texts.slice(begin, 256).to_pylist()), strict=True):
-                view, start = memoryview(ids + end), 0
-                total = len(view) // 4
-                for length in cut(total, capacity):
-                    rows.append((doc, start, length, zlib.crc32(view[4 * start : 4 * (start + length)]), total, worker, used[length]))
-                    used[length] += 1
-                    start += length
+        for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+            view, start = memoryview(coder.encode(text.as_py()) + end), 0
+            total = len(view) // 4
+            for length in cut(total, capacity):
+                rows.append((doc, start, length, zlib.crc32(view[4 * start : 4 * (start + length)]), total, worker, used[length]))
+                used[length] += 1
+                start += length
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PIECES.types, strict=True)] if rows else [pa.array([], t) for t in _PIECES.types], schema=_PIECES)
 
 

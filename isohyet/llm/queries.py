@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from . import counting, packing, sstable
+from . import counting, fingerprints, media, mixing, packing, quality, sharding, simhash, sstable, suffixes
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
+    "op2_archived_media": media.op2_archived_media,
+    "op3_canonical_digests": fingerprints.op3_canonical_digests,
+    "op4_source_mixing": mixing.op4_source_mixing,
     "op5_token_counts": counting.op5_token_counts,
+    "op6_hilbert_sharding": sharding.op6_hilbert_sharding,
+    "op7_suffix_dedup": suffixes.op7_suffix_dedup,
+    "op8_simhash_groups": simhash.op8_simhash_groups,
     "op9_token_shards": sstable.op9_token_shards,
+    "op10_quality_scores": quality.op10_quality_scores,
 }
 
+#: None of these can be written in SQL: they hash, tokenise, compress or learn. Their tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {}

@@ -204,20 +204,19 @@ _MANIFEST_DDL = "shard int, path string, n_documents long, n_ids long"
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, width: int) -> Iterator[pa.RecordBatch]:
     shard = TaskContext.get().partitionId()
-    encoder = tokens.chunk_tokenizer(vocabulary, width)
+    coder = tokens.encoder(vocabulary, width)
     end = tokens.END_ID.to_bytes(width, "little")
     writer = stream = None
     # a name for each attempt: the manifest, which only successful tasks write, decides which file counts
     path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.sst"
     for batch in batches:
         texts = common.utf8(batch.column(1))
-        for begin in range(0, len(texts), 256):
-            for doc, ids in zip(batch.column(0).slice(begin, 256).to_pylist(), encoder.encode_many(texts.slice(begin, 256).to_pylist()), strict=True):
-                if writer is None:
-                    fs, inner = common.open_fs(path)
-                    stream = fs.open_output_stream(inner)
-                    writer = Writer(stream, width)
-                writer.add(key_of(doc), ids + end)
+        for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+            if writer is None:
+                fs, inner = common.open_fs(path)
+                stream = fs.open_output_stream(inner)
+                writer = Writer(stream, width)
+            writer.add(key_of(doc), coder.encode(text.as_py()) + end)
     if writer is not None:
         writer.close()
         stream.close()

@@ -1,89 +1,80 @@
-"""Token ids of whole texts by a tokenizers file, computed once per distinct white-space chunk."""
+"""Token ids of whole texts by a tokenizers file, computed once per distinct pre-token."""
 
 from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
 #: Id that ends each document.
 END_ID = 2
-#: Distinct chunks kept by one worker; the memo starts anew beyond it, so memory is bounded and ids do not change.
-MEMO_ENTRIES = 600_000
+#: Distinct pre-tokens kept by one worker; the memo starts anew beyond it, so memory is bounded and ids do not change.
+MEMO_ENTRIES = 500_000
 
+# Of the characters up to U+00FF: letters, numbers and white space, as the pre-tokenizer's pattern has them.
+_LETTERS, _NUMBERS, _SPACES = "a-zA-Zªµºß-öø-ÿÀ-ÖØ-Þ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+_PRE_TOKEN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
 
-class ChunkTokenizer:
-    """Ids of texts as little-endian bytes.
 
-    The tokenizer's pre-tokens never contain white space and its normaliser works character by character, so the ids
-    of a text are those of its chunks between blanks and line feeds, one after the other. Each distinct chunk is given
-    to the tokenizers library once and then read from a memo. Other white space stays inside chunks and is left to the
-    library.
+def byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte in byte-level vocabularies: itself where printable, else the next from U+0100."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+class _Memo(dict):
+    """Pre-token to ids as bytes; what is missing is computed by the model and kept."""
+
+    def __init__(self, model, code: str):
+        self.tokenize, self.code, self.letters = model.tokenize, code, byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= MEMO_ENTRIES:
+            self.clear()
+        own = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+        found = self[word] = array(self.code, [t.id for t in self.tokenize(own)]).tobytes()
+        return found
+
+
+class PreTokenEncoder:
+    """Ids of texts as little-endian bytes, exactly as the tokenizers library gives them.
+
+    The vocabulary's normaliser composes characters, makes white space blanks and lowers case; its pre-tokenizer splits by
+    a pattern, and each pre-token is encoded by itself. For texts of characters up to U+00FF, which compose to
+    themselves, lowering and splitting are done here, and the library's model encodes each distinct pre-token once. Other
+    texts, and those that may spell a special token, go to the library whole.
     """
 
     def __init__(self, path: str, width: int = 4):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = {2: "<u2", 4: "<u4"}[width]
-        self.width = width
-        self.memo: dict[str, bytes] = {"": b""}
-
-    def _learn(self, chunks: list[str]) -> None:
-        if len(self.memo) + len(chunks) > MEMO_ENTRIES:
-            self.memo = {"": b""}
-        dtype = self.dtype
-        for start in range(0, len(chunks), 4096):
-            part = chunks[start : start + 4096]
-            for chunk, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.memo[chunk] = np.array(found.ids, dtype=dtype).tobytes()
+        self.dtype, self.width = {2: "<u2", 4: "<u4"}[width], width
+        self.memo = _Memo(self.tokenizer.model, {2: "H", 4: "I"}[width])
 
     def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        memo = self.memo
         try:
-            return b"".join([memo[c] for c in chunks])
-        except KeyError:
-            pass
-        self._learn([c for c in dict.fromkeys(chunks) if c not in memo])
-        memo = self.memo
-        missing = [c for c in dict.fromkeys(chunks) if c not in memo]  # the memo was begun anew
-        if missing:
-            self._learn(missing)
-            memo = self.memo
-        return b"".join([memo[c] for c in chunks])
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        """As encode(), with the unknown chunks of all texts learned in one call."""
-        memo, unknown = self.memo, {}
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        for chunks in split:
-            for c in chunks:
-                if c not in memo:
-                    unknown[c] = None
-        fresh = list(unknown)
-        if fresh:
-            if len(memo) + len(fresh) > MEMO_ENTRIES:
-                return [self.encode(t) for t in texts]
-            self._learn(fresh)
-            memo = self.memo
-        return [b"".join([memo[c] for c in chunks]) for chunks in split]
+            text.encode("latin-1")
+            plain = "<|" not in text
+        except UnicodeEncodeError:
+            plain = False
+        if plain:
+            return b"".join(map(self.memo.__getitem__, _PRE_TOKEN.findall(text.lower())))
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
 
 
 @lru_cache(maxsize=4)
-def chunk_tokenizer(path: str, width: int = 4) -> ChunkTokenizer:
+def encoder(path: str, width: int = 4) -> PreTokenEncoder:
     """One per Python worker: the memo outlives a task."""
-    return ChunkTokenizer(path, width)
+    return PreTokenEncoder(path, width)
 
 
 def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
-
-
-#: What separates words in every word-based operator here.
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
