@@ -71,7 +71,8 @@ def end(df: DataFrame, op: str, threshold: float, window: int, rate: float = 0.0
     w = runs.series(keys)
     wraps = last < first
     base = df.withColumns({"doy": F.dayofyear("date"), "year": F.year("date")})
-    base = base.withColumn("season", F.col("year") - F.when(F.lit(wraps) & (F.col("doy") < first), 1).otherwise(0))
+    # with op etp every calendar year is searched by itself
+    base = base.withColumn("season", F.col("year") - F.when(F.lit(wraps and op != "etp") & (F.col("doy") < first), 1).otherwise(0))
     base = base.withColumn("in_season", model.in_season(F.col("doy"), first, last))
     if op in ("max", "sum"):
         how = F.max if op == "max" else F.sum
