@@ -172,6 +172,15 @@ def dry_spell_total_length(df: DataFrame, threshold: float, window: int, op: str
     return _count(marked, F.col("dry") & season, keys)
 
 
+def dry_spell_total_length_raw(df: DataFrame, threshold: float, window: int, op: str = "sum", first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """The earlier form of the index: windows of amounts as they are, and season bounds that do not move in leap years."""
+    w = runs.series(keys)
+    ended = df.withColumn("ends", runs.rolling("pr", window, F.max if op == "max" else F.sum, w) < threshold)
+    marked = ended.withColumn("dry", runs.in_any_window("ends", window, w))
+    season = model.in_season(F.dayofyear("date"), first, last) if (first, last) != (-1, -1) else F.lit(True)
+    return _count(marked, F.col("dry") & season, keys)
+
+
 # --- wind ------------------------------------------------------------------------------------------------------------
 
 

@@ -209,6 +209,11 @@ def dry_spell_sum_season(spark, d):
     return ix.dry_spell_total_length(_pr(spark, d), 60.0, 5, "sum", model.doy_of("03-01"), model.doy_of("11-30"))
 
 
+@query(sql("pr", f"SELECT {_KEY}, (count(*) FILTER (EXISTS (SELECT 1 FROM e WHERE e.location_id = n.location_id AND e.rn BETWEEN n.rn AND n.rn + 4 AND e.ends)))::BIGINT AS value FROM n GROUP BY 1, 2", n="SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY date) AS rn FROM pr", e="SELECT location_id, rn, rn >= 5 AND sum(pr) OVER (PARTITION BY location_id ORDER BY rn ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) < 80 AS ends FROM n"))
+def dry_spell_raw(spark, d):
+    return ix.dry_spell_total_length_raw(_pr(spark, d), 80.0, 5)
+
+
 # --- wind ------------------------------------------------------------------------------------------------------------
 
 
