@@ -37,14 +37,14 @@ def statistics_table(df: DataFrame, value: str, centiles: tuple[float, ...] = (1
     Each scenario and all of them together (rcpxx) come from one pass of grouping sets; the reference has its mean only,
     under stat none.
     """
-    per_sim = df.groupBy("sim_code", "rcp", "hor").agg(F.avg(value).alias("v"))
-    ref = per_sim.filter(F.col("rcp") == REFERENCE).select("rcp", "hor", F.lit("none").alias("stat"), F.lit(-1.0).alias("centile"), F.round("v", 6).alias("val"))
-    marks = [F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"), F.percentile("v", F.array(*(F.lit(c / 100) for c in centiles))).alias("c")]
-    sets = per_sim.filter(F.col("rcp") != REFERENCE).groupingSets([["rcp", "hor"], ["hor"]], "rcp", "hor").agg(*marks)
-    rows = [F.struct(F.lit(s).alias("stat"), F.lit(-1.0).alias("centile"), F.col(s).alias("val")) for s in ("mean", "min", "max")]
-    rows += [F.struct(F.lit("quantile").alias("stat"), F.lit(float(c)).alias("centile"), F.col("c")[k].alias("val")) for k, c in enumerate(centiles)]
-    found = sets.select(F.coalesce("rcp", F.lit(POOLED)).alias("rcp"), "hor", F.explode(F.array(*rows)).alias("x"))
-    return found.select("rcp", "hor", "x.stat", "x.centile", F.round("x.val", 6).alias("val")).unionByName(ref)
+    per_sim = df.groupBy("sim_code", "rcp", "hor").agg(F.avg(value).alias("v")).withColumn("s", F.when(F.col("rcp") != REFERENCE, F.col("v")))
+    marks = [F.avg("v").alias("none"), F.avg("s").alias("mean"), F.min("s").alias("min"), F.max("s").alias("max"), F.percentile("s", F.array(*(F.lit(c / 100) for c in centiles))).alias("c")]
+    sets = per_sim.groupingSets([["rcp", "hor"], ["hor"]], "rcp", "hor").agg(*marks)
+    row = lambda stat, val, c=-1.0: F.struct(F.lit(stat).alias("stat"), F.lit(float(c)).alias("centile"), val.alias("val"))
+    rows = [row(s, F.col(s)) for s in ("mean", "min", "max")] + [row("quantile", F.col("c")[k], c) for k, c in enumerate(centiles)]
+    several = F.when(F.col("rcp") == REFERENCE, F.array(row("none", F.col("none")))).when(F.col("mean").isNotNull(), F.array(*rows))
+    found = sets.select(F.coalesce("rcp", F.lit(POOLED)).alias("rcp"), "hor", F.explode(several).alias("x"))
+    return found.select("rcp", "hor", "x.stat", "x.centile", F.round("x.val", 6).alias("val"))
 
 
 def delta(df: DataFrame, value: str, reference: DataFrame) -> DataFrame:

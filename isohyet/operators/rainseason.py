@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet import model
+from isohyet.session import durable
 
 from . import runs
 
@@ -160,9 +161,12 @@ def amount(df: DataFrame, starts: DataFrame, ends: DataFrame, next_year: bool =
 
 
 def season(df: DataFrame, start_args: dict, end_args: dict, next_starts: DataFrame | None = None, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """keys, year, start, end, length, amount."""
-    starts = start(df, **start_args, keys=keys)
-    ends = reconcile(end(df, **end_args, keys=keys), starts, next_starts, keys)
+    """keys, year, start, end, length, amount.
+
+    Starts and ends, a row per cell and year, are computed once and stored for the lengths and amounts that read them.
+    """
+    starts = durable(start(df, **start_args, keys=keys))
+    ends = durable(reconcile(end(df, **end_args, keys=keys), starts, next_starts, keys))
     out = _pairs(starts, ends, keys)
     for name, part in (("length", length(starts, ends, keys)), ("amount", amount(df, starts, ends, keys=keys))):
         out = out.join(part.withColumnRenamed("value", name), [*keys, "year"], "left")

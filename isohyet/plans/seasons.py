@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from isohyet import model
 from isohyet.operators import rainseason as rs
+from isohyet.session import durable
 from isohyet.sources import cubes
 
 from .catalog import query
@@ -64,15 +65,15 @@ _PAIR = {"pair": "SELECT s.location_id, s.year, s.value AS a, e.value AS b, lead
 @query(sql("pr", "SELECT location_id, year, greatest(CASE WHEN (SELECT avg(a) <= avg(b) FROM pair) THEN b - a + 1 ELSE 365 - a + nb + 1 END, 0)::INT AS value FROM pair".replace("greatest(CASE", "CASE WHEN a IS NULL OR (CASE WHEN (SELECT avg(a) <= avg(b) FROM pair) THEN b ELSE nb END) IS NULL THEN NULL ELSE greatest(CASE").replace("END, 0)::INT", "END, 0)::INT END"), **_start, **_ends_sql("max"), **_PAIR))
 def rain_season_length(spark, d):
     pr = cubes.precipitation(spark, d)
-    starts = rs.start(pr, **_START)
-    return rs.length(starts, rs.reconcile(rs.end(pr, **_ENDS["max"]), starts))
+    starts = durable(rs.start(pr, **_START))
+    return rs.length(starts, durable(rs.reconcile(rs.end(pr, **_ENDS["max"]), starts)))
 
 
 @query(sql("pr", "SELECT p.location_id, p.year, CASE WHEN p.a IS NOT NULL AND p.b IS NOT NULL THEN floor((SELECT sum(pr) FROM n WHERE n.location_id = p.location_id AND n.year = p.year AND n.doy BETWEEN p.a AND p.b))::DOUBLE END AS value FROM pair p", **_start, **_ends_sql("max"), **_PAIR))
 def rain_season_prcptot(spark, d):
     pr = cubes.precipitation(spark, d)
-    starts = rs.start(pr, **_START)
-    return rs.amount(pr, starts, rs.reconcile(rs.end(pr, **_ENDS["max"]), starts))
+    starts = durable(rs.start(pr, **_START))
+    return rs.amount(pr, starts, durable(rs.reconcile(rs.end(pr, **_ENDS["max"]), starts)))
 
 
 @query(sql("pr", "SELECT location_id, year, a::INT AS start, b::INT AS \"end\" FROM pair", **_start, **_ends_sql("sum"), **_PAIR))

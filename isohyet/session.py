@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -14,3 +16,14 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     return builder.config(map=settings).getOrCreate()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Computed once and written to the folder of spark.checkpoint.dir, which all executors share.
+
+    For small results that several branches of a plan read. Where the setting is absent a new local folder is taken.
+    """
+    context = df.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='isohyet-')}")
+    return df.checkpoint(eager=True)
