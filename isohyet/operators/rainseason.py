@@ -49,7 +49,7 @@ def start(df: DataFrame, wet_amount: float, wet_window: int, dry_threshold: floa
         j = F.when(enough[k - 1], F.lit(k)).otherwise(j)
     rn = F.row_number().over(w)
     v = v.withColumns({"rn": rn, "is_wet": enough[-1] & (F.count("v").over(w.rowsBetween(0, wet_window - 1)) == wet_window) & (F.col("v") > dry_threshold), "j": j, "n": F.count(F.lit(1)).over(Window.partitionBy(*keys))})
-    next_wet = F.min(F.when(~F.coalesce(F.col("v") < dry_threshold, F.lit(False)), F.col("rn"))).over(w.rowsBetween(0, Window.unboundedFollowing))
+    next_wet = F.min(F.when(~F.coalesce(F.col("v") < dry_threshold, F.lit(False)), F.col("rn"))).over(runs.backwards(keys))
     v = v.withColumn("opens_dry", (F.coalesce(next_wet, F.col("n") + 1) - F.col("rn") >= dry_days).cast("int"))
     late = dry_window - dry_days - 2
     bad: Column = F.lit(0)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import runs
+
 #: How daily values come from hourly ones.
 HOURLY = {"mean": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
 
@@ -84,9 +86,9 @@ def plain_calendar(years: DataFrame) -> DataFrame:
 def fill_gaps(df: DataFrame, value: str, keys: tuple[str, ...] = ("location_id",)) -> DataFrame:
     """Linear interpolation in time of missing values that have one before and one after."""
     w = Window.partitionBy(*keys).orderBy("date")
-    before, after = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    before, after = w.rowsBetween(Window.unboundedPreceding, 0), runs.backwards(keys)
     at = F.when(F.col(value).isNotNull(), F.col("date"))
-    ends = df.withColumns({"v0": F.last(value, True).over(before), "v1": F.first(value, True).over(after), "d0": F.last(at, True).over(before), "d1": F.first(at, True).over(after)})
+    ends = df.withColumns({"v0": F.last(value, True).over(before), "d0": F.last(at, True).over(before)}).withColumns({"v1": F.last(value, True).over(after), "d1": F.last(at, True).over(after)})
     share = F.try_divide(F.datediff("date", "d0").cast("double"), F.datediff("d1", "d0").cast("double"))
     return ends.withColumn(value, F.coalesce(value, F.col("v0") + (F.col("v1") - F.col("v0")) * share)).drop("v0", "v1", "d0", "d1")
 

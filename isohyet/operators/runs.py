@@ -16,6 +16,11 @@ def series(keys: tuple[str, ...] = KEYS) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy("date")
 
 
+def backwards(keys: tuple[str, ...] = KEYS) -> WindowSpec:
+    """From the last day to here. A frame that is open towards the end of a series costs its square; this one its length."""
+    return Window.partitionBy(*keys).orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def rolling(value: str | Column, n: int, how, over: WindowSpec, forward: bool = False, skip: int = 0) -> Column:
     """An aggregate of n rows ending (or beginning) skip rows from here; NULL unless all n are in the series and present."""
     frame = over.rowsBetween(skip, skip + n - 1) if forward else over.rowsBetween(-(n - 1) - skip, -skip)
