@@ -71,11 +71,15 @@ def _adjusted(value: str, factor: Column, kind: str) -> Column:
 
 
 def predict(simulated: DataFrame, factors: DataFrame, value: str, nq: int, kind: str = "+", group: str = "doy", keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """The series with column adjusted: each value's rank in its group picks the nearest node's factor by an equi-join."""
+    """The series with column adjusted: each value's rank in its group picks the nearest node's factor.
+
+    A group's factors are one map, joined on the group, by which the ranked rows are already partitioned.
+    """
     ranked = simulated.withColumn("grp", _group(group)).withColumn("p", runs.percentile_rank(value, (*keys, "grp")))
     ranked = ranked.withColumn("node", nearest_node(F.col("p"), nq))
-    found = ranked.join(factors.select(*keys, "grp", "node", "factor"), [*keys, "grp", "node"], "left")
-    return found.withColumn("adjusted", _adjusted(value, F.col("factor"), kind)).drop("node", "factor", "p")
+    by_node = factors.groupBy(*keys, "grp").agg(F.map_from_entries(F.collect_list(F.struct("node", "factor"))).alias("f"))
+    found = ranked.join(by_node, [*keys, "grp"], "left")
+    return found.withColumn("adjusted", _adjusted(value, F.try_element_at("f", F.col("node")), kind)).drop("node", "f", "p")
 
 
 def predict_interpolated(simulated: DataFrame, factors: DataFrame, value: str, nq: int, kind: str = "+", group: str = "doy", keys: tuple[str, ...] = KEYS) -> DataFrame:
