@@ -10,12 +10,12 @@ from isohyet.sources import cubes
 from .catalog import query
 from .sql import sql
 
-_TARGETS = "SELECT s_suppkey::BIGINT AS target_id, ((s_suppkey * 7) % 50)::DOUBLE / 10 AS lon, ((s_suppkey * 3) % 45)::DOUBLE / 10 AS lat FROM supplier WHERE s_suppkey % 5 = 0"
+_TARGETS = "SELECT location_id::BIGINT AS target_id, lon + 0.25 AS lon, lat + 0.5 AS lat FROM cells"
 
 
 def _targets(spark, d):
-    k = F.col("s_suppkey")
-    return cubes.table(spark, d, "supplier").filter(k % 5 == 0).select(k.alias("target_id"), ((k * 7 % 50).cast("double") / 10).alias("lon"), ((k * 3 % 45).cast("double") / 10).alias("lat"))
+    """A point inside each cell's square, those of the last row and column outside the grid."""
+    return cubes.cells(spark, d).select(F.col("location_id").cast("long").alias("target_id"), (F.col("lon") + 0.25).alias("lon"), (F.col("lat") + 0.5).alias("lat"))
 
 
 @query(sql("cells", "SELECT count(DISTINCT lon)::BIGINT AS n_lon, count(DISTINCT lat)::BIGINT AS n_lat, (max(lon) - min(lon)) / (count(DISTINCT lon) - 1) AS d_lon, (max(lat) - min(lat)) / (count(DISTINCT lat) - 1) AS d_lat FROM cells"))
@@ -23,10 +23,10 @@ def grid_properties(spark, d):
     return grid.properties(cubes.cells(spark, d))
 
 
-@query(sql("pr", "SELECT t.target_id, strftime(p.date, '%Y-%m-%d') AS date, round(sum((1 - abs(t.lon - p.lon)) * (1 - abs(t.lat - p.lat)) * p.pr), 6) AS pr FROM t JOIN pr p ON abs(t.lon - p.lon) < 1 AND abs(t.lat - p.lat) < 1 WHERE t.lon <= 4 AND t.lat <= 4 AND year(p.date) = 1996 GROUP BY 1, 2", t=_TARGETS))
+@query(sql("pr", "SELECT t.target_id, strftime(p.date, '%Y-%m-%d') AS date, round(sum((1 - abs(t.lon - p.lon)) * (1 - abs(t.lat - p.lat)) * p.pr), 6) AS pr FROM t JOIN pr p ON abs(t.lon - p.lon) < 1 AND abs(t.lat - p.lat) < 1 WHERE t.lon <= 4 AND t.lat <= 4 GROUP BY 1, 2", t=_TARGETS))
 def regrid_bilinear(spark, d):
     weights = grid.bilinear_weights(_targets(spark, d), cubes.cells(spark, d))
-    found = grid.regrid(select.select_period(cubes.precipitation(spark, d), 1996, 1996), weights, "pr")
+    found = grid.regrid(cubes.precipitation(spark, d), weights, "pr")
     return found.select("target_id", F.col("date").cast("string").alias("date"), F.round("pr", 6).alias("pr"))
 
 
@@ -52,6 +52,6 @@ def fill_na_spatial(spark, d):
 def rotated_regrid(spark, d):
     cells = cubes.cells(spark, d).select("location_id", F.col("lon").alias("rlon"), F.col("lat").alias("rlat"))
     plain = grid.unrotate(cells, 10.0, 80.0)
-    targets = plain.filter("location_id % 6 = 0").select(F.col("location_id").alias("target_id"), "lon", "lat")
+    targets = plain.select(F.col("location_id").alias("target_id"), "lon", "lat")
     weights = grid.rotated_weights(targets, cells, 10.0, 80.0)
     return weights.select("target_id", "location_id", F.round("weight", 6).alias("weight"))

@@ -25,20 +25,19 @@ def index_of_percentile(spark, d):
 
 
 _Q = "[0.0001::DOUBLE, 0.125::DOUBLE, 0.375::DOUBLE, 0.625::DOUBLE, 0.875::DOUBLE, 0.9999::DOUBLE]"
-_PLAIN = "NOT (month(date) = 2 AND day(date) = 29) AND year(date) <= 1997"
+_PLAIN = "NOT (month(date) = 2 AND day(date) = 29)"
 
 
 @query(sql("sim ref", "SELECT r.sim_code, r.location_id, strftime(r.date, '%Y-%m-%d') AS date, round(r.pr * greatest(least(f.factor, 3), -3), 6) + 0.0 AS adjusted FROM (SELECT r.*, arg_min(m.node, (abs(m.q - r.p), -m.q)) AS node FROM ranked r CROSS JOIN marks m GROUP BY ALL) r JOIN f ON f.sim_code = r.sim_code AND f.location_id = r.location_id AND f.grp = r.grp AND f.node = r.node WHERE f.factor IS NOT NULL",
            rn="SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY date) AS rn FROM ref WHERE NOT (month(date) = 2 AND day(date) = 29)",
-           sn=f"SELECT *, row_number() OVER (PARTITION BY sim_code, location_id ORDER BY date) AS rn FROM sim WHERE {_PLAIN} AND location_id < 4",
-           rq=f"SELECT a.location_id, dayofyear(b.date)::INT AS grp, quantile_cont(a.pr::DOUBLE, {_Q}) AS q FROM rn a JOIN rn b ON a.location_id = b.location_id AND b.rn BETWEEN a.rn - 4 AND a.rn + 5 WHERE a.location_id < 4 GROUP BY 1, 2",
+           sn=f"SELECT *, row_number() OVER (PARTITION BY sim_code, location_id ORDER BY date) AS rn FROM sim WHERE {_PLAIN}",
+           rq=f"SELECT a.location_id, dayofyear(b.date)::INT AS grp, quantile_cont(a.pr::DOUBLE, {_Q}) AS q FROM rn a JOIN rn b ON a.location_id = b.location_id AND b.rn BETWEEN a.rn - 4 AND a.rn + 5 GROUP BY 1, 2",
            sq=f"SELECT a.sim_code, a.location_id, dayofyear(b.date)::INT AS grp, quantile_cont(a.pr::DOUBLE, {_Q}) AS q FROM sn a JOIN sn b ON a.sim_code = b.sim_code AND a.location_id = b.location_id AND b.rn BETWEEN a.rn - 4 AND a.rn + 5 GROUP BY 1, 2, 3",
            f="SELECT s.sim_code, s.location_id, s.grp, k::INT AS node, r.q[k + 1] / nullif(s.q[k + 1], 0) AS factor FROM rq r JOIN sq s ON r.location_id = s.location_id AND r.grp = s.grp CROSS JOIN range(6) t(k)",
            marks=f"SELECT (k - 1)::INT AS node, {_Q}[k] AS q FROM range(1, 7) t(k)",
            ranked="SELECT sim_code, location_id, date, pr, dayofyear(date)::INT AS grp, (rank() OVER (PARTITION BY sim_code, location_id, dayofyear(date) ORDER BY pr) + (count(*) OVER (PARTITION BY sim_code, location_id, dayofyear(date), pr) - 1) / 2.0::DOUBLE) / count(*) OVER (PARTITION BY sim_code, location_id, dayofyear(date)) AS p FROM sn"))
 def scenario_adjusted(spark, d):
-    sims = select.select_period(cubes.simulations(spark, d), 1995, 1997).filter("location_id < 4")
-    found = workflow.scenario(cubes.reference(spark, d).filter("location_id < 4"), sims, "pr", "pr", 4, 10)
+    found = workflow.scenario(cubes.reference(spark, d), cubes.simulations(spark, d), "pr", "pr", 4, 10)
     return found.filter("adjusted is not null").select("sim_code", "location_id", F.col("date").cast("string").alias("date"), (F.round("adjusted", 6) + 0.0).alias("adjusted"))
 
 
@@ -59,12 +58,11 @@ def extract_series(spark, d):
     return found.select("location_id", F.col("date").cast("string").alias("date"), "pr")
 
 
-@query(sql("sim", "SELECT s.sim_code, t.target_id, strftime(s.date, '%Y-%m-%d') AS date, round(sum((1 - abs(t.lon - s.lon)) * (1 - abs(t.lat - s.lat)) * s.pr), 6) AS value FROM t JOIN sim s ON abs(t.lon - s.lon) < 1 AND abs(t.lat - s.lat) < 1 WHERE t.lon <= 4 AND t.lat <= 4 AND year(s.date) = 1996 AND month(s.date) = 6 GROUP BY 1, 2, 3", t="SELECT s_suppkey::BIGINT AS target_id, ((s_suppkey * 7) % 50)::DOUBLE / 10 AS lon, ((s_suppkey * 3) % 45)::DOUBLE / 10 AS lat FROM supplier WHERE s_suppkey % 25 = 0"))
+@query(sql("sim", "SELECT s.sim_code, t.target_id, strftime(s.date, '%Y-%m-%d') AS date, round(sum((1 - abs(t.lon - s.lon)) * (1 - abs(t.lat - s.lat)) * s.pr), 6) AS value FROM t JOIN sim s ON abs(t.lon - s.lon) < 1 AND abs(t.lat - s.lat) < 1 WHERE t.lon <= 4 AND t.lat <= 4 GROUP BY 1, 2, 3", t="SELECT location_id::BIGINT AS target_id, lon + 0.25 AS lon, lat + 0.5 AS lat FROM cells"))
 def interpolate_simulations(spark, d):
-    k = F.col("s_suppkey")
-    targets = cubes.table(spark, d, "supplier").filter(k % 25 == 0).select(k.alias("target_id"), ((k * 7 % 50).cast("double") / 10).alias("lon"), ((k * 3 % 45).cast("double") / 10).alias("lat"))
-    june = cubes.simulations(spark, d).filter((F.year("date") == 1996) & (F.month("date") == 6)).select("sim_code", "location_id", "date", F.col("pr").alias("value"))
-    found = workflow.interpolate(june, grid.bilinear_weights(targets, cubes.cells(spark, d)))
+    targets = cubes.cells(spark, d).select(F.col("location_id").cast("long").alias("target_id"), (F.col("lon") + 0.25).alias("lon"), (F.col("lat") + 0.5).alias("lat"))
+    daily = cubes.simulations(spark, d).select("sim_code", "location_id", "date", F.col("pr").alias("value"))
+    found = workflow.interpolate(daily, grid.bilinear_weights(targets, cubes.cells(spark, d)))
     return found.select("sim_code", "target_id", F.col("date").cast("string").alias("date"), F.round("value", 6).alias("value"))
 
 
@@ -80,12 +78,12 @@ def calendar_reset(spark, d):
     return found.select("location_id", F.col("date").cast("string").alias("date"), "pr")
 
 
-@query(sql("obs", "SELECT y::INT AS year, count(o.v)::BIGINT AS n FROM range(1990, 2005) t(y) LEFT JOIN (SELECT DISTINCT year(date) AS v FROM obs WHERE station_id = 'st03') o ON o.v = y GROUP BY 1"))
+@query(sql("obs", "SELECT s.station_id, y::INT AS year, count(o.v)::BIGINT AS n FROM (SELECT DISTINCT station_id FROM obs) s CROSS JOIN range(1990, 2005) t(y) LEFT JOIN (SELECT DISTINCT station_id, year(date) AS v FROM obs) o ON o.v = y AND o.station_id = s.station_id GROUP BY 1, 2"))
 def years_completed(spark, d):
     from isohyet.operators import resample
 
-    years = cubes.observations(spark, d).filter("station_id = 'st03'").select("station_id", F.year("date").alias("year")).distinct().withColumn("has", F.lit(1))
-    return resample.complete_years(years, 1990, 2004, ("station_id",)).groupBy("year").agg(F.count("has").alias("n"))
+    years = cubes.observations(spark, d).select("station_id", F.year("date").alias("year")).distinct().withColumn("has", F.lit(1))
+    return resample.complete_years(years, 1990, 2004, ("station_id",)).groupBy("station_id", "year").agg(F.count("has").alias("n"))
 
 
 @query(sql("obs", "SELECT station_id, (count(*) FILTER (value IS NOT NULL))::BIGINT AS n, count(*)::BIGINT AS n_days FROM (SELECT s.station_id, t.date, o.value FROM (SELECT DISTINCT station_id FROM obs) s CROSS JOIN (SELECT unnest(generate_series(DATE '1996-01-01', DATE '1997-12-31', INTERVAL 1 DAY))::DATE AS date) t LEFT JOIN obs o ON o.station_id = s.station_id AND o.date = t.date) GROUP BY 1"))

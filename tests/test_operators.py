@@ -167,3 +167,42 @@ def test_stream_equals_batch(spark, sf_dir, tmp_path):
     batch = events.groupBy("event_type", F.col("ts").cast("date").alias("date")).agg(F.sum("value").alias("sum"))
     want = {(r.event_type, str(r.date)): round(r.sum, 6) for r in batch.collect()}
     assert got and all(want[k] == v for k, v in got.items()) and len(got) >= 0.8 * len(want)
+
+
+def test_clusters_part_what_is_apart(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"s{k}", float(v + 100 * (k % 2)), float(w)) for k, (v, w) in enumerate(rng.normal(size=(20, 2)))]
+    found = {r.sim_code: r.cluster for r in ensemble.clusters(spark.createDataFrame(rows, "sim_code string, mean double, std double"), ["mean", "std"], 2).collect()}
+    assert len({found[f"s{k}"] for k in range(0, 20, 2)}) == 1 and found["s0"] != found["s1"]
+
+
+def test_rotated_grid_keeps_linear_fields(spark):
+    cells = spark.createDataFrame([(5 * x + y, float(x), float(y)) for x in range(5) for y in range(5)], "location_id int, rlon double, rlat double")
+    plain = grid.unrotate(cells, 10.0, 80.0)
+    points = [(1, 0.0, 0.0), (2, 1.25, 3.5), (3, 3.9, 0.1), (4, 4.5, 1.0)]
+    turned = spark.createDataFrame(points, "location_id int, rlon double, rlat double")
+    targets = grid.unrotate(turned, 10.0, 80.0).select(F.col("location_id").alias("target_id"), "lon", "lat")
+    weights = grid.rotated_weights(targets, plain.select("location_id", "rlon", "rlat"), 10.0, 80.0)
+    field = cells.select("location_id", F.lit("2000-01-01").cast("date").alias("date"), (3 * F.col("rlon") - 2 * F.col("rlat") + 1).alias("v"))
+    got = {r.target_id: r.v for r in grid.regrid(field, weights, "v").collect()}
+    want = {k: 3 * x - 2 * y + 1 for k, x, y in points if 0 <= x <= 4 and 0 <= y <= 4}
+    assert set(got) - {1} == set(want) - {1} and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want if k in got)
+
+
+def test_index_by_name_needs_its_variables(spark):
+    from isohyet.operators import workflow
+
+    df = _daily(spark, [1.0, 5.0, 30.0], name="pr").withColumn("sim_code", F.lit("a_rcp26"))
+    assert workflow.run_index("wetdays", df, "50p", reference=df).first().value == 2.0
+    with pytest.raises(ValueError):
+        workflow.run_index("txg", df)
+
+
+def test_stored_results_are_built_once(spark, tmp_path):
+    from isohyet.operators import workflow
+
+    calls = []
+    build = lambda: calls.append(1) or spark.range(3)
+    for force in (False, False, True):
+        assert workflow.made(spark, str(tmp_path / "x"), build, force).count() == 3
+    assert len(calls) == 2
