@@ -21,7 +21,10 @@ SHARE = 1.5
 MAX_REPEAT = 2.0
 ROWS_PER_BLOCK = 512
 #: Blocks hold more rows beyond it, so that what one task orders stays bounded.
-MAX_BLOCKS = 200_000
+MAX_BLOCKS = 1_000_000
+#: Words of an output shard, unless the number of shards is given; a shard has several blocks even so.
+SHARD_WORDS = 4_000_000
+MIN_SHARDS, MAX_SHARDS = 32, MAX_BLOCKS // 8
 SEED = 20240607
 
 
@@ -62,18 +65,21 @@ def split(tickets: DataFrame, shards: int) -> DataFrame:
     return out.withColumn("shard", F.floor(F.col("node") * F.lit(shards / 2**levels)).cast("int")).drop("node")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeat: float = MAX_REPEAT, shards: int = 32) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeat: float = MAX_REPEAT, shards: int | None = None) -> DataFrame:
     """A row per input row: doc_id, mark, size, source_size, target, shards (the output shard of each copy taken).
 
     Sizes are words; null and empty texts have none. A null source is a source. mark is a hash of the row's id and text
     that orders rows; repeated rows with one id and one text share it. Reruns give the same rows. An empty table gives
-    none. Of the input only doc_id, text and source are read.
+    none. Of the input only doc_id, text and source are read. The number of shards grows with the words, unless given.
     """
     base = common.durable(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(common.text_or_empty()).alias("size"), F.xxhash64(F.lit(SEED), "doc_id", "text").alias("mark")))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = targets(sizes, weights, share, max_repeat)
     per_block = F.greatest(F.lit(ROWS_PER_BLOCK), F.ceil(F.sum("n").over(Window.partitionBy()) / F.lit(MAX_BLOCKS)))
     sources = common.durable(sources.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("n") / per_block))).drop("n"))
+    if shards is None:
+        words = sources.agg(F.sum("source_size")).first()[0] or 0  # one number
+        shards = min(MAX_SHARDS, max(MIN_SHARDS, round(words * share / SHARD_WORDS)))
     named = sources.withColumnRenamed("source", "its_source")
     rows = base.join(named, F.col("source").eqNullSafe(F.col("its_source"))).drop("its_source").withColumn("block", F.pmod("mark", "n_blocks"))
 
