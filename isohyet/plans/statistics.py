@@ -99,7 +99,7 @@ def taylor(spark, d):
     return _rounded(found, "sdev", "crmsd", "ccoef")
 
 
-_ERR = {"r2": "1 - sum((o - p) ** 2) / sum((o - m) ** 2)", "mae": "avg(abs(o - p))", "rmse": "sqrt(avg((o - p) ** 2))", "rrmse": "sqrt(avg((o - p) ** 2)) / stddev_pop(o)"}
+_ERR = {"r2": "1 - sum((o - p) ** 2) / nullif(sum((o - m) ** 2), 0)", "mae": "avg(abs(o - p))", "rmse": "sqrt(avg((o - p) ** 2))", "rrmse": "coalesce(sqrt(avg((o - p) ** 2)) / nullif(stddev_pop(o), 0), 0)"}
 
 
 def _error(method):
@@ -114,7 +114,7 @@ for _method, _sql in _ERR.items():
     query(sql("ref pr", f"SELECT location_id, round({_sql}, 6) AS err FROM (SELECT ref.location_id, ref.pr AS o, pr.pr AS p, avg(ref.pr) OVER (PARTITION BY ref.location_id) AS m FROM ref JOIN pr ON ref.location_id = pr.location_id AND ref.date = pr.date) GROUP BY 1"), f"err_{_method}")(_error(_method))
 
 
-@query(sql("ref pr", "SELECT location_id, round(sqrt(avg((o - p) ** 2)) / stddev_pop(o), 4) AS bias_err FROM (SELECT a.location_id, a.v AS o, b.v AS p FROM (SELECT location_id, year(date) AS y, month(date) AS m, sum(pr) AS v FROM ref GROUP BY ALL) a JOIN (SELECT location_id, year(date) AS y, month(date) AS m, sum(pr) AS v FROM pr GROUP BY ALL) b ON a.location_id = b.location_id AND a.y = b.y AND a.m = b.m) GROUP BY 1"))
+@query(sql("ref pr", "SELECT location_id, round(coalesce(sqrt(avg((o - p) ** 2)) / nullif(stddev_pop(o), 0), 0), 4) AS bias_err FROM (SELECT a.location_id, a.v AS o, b.v AS p FROM (SELECT location_id, year(date) AS y, month(date) AS m, sum(pr) AS v FROM ref GROUP BY ALL) a JOIN (SELECT location_id, year(date) AS y, month(date) AS m, sum(pr) AS v FROM pr GROUP BY ALL) b ON a.location_id = b.location_id AND a.y = b.y AND a.m = b.m) GROUP BY 1"))
 def bias_error_monthly(spark, d):
     return en.bias_error(cubes.reference(spark, d), cubes.precipitation(spark, d), "pr")
 
