@@ -14,6 +14,10 @@ have equal anchors at equal offsets, so only suffixes at anchors need sorting, a
 
 Texts are staged once as Parquet in the shared folder and never shuffled; what is shuffled is about 30 bytes for each
 anchor, packed by file and bucket.
+
+Hot anchors, which stand in many different contexts of one file, as the edges of a passage do that many documents share,
+are found before and go another way: each of their windows is dealt by its own hash, so no task gathers all contexts of a
+hot anchor. Every file keeps the first of its equal windows before the shuffle.
 """
 
 from __future__ import annotations
@@ -39,12 +43,17 @@ CHUNK = 1 << 21
 PER_BUCKET = 250_000
 #: Suffixes sorted at once, if no single anchor has more.
 SLICE = 16_384
+#: An anchor is hot if it has at least so many different contexts in some file.
+HOT_CONTEXTS = 16
+#: Hot anchors are told by so many leading bits of their hash: a set of bounded size, and what falls in by chance is hot too.
+HOT_BITS = 22
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _PLACE = (1 << 24) - 1
 _NONE = np.uint32(0xFFFFFFFF)
 _ANCHOR = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("lo", "<u4"), ("off", "u1"), ("len", "u1")])
 _SPAN = np.dtype([("row", "<u4"), ("lo", "<u4"), ("len", "u1")])
 _EDGE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("file", "<u4"), ("row", "<u4"), ("lo", "<u4"), ("off", "u1"), ("len", "u1")])
+_WINDOW = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("lo", "<u4")])
 #: Null ids come after all others.
 NULL_ID = (1 << 63) - 1
 
@@ -107,6 +116,22 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         return gram[place], context, place, first, last
 
 
+def window_hashes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes, by different multipliers, of the windows at the given starts."""
+    out = []
+    with np.errstate(over="ignore"):
+        for multiplier in _MULTIPLIERS[:2]:
+            up, down = _powers(multiplier, CHUNK * 2 if len(text) <= CHUNK * 2 else len(text))
+            prefix = np.zeros(len(text) + 1, dtype=np.uint64)
+            np.cumsum(_letters(multiplier)[text] * up[: len(text)], out=prefix[1:])
+            out.append(_mix((prefix[starts + WINDOW] - prefix[starts]) * down[starts]))
+    return out[0], out[1]
+
+
+def _cell(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - HOT_BITS)).astype(np.int64)
+
+
 def _files(folder: str) -> list[str]:
     fs, inner = common.open_fs(folder)
     return sorted(f.path for f in fs.get_file_info(pafs.FileSelector(inner)) if f.base_name.startswith("part-"))
@@ -130,19 +155,32 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None and data.size else np.empty(0, np.uint8)), offsets - offsets[0]
 
 
-def _file_anchors(folder: str, path: str) -> np.ndarray:
+def _file_anchors(folder: str, path: str, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A file's anchors, and the windows of those that are hot; each in order of rows and places."""
     found: list[np.ndarray] = []
+    windows: list[np.ndarray] = []
 
     def take(parts: list[np.ndarray], segments: list[tuple[int, int]], docs: list[int]) -> None:
         if not parts:
             return
         ends = np.cumsum([len(p) for p in parts])
-        h, ctx, place, first, last = anchors(np.concatenate(parts), ends)
+        text = np.concatenate(parts)
+        h, ctx, place, first, last = anchors(text, ends)
         segment = np.searchsorted(ends, first, "right")
         out = np.empty(len(h), dtype=_ANCHOR)
         rows, bases = np.array(segments, dtype=np.int64).T
         out["h"], out["ctx"], out["doc"], out["row"] = h, ctx, np.array(docs, dtype=np.int64)[segment], rows[segment]
         out["lo"], out["off"], out["len"] = first - np.r_[0, ends][segment] + bases[segment], place - first, last - first
+        if hot is not None and (taken := hot[_cell(h)]).any():
+            n = (last - first + 1)[taken]
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            own = np.empty(len(step), dtype=_WINDOW)
+            own["a"], own["b"] = window_hashes(text, np.repeat(first[taken], n) + step)
+            for name in ("doc", "row"):
+                own[name] = np.repeat(out[name][taken], n)
+            own["lo"] = np.repeat(out["lo"][taken], n) + step
+            windows.append(own)
+            out = out[~taken]
         found.append(out)
 
     parts, segments, docs, size = [], [], [], 0
@@ -161,31 +199,69 @@ def _file_anchors(folder: str, path: str) -> np.ndarray:
                     take(parts, segments, docs)
                     parts, segments, docs, size = [], [], [], 0
     take(parts, segments, docs)
-    return np.concatenate(found) if found else np.empty(0, dtype=_ANCHOR)
+    join = lambda parts, dtype: np.concatenate(parts) if parts else np.empty(0, dtype=dtype)
+    return join(found, _ANCHOR), join(windows, _WINDOW)
 
 
-def _anchor_job(batches: Iterator[pa.RecordBatch], folder: str, buckets: int) -> Iterator[pa.RecordBatch]:
+def _spans(records: np.ndarray) -> np.ndarray:
+    """As spans of window starts."""
+    out = np.empty(len(records), dtype=_SPAN)
+    for name in _SPAN.names:
+        out[name] = records[name]
+    return out
+
+
+def _runs(file: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Single windows as spans of consecutive ones, each with its file."""
+    order = np.lexsort((records["lo"], records["row"], file))
+    file, row, lo = file[order], records["row"][order], records["lo"][order].astype(np.int64)
+    n = len(order)
+    new = np.ones(n, dtype=bool)
+    new[1:] = (file[1:] != file[:-1]) | (row[1:] != row[:-1]) | (lo[1:] != lo[:-1] + 1)
+    begin = np.flatnonzero(new)
+    new |= (np.arange(n) - np.repeat(begin, np.diff(np.r_[begin, n]))) % 256 == 0  # a length is one byte
+    begin = np.flatnonzero(new)
+    out = np.empty(len(begin), dtype=_SPAN)
+    out["row"], out["lo"], out["len"] = row[begin], lo[begin], np.diff(np.r_[begin, n]) - 1
+    return file[begin], out
+
+
+def _once(x: np.ndarray, first: str, second: str) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the records with both fields equal, in order of documents, rows and places; and the others."""
+    x = x[np.lexsort((x["lo"], x["row"], x["doc"]))] if len(x) and (np.diff(x["doc"]) < 0).any() else x
+    order = np.argsort(x[first], kind="stable")
+    same = np.zeros(len(x), dtype=bool)
+    a, b = x[first][order], x[second][order]
+    same[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    return x[~same], x[same]
+
+
+def _hot_job(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Cells of the anchors that have many different contexts in a file."""
+    for batch in batches:
+        for path in batch.column(1).to_pylist():
+            x, _ = _once(_file_anchors(folder, path)[0], "ctx", "h")
+            h, n = np.unique(x["h"], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_cell(h[n >= HOT_CONTEXTS])), pa.int64())], names=["cell"])
+
+
+def _anchor_job(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, hot: bytes) -> Iterator[pa.RecordBatch]:
+    is_hot = np.unpackbits(np.frombuffer(hot, dtype=np.uint8)).astype(bool) if hot else None
     for batch in batches:
         for file, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = _file_anchors(folder, path)
-            x = x[np.lexsort((x["lo"], x["row"], x["doc"]))] if len(x) and (np.diff(x["doc"]) < 0).any() else x
-            order = np.argsort(x["ctx"], kind="stable")
-            same = np.zeros(len(x), dtype=bool)
-            ctx, h = x["ctx"][order], x["h"][order]
-            same[order[1:]] = (ctx[1:] == ctx[:-1]) & (h[1:] == h[:-1])
-            repeats = x[same]
-            spans = np.empty(len(repeats), dtype=_SPAN)
-            spans["row"], spans["lo"], spans["len"] = repeats["row"], repeats["lo"], repeats["len"]
-            x = x[~same]
-            bucket = (x["h"] % np.uint64(buckets)).astype(np.int64)
-            x = x[np.argsort(bucket, kind="stable")]
-            cuts = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
-            names, kinds, blobs = [file % buckets], [0], [spans.tobytes()]
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                part = x[cuts[b] : cuts[b + 1]]
-                names.append(b)
-                kinds.append(1)
-                blobs.append(b"".join(np.ascontiguousarray(part[c]).tobytes() for c in _ANCHOR.names))  # by column, which compresses better
+            x, windows = _file_anchors(folder, path, is_hot)
+            x, repeats = _once(x, "ctx", "h")
+            windows, again = _once(windows, "a", "b")
+            names, kinds, blobs = [file % buckets], [0], [_spans(repeats).tobytes() + _runs(np.zeros(len(again), dtype=np.int64), again)[1].tobytes()]
+            for kind, records, key in ((1, x, "h"), (2, windows, "a")):
+                bucket = (records[key] % np.uint64(buckets)).astype(np.int64)
+                records = records[np.argsort(bucket, kind="stable")]
+                cuts = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
+                for b in np.flatnonzero(np.diff(cuts)).tolist():
+                    part = records[cuts[b] : cuts[b + 1]]
+                    names.append(b)
+                    kinds.append(kind)
+                    blobs.append(b"".join(np.ascontiguousarray(part[c]).tobytes() for c in records.dtype.names))  # by column, which compresses better
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([file] * len(names), pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "file", "kind", "blob"])
 
 
@@ -219,13 +295,24 @@ def _group_anchors(table: pa.Table) -> pa.Table:
     """Of a bucket's anchors: spans of repeats (kind 0), and those whose contexts must be compared (kind 1)."""
     rows: list[tuple[int, int, bytes]] = []
     parts, files = [], []
+    windows, window_files = [], []
     for file, kind, blob in zip(table.column("file").to_pylist(), table.column("kind").to_pylist(), table.column("blob").to_pylist(), strict=True):
         if kind == 0:
             if blob:
                 rows.append((file, 0, blob))
             continue
+        if kind == 2:
+            windows.append(_unpack(blob, _WINDOW))
+            window_files.append(np.full(len(windows[-1]), file, dtype=np.int64))
+            continue
         parts.append(_unpack(blob, _ANCHOR))
         files.append(np.full(len(parts[-1]), file, dtype=np.int64))
+    if windows:
+        x, file = np.concatenate(windows), np.concatenate(window_files)
+        order = np.lexsort((x["row"], file, x["lo"], x["doc"], x["b"], x["a"]))
+        x, file = x[order], file[order]
+        again = np.r_[False, (x["a"][1:] == x["a"][:-1]) & (x["b"][1:] == x["b"][:-1])]
+        rows += _by_file(*_runs(file[again], x[again]), 0)
     if not parts:
         return _found(rows)
     x, file = np.concatenate(parts), np.concatenate(files)
@@ -242,11 +329,7 @@ def _group_anchors(table: pa.Table) -> pa.Table:
     if len(x):
         new_h = np.r_[True, x["h"][1:] != x["h"][:-1]]
         new_ctx = new_h | np.r_[True, x["ctx"][1:] != x["ctx"][:-1]]
-        again = x[~new_ctx]
-        spans = np.empty(len(again), dtype=_SPAN)
-        for name in _SPAN.names:
-            spans[name] = again[name]
-        rows += _by_file(file[~new_ctx], spans, 0)
+        rows += _by_file(file[~new_ctx], _spans(x[~new_ctx]), 0)
         firsts, group = x[new_ctx], (np.cumsum(new_h) - 1)[new_ctx]
         mixed = np.bincount(group)[group] > 1
         edges = np.empty(int(mixed.sum()), dtype=_EDGE)
@@ -490,7 +573,13 @@ def _repeats(docs: DataFrame, replace: bool) -> DataFrame:
     buckets = max(1, round(size * 2.4 / 39 / PER_BUCKET))
     # a row for each staged file, and so for each task that read the input
     files = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "file int, path string").coalesce(1).repartition(max(1, len(paths)))
-    anchored = files.mapInArrow(partial(_anchor_job, folder=folder, buckets=buckets), "bucket int, file int, kind int, blob binary")
+    cells = [r.cell for r in files.mapInArrow(partial(_hot_job, folder=folder), "cell long").distinct().collect()]  # at most 2 ** HOT_BITS numbers
+    hot = b""
+    if cells:
+        bits = np.zeros(1 << HOT_BITS, dtype=np.uint8)
+        bits[cells] = 1
+        hot = np.packbits(bits).tobytes()
+    anchored = files.mapInArrow(partial(_anchor_job, folder=folder, buckets=buckets, hot=hot), "bucket int, file int, kind int, blob binary")
     found = common.durable(anchored.groupBy("bucket").applyInArrow(_group_anchors, _FOUND_DDL))
 
     def contexts(table: pa.Table) -> pa.Table:
