@@ -4,6 +4,9 @@ A text's canonical form is NFKC-normalised, case-folded and has each run of whit
 the 128-bit XXH3 of that form. Documents are grouped by it, and inside a bucket the canonical bytes are compared: the
 least and the greatest of a bucket are found by ordinary aggregation, which combines before the shuffle, and where they
 differ the bucket's forms are numbered and the number becomes part of the fingerprint.
+
+Texts are shuffled once, compressed, into ranges of ids. Forms travel compressed too: equal forms give equal bytes and
+different forms different ones, so comparing those is comparing the forms.
 """
 
 from __future__ import annotations
@@ -11,10 +14,11 @@ from __future__ import annotations
 import hashlib
 import unicodedata
 from collections.abc import Iterator
-from functools import partial
 
 import pyarrow as pa
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,109 +42,125 @@ def likeness(a: tuple[str, bytes], b: tuple[str, bytes]) -> float:
     return float(a[0] == b[0] and a[1] == b[1])
 
 
-def _canonical(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        forms = [canonical(x) for x in common.utf8(batch.column(1)).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(forms, pa.large_binary()).cast(pa.binary())], names=["digest", "form"])
+        found = [digest(canonical(x.as_py())) for x in common.utf8(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found)], names=["doc_id", "mark", "digest"])
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text), digest of every row; null texts are empty."""
+    text = common.text_or_empty()
+    return docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), text.alias("text")).mapInArrow(_digests, "doc_id long, mark long, digest string")
 
 
-def resolve(digests: DataFrame, texts: DataFrame) -> DataFrame:
-    """Buckets of one digest that hold different forms: digest, form, ordinal (from 1 for the second form on).
+def resolve(forms: DataFrame) -> DataFrame:
+    """From rows digest, form: the forms that are not their bucket's first, with ordinal, from 1. No row unless forms collide.
 
-    digests: column digest for every document. texts: digest, text of every document. Only documents of buckets with
-    more than one member are compared; a bucket's least and greatest forms are combined before they are shuffled. The
-    result has no row unless two forms collide.
+    A bucket's least and greatest forms are combined before they are shuffled, so its size does not matter.
     """
-    shared = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    forms = texts.join(shared, "digest", "left_semi").select("digest", "text").mapInArrow(_canonical, "digest string, form binary")
     clash = forms.groupBy("digest").agg(F.min("form").alias("low"), F.max("form").alias("high")).filter("low <> high").select("digest")
-    apart = forms.join(clash, "digest", "left_semi").distinct()
+    apart = forms.select("digest", "form").join(clash, "digest", "left_semi").distinct()
     return apart.withColumn("ordinal", F.row_number().over(Window.partitionBy("digest").orderBy("form")) - 1).filter("ordinal > 0")
 
 
-_DDL = "doc_id long, n_chars long, edited_sha256 string, digest string, edited_digest string, near_edited double, near_next double"
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compress the last column."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = common.utf8(batch.column(batch.num_columns - 1)).cast(pa.large_binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([squeeze(x.as_py()) for x in texts], pa.binary())], names=batch.schema.names)
 
 
-def _edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in (bucket, lead, id) order; a row with lead is the document that follows the bucket's last one."""
+_RESULT = "doc_id long, n_chars long, edited_sha256 string, digest string, edited_digest string, near_edited double, near_next double, form binary"
+_DDL = f"{_RESULT}, kind int, part int, is_shared boolean, packed binary"
+_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+#: Kinds of rows that a range of documents gives: results, its first document, and its last, whose next is elsewhere.
+_DONE, _FIRST, _LAST = 0, 1, 2
+
+
+def _compared(doc: int | None, text: str, is_shared: bool, following: str, squeeze) -> tuple:
+    """The result of a document and the one after it; the form is returned where other documents share the digest."""
+    form, after = canonical(text), canonical(following)
+    own, next_ = (digest(form), form), (digest(after), after)
+    cut = len(text) // 4
+    edited, other = text, own
+    if cut:
+        edited = text[: len(text) - cut] + following[:cut]
+        changed = canonical(edited)
+        other = (digest(changed), changed)
+    return doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), own[0], other[0], likeness(own, other), likeness(own, next_), squeeze(form) if is_shared else None
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    n = len(rows[0])
+    names = [x.split(" ")[0] for x in _DDL.split(", ")][:n]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _TYPES, strict=False)], names=names)
 
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            texts = common.utf8(batch.column(3))
-            yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), texts.to_pylist(), strict=True)
 
+def _edit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a range in (id, mark, no text first) order: doc_id, mark, packed.
+
+    A row without a text says that the documents of that id and mark share their digest with others. The range's first
+    and last documents come out with their texts, so that the last can meet the first of the next range.
+    """
+    squeeze, open_ = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+    part = TaskContext.get().partitionId()
     out: list[tuple] = []
-    held = None
-    for bucket, follows, doc, text in rows():
-        form = canonical(text)
-        own = (digest(form), form)
-        if held is not None and held[0] == bucket:
-            _, doc_before, before, its = held
-            cut = len(before) // 4
-            edited = before[: len(before) - cut] + text[:cut] if cut else before
-            if edited is before:
-                other = its
+    held = shared = None
+    for batch in batches:
+        for doc, mark, packed in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+            if packed is None:
+                shared = (doc, mark)
+                continue
+            text = open_(packed).decode()
+            if held is None:
+                out.append((*(None,) * 8, _FIRST, part, None, packed))
             else:
-                changed = canonical(edited)
-                other = (digest(changed), changed)
-            out.append((doc_before, len(before), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), its[0], other[0], likeness(its, other), likeness(its, own)))
-            if len(out) == 4096:
+                out.append((*_compared(*held[:3], text, squeeze), _DONE, part, None, None))
+            held = (doc, text, shared == (doc, mark), packed)
+            if len(out) >= 1024:
                 yield _batch(out)
                 out = []
-        held = None if follows else (bucket, doc, text, own)
+    if held is not None:
+        out.append((held[0], *(None,) * 7, _LAST, part, held[2], held[3]))
     if out:
         yield _batch(out)
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    names = [x.split(" ")[0] for x in _DDL.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze, open_ = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        for doc, is_shared, own, following in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            yield _batch([_compared(doc, open_(own).decode(), is_shared, open_(following).decode(), squeeze)])
 
 
-def edited_fingerprints(docs: DataFrame, buckets: int) -> DataFrame:
-    """Fingerprints of every text and of its edited text, as the op3 query returns them.
+def edited_fingerprints(docs: DataFrame) -> DataFrame:
+    """Digests of every text and of its edited text, n_chars, edited_sha256, likenesses; form where a digest is shared.
 
     The next document is the next row by doc_id (nulls first, ties by a hash of the text); after the last comes the
-    first. Null texts are empty. Ids are dealt into ranges by quantiles of the ids; each range also gets the first
-    document of the range after it, one more row a range. A table of one row is followed by itself; an empty one gives
-    no rows. Only doc_id and text are read.
+    first. Null texts are empty. Documents are dealt into sorted ranges; each range's last document meets the next
+    range's first afterwards, two rows a range. A table of one row is followed by itself; an empty one gives no rows.
+    Only doc_id and text are read.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text"))
-    bounds = rows.agg(F.percentile_approx("doc_id", [k / buckets for k in range(1, buckets)], 10_000)).first()[0] if buckets > 1 else None
-    cuts = sorted(set(bounds or ()))  # at most buckets - 1 numbers
-    bucket = F.when(F.col("doc_id").isNull(), 0)
-    if cuts:
-        bucket = bucket.otherwise(F.aggregate(F.transform(F.lit(cuts), lambda c: (c <= F.col("doc_id")).cast("int")), F.lit(0), lambda a, b: a + b))
-    else:
-        bucket = bucket.otherwise(0)
-    rows = rows.withColumn("bucket", bucket)
-    # the first row of each range, as (id, hash): at most one row a range comes to the driver
-    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", F.xxhash64("text").alias("mark"))
-    heads = rows.groupBy("bucket").agg(F.min(order).alias("head")).orderBy("bucket").collect()
-    if not heads:
-        return docs.sparkSession.createDataFrame([], _DDL)
-    leads = docs.sparkSession.createDataFrame([(heads[k - 1]["bucket"] if k else heads[-1]["bucket"], h["head"]["doc_id"], h["head"]["mark"]) for k, h in enumerate(heads)], "to_bucket int, id long, mark long")
-    # one row a range, so small enough to broadcast; a head that stands more than once in the table is taken once
-    leading = rows.join(F.broadcast(leads), F.col("doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("text") == F.col("mark"))).dropDuplicates(["to_bucket"]).select(F.col("to_bucket").alias("bucket"), F.lit(True).alias("follows"), "doc_id", "text")
-    dealt = rows.select("bucket", F.lit(False).alias("follows"), "doc_id", "text").unionByName(leading)
-    return dealt.repartition("bucket").sortWithinPartitions("bucket", "follows", "doc_id", F.xxhash64("text")).mapInArrow(_edit, _DDL)
+    known = common.durable(digests(docs))
+    shared = known.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
+    marks = known.join(shared, "digest", "left_semi").select("doc_id", "mark", F.lit(None).cast("binary").alias("packed"))
+    text = common.text_or_empty()
+    texts = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), text.alias("text")).mapInArrow(_packed, "doc_id long, mark long, packed binary")
+    ranges = texts.unionByName(marks).repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark", F.col("packed").isNotNull())
+    found = common.durable(ranges.mapInArrow(_edit, _DDL))
+    firsts = found.filter(F.col("kind") == _FIRST)
+    # one number a range; the last range is followed by the first
+    order = firsts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy())).alias("next_part"))
+    meeting = found.filter(F.col("kind") == _LAST).join(order, "part").join(firsts.select(F.col("part").alias("next_part"), F.col("packed").alias("following")), "next_part")
+    closed = meeting.select("doc_id", "is_shared", "packed", "following").mapInArrow(_close, _RESULT)
+    return found.filter(F.col("kind") == _DONE).select(*closed.columns).unionByName(closed)
 
 
 def op3_canonical_digests(spark, sf_dir: str) -> DataFrame:
-    docs = common.documents(spark, sf_dir)
-    buckets = max(1, docs.rdd.getNumPartitions() * 8)
-    found = common.durable(edited_fingerprints(docs, buckets))
-    texts = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text"))
-    known = found.select("doc_id", "digest")
-    shared = known.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    shared = common.durable(known.join(shared, "digest", "left_semi"))
-    clashes = common.durable(resolve(shared, texts.join(shared.distinct(), "doc_id")))
-    if clashes.isEmpty():
-        fingerprints = found.withColumn("fingerprint", F.col("digest"))
-    else:
-        own = texts.join(found.select("doc_id", "digest"), "doc_id").join(clashes.select("digest").distinct(), "digest", "left_semi")
-        numbered = own.select(F.concat_ws(":", "doc_id", "digest").alias("digest"), "text").mapInArrow(_canonical, "digest string, form binary")
-        numbered = numbered.select(F.split("digest", ":")[0].cast("long").alias("doc_id"), F.split("digest", ":")[1].alias("digest"), "form").join(clashes, ["digest", "form"]).select("doc_id", "ordinal")
-        fingerprints = found.join(numbered.distinct(), "doc_id", "left").withColumn("fingerprint", F.concat_ws("-", "digest", "ordinal"))
-    return fingerprints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", F.col("edited_digest").alias("edited_fingerprint"), "near_edited", "near_next")
+    found = edited_fingerprints(common.documents(spark, sf_dir))
+    clashes = common.durable(resolve(found.filter("form is not null").select("digest", "form")))
+    numbered = found.withColumn("ordinal", F.lit(None)) if clashes.isEmpty() else found.join(clashes, ["digest", "form"], "left")
+    # concat_ws leaves out a null ordinal: a bucket's first form keeps the bare digest
+    return numbered.select("doc_id", "n_chars", "edited_sha256", F.concat_ws("-", "digest", "ordinal").alias("fingerprint"), F.col("edited_digest").alias("edited_fingerprint"), "near_edited", "near_next")

@@ -176,7 +176,7 @@ def test_members_are_read_again_by_offset(tmp_path):
 
 
 def test_fingerprints(docs, rows, odd, empty):
-    found = {r.doc_id: r for r in fingerprints.edited_fingerprints(docs, 6).collect()}
+    found = {r.doc_id: r for r in fingerprints.edited_fingerprints(docs).collect()}
     ordered = sorted(rows)
     assert len(found) == len(rows)
     for (doc, text, *_), (_, following, *_) in zip(ordered, [*ordered[1:], ordered[0]], strict=True):
@@ -188,21 +188,22 @@ def test_fingerprints(docs, rows, odd, empty):
         form = fingerprints.canonical
         assert r.digest == xxhash.xxh3_128_hexdigest(form(text)) and r.edited_digest == xxhash.xxh3_128_hexdigest(form(edited))
         assert (r.near_edited, r.near_next) == (float(form(text) == form(edited)), float(form(text) == form(following)))
-    assert fingerprints.edited_fingerprints(odd, 3).count() == odd.count()
-    assert fingerprints.edited_fingerprints(empty, 4).count() == 0
+    buckets = Counter(r.digest for r in found.values())
+    assert max(buckets.values()) > 1 and all((r.form is not None) == (buckets[r.digest] > 1) for r in found.values())
+    assert fingerprints.edited_fingerprints(odd).count() == odd.count()
+    assert fingerprints.edited_fingerprints(empty).count() == 0
     assert fingerprints.canonical("Ｆull  WIDTH ﬁ\n") == b"full width fi"
 
 
 def test_one_row_follows_itself(spark):
     one = spark.createDataFrame([(1, "abcdefgh", "en", "a", 8)], SCHEMA)
-    r = fingerprints.edited_fingerprints(one, 4).first()
+    r = fingerprints.edited_fingerprints(one).first()
     assert (r.near_edited, r.near_next) == (0.0, 1.0) and r.edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
 
 
 def test_collisions_are_told_apart(spark):
-    digests = spark.createDataFrame([("d",), ("d",), ("d",), ("e",), ("e",)], "digest string")
-    texts = spark.createDataFrame([("d", "one"), ("d", "ONE"), ("d", "two"), ("e", "x"), ("e", "X ")], "digest string, text string")
-    assert [(r.digest, bytes(r.form), r.ordinal) for r in fingerprints.resolve(digests, texts).collect()] == [("d", b"two", 1)]
+    forms = spark.createDataFrame([("d", b"one"), ("d", b"one"), ("d", b"two"), ("e", b"x"), ("e", b"x")], "digest string, form binary")
+    assert [(r.digest, bytes(r.form), r.ordinal) for r in fingerprints.resolve(forms).collect()] == [("d", b"two", 1)]
 
 
 # --- mixing ----------------------------------------------------------------------------------------------------------
@@ -344,6 +345,22 @@ def test_suffix_dedup(docs, rows, odd, empty):
         assert text is None or len(text.encode()) - len(cut[doc].text.encode()) <= want[doc][1]
 
 
+def test_hot_anchors(docs, rows, spark):
+    """A passage between different words in every document: its edges are hot and go by their windows."""
+    rng = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(90, 200))) + passage[: rng.randint(150, 200)] + "".join(rng.choice("xyz ") for _ in range(150)) for _ in range(90)]
+    table = spark.createDataFrame([(k, t, None, None, 0) for k, t in enumerate(texts)], SCHEMA).repartition(3)
+    folder = common.new_folder(spark, "test-hot")
+    table.write.mode("overwrite").parquet(folder)
+    import pyarrow as pa
+
+    paths = suffixes._files(folder)
+    cells = {c for b in suffixes._hot_job(iter([pa.RecordBatch.from_pydict({"file": list(range(len(paths))), "path": paths})]), folder) for c in b.column(0).to_pylist()}
+    assert cells
+    assert {r.doc_id: tuple(r)[1:] for r in suffixes.repeat_report(table).collect()} == _brute_repeats(list(enumerate(texts)))
+
+
 def test_periodic_texts(spark):
     """Texts whose every window has equal ones nearby, in long runs."""
     texts = ["ab" * 150, "ab" * 90 + "c" + "ab" * 90, "a" * 400, "a" * 99, "a" * 100, "xyz" * 200 + "w" * 200, "w" * 150 + "xyz" * 100]
