@@ -22,6 +22,8 @@ hot anchor. Every file keeps the first of its equal windows before the shuffle.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -38,7 +40,7 @@ from . import common
 WINDOW = 100
 GRAM = 24
 #: Bytes of text handled at once by the vectorised steps; longer texts are cut with an overlap.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Expected anchors in a bucket.
 PER_BUCKET = 250_000
 #: Suffixes sorted at once, if no single anchor has more.
@@ -243,6 +245,8 @@ def _hot_job(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
             x, _ = _once(_file_anchors(folder, path)[0], "ctx", "h")
             h, n = np.unique(x["h"], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(_cell(h[n >= HOT_CONTEXTS])), pa.int64())], names=["cell"])
+            del x
+            _give_back()
 
 
 def _anchor_job(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, hot: bytes) -> Iterator[pa.RecordBatch]:
@@ -263,6 +267,8 @@ def _anchor_job(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, ho
                     kinds.append(kind)
                     blobs.append(b"".join(np.ascontiguousarray(part[c]).tobytes() for c in records.dtype.names))  # by column, which compresses better
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([file] * len(names), pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "file", "kind", "blob"])
+            del x, windows, repeats, again, records, blobs
+            _give_back()
 
 
 def _unpack(blob: bytes, dtype: np.dtype) -> np.ndarray:
@@ -286,6 +292,14 @@ def _by_file(files: np.ndarray, records: np.ndarray, kind: int) -> Iterator[tupl
 _FOUND_DDL = "file int, kind int, blob binary"
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: workers stay for later stages, and should not keep what this one needed."""
+    _powers.cache_clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _found(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     files, kinds, blobs = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.Table.from_arrays([pa.array(files, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names=["file", "kind", "blob"])
