@@ -8,7 +8,8 @@ block is abandoned once all its distances exceed the radius. Buckets emit one li
 component, never all pairs.
 
 For radii that no choice of blocks can serve, similar_documents() takes buckets from min-hash bands of the same shingles
-and compares wider fingerprints in them in the same way.
+and compares wider fingerprints in them in the same way, with a radius that loses no pair. What that connects are only
+candidates: their texts are brought together and linked by the shingles that they share.
 """
 
 from __future__ import annotations
@@ -37,6 +38,11 @@ BAND_ROWS = 4
 BUCKET = 64
 #: In larger buckets all are compared with the first block, and then only what isn't in the largest component with all.
 LARGE = 4096
+#: Bits by which wide fingerprints of candidates may differ: at a similarity of 0.8 each bit does with a chance of at most
+#: 0.16, or 0.19 for texts of up to SHORT distinct shingles, so that one pair in 500,000 at most is beyond.
+CANDIDATE_RADIUS, SHORT_RADIUS, SHORT = 70, 84, 16
+#: Distinct shingles of a component of candidates that are held at once, and in a block of a larger one.
+HELD = 1 << 20
 _LANES = 64
 _PAIRS = 1 << 18
 
@@ -255,8 +261,11 @@ def _rooted(marked: DataFrame, nodes: DataFrame, rooted: DataFrame, key: str) ->
 
 
 def _sketch(text: bytes, shingle_words: int) -> tuple[bytes, list[int]]:
-    """A wide fingerprint and the keys of its buckets: min-hash bands, and the fingerprint itself."""
-    hashes = np.unique(shingle_hashes(text, shingle_words))
+    return _sketch_of(np.unique(shingle_hashes(text, shingle_words)))
+
+
+def _sketch_of(hashes: np.ndarray) -> tuple[bytes, list[int]]:
+    """From distinct shingles: a wide fingerprint and the keys of its buckets, min-hash bands and the fingerprint itself."""
     if not len(hashes):
         return bytes(8 * WIDE), [0]
     with np.errstate(over="ignore"):
@@ -278,39 +287,129 @@ def _sketch(text: bytes, shingle_words: int) -> tuple[bytes, list[int]]:
     return found, [b - (1 << 64) if b >> 63 else b for b in (*bands, xxhash.xxh64_intdigest(found, BANDS))]
 
 
+def _node(hashes: np.ndarray) -> int:
+    node = xxhash.xxh3_64_intdigest(hashes.tobytes())
+    return node - (1 << 64) if node >> 63 else node
+
+
 def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fps, keys, nodes = [], [], []
-        for x in common.utf8(batch.column(1)).cast(pa.large_binary()):
-            fp, own = _sketch(x.as_py(), shingle_words)
+        fps, keys, nodes, sizes = [], [], [], []
+        for x in common.utf8(batch.column(2)).cast(pa.large_binary()):
+            hashes = np.unique(shingle_hashes(x.as_py(), shingle_words))
+            fp, own = _sketch_of(hashes)
             fps.append(fp)
             keys.append(own)
-            node = xxhash.xxh3_64_intdigest(fp + np.array(own, dtype=np.int64).tobytes())
-            nodes.append(node - (1 << 64) if node >> 63 else node)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node_id", "fp", "bands"])
+            nodes.append(_node(hashes))
+            sizes.append(len(hashes))
+        columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node_id", "size", "fp", "bands"])
 
 
-def _link_bands(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
+def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     parts = [b for b in batches if b.num_rows]
     if parts:
         table = pa.Table.from_batches(parts)
         fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), dtype=np.uint64).reshape(-1, WIDE)
-        yield from _linked(table.column("band").to_numpy(), table.column("node_id").to_numpy(), fps, radius)
+        band, node, size = (table.column(c).to_numpy() for c in ("band", "node_id", "size"))
+        # sizes of similar texts differ little, so each pair is in one of the two or in both
+        for own, radius in ((size <= SHORT, SHORT_RADIUS), (size >= int(similarity * SHORT), CANDIDATE_RADIUS)):
+            if own.any():
+                yield from _linked(band[own], node[own], fps[own], radius)
+
+
+def similar_pairs(group: np.ndarray, sets: list[np.ndarray], similarity: float) -> Pairs:
+    """Index pairs that connect all sets of equal group whose intersection is that share of their union; group must be sorted.
+
+    In each group 64 sets are compared with all, and then each that isn't in what was the largest component.
+    """
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(group)]):
+        n, own = e - s, sizes[s:e]
+        if n < 2:
+            continue
+        members = np.repeat(np.arange(n), own)
+        order = np.argsort(np.concatenate(sets[s:e]), kind="stable")
+        values, members = np.concatenate(sets[s:e])[order], members[order]
+        root = np.arange(n)
+
+        def compare(k: int) -> tuple[np.ndarray, np.ndarray] | None:
+            low, high = np.searchsorted(values, sets[s + k], "left"), np.searchsorted(values, sets[s + k], "right")
+            m = high - low
+            at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(low, m)
+            shared = np.bincount(members[at], minlength=n)
+            near = np.flatnonzero((shared >= similarity * (own + own[k] - shared) - 1e-9) & (root != root[k]))
+            if not len(near):
+                return None
+            met = np.unique(np.r_[root[near], root[k]])
+            root[np.isin(root, met)] = met[0]
+            return np.full(len(near), s + k), s + near
+
+        main = 0
+        for k in range(n):
+            if k == _LANES:
+                main = int(np.flatnonzero(root == np.bincount(root).argmax())[0])
+            if k < _LANES or root[k] != root[main]:
+                found = compare(k)
+                if found:
+                    yield found
+
+
+def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Links of similar texts in each block of candidates; rows come in order of blocks."""
+    group: list[int] = []
+    nodes: list[int] = []
+    sets: list[np.ndarray] = []
+    key, held = None, 0
+
+    def links() -> Iterator[pa.RecordBatch]:
+        values = np.array(nodes, dtype=np.int64)
+        for i, j in similar_pairs(np.array(group, dtype=np.int64), sets, similarity):
+            yield pa.RecordBatch.from_arrays([pa.array(values[i]), pa.array(values[j])], names=["a", "b"])
+
+    for batch in batches:
+        keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
+        for own, node, x in zip(keys, batch.column(3).to_pylist(), common.utf8(batch.column(4)).cast(pa.large_binary()), strict=True):
+            if own != key:
+                if held >= HELD:
+                    yield from links()
+                    group, nodes, sets, held = [], [], [], 0
+                key = own
+                group.append(group[-1] + 1 if group else 0)
+            else:
+                group.append(group[-1])
+            nodes.append(node)
+            sets.append(np.unique(shingle_hashes(x.as_py(), shingle_words)))
+            held += len(sets[-1])
+    if nodes:
+        yield from links()
 
 
 def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """A row per input row: doc_id, component_id, of documents linked when at least that share of their bits agrees.
+    """A row per input row: doc_id, component_id, of documents linked when their distinct shingles of words overlap enough.
 
-    Fingerprints are 256 bits wide and count each distinct shingle of words once. Documents are compared where they share
-    one of BANDS min-hash bands or a fingerprint: of texts that share 0.8 of their shingles all but about one in 5,000 do.
-    Nulls, empty texts, repeated rows and empty tables are treated as in near_duplicates().
+    Similarity is the intersection of two texts' shingles over their union. Candidates are compared where they share one of
+    BANDS min-hash bands or a fingerprint of 256 bits: of texts that share 0.8 of their shingles all but about one in 5,000
+    do. Inside a connected set of candidates links are exact; one of more than HELD shingles is compared block by block.
+    The radii of candidates are for a similarity of 0.8 or more. Nulls, empty texts, repeated rows and empty tables are
+    treated as in near_duplicates().
     """
-    radius = int((1 - similarity) * 64 * WIDE + 1e-9)
-    rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text"))
-    marked = common.durable(rows.mapInArrow(partial(_sketches, shingle_words=shingle_words), "doc_id long, node_id long, fp binary, bands array<long>"))
-    nodes = common.durable(marked.groupBy("node_id").agg(F.min("doc_id").alias("least_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
-    dealt = nodes.select("node_id", "fp", F.explode("bands").alias("band")).repartition("band").select("band", "node_id", "fp")
-    links = dealt.mapInArrow(partial(_link_bands, radius=radius), "a long, b long")
+    if similarity < 0.8:
+        raise ValueError("the radii of candidates need a similarity of 0.8 at least")
+    rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    marked = common.durable(rows.mapInArrow(partial(_sketches, shingle_words=shingle_words), "doc_id long, text_key long, node_id long, size long, fp binary, bands array<long>"))
+    nodes = common.durable(marked.groupBy("node_id").agg(F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    dealt = nodes.select("node_id", "size", "fp", F.explode("bands").alias("band")).repartition("band").select("band", "node_id", "size", "fp")
+    candidates = components(dealt.mapInArrow(partial(_link_bands, similarity=similarity), "a long, b long"))
+    groups = candidates.select(F.col("node").alias("node_id"), "root").unionByName(candidates.select(F.col("root").alias("node_id"), "root")).distinct()
+    members = common.durable(nodes.select("node_id", "text_key", "size").join(groups, "node_id"))
+    blocks = members.groupBy("root").agg(F.ceil(F.sum("size") / HELD).cast("int").alias("blocks"))
+    texts = rows.groupBy("text_key").agg(F.first("text").alias("text"))  # copies are shuffled once a task
+    own, other = F.expr("cast(pmod(node_id, blocks) as int)"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    paired = texts.join(members.join(blocks, "root"), "text_key").withColumn("own", own).withColumn("other", other)
+    placed = paired.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node_id", "text")
+    links = placed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(partial(_confirm, shingle_words=shingle_words, similarity=similarity), "a long, b long")
     return _rooted(marked.select("doc_id", "node_id"), nodes.select("node_id", "least_id"), components(links), "node_id").select("doc_id", "component_id")
 
 
