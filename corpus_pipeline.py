@@ -18,15 +18,16 @@ def keep_good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the least doc_id stays, one row of it.
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) one row stays, of the least doc_id and text hash.
 
-    Rows without an id stay, for none can be told to be the least.
+    Rows without an id come after all others. Ids may repeat with different texts: rows are told by both.
     """
     groups = simhash.similar_documents(docs, shingle_words=5, similarity=0.8)
-    dropped = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
-    # ids are unique but for repeated rows; one of them stays, so no large group forms
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    kept = groups.groupBy("group_id").agg(F.min(order).alias("x")).select(F.col("x.doc_id").alias("kept_id"), F.col("x.text_key").alias("kept_key"))
+    keyed = docs.withColumn("kept_key", F.xxhash64(common.text_or_empty()))
+    rows = keyed.join(kept.withColumnRenamed("kept_key", "own_key"), F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_key") == F.col("own_key")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "kept_key"]).select(docs.columns)  # ids and texts repeat in copies of a row only
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

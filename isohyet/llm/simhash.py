@@ -251,10 +251,10 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 
 
 def _rooted(marked: DataFrame, nodes: DataFrame, rooted: DataFrame, key: str) -> DataFrame:
-    """Add component_id to every row, from the nodes' least ids."""
+    """Add component_id, from the nodes' least ids, and group_id, the component's root, to every row."""
     roots = nodes.join(rooted, F.col(key) == F.col("node"), "left").select(key, "least_id", F.coalesce("root", key).alias("root"))
     least = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return marked.join(roots.join(least, "root").select(key, "component_id"), key)
+    return marked.join(roots.join(least, "root").select(key, "component_id", F.col("root").alias("group_id")), key)
 
 
 # --- similar documents -----------------------------------------------------------------------------------------------
@@ -387,11 +387,11 @@ def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity:
 
 
 def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """A row per input row: doc_id, component_id, of documents linked when their distinct shingles of words overlap enough.
+    """A row per input row: doc_id, component_id, text_key, group_id, of documents linked when their distinct shingles of words overlap enough.
 
     Similarity is the intersection of two texts' shingles over their union. Candidates are compared where they share one of
     BANDS min-hash bands or a fingerprint of 256 bits: of texts that share 0.8 of their shingles all but about one in 5,000
-    do. Inside a connected set of candidates links are exact; one of more than HELD shingles is compared block by block.
+    do. The key of a text is its XXH64; rows of equal group_id are linked, with or without ids. Inside a connected set of candidates links are exact; one of more than HELD shingles is compared block by block.
     The radii of candidates are for a similarity of 0.8 or more. Nulls, empty texts, repeated rows and empty tables are
     treated as in near_duplicates().
     """
@@ -410,7 +410,7 @@ def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float
     paired = texts.join(members.join(blocks, "root"), "text_key").withColumn("own", own).withColumn("other", other)
     placed = paired.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node_id", "text")
     links = placed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(partial(_confirm, shingle_words=shingle_words, similarity=similarity), "a long, b long")
-    return _rooted(marked.select("doc_id", "node_id"), nodes.select("node_id", "least_id"), components(links), "node_id").select("doc_id", "component_id")
+    return _rooted(marked.select("doc_id", "text_key", "node_id"), nodes.select("node_id", "least_id"), components(links), "node_id").select("doc_id", "component_id", "text_key", "group_id")
 
 
 def op8_simhash_groups(spark, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from isohyet.llm import simhash
 from tests.llm.test_corpus import SCHEMA, _brute_components
 
@@ -51,3 +52,13 @@ def test_pairs_of_large_groups_connect_what_is_similar():
     got = simhash._local_roots(300, simhash.similar_pairs(group, sets, 0.8))
     want = _brute_components({k: (group[k], frozenset(x.tolist())) for k, x in enumerate(sets)}, lambda a, b: a[0] == b[0] and _near(a[1], b[1]))
     assert got.tolist() == [want[k] for k in range(300)] and 2 < len(set(want.values())) < 250
+
+
+def test_one_row_of_each_group_stays(spark):
+    text = lambda k: " ".join(f"t{k}x{n}" for n in range(30))
+    rows = [(1, text(0)), (2, text(0)), (2, text(1)), (2, text(1)), (3, text(2)), (3, text(3)), (None, text(4)), (None, text(4)), (None, text(5)), (9, text(5)), (None, text(6))]
+    docs = spark.createDataFrame([(d, t, "en", "a", len(t)) for d, t in rows], SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    want = [(1, text(0)), (2, text(1)), (3, text(2)), (3, text(3)), (9, text(5)), (None, text(4)), (None, text(6))]
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted((str(d), t) for d, t in want)
