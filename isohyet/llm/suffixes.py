@@ -9,7 +9,7 @@ have equal anchors at equal offsets, so only suffixes at anchors need sorting, a
    in one context only are done; where contexts differ, their bytes are fetched.
 3. Those suffixes are sorted by merging, to the right of the anchor and, reversed, to its left. Two suffixes are compared
    by the longest common extension, found by binary search over prefix hashes, and neighbours in the finished order are
-   compared byte by byte, so a hash collision can't pass. Windows are equal where both extensions reach far enough.
+   compared byte by byte, so a hash collision can't pass here. Windows are equal where both extensions reach far enough.
 4. Each file applies the intervals found for it.
 
 Texts are staged once as Parquet in the shared folder and never shuffled; what is shuffled is about 30 bytes for each
@@ -18,6 +18,9 @@ anchor, packed by file and bucket.
 Hot anchors, which stand in many different contexts of one file, as the edges of a passage do that many documents share,
 are found before and go another way: each of their windows is dealt by its own hash, so no task gathers all contexts of a
 hot anchor. Every file keeps the first of its equal windows before the shuffle.
+
+Contexts that repeat whole (steps 1 and 2) and windows of hot anchors are not sorted and their bytes are not compared: two
+64-bit hashes of each decide alone.
 """
 
 from __future__ import annotations
