@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,11 +24,24 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def fresh(columns: Iterable[str], name: str) -> str:
+    """The name, with as many underscores after it as it takes to be none of the given columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where unset, a new local one is set (tests, single machine)."""
+    """The folder named by spark.checkpoint.dir; where unset, a new local one is set (tests, single machine).
+
+    On a cluster the setting is required: a local folder of one machine is none that the others see.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not held.isDefined() and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = held.get() if held.isDefined() else f"file://{tempfile.mkdtemp(prefix='isohyet-')}"
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found)
@@ -40,17 +54,36 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Folders that this process made and has not dropped yet, in order.
+_MADE: list[str] = []
+
+
 def new_folder(spark: SparkSession, kind: str) -> str:
     """A fresh folder URI under the shared folder."""
     path = f"{shared_dir(spark)}/isohyet/{kind}-{uuid.uuid4().hex}"
     fs, inner = open_fs(path)
     fs.create_dir(inner, recursive=True)
+    _MADE.append(path)
     return path
 
 
-def drop_folder(uri: str) -> None:
-    fs, inner = open_fs(uri)
-    fs.delete_dir(inner)
+def made_folders() -> list[str]:
+    return list(_MADE)
+
+
+def drop_folders(uris: Iterable[str]) -> None:
+    """Remove folders of intermediates; only once what reads them has been written elsewhere."""
+    for uri in uris:
+        fs, inner = open_fs(uri)
+        fs.delete_dir(inner)
+        _MADE.remove(uri)
+
+
+def stored(df: DataFrame, kind: str) -> DataFrame:
+    """Written to the shared folder as Parquet and read again: compressed, and safe when executors are lost."""
+    folder = new_folder(df.sparkSession, kind)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def open_fs(uri: str) -> tuple[pafs.FileSystem, str]:

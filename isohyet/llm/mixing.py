@@ -104,13 +104,23 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     return whole.unionByName(part)
 
 
-def materialise(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The mixed rows: each document as often as its plan says, with mix_shard and mix_copy, shuffled inside its shard."""
-    keyed = docs.withColumn("mix_mark", F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), "text"))
-    # rows that repeat one id and text share one plan row each; a plan row serves one of them
-    taken = plan.groupBy(F.col("mark").alias("mix_mark")).agg(F.max("shards").alias("mix_shards"))
-    copies = keyed.join(taken, "mix_mark").select("*", F.posexplode("mix_shards").alias("mix_copy", "mix_shard"))
-    return copies.repartition("mix_shard").sortWithinPartitions("mix_shard", F.xxhash64("mix_mark", "mix_copy", F.lit(SEED))).drop("mix_mark", "mix_shards")
+def materialise(docs: DataFrame, plan: DataFrame, shards: int | None = None) -> DataFrame:
+    """The mixed rows: each document as often as its plan says, with mix_shard and mix_copy, shuffled inside its shard.
+
+    Each shard is a task by itself. All columns of the input pass unchanged, null and empty texts among them; where one
+    has the name of a new column, that is common.fresh(docs.columns, name). Rows that repeat one id and text share the
+    plan of the one that is taken most often. An empty table gives no rows. shards: how many the plan deals to, counted
+    from the plan unless given.
+    """
+    mark, dealt, copy, shard = (common.fresh(docs.columns, x) for x in ("mix_mark", "mix_shards", "mix_copy", "mix_shard"))
+    keyed = docs.withColumn(mark, F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), "text"))
+    # rows that repeat one id and text share each plan row; a plan row serves one of them
+    taken = plan.groupBy(F.col("mark").alias(mark)).agg(F.max("shards").alias(dealt))
+    if shards is None:
+        plan = common.stored(plan.select("mark", "shards"), "mix-plan")
+        shards = (plan.agg(F.max(F.array_max("shards"))).first()[0] or 0) + 1  # one number
+    copies = keyed.join(taken, mark).select("*", F.posexplode(dealt).alias(copy, shard))
+    return copies.repartitionById(shards, F.col(shard)).sortWithinPartitions(F.xxhash64(mark, copy, F.lit(SEED))).drop(mark, dealt)
 
 
 def op4_source_mixing(spark, sf_dir: str) -> DataFrame:

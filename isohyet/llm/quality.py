@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import common
 
@@ -195,20 +196,21 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> Additi
     return train(x[order], y[order])
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: AdditiveModel) -> Iterator[pa.RecordBatch]:
-    text_at = None
+def _score(batches: Iterator[pa.RecordBatch], model: AdditiveModel, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        text_at = batch.schema.get_field_index("text") if text_at is None else text_at
-        score = model.score(feature_matrix(common.utf8(batch.column(text_at))))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64())], names=[*batch.schema.names, "quality_score"])
+        found = model.score(feature_matrix(common.utf8(batch.column(batch.schema.get_field_index("text")))))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
 
 
 def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:
-    """The given rows (column text among them) with quality_score, from 0 to 1.
+    """The given rows (column text among them) with quality_score, from 0 to 1, as their last column.
 
-    Null texts are scored as empty ones and stay null. Repeated rows stay; an empty table gives no rows.
+    Null texts are scored as empty ones and stay null. Texts are read whole, however long; one is in memory at a time
+    beside its batch. Repeated rows stay; an empty table gives no rows. All other columns pass unchanged; where one is
+    named quality_score, the new column's name is common.fresh(docs.columns, "quality_score").
     """
-    return docs.mapInArrow(partial(_score, model=model), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*docs.schema.fields]) + ", quality_score double")
+    name = common.fresh(docs.columns, "quality_score")
+    return docs.mapInArrow(partial(_score, model=model, name=name), StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def op10_quality_scores(spark, sf_dir: str) -> DataFrame:

@@ -206,7 +206,7 @@ def _local_roots(n: int, pairs: Pairs) -> np.ndarray:
     return up(np.arange(n))
 
 
-def _linked(bucket: np.ndarray, node: np.ndarray, fps: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+def _linked(bucket: np.ndarray, node: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (node, least node of its local component) of the buckets in a partition."""
     order = np.lexsort((node, bucket))
     bucket, node, fps = bucket[order], node[order], fps[order]
@@ -216,26 +216,34 @@ def _linked(bucket: np.ndarray, node: np.ndarray, fps: np.ndarray, radius: int)
     values, place = np.unique(node, return_inverse=True)
     root = _local_roots(len(values), ((place[i], place[j]) for i, j in bucket_links(fps, bucket, radius)))
     moved = np.flatnonzero(root != np.arange(len(values)))
-    if len(moved):
-        yield pa.RecordBatch.from_arrays([pa.array(values[moved]), pa.array(values[root[moved]])], names=["a", "b"])
+    return values[moved], values[root[moved]]
+
+
+#: A node, ordered by the least id of its rows, nulls last, so that the least node of a component names the component.
+_NODE = "struct<last:boolean,id:long,fp:long>"
 
 
 def _link_tables(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int) -> Iterator[pa.RecordBatch]:
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches if b.num_rows]
+    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
     if parts:
-        table, node = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        fps = node.view(np.uint64)
+        table, fp, last, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+        fps = fp.view(np.uint64)
         # should two buckets' numbers meet, they are compared as one, and distances decide as before
         bucket = (fps & np.array(masks, dtype=np.uint64)[table]) ^ (table.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        yield from _linked(bucket, node, fps[:, None], radius)
+        found = _linked(bucket, fp, fps[:, None], radius)
+        order = np.argsort(fp, kind="stable")
+        at = [order[np.searchsorted(fp, x, sorter=order)] for x in found]
+        ends = [pa.StructArray.from_arrays([pa.array(last[k]), pa.array(own[k]), pa.array(fp[k])], names=["last", "id", "fp"]) for k in at]
+        if len(at[0]):
+            yield pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
 
-def link(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """From distinct fingerprints (column fp): links (a, b) that connect all those within the radius of one another."""
-    masks = tables(fps.count(), radius)
+def link(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """From distinct fingerprints (column node): links (a, b) of nodes that connect all those within the radius of one another."""
+    masks = tables(nodes.count(), radius)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    dealt = fps.select(F.explode(F.array(*(F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"), F.col("fp").alias("fp")) for t, m in enumerate(signed)))).alias("x")).select("x.*")
-    return dealt.repartition("table", "key").select("table", "fp").mapInArrow(partial(_link_tables, masks=masks, radius=radius), "a long, b long")
+    dealt = nodes.select("node.*").select("*", F.explode(F.array(*(F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)))).alias("x"))
+    return dealt.repartition("x.table", "x.key").select("x.table", "fp", "last", "id").mapInArrow(partial(_link_tables, masks=masks, radius=radius), f"a {_NODE}, b {_NODE}")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -243,18 +251,21 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius:
 
     Null and empty texts have fingerprint 0 and are linked like any other. Rows of one fingerprint are one node, so
     copies need no pairs. Rows with a null id count for links and get the component's least id, null if it has none.
-    Repeated rows stay. An empty table gives no rows. Only doc_id and text are read.
+    Repeated rows stay. Very long texts are hashed whole, a text at a time. An empty table gives no rows. Only doc_id
+    and text are read; other columns have no effect.
     """
     marked = common.durable(fingerprints(docs, shingle_words))
-    nodes = common.durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    return _rooted(marked, nodes, components(link(nodes.select("fp"), radius)), "fp").select("doc_id", "fp", "component_id")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = common.durable(nodes.select(F.struct(F.col("least").isNull().alias("last"), F.coalesce("least", F.lit(0)).alias("id"), "fp").alias("node")))
+    rooted = _rooted(nodes, components(link(nodes, radius)))
+    return marked.join(rooted.select(F.col("node.fp").alias("own"), "component_id"), F.col("fp") == F.col("own")).select("doc_id", "fp", "component_id")
 
 
-def _rooted(marked: DataFrame, nodes: DataFrame, rooted: DataFrame, key: str) -> DataFrame:
-    """Add component_id, from the nodes' least ids, and group_id, the component's root, to every row."""
-    roots = nodes.join(rooted, F.col(key) == F.col("node"), "left").select(key, "least_id", F.coalesce("root", key).alias("root"))
-    least = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return marked.join(roots.join(least, "root").select(key, "component_id", F.col("root").alias("group_id")), key)
+def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """node, root and component_id of all nodes: a root names its component, so no table of components is looked up."""
+    moved = found.select(F.col("node").alias("moved"), "root")
+    rooted = nodes.join(moved, F.col("node") == F.col("moved"), "left").select("node", F.coalesce("root", "node").alias("root"))
+    return rooted.withColumn("component_id", F.when(~F.col("root.last"), F.col("root.id")))
 
 
 # --- similar documents -----------------------------------------------------------------------------------------------
@@ -306,6 +317,11 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node_id", "size", "fp", "bands"])
 
 
+#: As _NODE, ties by the least hash of a text.
+_TEXT_NODE = "struct<last:boolean,id:long,text_key:long,node_id:long>"
+_TEXT_NODE_ARROW = pa.struct([("last", pa.bool_()), ("id", pa.int64()), ("text_key", pa.int64()), ("node_id", pa.int64())])
+
+
 def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     parts = [b for b in batches if b.num_rows]
     if parts:
@@ -315,7 +331,7 @@ def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
         # sizes of similar texts differ little, so each pair is in one of the two or in both
         for own, radius in ((size <= SHORT, SHORT_RADIUS), (size >= int(similarity * SHORT), CANDIDATE_RADIUS)):
             if own.any():
-                yield from _linked(band[own], node[own], fps[own], radius)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _linked(band[own], node[own], fps[own], radius)], names=["a", "b"])
 
 
 def similar_pairs(group: np.ndarray, sets: list[np.ndarray], similarity: float) -> Pairs:
@@ -359,14 +375,14 @@ def similar_pairs(group: np.ndarray, sets: list[np.ndarray], similarity: float)
 def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
     """Links of similar texts in each block of candidates; rows come in order of blocks."""
     group: list[int] = []
-    nodes: list[int] = []
+    nodes: list[dict] = []
     sets: list[np.ndarray] = []
     key, held = None, 0
 
     def links() -> Iterator[pa.RecordBatch]:
-        values = np.array(nodes, dtype=np.int64)
+        values = pa.array(nodes, _TEXT_NODE_ARROW)
         for i, j in similar_pairs(np.array(group, dtype=np.int64), sets, similarity):
-            yield pa.RecordBatch.from_arrays([pa.array(values[i]), pa.array(values[j])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([values.take(pa.array(i)), values.take(pa.array(j))], names=["a", "b"])
 
     for batch in batches:
         keys = zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)
@@ -387,30 +403,36 @@ def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity:
 
 
 def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """A row per input row: doc_id, component_id, text_key, group_id, of documents linked when their distinct shingles of words overlap enough.
-
-    Similarity is the intersection of two texts' shingles over their union. Candidates are compared where they share one of
-    BANDS min-hash bands or a fingerprint of 256 bits: of texts that share 0.8 of their shingles all but about one in 5,000
-    do. The key of a text is its XXH64; rows of equal group_id are linked, with or without ids. Inside a connected set of candidates links are exact; one of more than HELD shingles is compared block by block.
-    The radii of candidates are for a similarity of 0.8 or more. Nulls, empty texts, repeated rows and empty tables are
-    treated as in near_duplicates().
+    """A row per input row: doc_id, text_key, component_id, kept_id, kept_key, of documents linked when their shingles overlap enough.
+
+    Similarity is the intersection of two texts' distinct shingles of words over their union. Candidates are compared where
+    they share one of BANDS min-hash bands or a fingerprint of 256 bits: of texts that share 0.8 of their shingles all but
+    about one in 5,000 do. The key of a text is its XXH64. component_id is the least id of those linked; kept_id and kept_key
+    are the id, nulls last, and text key of their first row, which tell components apart with or without ids. Inside a
+    connected set of candidates links are exact; one of more than HELD shingles is compared block by block. The radii of
+    candidates are for a similarity of 0.8 or more. Nulls, empty and very long texts, repeated rows, other columns and empty
+    tables are treated as in near_duplicates().
     """
     if similarity < 0.8:
         raise ValueError("the radii of candidates need a similarity of 0.8 at least")
     rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     marked = common.durable(rows.mapInArrow(partial(_sketches, shingle_words=shingle_words), "doc_id long, text_key long, node_id long, size long, fp binary, bands array<long>"))
-    nodes = common.durable(marked.groupBy("node_id").agg(F.min("doc_id").alias("least_id"), F.min("text_key").alias("text_key"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"))
+    nodes = marked.groupBy("node_id").agg(least.alias("least"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
+    nodes = common.durable(nodes.select(F.struct("least.last", "least.id", "least.text_key", "node_id").alias("node"), "node_id", "size", "fp", "bands"))
     dealt = nodes.select("node_id", "size", "fp", F.explode("bands").alias("band")).repartition("band").select("band", "node_id", "size", "fp")
     candidates = components(dealt.mapInArrow(partial(_link_bands, similarity=similarity), "a long, b long"))
     groups = candidates.select(F.col("node").alias("node_id"), "root").unionByName(candidates.select(F.col("root").alias("node_id"), "root")).distinct()
-    members = common.durable(nodes.select("node_id", "text_key", "size").join(groups, "node_id"))
+    members = common.durable(nodes.select("node_id", "node", F.col("node.text_key").alias("text_key"), "size").join(groups, "node_id"))
     blocks = members.groupBy("root").agg(F.ceil(F.sum("size") / HELD).cast("int").alias("blocks"))
     texts = rows.groupBy("text_key").agg(F.first("text").alias("text"))  # copies are shuffled once a task
     own, other = F.expr("cast(pmod(node_id, blocks) as int)"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = texts.join(members.join(blocks, "root"), "text_key").withColumn("own", own).withColumn("other", other)
-    placed = paired.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node_id", "text")
-    links = placed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(partial(_confirm, shingle_words=shingle_words, similarity=similarity), "a long, b long")
-    return _rooted(marked.select("doc_id", "text_key", "node_id"), nodes.select("node_id", "least_id"), components(links), "node_id").select("doc_id", "component_id", "text_key", "group_id")
+    placed = paired.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "text")
+    links = placed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(partial(_confirm, shingle_words=shingle_words, similarity=similarity), f"a {_TEXT_NODE}, b {_TEXT_NODE}")
+    rooted = _rooted(nodes.select("node"), components(links))
+    kept = rooted.select(F.col("node.node_id").alias("own"), "component_id", F.when(~F.col("root.last"), F.col("root.id")).alias("kept_id"), F.col("root.text_key").alias("kept_key"))
+    return marked.select("doc_id", "text_key", "node_id").join(kept, F.col("node_id") == F.col("own")).select("doc_id", "text_key", "component_id", "kept_id", "kept_key")
 
 
 def op8_simhash_groups(spark, sf_dir: str) -> DataFrame:

@@ -7,9 +7,10 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from isohyet.llm import common, mixing, packing, quality, simhash, suffixes, tokens
+from isohyet.llm import common, mixing, packing, quality, suffixes, tokens
 from tests.llm.test_corpus import _brute_components, _check_packed
 
 
@@ -45,13 +46,19 @@ def test_quality(spark, sf_dir, kept):
     assert all(after[d] == before[d] for d in after)
 
 
+def _shingles(text: str | None) -> frozenset:
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def _by_shingles(texts: dict) -> dict:
+    """Roots by the rule itself: all pairs of texts whose five-word shingles have an intersection of 0.8 of their union."""
+    return _brute_components({d: _shingles(t) for d, t in texts.items()}, lambda a, b: a == b or 5 * len(a & b) >= 4 * len(a | b))
+
+
 def test_near_duplicates(kept):
     before, after = _rows(kept[1]), _rows(kept[2])
-    sketches = {d: simhash._sketch((r.text or "").encode(), 5) for d, r in before.items()}
-    fps = {d: (np.frombuffer(fp, dtype=np.uint64), set(keys)) for d, (fp, keys) in sketches.items()}
-    radius = int(0.2 * 64 * simhash.WIDE + 1e-9)
-    near = lambda a, b: bool(a[1] & b[1]) and int(np.bitwise_count(a[0] ^ b[0]).sum()) <= radius
-    roots = _brute_components(fps, near)
+    roots = _by_shingles({d: r.text for d, r in before.items()})
     assert set(after) == {d for d, r in roots.items() if d == r} and len(after) < len(before)
     assert all(after[d] == before[d] for d in after)
 
@@ -99,14 +106,31 @@ def test_run(spark, sf_dir, kept):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == sorted(map(tuple, kept[5].collect()))
 
 
-def test_empty_and_odd_tables(spark, sf_dir):
+#: Names that stages and operators give to their own columns.
+TAKEN = [
+    "quality_score", "cut_spans", "mix_mark", "mix_shards", "mix_copy", "mix_shard", "near_doc", "near_text", "own_text", "near_dropped", "kept_id", "kept_key", "text_key", "fp", "bands", "node", "root",
+    "component_id", "size", "block", "blocks", "mark", "shards", "score", "shard", "file", "blob", "bucket", "start", "length", "worker", "slot", "x", "path", "Mix_Mark_", "quality_score_",
+]
+
+
+@pytest.mark.parametrize("extra", [False, True])
+def test_empty_and_odd_tables(spark, sf_dir, extra):
     schema = ", ".join(f"{c} {'long' if c in ('doc_id', 'n_chars') else 'string'}" for c in common.DOCUMENT_COLUMNS)
-    odd = [(None, None, None, None, None), (None, "some words here", "en", None, 3), (4, "", None, "a", 0), (4, "", None, "a", 0), (5, None, "en", "a", None), (6, "plain text " * 50, "en", "b", 1)]
+    odd = [(None, None, None, None, None), (None, "some words here", "en", None, 3), (4, "", None, "a", 0), (4, "", None, "a", 0), (5, None, "en", "a", None), (6, "plain text " * 50, "en", "b", 1), (7, "long text of many words " * 40_000, "en", "b", 1)]
     for rows in ([], odd):
         docs = spark.createDataFrame(rows, schema)
+        if extra:
+            docs = docs.select("*", *(F.struct(F.xxhash64("doc_id").alias("a"), F.array(F.lit(k)).alias("b")).alias(name) for k, name in enumerate(TAKEN)))
+        columns = docs.columns
         for name, stage in corpus_pipeline.STAGES:
             folder = common.new_folder(spark, "test-odd")
             stage(spark, docs, sf_dir).write.mode("overwrite").parquet(folder)
             docs = spark.read.parquet(folder)
-            assert name == "packing" or docs.columns == list(common.DOCUMENT_COLUMNS)
+            if name == "packing":
+                continue
+            assert docs.columns == columns
+            if extra:
+                for r in docs.collect():
+                    assert [r[c].b for c in TAKEN] == [[k] for k in range(len(TAKEN))]
+                assert docs.filter(" or ".join(f"{c}.a <> xxhash64(doc_id)" for c in TAKEN)).count() == 0
     assert tokens.END_ID == 2
