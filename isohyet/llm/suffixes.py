@@ -3,8 +3,8 @@
 Every window of WINDOW bytes has one anchor: the leftmost of its GRAM-byte strings with the least hash. Equal windows
 have equal anchors at equal offsets, so only suffixes at anchors need sorting, about one in 39 positions.
 
-1. Each staged file finds its anchors from prefix polynomial hashes. An anchor's context is the union of the windows that
-   it anchors. Contexts that repeat inside the file keep their first occurrence; the others are known to be repeats.
+1. Each staged file finds its anchors, once, from prefix polynomial hashes. An anchor's context is the union of the
+   windows that it anchors. Contexts that repeat inside the file keep their first occurrence; the others are repeats.
 2. Anchors are grouped by their string's hash. Occurrences with equal contexts keep the first again. Anchors that stand
    in one context only are done; where contexts differ, their bytes are fetched.
 3. Those suffixes are sorted by merging, to the right of the anchor and, reversed, to its left. Two suffixes are compared
@@ -12,15 +12,19 @@ have equal anchors at equal offsets, so only suffixes at anchors need sorting, a
    compared byte by byte, so a hash collision can't pass here. Windows are equal where both extensions reach far enough.
 4. Each file applies the intervals found for it.
 
-Texts are staged once as Parquet in the shared folder and never shuffled; what is shuffled is about 30 bytes for each
+Texts are staged once as Parquet in the shared folder and never shuffled; what is shuffled is about 38 bytes for each
 anchor, packed by file and bucket.
 
-Hot anchors, which stand in many different contexts of one file, as the edges of a passage do that many documents share,
-are found before and go another way: each of their windows is dealt by its own hash, so no task gathers all contexts of a
-hot anchor. Every file keeps the first of its equal windows before the shuffle.
+No task gathers what grows with the corpus (Limits). A file gives at most 128 different contexts of an anchor from each
+of its pieces to the anchor's group; more of them are dealt by their own hash, and the group is told. Groups take
+1024 files each; where there are more files, what is left of each group meets in a second grouping, again at most
+128 of an anchor from each. An anchor that was told of, or that has more than 16,384 contexts after all, is hot:
+each window of its contexts is then dealt by its own hash, and of equal windows the first stays. So what is hot is
+decided on counts of the anchor itself, at any size of corpus.
 
-Contexts that repeat whole (steps 1 and 2) and windows of hot anchors are not sorted and their bytes are not compared: two
-64-bit hashes of each decide alone.
+Contexts that repeat whole (steps 1 and 2) are told equal by 96 bits of two hashes of the context with different
+multipliers and letters, windows of hot anchors by 128 such bits. With n of them about n * n / 2**97 (2**129) are taken
+for equal wrongly: 4e-5 for the 2.5e12 contexts of 100 TB. Comparing their bytes would shuffle all repeated text.
 """
 
 from __future__ import annotations
@@ -30,13 +34,14 @@ import ctypes
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from . import common
 
@@ -44,21 +49,41 @@ WINDOW = 100
 GRAM = 24
 #: Bytes of text handled at once by the vectorised steps; longer texts are cut with an overlap.
 CHUNK = 1 << 19
+#: Bytes of a batch of a staged file, about; a text is never split here.
+BATCH_BYTES = 4 << 20
 #: Expected anchors in a bucket.
 PER_BUCKET = 250_000
+#: Anchors of a file that are held at once; a larger file has several such pieces.
+PIECE = 1 << 20
 #: Suffixes sorted at once, if no single anchor has more.
 SLICE = 16_384
-#: An anchor is hot if it has at least so many different contexts in some file.
-HOT_CONTEXTS = 16
-#: Hot anchors are told by so many leading bits of their hash: a set of bounded size, and what falls in by chance is hot too.
-HOT_BITS = 22
+#: Windows of hot anchors that a file holds at once.
+HELD_WINDOWS = 1 << 20
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _PLACE = (1 << 24) - 1
 _NONE = np.uint32(0xFFFFFFFF)
-_ANCHOR = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("lo", "<u4"), ("off", "u1"), ("len", "u1")])
+_ANCHOR = np.dtype([("h", "<u8"), ("ctx", "<u8"), ("check", "<u4"), ("doc", "<i8"), ("row", "<u4"), ("lo", "<u4"), ("off", "u1"), ("len", "u1")])
 _SPAN = np.dtype([("row", "<u4"), ("lo", "<u4"), ("len", "u1")])
 _EDGE = np.dtype([("h", "<u8"), ("doc", "<i8"), ("file", "<u4"), ("row", "<u4"), ("lo", "<u4"), ("off", "u1"), ("len", "u1")])
 _WINDOW = np.dtype([("a", "<u8"), ("b", "<u8"), ("doc", "<i8"), ("row", "<u4"), ("lo", "<u4")])
+#: Kinds of blobs: spans of repeats, contexts by their anchor, contexts by themselves, hashes of hot anchors. Contexts are
+#: records of anchors on the way in; on the way out they are edges, to be sorted or to be dealt by windows.
+_SPANS, _SORTED, _DEALT, _HOT = 0, 1, 2, 3
+#: What goes on to the second grouping, where there is one.
+_ON, _HOT_ON = 4, 5
+
+
+class Limits(NamedTuple):
+    """What one task takes of one anchor; they decide ways, not results."""
+
+    #: Different contexts that a piece of a file, or a group of files, gives to one task.
+    given: int = 128
+    #: Suffixes that are sorted; of an anchor with more each window is dealt.
+    sorted: int = 16_384
+    #: Files whose anchors meet in one grouping.
+    files: int = 1024
+
+
 #: Null ids come after all others.
 NULL_ID = (1 << 63) - 1
 
@@ -121,35 +146,27 @@ def anchors(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         return gram[place], context, place, first, last
 
 
-def window_hashes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit hashes, by different multipliers, of the windows at the given starts."""
-    out = []
+def stretch_hash(text: np.ndarray, start: np.ndarray, end: np.ndarray, multiplier: int) -> np.ndarray:
+    """64-bit polynomial hashes of stretches of a text."""
+    n = len(text)
+    up, down = _powers(multiplier, max(CHUNK * 2, n))
     with np.errstate(over="ignore"):
-        for multiplier in _MULTIPLIERS[:2]:
-            up, down = _powers(multiplier, CHUNK * 2 if len(text) <= CHUNK * 2 else len(text))
-            prefix = np.zeros(len(text) + 1, dtype=np.uint64)
-            np.cumsum(_letters(multiplier)[text] * up[: len(text)], out=prefix[1:])
-            out.append(_mix((prefix[starts + WINDOW] - prefix[starts]) * down[starts]))
-    return out[0], out[1]
-
-
-def _cell(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - HOT_BITS)).astype(np.int64)
-
-
-def _files(folder: str) -> list[str]:
-    fs, inner = common.open_fs(folder)
-    return sorted(f.path for f in fs.get_file_info(pafs.FileSelector(inner)) if f.base_name.startswith("part-"))
+        prefix = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_letters(multiplier)[text] * up[:n], out=prefix[1:])
+        return _mix((prefix[end] - prefix[start]) * down[start])
 
 
-def _rows(folder: str, path: str, columns: list[str] | None = None) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Batches of a staged file, each with the number of its first row."""
-    fs, _ = common.open_fs(folder)
-    with fs.open_input_file(path) as file:
-        at = 0
-        for batch in pq.ParquetFile(file).iter_batches(batch_size=2048, columns=columns):
-            yield at, batch
-            at += batch.num_rows
+def _rows(path: str, columns: list[str] | None = None) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches of a staged file, each with the number of its first row; of fewer rows where texts are long."""
+    fs, inner = common.open_fs(path)
+    with fs.open_input_file(inner) as file:
+        parquet, at = pq.ParquetFile(file), 0
+        for k in range(parquet.num_row_groups):
+            group = parquet.metadata.row_group(k)
+            n = max(1, min(2048, BATCH_BYTES * group.num_rows // max(1, group.total_byte_size)))
+            for batch in parquet.iter_batches(batch_size=n, row_groups=[k], columns=columns):
+                yield at, batch
+                at += batch.num_rows
 
 
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -160,10 +177,9 @@ def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, dtype=np.uint8)[offsets[0] : offsets[-1]] if data is not None and data.size else np.empty(0, np.uint8)), offsets - offsets[0]
 
 
-def _file_anchors(folder: str, path: str, hot: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A file's anchors, and the windows of those that are hot; each in order of rows and places."""
+def _file_anchors(path: str) -> Iterator[np.ndarray]:
+    """A file's anchors in order of rows and places, in pieces of about PIECE."""
     found: list[np.ndarray] = []
-    windows: list[np.ndarray] = []
 
     def take(parts: list[np.ndarray], segments: list[tuple[int, int]], docs: list[int]) -> None:
         if not parts:
@@ -175,21 +191,12 @@ def _file_anchors(folder: str, path: str, hot: np.ndarray | None = None) -> tupl
         out = np.empty(len(h), dtype=_ANCHOR)
         rows, bases = np.array(segments, dtype=np.int64).T
         out["h"], out["ctx"], out["doc"], out["row"] = h, ctx, np.array(docs, dtype=np.int64)[segment], rows[segment]
+        out["check"] = stretch_hash(text, first, last + WINDOW, _MULTIPLIERS[1]) >> np.uint64(32) if len(h) else 0
         out["lo"], out["off"], out["len"] = first - np.r_[0, ends][segment] + bases[segment], place - first, last - first
-        if hot is not None and (taken := hot[_cell(h)]).any():
-            n = (last - first + 1)[taken]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            own = np.empty(len(step), dtype=_WINDOW)
-            own["a"], own["b"] = window_hashes(text, np.repeat(first[taken], n) + step)
-            for name in ("doc", "row"):
-                own[name] = np.repeat(out[name][taken], n)
-            own["lo"] = np.repeat(out["lo"][taken], n) + step
-            windows.append(own)
-            out = out[~taken]
         found.append(out)
 
     parts, segments, docs, size = [], [], [], 0
-    for at, batch in _rows(folder, path, ["doc_id", "text"]):
+    for at, batch in _rows(path, ["doc_id", "text"]):
         ids = batch.column("doc_id").fill_null(NULL_ID).to_numpy()
         text, offsets = _buffers(batch.column("text"))
         for k in np.flatnonzero(np.diff(offsets) >= WINDOW).tolist():
@@ -203,9 +210,13 @@ def _file_anchors(folder: str, path: str, hot: np.ndarray | None = None) -> tupl
                 if size >= CHUNK:
                     take(parts, segments, docs)
                     parts, segments, docs, size = [], [], [], 0
+                    if sum(map(len, found)) >= PIECE:
+                        piece = np.concatenate(found)
+                        found.clear()
+                        yield piece
     take(parts, segments, docs)
-    join = lambda parts, dtype: np.concatenate(parts) if parts else np.empty(0, dtype=dtype)
-    return join(found, _ANCHOR), join(windows, _WINDOW)
+    if found:
+        yield np.concatenate(found)
 
 
 def _spans(records: np.ndarray) -> np.ndarray:
@@ -231,49 +242,61 @@ def _runs(file: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return file[begin], out
 
 
-def _once(x: np.ndarray, first: str, second: str) -> tuple[np.ndarray, np.ndarray]:
-    """The first of the records with both fields equal, in order of documents, rows and places; and the others."""
+def _once(x: np.ndarray, *keys: str) -> tuple[np.ndarray, np.ndarray]:
+    """The first of the records that agree in all keys, in order of documents, rows and places; and the others."""
     x = x[np.lexsort((x["lo"], x["row"], x["doc"]))] if len(x) and (np.diff(x["doc"]) < 0).any() else x
-    order = np.argsort(x[first], kind="stable")
+    order = np.argsort(x[keys[0]], kind="stable")
+    equal = np.ones(max(0, len(x) - 1), dtype=bool)
+    for key in keys:
+        ordered = x[key][order]
+        equal &= ordered[1:] == ordered[:-1]
     same = np.zeros(len(x), dtype=bool)
-    a, b = x[first][order], x[second][order]
-    same[order[1:]] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+    same[order[1:]] = equal
     return x[~same], x[same]
 
 
-def _hot_job(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
-    """Cells of the anchors that have many different contexts in a file."""
-    for batch in batches:
-        for path in batch.column(1).to_pylist():
-            x, _ = _once(_file_anchors(folder, path)[0], "ctx", "h")
-            h, n = np.unique(x["h"], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_cell(h[n >= HOT_CONTEXTS])), pa.int64())], names=["cell"])
-            del x
-            _give_back()
+_CONTEXT = ("ctx", "check", "h")
 
 
-def _anchor_job(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, hot: bytes) -> Iterator[pa.RecordBatch]:
-    is_hot = np.unpackbits(np.frombuffer(hot, dtype=np.uint8)).astype(bool) if hot else None
+def _pack(records: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Records by bucket of their key, each packed by column, which compresses better."""
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    names, first = np.unique(bucket[order], return_index=True)
+    for b, own in zip(names.tolist(), np.split(order, first[1:]) if len(names) else []):
+        part = records[own]
+        yield b, b"".join(np.ascontiguousarray(part[c]).tobytes() for c in records.dtype.names) if records.dtype.names else part.tobytes()
+
+
+_FOUND_DDL = "bucket int, file int, kind int, blob binary"
+
+
+def _found(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "file", "kind", "blob"])
+
+
+def _anchor_job(batches: Iterator[pa.RecordBatch], name: str, buckets: int, limits: Limits) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for file, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x, windows = _file_anchors(folder, path, is_hot)
-            x, repeats = _once(x, "ctx", "h")
-            windows, again = _once(windows, "a", "b")
-            names, kinds, blobs = [file % buckets], [0], [_spans(repeats).tobytes() + _runs(np.zeros(len(again), dtype=np.int64), again)[1].tobytes()]
-            for kind, records, key in ((1, x, "h"), (2, windows, "a")):
-                bucket = (records[key] % np.uint64(buckets)).astype(np.int64)
-                records = records[np.argsort(bucket, kind="stable")]
-                cuts = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
-                for b in np.flatnonzero(np.diff(cuts)).tolist():
-                    part = records[cuts[b] : cuts[b + 1]]
-                    names.append(b)
-                    kinds.append(kind)
-                    blobs.append(b"".join(np.ascontiguousarray(part[c]).tobytes() for c in records.dtype.names))  # by column, which compresses better
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array([file] * len(names), pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "file", "kind", "blob"])
-            del x, windows, repeats, again, records, blobs
+        for file in batch.column(0).to_pylist():
+            for x in _file_anchors(_path(name, file)):
+                x, repeats = _once(x, *_CONTEXT)
+                h, which, n = np.unique(x["h"], return_inverse=True, return_counts=True)
+                many = n > limits.given
+                rows = [(file % buckets, file, _SPANS, _spans(repeats).tobytes())]
+                rows += [(b, file, _HOT, blob) for b, blob in _pack(h[many], h[many], buckets)]
+                for kind, records, key in ((_SORTED, x[~many[which]], "h"), (_DEALT, x[many[which]], "ctx")):
+                    rows += [(b, file, kind, blob) for b, blob in _pack(records, records[key], buckets)]
+                yield _found(rows)
+                del x, repeats, h, which, rows, records
             _give_back()
 
 
+def _path(name: str, file: int) -> str:
+    """Staged files differ in their number only."""
+    return name.replace("*", f"{file:05d}", 1)
+
+
 def _unpack(blob: bytes, dtype: np.dtype) -> np.ndarray:
     n, at = len(blob) // dtype.itemsize, 0
     out = np.empty(n, dtype=dtype)
@@ -284,15 +307,13 @@ def _unpack(blob: bytes, dtype: np.dtype) -> np.ndarray:
     return out
 
 
-def _by_file(files: np.ndarray, records: np.ndarray, kind: int) -> Iterator[tuple[int, int, bytes]]:
+def _by_file(files: np.ndarray, records: np.ndarray, kind: int, bucket: int = 0) -> Iterator[tuple[int, int, int, bytes]]:
     order = np.argsort(files, kind="stable")
     files, records = files[order], records[order]
     cuts = np.flatnonzero(np.r_[True, files[1:] != files[:-1], True]) if len(files) else np.zeros(1, np.int64)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        yield int(files[a]), kind, records[a:b].tobytes()
-
-
-_FOUND_DDL = "file int, kind int, blob binary"
+        part = records[a:b]
+        yield bucket, int(files[a]), kind, b"".join(np.ascontiguousarray(part[c]).tobytes() for c in part.dtype.names) if kind == _ON else part.tobytes()
 
 
 def _give_back() -> None:
@@ -303,86 +324,127 @@ def _give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
-def _found(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    files, kinds, blobs = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.Table.from_arrays([pa.array(files, pa.int32()), pa.array(kinds, pa.int32()), pa.array(blobs, pa.binary())], names=["file", "kind", "blob"])
+def _edges(records: np.ndarray, files: np.ndarray) -> np.ndarray:
+    out = np.empty(len(records), dtype=_EDGE)
+    for name in _EDGE.names:
+        out[name] = files if name == "file" else records[name]
+    return out
 
 
-def _group_anchors(table: pa.Table) -> pa.Table:
-    """Of a bucket's anchors: spans of repeats (kind 0), and those whose contexts must be compared (kind 1)."""
-    rows: list[tuple[int, int, bytes]] = []
-    parts, files = [], []
-    windows, window_files = [], []
-    for file, kind, blob in zip(table.column("file").to_pylist(), table.column("kind").to_pylist(), table.column("blob").to_pylist(), strict=True):
-        if kind == 0:
-            if blob:
-                rows.append((file, 0, blob))
-            continue
-        if kind == 2:
-            windows.append(_unpack(blob, _WINDOW))
-            window_files.append(np.full(len(windows[-1]), file, dtype=np.int64))
+def _group_anchors(batches: Iterator[pa.RecordBatch], last: bool, limits: Limits) -> Iterator[pa.RecordBatch]:
+    """Of a bucket's anchors: spans of repeats, edges of contexts that must be compared, and what goes on to the next grouping."""
+    rows: list[tuple[int, int, int, bytes]] = []
+    parts: dict[int, list[np.ndarray]] = {_SORTED: [], _DEALT: []}
+    files: dict[int, list[np.ndarray]] = {_SORTED: [], _DEALT: []}
+    told = [np.empty(0, dtype="<u8")]
+    bucket = 0
+    for batch in batches:
+        for bucket, file, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "file", "kind", "blob")), strict=True):
+            if kind == _SPANS:
+                if blob:
+                    rows.append((0, file, _SPANS, blob))
+            elif kind in (_HOT, _HOT_ON):
+                told.append(np.frombuffer(blob, dtype="<u8"))
+            else:
+                kind = _SORTED if kind == _ON else kind
+                parts[kind].append(_unpack(blob, _ANCHOR))
+                files[kind].append(np.full(len(parts[kind][-1]), file, dtype=np.int64))
+    hot = np.unique(np.concatenate(told))
+    again = [np.empty(0, dtype="<u8")]
+    for kind in (_DEALT, _SORTED):
+        if not parts[kind]:
             continue
-        parts.append(_unpack(blob, _ANCHOR))
-        files.append(np.full(len(parts[-1]), file, dtype=np.int64))
-    if windows:
-        x, file = np.concatenate(windows), np.concatenate(window_files)
-        order = np.lexsort((x["row"], file, x["lo"], x["doc"], x["b"], x["a"]))
+        x, file = np.concatenate(parts[kind]), np.concatenate(files[kind])
+        order = np.lexsort((x["row"], file, x["lo"], x["doc"], x["check"], x["ctx"], x["h"]))
         x, file = x[order], file[order]
-        again = np.r_[False, (x["a"][1:] == x["a"][:-1]) & (x["b"][1:] == x["b"][:-1])]
-        rows += _by_file(*_runs(file[again], x[again]), 0)
-    if not parts:
-        return _found(rows)
-    x, file = np.concatenate(parts), np.concatenate(files)
-    order = np.argsort(x["h"], kind="stable")
-    h = x["h"][order]
-    shared = np.zeros(len(h), dtype=bool)
-    equal = h[1:] == h[:-1]
-    shared[1:] |= equal
-    shared[:-1] |= equal
-    order = order[shared]  # anchors that occur once have no repeat
-    x, file = x[order], file[order]
-    order = np.lexsort((x["row"], file, x["lo"], x["doc"], x["ctx"], x["h"]))
-    x, file = x[order], file[order]
-    if len(x):
         new_h = np.r_[True, x["h"][1:] != x["h"][:-1]]
-        new_ctx = new_h | np.r_[True, x["ctx"][1:] != x["ctx"][:-1]]
-        rows += _by_file(file[~new_ctx], _spans(x[~new_ctx]), 0)
-        firsts, group = x[new_ctx], (np.cumsum(new_h) - 1)[new_ctx]
-        mixed = np.bincount(group)[group] > 1
-        edges = np.empty(int(mixed.sum()), dtype=_EDGE)
-        for name in _EDGE.names:
-            edges[name] = file[new_ctx][mixed] if name == "file" else firsts[mixed][name]
-        rows += _by_file(edges["file"].astype(np.int64), edges, 1)
-    return _found(rows)
+        new = new_h | np.r_[True, (x["ctx"][1:] != x["ctx"][:-1]) | (x["check"][1:] != x["check"][:-1])]
+        rows += _by_file(file[~new], _spans(x[~new]), _SPANS)
+        group = (np.cumsum(new_h) - 1)[new]
+        x, file, n = x[new], file[new], np.bincount(group)[group]
+        if kind == _DEALT:
+            rows += _by_file(file, _edges(x, file), _DEALT)
+            continue
+        dealt = np.isin(x["h"], hot) | (n > (limits.sorted if last else limits.given))
+        rows += _by_file(file[dealt], _edges(x, file)[dealt], _DEALT)
+        if last:
+            rows += _by_file(file[~dealt & (n > 1)], _edges(x, file)[~dealt & (n > 1)], _SORTED)
+        else:
+            rows += _by_file(file[~dealt], x[~dealt], _ON, bucket)
+            again.append(np.unique(x["h"][dealt]))
+    if not last and len(hot := np.unique(np.concatenate([hot, *again]))):
+        rows.append((bucket, 0, _HOT_ON, hot.astype("<u8").tobytes()))
+    yield _found(rows)
+    _give_back()
 
 
 # --- contexts --------------------------------------------------------------------------------------------------------
 
 
-def _context_job(table: pa.Table, folder: str, paths: list[str], buckets: int) -> pa.Table:
-    """The contexts of a file's open anchors, packed by bucket."""
-    file = table.column("file")[0].as_py()
-    edges = np.concatenate([np.frombuffer(b, dtype=_EDGE) for b in table.column("blob").to_pylist()])
-    edges = edges[np.argsort(edges["row"], kind="stable")]
+_CONTEXT_DDL = "bucket int, kind int, head binary, body binary"
+
+
+def _context_rows(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ((), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "kind", "head", "body"])
+
+
+def _windows_of(edges: np.ndarray, contexts: list[bytes]) -> np.ndarray:
+    """Both hashes of every window of the contexts."""
+    n = edges["len"].astype(np.int64) + 1
+    text = np.frombuffer(b"".join(contexts), dtype=np.uint8)
+    begin = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    start = np.repeat(begin, n) + step
+    out = np.empty(len(step), dtype=_WINDOW)
+    out["a"], out["b"] = (stretch_hash(text, start, start + WINDOW, m) for m in _MULTIPLIERS[:2])
+    for name in ("doc", "row"):
+        out[name] = np.repeat(edges[name], n)
+    out["lo"] = np.repeat(edges["lo"], n) + step
+    return out
+
+
+def _context_job(batches: Iterator[pa.RecordBatch], name: str, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Of a file's open anchors: contexts packed by bucket, and windows of hot ones, of equal windows the first."""
+    file, parts = 0, {_SORTED: [np.empty(0, dtype=_EDGE)], _DEALT: [np.empty(0, dtype=_EDGE)]}
+    for batch in batches:
+        for file, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("file", "kind", "blob")), strict=True):
+            parts[kind].append(np.frombuffer(blob, dtype=_EDGE))
+    edges = {kind: np.concatenate(x) for kind, x in parts.items()}
+    edges = {kind: x[np.argsort(x["row"], kind="stable")] for kind, x in edges.items()}
     contexts: list[bytes] = []
-    for at, batch in _rows(folder, paths[file], ["text"]):
-        low, high = np.searchsorted(edges["row"], [at, at + batch.num_rows])
-        if low < high:
-            text, offsets = _buffers(batch.column("text"))
-            begin = offsets[edges["row"][low:high] - at] + edges["lo"][low:high].astype(np.int64)
-            end = begin + edges["len"][low:high] + WINDOW
-            raw = text.tobytes()
-            contexts += [raw[a:b] for a, b in zip(begin.tolist(), end.tolist())]
-    bucket = (edges["h"] // np.uint64(buckets) % np.uint64(buckets)).astype(np.int64)
+    windows: list[np.ndarray] = []
+
+    def deal() -> pa.RecordBatch:
+        x, repeats = _once(np.concatenate(windows), "a", "b")
+        windows.clear()
+        spans = _runs(np.zeros(len(repeats), dtype=np.int64), repeats)[1]
+        number = np.uint32(file).tobytes()
+        return _context_rows([(file % buckets, _SPANS, number, spans.tobytes()), *((b, _DEALT, number, blob) for b, blob in _pack(x, x["a"], buckets))])
+
+    for at, batch in _rows(_path(name, file), ["text"]):
+        text, offsets = _buffers(batch.column("text"))
+        view = memoryview(text)
+        for kind, own in edges.items():
+            low, high = np.searchsorted(own["row"], [at, at + batch.num_rows])
+            for a in range(low, high, 4096):
+                part = own[a : min(high, a + 4096)]
+                begin = offsets[part["row"] - at] + part["lo"].astype(np.int64)
+                found = [bytes(view[p:q]) for p, q in zip(begin.tolist(), (begin + part["len"] + WINDOW).tolist())]
+                if kind == _SORTED:
+                    contexts += found
+                else:
+                    windows.append(_windows_of(part, found))
+                    if sum(map(len, windows)) >= HELD_WINDOWS:
+                        yield deal()
+    if windows:
+        yield deal()
+    own = edges[_SORTED]
+    bucket = (own["h"] // np.uint64(buckets) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    cuts = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
-    names, heads, bodies = [], [], []
-    for b in np.flatnonzero(np.diff(cuts)).tolist():
-        own = order[cuts[b] : cuts[b + 1]]
-        names.append(b)
-        heads.append(edges[own].tobytes())
-        bodies.append(b"".join(contexts[k] for k in own.tolist()))
-    return pa.Table.from_arrays([pa.array(names, pa.int32()), pa.array(heads, pa.binary()), pa.array(bodies, pa.binary())], names=["bucket", "head", "body"])
+    names, first = np.unique(bucket[order], return_index=True)
+    yield _context_rows([(b, _SORTED, own[k].tobytes(), b"".join(contexts[i] for i in k.tolist())) for b, k in zip(names.tolist(), np.split(order, first[1:]) if len(names) else [])])
+    _give_back()
 
 
 # --- the suffix sort -------------------------------------------------------------------------------------------------
@@ -504,26 +566,52 @@ def repeated_windows(head: np.ndarray, body: np.ndarray, begin: np.ndarray) -> t
     return row, first, after - 1
 
 
-def _compare_contexts(table: pa.Table) -> pa.Table:
-    heads = np.concatenate([np.frombuffer(b, dtype=_EDGE) for b in table.column("head").to_pylist()])
-    body = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in table.column("body").to_pylist()])
-    sizes = heads["len"].astype(np.int64) + WINDOW
-    begin = np.cumsum(sizes) - sizes
-    order = np.lexsort((heads["row"], heads["file"], heads["lo"].astype(np.int64) + heads["off"], heads["doc"], heads["h"]))
-    heads, begin = heads[order], begin[order]
-    starts = np.flatnonzero(np.r_[True, heads["h"][1:] != heads["h"][:-1], True])
-    rows: list[tuple[int, int, bytes]] = []
-    at = 0
-    while at < len(starts) - 1:
-        to = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE, "right")) - 1)
-        part, where = heads[starts[at] : starts[to]], begin[starts[at] : starts[to]]
-        index, first, last = repeated_windows(part, body, where)
-        own = part[index]
-        spans = np.empty(len(index), dtype=_SPAN)
-        spans["row"], spans["lo"], spans["len"] = own["row"], own["lo"].astype(np.int64) + own["off"] - last, last - first
-        rows += _by_file(own["file"].astype(np.int64), spans, 0)
-        at = to
-    return _found(rows)
+def _first_windows(windows: list[np.ndarray], files: list[np.ndarray]) -> Iterator[tuple[int, int, int, bytes]]:
+    """Spans of the windows that are not the first of their hashes."""
+    x, file = np.concatenate(windows), np.concatenate(files)
+    order = np.lexsort((x["row"], file, x["lo"], x["doc"], x["b"], x["a"]))
+    x, file = x[order], file[order]
+    again = np.r_[False, (x["a"][1:] == x["a"][:-1]) & (x["b"][1:] == x["b"][:-1])]
+    yield from _by_file(*_runs(file[again], x[again]), _SPANS)
+
+
+def _compare_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of repeats in a bucket of contexts to sort and of windows."""
+    rows: list[tuple[int, int, int, bytes]] = []
+    heads, bodies, windows, files = [], [], [], []
+    for batch in batches:
+        for kind, head, body in zip(*(batch.column(c).to_pylist() for c in ("kind", "head", "body")), strict=True):
+            if kind == _SORTED:
+                heads.append(np.frombuffer(head, dtype=_EDGE))
+                bodies.append(np.frombuffer(body, dtype=np.uint8))
+                continue
+            file = int(np.frombuffer(head, dtype="<u4")[0])
+            if kind == _SPANS:
+                rows.append((0, file, _SPANS, body))
+            else:
+                windows.append(_unpack(body, _WINDOW))
+                files.append(np.full(len(windows[-1]), file, dtype=np.int64))
+    if windows:
+        rows += _first_windows(windows, files)
+    if heads:
+        head, body = np.concatenate(heads), np.concatenate(bodies)
+        sizes = head["len"].astype(np.int64) + WINDOW
+        begin = np.cumsum(sizes) - sizes
+        order = np.lexsort((head["row"], head["file"], head["lo"].astype(np.int64) + head["off"], head["doc"], head["h"]))
+        head, begin = head[order], begin[order]
+        starts = np.flatnonzero(np.r_[True, head["h"][1:] != head["h"][:-1], True])
+        at = 0
+        while at < len(starts) - 1:
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + SLICE, "right")) - 1)
+            part, where = head[starts[at] : starts[to]], begin[starts[at] : starts[to]]
+            index, first, last = repeated_windows(part, body, where)
+            own = part[index]
+            spans = np.empty(len(index), dtype=_SPAN)
+            spans["row"], spans["lo"], spans["len"] = own["row"], own["lo"].astype(np.int64) + own["off"] - last, last - first
+            rows += _by_file(own["file"].astype(np.int64), spans, _SPANS)
+            at = to
+    yield _found(rows)
+    _give_back()
 
 
 # --- the result ------------------------------------------------------------------------------------------------------
@@ -542,17 +630,20 @@ def merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start[heads] >> 33, start[heads] & mask, end[tails] & mask
 
 
-def _apply(table: pa.Table, folder: str, paths: list[str], replace: bool) -> Iterator[pa.RecordBatch]:
-    file = table.column("file")[0].as_py()
-    blobs = [np.frombuffer(b, dtype=_SPAN) for b in table.column("blob").to_pylist() if b]
-    row, start, end = merged(np.concatenate(blobs) if blobs else np.empty(0, dtype=_SPAN))
-    for at, batch in _rows(folder, paths[file]):
+def _apply(batches: Iterator[pa.RecordBatch], name: str, replace: str) -> Iterator[pa.RecordBatch]:
+    file, blobs = 0, [np.empty(0, dtype=_SPAN)]
+    for batch in batches:
+        file = batch.column("file")[0].as_py()
+        blobs += [np.frombuffer(b, dtype=_SPAN) for b in batch.column("blob").to_pylist() if b]
+    row, start, end = merged(np.concatenate(blobs))
+    del blobs
+    for at, batch in _rows(_path(name, file)):
         cuts = np.searchsorted(row, np.arange(at, at + batch.num_rows + 1)).tolist()
         texts = common.utf8(batch.column("text")).cast(pa.large_binary())
         if replace:
             kept = [None if null else _cut_text(t.as_py(), start[a:b].tolist(), end[a:b].tolist()) for t, null, a, b in zip(texts, batch.column("text").is_null().to_pylist(), cuts[:-1], cuts[1:], strict=True)]
             at_text = batch.schema.get_field_index("text")
-            yield pa.RecordBatch.from_arrays([*(pa.array(kept, pa.string()) if k == at_text else c for k, c in enumerate(batch.columns)), pa.array(np.diff(cuts), pa.int64())], names=[*batch.schema.names, "cut_spans"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(kept, pa.string()) if k == at_text else c for k, c in enumerate(batch.columns)), pa.array(np.diff(cuts), pa.int64())], names=[*batch.schema.names, replace])
             continue
         out = []
         for text, a, b in zip(texts, cuts[:-1], cuts[1:], strict=True):
@@ -579,55 +670,69 @@ def _cut_text(raw: bytes, starts: list[int], ends: list[int]) -> str:
     return _kept(raw, starts, ends).decode()
 
 
-def _repeats(docs: DataFrame, replace: bool) -> DataFrame:
+def _repeats(docs: DataFrame, replace: str, limits: Limits) -> DataFrame:
+    """The report, or the rows with texts cut and a column of that name."""
     spark = docs.sparkSession
     folder = common.new_folder(spark, "staged-texts")
     staged = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    staged.write.mode("overwrite").option("compression", "zstd").parquet(folder)
-    paths = _files(folder)
-    fs, _ = common.open_fs(folder)
-    size = sum(f.size for f in fs.get_file_info(paths)) if paths else 0
-    buckets = max(1, round(size * 2.4 / 39 / PER_BUCKET))
-    # a row for each staged file, and so for each task that read the input
-    files = spark.createDataFrame([(k, p) for k, p in enumerate(paths)], "file int, path string").coalesce(1).repartition(max(1, len(paths)))
-    cells = [r.cell for r in files.mapInArrow(partial(_hot_job, folder=folder), "cell long").distinct().collect()]  # at most 2 ** HOT_BITS numbers
-    hot = b""
-    if cells:
-        bits = np.zeros(1 << HOT_BITS, dtype=np.uint8)
-        bits[cells] = 1
-        hot = np.packbits(bits).tobytes()
-    anchored = files.mapInArrow(partial(_anchor_job, folder=folder, buckets=buckets, hot=hot), "bucket int, file int, kind int, blob binary")
-    found = common.durable(anchored.groupBy("bucket").applyInArrow(_group_anchors, _FOUND_DDL))
-
-    def contexts(table: pa.Table) -> pa.Table:
-        return _context_job(table, folder, paths, buckets)
+    staged.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", 0).option("parquet.block.size", 16 << 20).parquet(folder)
+    # a row for each staged file, and so for each task that read the input; contents are not read
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select(F.regexp_extract("path", r"(part-)(\d+)([^/]*)$", 2).cast("int").alias("file"), F.regexp_replace(F.regexp_extract("path", r"part-[^/]*$", 0), r"^part-\d+", "part-*").alias("name"), "length")
+    n, size, first, last, most = listed.agg(F.count(F.lit(1)), F.sum("length"), F.min("name"), F.max("name"), F.max("file")).first()  # one row
+    if not n:
+        n, size, first, last, most = 0, 0, "part-*", "part-*", 0
+    if first != last:
+        raise RuntimeError("staged files are named in more than one way")
+    name, buckets = f"{folder}/{first}", max(1, round(size * 2.4 / 39 / PER_BUCKET))
+    files = listed.select("file").repartitionById(most + 1, F.col("file"))
+    anchored = files.mapInArrow(partial(_anchor_job, name=name, buckets=buckets, limits=limits), _FOUND_DDL).withColumn("part", F.floor(F.col("file") / limits.files).cast("int"))
+    whole = most < limits.files
+
+    def group(last: bool):
+        def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            yield from _group_anchors(batches, last, limits)
+
+        return of
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _context_job(batches, name, buckets)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _apply(pa.Table.from_batches(batches), folder, paths, replace)
-
-    compared = found.filter("kind = 1").groupBy("file").applyInArrow(contexts, "bucket int, head binary, body binary").groupBy("bucket").applyInArrow(_compare_contexts, _FOUND_DDL)
-    spans = found.filter("kind = 0").unionByName(compared).select("file", "blob").unionByName(files.select("file", F.lit(None).cast("binary").alias("blob")))
+        yield from _apply(batches, name, replace)
+
+    found = common.stored(anchored.groupBy("bucket", "part").applyInArrow(group(whole), _FOUND_DDL), "anchors")
+    spans, edges = found.filter(F.col("kind") == _SPANS), found.filter(F.col("kind").isin(_SORTED, _DEALT))
+    if not whole:
+        more = common.stored(found.filter(F.col("kind").isin(_ON, _HOT_ON)).groupBy("bucket").applyInArrow(group(True), _FOUND_DDL), "anchors")
+        spans, edges = spans.unionByName(more.filter(F.col("kind") == _SPANS)), edges.unionByName(more.filter(F.col("kind").isin(_SORTED, _DEALT)))
+    compared = edges.groupBy("file").applyInArrow(contexts, _CONTEXT_DDL).groupBy("bucket").applyInArrow(_compare_contexts, _FOUND_DDL)
+    every = spans.select("file", "blob").unionByName(compared.select("file", "blob")).unionByName(files.select("file", F.lit(None).cast("binary").alias("blob")))
     if replace:
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in staged.schema.fields) + ", cut_spans long"
+        schema = StructType([*staged.schema.fields, StructField(replace, LongType())])
     else:
         schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-    return spans.groupBy("file").applyInArrow(apply, schema)
+    return every.groupBy("file").applyInArrow(apply, schema)
 
 
-def repeat_report(docs: DataFrame) -> DataFrame:
+def repeat_report(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """A row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
     A byte goes if a string of WINDOW bytes that covers it also starts earlier: in a smaller doc_id, or earlier in the
     same document. Strings are judged on the input and never cross documents. Null texts are empty; shorter texts keep
-    all. Null ids come after all others; rows of one id are ordered by their place in the staged files. An empty table
-    gives no rows. Only doc_id and text are read.
+    all; very long ones are judged whole, in overlapping chunks. Null ids come after all others; rows of one id, repeated
+    rows among them, are ordered by their place in the staged files. An empty table gives no rows. Only doc_id and text
+    are read; other columns have no effect.
     """
-    return _repeats(docs.select("doc_id", "text"), False)
+    return _repeats(docs.select("doc_id", "text"), "", limits)
+
 
+def cut_repeats(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """The input rows with repeats cut out of text, and cut_spans, how many stretches, as the last column.
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
-    """The input rows with repeats cut out of text, and cut_spans; characters are cut whole; null texts stay null."""
-    return _repeats(docs, True)
+    Characters are cut whole; null texts stay null. All other columns pass unchanged; where one is named cut_spans, the
+    new column's name is common.fresh(docs.columns, "cut_spans"). The rest as in repeat_report().
+    """
+    return _repeats(docs, common.fresh(docs.columns, "cut_spans"), limits)
 
 
 def op7_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -345,20 +345,45 @@ def test_suffix_dedup(docs, rows, odd, empty):
         assert text is None or len(text.encode()) - len(cut[doc].text.encode()) <= want[doc][1]
 
 
-def test_hot_anchors(docs, rows, spark):
-    """A passage between different words in every document: its edges are hot and go by their windows."""
+@pytest.mark.parametrize(
+    "files, limits",
+    [
+        (3, suffixes.Limits()),  # all contexts are sorted
+        (3, suffixes.Limits(given=10)),  # hot in every file: contexts are dealt by themselves, then windows
+        (9, suffixes.Limits(given=15, sorted=20)),  # hot in no file, but over all
+        (9, suffixes.Limits(given=25, files=2)),  # several groups of files: hot in some, found by others
+        (9, suffixes.Limits(given=1000, files=3)),
+    ],
+)
+def test_hot_anchors(spark, files, limits):
+    """A passage between different words in every document: its edges stand in as many contexts."""
     rng = random.Random(12)
     passage = " ".join(f"p{k}" for k in range(60))
-    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(90, 200))) + passage[: rng.randint(150, 200)] + "".join(rng.choice("xyz ") for _ in range(150)) for _ in range(90)]
-    table = spark.createDataFrame([(k, t, None, None, 0) for k, t in enumerate(texts)], SCHEMA).repartition(3)
-    folder = common.new_folder(spark, "test-hot")
-    table.write.mode("overwrite").parquet(folder)
-    import pyarrow as pa
-
-    paths = suffixes._files(folder)
-    cells = {c for b in suffixes._hot_job(iter([pa.RecordBatch.from_pydict({"file": list(range(len(paths))), "path": paths})]), folder) for c in b.column(0).to_pylist()}
-    assert cells
-    assert {r.doc_id: tuple(r)[1:] for r in suffixes.repeat_report(table).collect()} == _brute_repeats(list(enumerate(texts)))
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(90, 200))) + passage[: rng.randint(150, 200)] + "".join(rng.choice("xyz ") for _ in range(150)) for _ in range(130)]
+    texts += rng.sample(texts, 20)
+    table = spark.createDataFrame([(k, t, None, None, 0) for k, t in enumerate(texts)], SCHEMA).repartition(files)
+    assert {r.doc_id: tuple(r)[1:] for r in suffixes.repeat_report(table, limits).collect()} == _brute_repeats(list(enumerate(texts)))
+
+
+def test_many_contexts_are_dealt(spark):
+    """What a piece and a group give for one anchor stays within the limits, and says so where it would not."""
+    rng = np.random.default_rng(3)
+    x = np.zeros(600, dtype=suffixes._ANCHOR)
+    x["h"], x["ctx"], x["doc"], x["lo"] = np.repeat([5, 6, 7], 200), rng.integers(0, 1 << 62, 600), np.arange(600), 3
+    rows = [(0, f, suffixes._SORTED, b"".join(np.ascontiguousarray(x[f::4][c]).tobytes() for c in x.dtype.names)) for f in range(4)] + [(0, 9, suffixes._HOT, np.array([6], dtype="<u8").tobytes())]
+
+    def kinds(last, limits):
+        (found,) = suffixes._group_anchors(iter([suffixes._found(rows)]), last, limits)
+        out = defaultdict(int)
+        for kind, blob in zip(found.column("kind").to_pylist(), found.column("blob").to_pylist()):
+            out[kind] += len(blob)
+        return dict(out)
+
+    edge, anchor = suffixes._EDGE.itemsize, suffixes._ANCHOR.itemsize
+    assert kinds(True, suffixes.Limits()) == {suffixes._SORTED: 400 * edge, suffixes._DEALT: 200 * edge}
+    assert kinds(True, suffixes.Limits(sorted=100)) == {suffixes._DEALT: 600 * edge}
+    assert kinds(False, suffixes.Limits(given=200)) == {suffixes._DEALT: 200 * edge, suffixes._ON: 400 * anchor, suffixes._HOT_ON: 8}
+    assert kinds(False, suffixes.Limits(given=199)) == {suffixes._DEALT: 600 * edge, suffixes._HOT_ON: 24}
 
 
 def test_periodic_texts(spark):
