@@ -1,9 +1,11 @@
 """Media columns in archives, read by a Spark data source that plans byte ranges.
 
-Texts are stored as 8-bit greyscale PNG images, 64 samples a row, in uncompressed ZIP archives of bounded size. The
-reader plans partitions from each archive's end record alone: byte ranges of its member area. A partition reads the
-archive's directory, takes the members that start in its range, and streams their payloads as Arrow batches; a member
-that fails is read again by its offset, without touching the others.
+Texts are stored as 8-bit greyscale PNG images, 64 samples a row, in uncompressed ZIP archives of bounded size. A
+manifest, a table in the shared folder, tells each archive's place on one line of all members' bytes. The source cuts
+that line into equal ranges, knowing only its length and the manifest's folder: the driver neither lists nor opens
+archives. A partition looks up the archives of its range, reads their directories, takes the members that start in the
+range, and streams their payloads as Arrow batches; a member that fails is read again by its offset, without touching
+the others.
 """
 
 from __future__ import annotations
@@ -19,8 +21,10 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow.dataset import dataset
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
@@ -103,9 +107,12 @@ class _Archive:
     def size(self) -> int:
         return self.zip.fp.at
 
-    def close(self) -> None:
+    def close(self) -> int:
+        """Returns where the directory begins."""
+        end = self.size()
         self.zip.close()
         self.stream.close()
+        return end
 
 
 class _Tell(io.RawIOBase):
@@ -132,7 +139,7 @@ class _Tell(io.RawIOBase):
         pass
 
 
-def _store(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _store(batches: Iterator[pa.RecordBatch], folder: str, archive_bytes: int) -> Iterator[pa.RecordBatch]:
     task, number, archive, done = TaskContext.get().partitionId(), 0, None, []
     for batch in batches:
         texts = common.utf8(batch.column(1)).cast(pa.large_binary())
@@ -142,21 +149,24 @@ def _store(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
             body = text.as_py()
             archive.add(f"{number}_{'null' if doc is None else doc}_{len(body)}.png", to_png(padded(body)))
             number += 1
-            if archive.size() >= ARCHIVE_BYTES:
-                archive.close()
-                done.append((archive.path, archive.members))
+            if archive.size() >= archive_bytes:
+                done.append((archive.path, archive.members, archive.close()))
                 archive = None
     if archive is not None:
-        archive.close()
-        done.append((archive.path, archive.members))
+        done.append((archive.path, archive.members, archive.close()))
     if done:
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done]), pa.array([n for _, n in done], pa.int64())], names=["path", "members"])
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in done]), *(pa.array([x[k] for x in done], pa.int64()) for k in (1, 2))], names=["path", "members", "bytes"])
 
 
-def store(docs: DataFrame, folder: str) -> DataFrame:
-    """Store whole texts (null: empty) as images in archives under the folder; returns the manifest: path, members."""
+def store(docs: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Store whole texts (null: empty) as images in archives under the folder; returns the manifest: path, members, bytes.
+
+    bytes is the length of the archive's members, where its directory begins. Every row is a member by itself, repeated
+    rows and null ids too; a very long text makes its archive that much larger. An empty table stores nothing. Only
+    doc_id and text are read; other columns have no effect.
+    """
     rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text"))
-    return common.durable(rows.mapInArrow(partial(_store, folder=folder), "path string, members long"))
+    return common.durable(rows.mapInArrow(partial(_store, folder=folder, archive_bytes=archive_bytes), "path string, members long, bytes long"))
 
 
 # --- reading ---------------------------------------------------------------------------------------------------------
@@ -216,36 +226,35 @@ def read_member(open_file, start: int, stored: int, crc: int, attempts: int = AT
             if len(data) != stored or zlib.crc32(data) != crc:
                 raise OSError("the member is damaged")
             return data
-        except (OSError, struct.error):
+        except (OSError, struct.error) as problem:
             if attempt + 1 == attempts:
-                raise
+                raise OSError(f"no member at {start}: {problem}") from problem
     raise AssertionError
 
 
 class _Range(InputPartition):
-    def __init__(self, path: str, low: int, high: int):
-        self.path, self.low, self.high = path, low, high
+    def __init__(self, low: int, high: int):
+        self.low, self.high = low, high
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
-        self.paths = [p for p in options["paths"].split("\n") if p]
-        self.step = int(options.get("rangebytes", RANGE_BYTES))
+        self.manifest, self.total, self.step = options["manifest"], int(options["totalbytes"]), int(options.get("rangebytes", RANGE_BYTES))
 
     def partitions(self) -> list[_Range]:
-        """Byte ranges of the member areas; of each archive only the end record is read."""
-        out = []
-        for path in self.paths:
-            fs, inner = common.open_fs(path)
-            with fs.open_input_file(inner) as file:
-                end, _ = directory_place(file, file.size())
-            out += [_Range(path, low, min(end, low + self.step)) for low in range(0, end, self.step)]
-        return out or [_Range("", 0, 0)]
+        """Equal ranges of the line of all members' bytes."""
+        return [_Range(low, min(self.total, low + self.step)) for low in range(0, self.total, self.step)] or [_Range(0, 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
-        if not partition.path:
+        if partition.low == partition.high:
             return
-        fs, inner = common.open_fs(partition.path)
+        fs, folder = common.open_fs(self.manifest)
+        own = (pc.field("first") < partition.high) & (pc.field("first") + pc.field("bytes") > partition.low)
+        for row in dataset(folder, filesystem=fs, format="parquet").to_table(filter=own).to_pylist():
+            yield from self._archive(row["path"], partition.low - row["first"], partition.high - row["first"])
+
+    def _archive(self, path: str, low: int, high: int) -> Iterator[pa.RecordBatch]:
+        fs, inner = common.open_fs(path)
         held = [fs.open_input_file(inner)]
 
         def open_file(anew: bool):
@@ -256,17 +265,17 @@ class _Reader(DataSourceReader):
 
         names, offsets, payloads, size = [], [], [], 0
         for name, start, stored, crc in members(held[0], held[0].size()):
-            if partition.low <= start < partition.high:
+            if low <= start < high:
                 names.append(name)
                 offsets.append(start)
                 payloads.append(read_member(open_file, start, stored, crc))
                 size += stored
                 if size >= BATCH_BYTES:
-                    yield _payloads(partition.path, names, offsets, payloads)
+                    yield _payloads(path, names, offsets, payloads)
                     names, offsets, payloads, size = [], [], [], 0
         held[0].close()
         if names:
-            yield _payloads(partition.path, names, offsets, payloads)
+            yield _payloads(path, names, offsets, payloads)
 
 
 def _payloads(path: str, names: list[str], offsets: list[int], payloads: list[bytes]) -> pa.RecordBatch:
@@ -274,7 +283,7 @@ def _payloads(path: str, names: list[str], offsets: list[int], payloads: list[by
 
 
 class ArchiveSource(DataSource):
-    """spark.read.format("archive_members").option("paths", newline-separated archive URIs)."""
+    """spark.read.format("archive_members") with options manifest (a Parquet folder: path, bytes, first), totalbytes and rangebytes."""
 
     @classmethod
     def name(cls) -> str:
@@ -287,10 +296,36 @@ class ArchiveSource(DataSource):
         return _Reader(self.options)
 
 
-def read_archives(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """A row per member: archive, member, offset, media. paths: one per archive of ARCHIVE_BYTES, not per member."""
+def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ends = []
+        for path in batch.column(0).to_pylist():
+            fs, inner = common.open_fs(path)
+            with fs.open_input_file(inner) as file:
+                ends.append(directory_place(file, file.size())[0])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ends, pa.int64())], names=["path", "bytes"])
+
+
+def manifest_of(paths: DataFrame) -> DataFrame:
+    """The manifest of archives (column path) that others wrote: path, bytes, from their end records, read in parallel."""
+    return common.durable(paths.select("path").mapInArrow(_measure, "path string, bytes long"))
+
+
+def read_archives(spark: SparkSession, archives: DataFrame | list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """A row per member: archive, member, offset, media. archives: a manifest of store() or manifest_of(), or some paths.
+
+    Repeated members stay; without archives there are no rows. A member that stays damaged after ATTEMPTS reads fails its
+    task with its archive and offset, and no other.
+    """
     spark.dataSource.register(ArchiveSource)
-    return spark.read.format("archive_members").option("paths", "\n".join(paths)).option("rangebytes", str(range_bytes)).load()
+    if isinstance(archives, list):
+        archives = manifest_of(spark.createDataFrame([(p,) for p in archives], "path string"))
+    # a row for each archive: 1.6 million numbers for 100 TB in archives of 64 MB
+    line = archives.filter("bytes > 0").select("path", "bytes", F.coalesce(F.sum("bytes").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first"))
+    folder = common.new_folder(spark, "manifest")
+    line.write.mode("overwrite").parquet(folder)
+    total = spark.read.schema(line.schema).parquet(folder).agg(F.sum("bytes")).first()[0] or 0  # one number
+    return spark.read.format("archive_members").option("manifest", folder).option("totalbytes", str(total)).option("rangebytes", str(range_bytes)).load()
 
 
 _DDL = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -311,12 +346,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def describe(media: DataFrame) -> DataFrame:
     """Digests and a feature of each stored image.
 
-    Names carry the document's id (null allowed) and the length of its text, so empty and repeated documents come back
-    as they went in; no archive gives no rows.
+    Names carry the document's id (null allowed) and the length of its text, so empty, repeated and very long documents
+    come back as they went in; no archive gives no rows. Only member and media are read.
     """
     return media.select("member", "media").mapInArrow(_describe, _DDL)
 
 
 def op2_archived_media(spark, sf_dir: str) -> DataFrame:
-    manifest = store(common.documents(spark, sf_dir), common.new_folder(spark, "media"))
-    return describe(read_archives(spark, [r["path"] for r in manifest.orderBy("path").collect()]))
+    return describe(read_archives(spark, store(common.documents(spark, sf_dir), common.new_folder(spark, "media"))))

@@ -141,6 +141,31 @@ def test_media(spark, docs, rows, odd, empty):
     assert media.describe(media.read_archives(spark, [])).count() == 0
 
 
+def test_many_archives(spark):
+    """A thousand archives: the reader's ranges come from the line's length alone; a damaged member fails by itself."""
+    texts = [f"text {k} " * (k % 7 + 1) for k in range(1000)]
+    table = spark.createDataFrame([(k, t, None, None, 0) for k, t in enumerate(texts)], SCHEMA).repartition(8)
+    manifest = media.store(table, common.new_folder(spark, "test-media"), archive_bytes=1)
+    assert manifest.count() == 1000
+    for step in (100, 1_000_000):
+        found = media.read_archives(spark, manifest, step)
+        assert sorted((r.doc_id, r.n_bytes) for r in media.describe(found).collect()) == sorted((k, len(t)) for k, t in enumerate(texts))
+    assert found.rdd.getNumPartitions() == 1
+    source = media._Reader({"manifest": "nowhere", "totalbytes": "1000", "rangebytes": "300"})
+    assert [(p.low, p.high) for p in source.partitions()] == [(0, 300), (300, 600), (600, 900), (900, 1000)]
+    bad = manifest.first().path
+    fs, inner = common.open_fs(bad)
+    with fs.open_input_file(inner) as file:
+        raw = bytearray(file.read())
+    raw[60] ^= 255
+    with fs.open_output_stream(inner) as file:
+        file.write(bytes(raw))
+    with pytest.raises(Exception, match="no member at 0"):
+        media.read_archives(spark, [bad]).collect()
+    others = manifest.filter(F.col("path") != bad)
+    assert media.read_archives(spark, others).count() == 999
+
+
 def test_members_are_read_again_by_offset(tmp_path):
     data, calls = b"header" * 10, []
     (tmp_path / "a.zip").write_bytes(b"")
