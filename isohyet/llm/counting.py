@@ -19,8 +19,8 @@ from . import common, tokens
 
 #: What stands before each word in the vocabulary's pieces.
 WORD_START = "▁".encode()
-#: Words kept by one worker; the memo starts anew beyond it.
-MEMO_ENTRIES = 600_000
+#: Words kept by one worker, none longer than LONGEST_KEPT bytes; the memo starts anew beyond it.
+MEMO_ENTRIES, LONGEST_KEPT = 600_000, 64
 
 
 class LongestMatch:
@@ -107,9 +107,11 @@ def _count(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.Re
             for w in words:
                 c = memo.get(w)
                 if c is None:
-                    if len(memo) >= MEMO_ENTRIES:
-                        memo.clear()
-                    c = memo[w] = match.count(WORD_START + w)
+                    c = match.count(WORD_START + w)
+                    if len(w) <= LONGEST_KEPT:
+                        if len(memo) >= MEMO_ENTRIES:
+                            memo.clear()
+                        memo[w] = c
                 counts.append(c)
             n_words.append(len(words))
             n_pieces.append(sum(counts))
@@ -121,7 +123,8 @@ def count_pieces(docs: DataFrame, vocabulary: str) -> DataFrame:
     """A row per document: doc_id, n_words, n_pieces, max_word_pieces.
 
     Words are runs of bytes other than \\x20 and \\x09-\\x0D, taken as they are. Null and empty texts have 0 words and 0
-    pieces; null ids and repeated rows stay; an empty table gives no rows; other columns have no effect.
+    pieces; null ids and repeated rows stay; an empty table gives no rows; other columns have no effect. Very long texts and
+    words are read whole, in time that grows with their bytes.
     """
     return docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).mapInArrow(partial(_count, vocabulary=vocabulary), "doc_id long, n_words long, n_pieces long, max_word_pieces long")
 

@@ -202,21 +202,25 @@ class Reader:
 _MANIFEST_DDL = "shard int, path string, n_documents long, n_ids long"
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, width: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, width: int) -> Iterator[pa.RecordBatch]:
+    coder, end = tokens.encoder(vocabulary, width), tokens.END_ID.to_bytes(width, "little")
+    for batch in batches:
+        ids = [coder.encode(x.as_py()) + end for x in common.utf8(batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "mark", "ids"])
+
+
+def _write(batches: Iterator[pa.RecordBatch], folder: str, width: int) -> Iterator[pa.RecordBatch]:
     shard = TaskContext.get().partitionId()
-    coder = tokens.encoder(vocabulary, width)
-    end = tokens.END_ID.to_bytes(width, "little")
     writer = stream = None
     # a name for each attempt: the manifest, which only successful tasks write, decides which file counts
     path = f"{folder}/shard-{shard:06d}-{uuid.uuid4().hex}.sst"
     for batch in batches:
-        texts = common.utf8(batch.column(1))
-        for doc, text in zip(batch.column(0).to_pylist(), texts, strict=True):
+        for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if writer is None:
                 fs, inner = common.open_fs(path)
                 stream = fs.open_output_stream(inner)
                 writer = Writer(stream, width)
-            writer.add(key_of(doc), coder.encode(text.as_py()) + end)
+            writer.add(key_of(doc), ids.as_py())
     if writer is not None:
         writer.close()
         stream.close()
@@ -226,11 +230,15 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, widt
 def write_shards(docs: DataFrame, folder: str, vocabulary: str, width: int = 2) -> DataFrame:
     """Encode whole texts and write them as shards in ascending doc_id order; returns the manifest, one row per shard.
 
-    Null texts are empty; every document ends with the end id. Null ids come first, repeated ids stay side by side. An
-    empty table writes no shard. The manifest: shard (ascending with the ids), path, n_documents, n_ids.
+    Null texts are empty; every document ends with the end id. Null ids come first, repeated ids stay side by side in
+    order of a hash of their texts; a very long text is one entry, in a block of its own size. An empty table writes no
+    shard. Only doc_id and text are read. The manifest: shard (ascending with the ids), path, n_documents, n_ids. Texts
+    are encoded where they are read; ids are shuffled, of `width` bytes each.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text"))
-    return common.durable(rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(partial(_write, folder=folder, vocabulary=vocabulary, width=width), _MANIFEST_DDL))
+    text = common.text_or_empty()
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    encoded = common.stored(rows.mapInArrow(partial(_encode, vocabulary=vocabulary, width=width), "doc_id long, mark long, ids binary"), "token-ids")
+    return common.durable(encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "mark").select("doc_id", "ids").mapInArrow(partial(_write, folder=folder, width=width), _MANIFEST_DDL))
 
 
 _READ_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"

@@ -11,8 +11,9 @@ import numpy as np
 
 #: Id that ends each document.
 END_ID = 2
-#: Distinct pre-tokens kept by one worker; the memo starts anew beyond it, so memory is bounded and ids do not change.
-MEMO_ENTRIES = 500_000
+#: Distinct pre-tokens kept by one worker, and their letters and id bytes; the memo starts anew beyond either, so memory
+#: is bounded and ids do not change. A longer pre-token is not kept.
+MEMO_ENTRIES, MEMO_BYTES, LONGEST_KEPT = 500_000, 16_000_000, 256
 
 # Of the characters up to U+00FF: letters, numbers and white space, as the pre-tokenizer's pattern has them.
 _LETTERS, _NUMBERS, _SPACES = "a-zA-Zªµºß-öø-ÿÀ-ÖØ-Þ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
@@ -30,13 +31,17 @@ class _Memo(dict):
     """Pre-token to ids as bytes; what is missing is computed by the model and kept."""
 
     def __init__(self, model, code: str):
-        self.tokenize, self.code, self.letters = model.tokenize, code, byte_letters()
+        self.tokenize, self.code, self.letters, self.held = model.tokenize, code, byte_letters(), 0
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= MEMO_ENTRIES:
+        if len(self) >= MEMO_ENTRIES or self.held >= MEMO_BYTES:
             self.clear()
+            self.held = 0
         own = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
-        found = self[word] = array(self.code, [t.id for t in self.tokenize(own)]).tobytes()
+        found = array(self.code, [t.id for t in self.tokenize(own)]).tobytes()
+        if len(word) <= LONGEST_KEPT:
+            self[word] = found
+            self.held += len(word) + len(found)
         return found
 
 
