@@ -220,6 +220,23 @@ def test_fingerprints(docs, rows, odd, empty):
     assert fingerprints.canonical("Ｆull  WIDTH ﬁ\n") == b"full width fi"
 
 
+@pytest.mark.parametrize("bits", [4, 128])
+def test_forced_collisions(docs, rows, bits):
+    """Fingerprints, edited ones among them, are equal exactly where canonical forms are, however many share a digest."""
+    ordered = sorted(rows)
+    by_form: dict = defaultdict(set)
+    by_print: dict = defaultdict(set)
+    found = {r.doc_id: r for r in fingerprints.edited_fingerprints(docs, bits).collect()}
+    for (doc, text, *_), (_, following, *_) in zip(ordered, [*ordered[1:], ordered[0]], strict=True):
+        text, following = text or "", following or ""
+        cut = len(text) // 4
+        for form, value in ((text, found[doc].fingerprint), (text[: len(text) - cut] + following[:cut], found[doc].edited_fingerprint)):
+            by_form[fingerprints.canonical(form)].add(value)
+            by_print[value].add(fingerprints.canonical(form))
+    assert all(len(x) == 1 for x in (*by_form.values(), *by_print.values()))
+    assert len({p.split("-")[0] for p in by_print}) == (16 if bits == 4 else len(by_form))
+
+
 def test_one_row_follows_itself(spark):
     one = spark.createDataFrame([(1, "abcdefgh", "en", "a", 8)], SCHEMA)
     r = fingerprints.edited_fingerprints(one).first()
