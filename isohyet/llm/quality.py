@@ -8,6 +8,7 @@ logistic function of the sum of one entry of each table, so scoring is a few vec
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,17 +36,21 @@ LEAVES = 3
 SMOOTHING = 1.0
 
 FEATURES = (
-    "log_bytes", "log_words", "mean_word", "upper_share", "digit_share", "high_byte_share", "symbol_share", "exclaim_per_word",
-    "bar_per_word", "odd_end_per_word", "comma_stop_per_word", "distinct_words", "repeats_next", "distinct_lines", "words_per_line", "long_words",
+    "log_bytes", "log_words", "mean_word", "byte_entropy", "upper_share", "digit_share", "high_byte_share", "symbol_share", "symbol_words", "stop_share",
+    "distinct_words", "repeats_next", "repeated_pairs", "distinct_lines", "words_per_line", "long_words",
 )
 
 _UPPER, _LOWER, _DIGIT, _SPACE = slice(65, 91), slice(97, 123), slice(48, 58), [9, 10, 11, 12, 13, 32]
 _SYMBOLS = [b for b in range(33, 127) if not chr(b).isalnum()]
-_ODD = [ord(c) for c in "#$%&*"]
+_STOPS = [ord(c) for c in ",.;:?!"]
+_SYMBOL_WORD = re.compile(rb"(?<!\S)[!-/:-@\[-`{-~]+(?!\S)")
 
 
 def features(text: bytes) -> tuple[float, ...]:
-    """The features of a whole text; an empty text has 0 for all."""
+    """Shapes of a whole text that hold for any language: sizes, shares of classes of bytes, repetition of words, pairs and lines.
+
+    An empty text has 0 for all.
+    """
     if not text:
         return (0.0,) * len(FEATURES)
     n = np.bincount(np.frombuffer(text, dtype=np.uint8), minlength=256)
@@ -53,9 +58,12 @@ def features(text: bytes) -> tuple[float, ...]:
     n_words = max(1, len(words))
     letters = max(1, int(n[_UPPER].sum() + n[_LOWER].sum()))
     inked = max(1, size - int(n[_SPACE].sum()))
+    share = n[n > 0] / size
+    symbols = max(1, int(n[_SYMBOLS].sum()))
     return (
-        float(np.log1p(size)), float(np.log1p(len(words))), inked / n_words, n[_UPPER].sum() / letters, n[_DIGIT].sum() / inked, n[128:].sum() / inked, n[_SYMBOLS].sum() / inked, n[33] / n_words,
-        n[124] / n_words, n[_ODD].sum() / n_words, (n[44] + n[46]) / n_words, len(set(words)) / n_words, sum(map(eq, words, words[1:])) / n_words, len(set(lines)) / len(lines), n_words / len(lines), sum(len(w) > 16 for w in words) / n_words,
+        float(np.log1p(size)), float(np.log1p(len(words))), inked / n_words, float(-(share * np.log2(share)).sum()), n[_UPPER].sum() / letters, n[_DIGIT].sum() / inked, n[128:].sum() / inked, n[_SYMBOLS].sum() / inked,
+        len(_SYMBOL_WORD.findall(text)) / n_words, n[_STOPS].sum() / symbols, len(set(words)) / n_words, sum(map(eq, words, words[1:])) / n_words, 1 - len(set(zip(words, words[1:]))) / max(1, len(words) - 1),
+        len(set(lines)) / len(lines), n_words / len(lines), sum(len(w) > 16 for w in words) / n_words,
     )
 
 
@@ -182,13 +190,16 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> AdditiveModel:
     """Learn from labelled documents that are not held out: at most so many, those with the least hashes of their ids.
 
-    Labels without a document, null labels and null ids are not used. The sample and its features, rows times 16
-    numbers, are what the driver holds.
+    Labels without a document, null labels and null ids are not used. Of an id with several labels the greatest counts,
+    of one with several texts the one of the least hash; null texts are empty, very long ones are read whole. Without
+    labels the model gives 0.5 everywhere. Only doc_id and text of the documents are read. The sample's features, rows
+    times 16 numbers, are what the driver holds.
     """
     usable = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int")).filter("doc_id is not null and quality is not null").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
+    sample = usable.groupBy("doc_id").agg(F.max("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # the sample has at most `rows` rows of two numbers
     chosen = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).join(F.broadcast(sample), "doc_id")
+    chosen = chosen.groupBy("doc_id", "quality").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
     found = chosen.select("quality", "text").mapInArrow(_features, "quality int, x array<double>").toArrow()
     x = found.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
     y = found.column("quality").to_numpy().astype(np.float64)
