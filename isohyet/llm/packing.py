@@ -79,16 +79,19 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFram
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Null and empty texts are documents of the end id alone. Repeated rows are packed once each and null ids stay null.
-    An empty table gives no rows. Only doc_id and text are read; other columns have no effect. Sequences are numbered
-    from 0 without gaps; offsets in a sequence have no gaps either.
+    An empty table gives no rows. Only doc_id and text are read; other columns have no effect. A very long text is cut
+    into pieces of whole sequences and a rest. Sequences are numbered from 0 without gaps; offsets in a sequence have no
+    gaps either.
     """
     pieces = common.durable(docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).mapInArrow(partial(_pieces, vocabulary=vocabulary, capacity=capacity), _PIECES_DDL))
     counts = pieces.groupBy("length", "worker").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.withColumn("base", F.sum("n").over(Window.partitionBy("length").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["base"]).drop("n")
+    before = counts.withColumn("base", F.sum("n").over(Window.partitionBy("length").orderBy("worker").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["base"])
+    # a map of classes for each worker: workers have about as many pieces each, while a class may have most of them
+    before = before.groupBy("worker").agg(F.map_from_entries(F.collect_list(F.struct("length", "base"))).alias("bases"))
     classes = counts.groupBy("length").agg(F.sum("n").alias("total")).withColumn("per", F.expr(f"{capacity} div length")).withColumn("bins", F.expr("total div per"))
     # as many rows as classes: about 2 * sqrt(capacity)
     classes = classes.withColumn("first_bin", F.sum("bins").over(Window.orderBy("length").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["first_bin"]).withColumn("all_bins", F.sum("bins").over(Window.partitionBy()))
-    ranked = pieces.join(before, ["length", "worker"]).join(F.broadcast(classes), "length").withColumn("rank", F.col("base") + F.col("slot"))
+    ranked = pieces.join(before, "worker").join(F.broadcast(classes), "length").withColumn("rank", F.element_at("bases", F.col("length")) + F.col("slot"))
     whole = ranked.filter(F.col("rank") < F.col("bins") * F.col("per"))
     rest = ranked.filter(F.col("rank") >= F.col("bins") * F.col("per")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "rank", "all_bins")
 
