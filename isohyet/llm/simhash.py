@@ -43,6 +43,8 @@ LARGE = 4096
 CANDIDATE_RADIUS, SHORT_RADIUS, SHORT = 70, 84, 16
 #: Distinct shingles of a component of candidates that are held at once, and in a block of a larger one.
 HELD = 1 << 20
+#: Rows of whole buckets that a task holds at once, more only if one bucket has more.
+BATCH_ROWS = 1 << 19
 _LANES = 64
 _PAIRS = 1 << 18
 
@@ -219,14 +221,30 @@ def _linked(bucket: np.ndarray, node: np.ndarray, fps: np.ndarray, radius: int)
     return values[moved], values[root[moved]]
 
 
+def _whole_buckets(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[np.ndarray]]:
+    """Columns of rows that come in order of their first columns, cut where these change once BATCH_ROWS are held."""
+    held: list[list[np.ndarray]] = []
+    rows, most = 0, BATCH_ROWS
+    for batch in batches:
+        held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+        rows += batch.num_rows
+        if rows >= most:
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            begin = int(np.logical_and.reduce([c == c[-1] for c in columns[:keys]]).argmax())  # of the last bucket
+            if begin:
+                yield [c[:begin] for c in columns]
+            held, rows = [[c[begin:] for c in columns]], len(columns[0]) - begin
+            most = max(BATCH_ROWS, 2 * rows)
+    if rows:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
 #: A node, ordered by the least id of its rows, nulls last, so that the least node of a component names the component.
 _NODE = "struct<last:boolean,id:long,fp:long>"
 
 
 def _link_tables(batches: Iterator[pa.RecordBatch], masks: list[int], radius: int) -> Iterator[pa.RecordBatch]:
-    parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
-    if parts:
-        table, fp, last, own = (np.concatenate(x) for x in zip(*parts, strict=True))
+    for table, _, fp, last, own in _whole_buckets(batches, 2):
         fps = fp.view(np.uint64)
         # should two buckets' numbers meet, they are compared as one, and distances decide as before
         bucket = (fps & np.array(masks, dtype=np.uint64)[table]) ^ (table.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -243,7 +261,7 @@ def link(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     masks = tables(nodes.count(), radius)
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     dealt = nodes.select("node.*").select("*", F.explode(F.array(*(F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)))).alias("x"))
-    return dealt.repartition("x.table", "x.key").select("x.table", "fp", "last", "id").mapInArrow(partial(_link_tables, masks=masks, radius=radius), f"a {_NODE}, b {_NODE}")
+    return dealt.select("x.table", "x.key", "fp", "last", "id").repartition("table", "key").sortWithinPartitions("table", "key").mapInArrow(partial(_link_tables, masks=masks, radius=radius), f"a {_NODE}, b {_NODE}")
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
@@ -323,11 +341,8 @@ _TEXT_NODE_ARROW = pa.struct([("last", pa.bool_()), ("id", pa.int64()), ("text_k
 
 
 def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    parts = [b for b in batches if b.num_rows]
-    if parts:
-        table = pa.Table.from_batches(parts)
-        fps = np.frombuffer(b"".join(table.column("fp").to_pylist()), dtype=np.uint64).reshape(-1, WIDE)
-        band, node, size = (table.column(c).to_numpy() for c in ("band", "node_id", "size"))
+    for band, node, size, wide in _whole_buckets(batches, 1):
+        fps = np.frombuffer(b"".join(wide.tolist()), dtype=np.uint64).reshape(-1, WIDE)
         # sizes of similar texts differ little, so each pair is in one of the two or in both
         for own, radius in ((size <= SHORT, SHORT_RADIUS), (size >= int(similarity * SHORT), CANDIDATE_RADIUS)):
             if own.any():
@@ -420,7 +435,7 @@ def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"))
     nodes = marked.groupBy("node_id").agg(least.alias("least"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     nodes = common.durable(nodes.select(F.struct("least.last", "least.id", "least.text_key", "node_id").alias("node"), "node_id", "size", "fp", "bands"))
-    dealt = nodes.select("node_id", "size", "fp", F.explode("bands").alias("band")).repartition("band").select("band", "node_id", "size", "fp")
+    dealt = nodes.select("node_id", "size", "fp", F.explode("bands").alias("band")).repartition("band").select("band", "node_id", "size", "fp").sortWithinPartitions("band")
     candidates = components(dealt.mapInArrow(partial(_link_bands, similarity=similarity), "a long, b long"))
     groups = candidates.select(F.col("node").alias("node_id"), "root").unionByName(candidates.select(F.col("root").alias("node_id"), "root")).distinct()
     members = common.durable(nodes.select("node_id", "node", F.col("node.text_key").alias("text_key"), "size").join(groups, "node_id"))

@@ -527,6 +527,21 @@ def test_bit_slices_count_distances(words, monkeypatch):
     assert got.tolist() == [want[k] for k in range(400)]
 
 
+def test_buckets_stay_whole(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "BATCH_ROWS", 20)
+    rng = np.random.default_rng(1)
+    a, b = np.sort(rng.integers(0, 6, 200)), np.zeros(200, dtype=np.int64)
+    b[:] = np.concatenate([np.sort(rng.integers(0, 9, n)) for n in np.bincount(a)])
+    batches = [pa.RecordBatch.from_arrays([pa.array(x[k : k + 7]) for x in (a, b, np.arange(200))], names=["a", "b", "c"]) for k in range(0, 200, 7)]
+    parts = list(simhash._whole_buckets(iter(batches), 2))
+    assert np.concatenate([p[2] for p in parts]).tolist() == list(range(200)) and len(parts) > 5
+    buckets = [set(zip(p[0].tolist(), p[1].tolist())) for p in parts]
+    assert sum(map(len, buckets)) == len(set.union(*buckets))
+    assert list(simhash._whole_buckets(iter([]), 2)) == []
+
+
 def test_components_of_a_long_chain(spark):
     n = 400
     order = list(range(n))
