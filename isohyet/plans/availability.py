@@ -11,7 +11,7 @@ from isohyet.sources import cubes
 from .catalog import query
 from .sql import sql
 
-_Y1, _Y2 = 1996, 1999
+_Y1, _Y2 = 1995, 2001
 _GAPS = {
     "dense": f"SELECT s.station_id, t.date, o.value IS NULL AS gone FROM (SELECT DISTINCT station_id FROM obs) s CROSS JOIN (SELECT unnest(generate_series(DATE '{_Y1}-01-01', DATE '{_Y2}-12-31', INTERVAL 1 DAY))::DATE AS date) t LEFT JOIN obs o ON o.station_id = s.station_id AND o.date = t.date",
     "runs": "SELECT station_id, y, m, max(n) AS longest FROM (SELECT station_id, y, m, count(*) AS n FROM (SELECT station_id, year(date)::INT AS y, month(date)::INT AS m, gone, row_number() OVER (PARTITION BY station_id, year(date), month(date) ORDER BY date) - row_number() OVER (PARTITION BY station_id, year(date), month(date), gone ORDER BY date) AS g FROM dense) WHERE gone GROUP BY station_id, y, m, g) GROUP BY 1, 2, 3",

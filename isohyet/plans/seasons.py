@@ -69,7 +69,7 @@ def rain_season_length(spark, d):
     return rs.length(starts, durable(rs.reconcile(rs.end(pr, **_ENDS["max"]), starts)))
 
 
-@query(sql("pr", "SELECT p.location_id, p.year, CASE WHEN p.a IS NOT NULL AND p.b IS NOT NULL THEN floor((SELECT sum(pr) FROM n WHERE n.location_id = p.location_id AND n.year = p.year AND n.doy BETWEEN p.a AND p.b))::DOUBLE END AS value FROM pair p", **_start, **_ends_sql("max"), **_PAIR))
+@query(sql("pr", "SELECT p.location_id, p.year, CASE WHEN p.a IS NULL THEN NULL WHEN m.same AND p.b IS NOT NULL THEN (SELECT floor(sum(pr)) FROM n WHERE n.location_id = p.location_id AND n.year = p.year AND n.doy BETWEEN p.a AND p.b) WHEN NOT m.same AND p.nb IS NOT NULL THEN (SELECT floor(coalesce(sum(pr) FILTER (n.doy BETWEEN p.a AND 365), 0) + coalesce(sum(pr) FILTER (n.doy <= p.nb), 0)) FROM n WHERE n.location_id = p.location_id AND n.year = p.year) END::DOUBLE AS value FROM pair p JOIN (SELECT location_id, avg(a) <= avg(b) AS same FROM pair GROUP BY 1) m ON m.location_id = p.location_id", **_start, **_ends_sql("max"), **_PAIR))
 def rain_season_prcptot(spark, d):
     pr = cubes.precipitation(spark, d)
     starts = durable(rs.start(pr, **_START))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 _PARTS = {
-    "ship": "SELECT s.s_nationkey::INT AS location_id, l.l_shipdate::DATE AS date, l.* FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey WHERE l.l_shipdate::DATE BETWEEN DATE '1995-01-01' AND DATE '2000-12-31'",
+    "ship": "SELECT s.s_nationkey::INT AS location_id, l.l_shipdate::DATE AS date, l.* FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey",
     "cells": "SELECT n_nationkey::INT AS location_id, (n_nationkey % 5)::DOUBLE AS lon, (n_nationkey // 5)::DOUBLE AS lat FROM nation",
-    "days": "SELECT unnest(generate_series(DATE '1995-01-01', DATE '2000-12-31', INTERVAL 1 DAY))::DATE AS date",
+    "days": "SELECT unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY))::DATE AS date",
     "pr": "SELECT c.location_id, c.lon, c.lat, d.date, coalesce(x.pr, 0)::DOUBLE AS pr FROM cells c CROSS JOIN days d LEFT JOIN (SELECT location_id, date, sum(l_quantity) AS pr FROM ship GROUP BY ALL) x ON x.location_id = c.location_id AND x.date = d.date",
     "tas": "SELECT c.location_id, c.lon, c.lat, d.date, x.tasmax, x.tasmin FROM cells c CROSS JOIN days d LEFT JOIN (SELECT location_id, date, 15 + max(l_quantity) / 2 AS tasmax, min(l_quantity) / 2 AS tasmin FROM ship GROUP BY ALL) x ON x.location_id = c.location_id AND x.date = d.date",
     "wind": "SELECT location_id, date, (sum(l_linenumber)::BIGINT % 13 - 6)::DOUBLE AS u, (sum(l_partkey)::BIGINT % 13 - 6)::DOUBLE AS v FROM ship GROUP BY ALL",

@@ -92,9 +92,9 @@ def observations_dense(spark, d):
     return dense.groupBy("station_id").agg(F.count("value").alias("n"), F.count(F.lit(1)).alias("n_days"))
 
 
-@query(sql("", "SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, round(avg(value), 4) AS mean, round(sum(value), 4) AS sum, count(value)::BIGINT AS n FROM events GROUP BY 1, 2"))
+@query(sql("", "SELECT event_type, strftime(ts, '%Y-%m-%d') AS date, round(avg(value), 6) AS mean, round(sum(value), 4) AS sum, count(value)::BIGINT AS n FROM events GROUP BY 1, 2"))
 def daily_by_batch(spark, d):
     """The streaming aggregation, over the table as it stands; tests hold the stream itself against it."""
     events = cubes.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     found = aggregates.daily(events)
-    return found.select("event_type", F.col("date").cast("string").alias("date"), F.round("mean", 4).alias("mean"), F.round("sum", 4).alias("sum"), "n")
+    return found.select("event_type", F.col("date").cast("string").alias("date"), F.round("mean", 6).alias("mean"), F.round("sum", 4).alias("sum"), "n")

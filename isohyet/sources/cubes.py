@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIRST, LAST = "1995-01-01", "2000-12-31"
+#: The whole years that the tables' dates span.
+FIRST, LAST = "1995-01-01", "2001-12-31"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +28,9 @@ def days(places: DataFrame, first: str = FIRST, last: str = LAST) -> DataFrame:
 
 
 def shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem with the nation of its supplier as location_id and the ship date as date, inside the period."""
+    """All of lineitem with the nation of its supplier as location_id and the ship date as date."""
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("int").alias("location_id"))
-    items = table(spark, sf_dir, "lineitem").filter(F.col("l_shipdate").between(F.lit(FIRST).cast("timestamp_ntz"), F.lit(LAST + " 23:59:59").cast("timestamp_ntz")))
-    return items.join(supplier, "l_suppkey").withColumn("date", F.col("l_shipdate").cast("date"))
+    return table(spark, sf_dir, "lineitem").join(supplier, "l_suppkey").withColumn("date", F.col("l_shipdate").cast("date"))
 
 
 def precipitation(spark: SparkSession, sf_dir: str) -> DataFrame:
