@@ -10,11 +10,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet import model
 from isohyet.functions import physics
+from isohyet.session import durable
 
 from . import runs, select
 
@@ -33,8 +35,20 @@ def _year(df: DataFrame, agg: Column, keys: tuple[str, ...] = KEYS) -> DataFrame
 
 
 def reference_quantile(reference: DataFrame, value: str, q: float, places: int = 2) -> DataFrame:
-    """One row, threshold: a quantile over all days and cells of the reference, rounded."""
-    return reference.agg(F.round(F.percentile(value, q), places).alias("threshold"))
+    """One row, threshold: a quantile over all days and cells of the reference, rounded.
+
+    Exact, without all values in one task: equal values are counted before they are shuffled, ranges of them are summed,
+    and the quantile's rank, or the two around it, is looked up by running counts inside the ranges.
+    """
+    counts = reference.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    laid = durable(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
+    # one row a range
+    parts = laid.groupBy("part").agg(F.sum("n").alias("own")).select("part", F.coalesce(F.sum("own").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.sum("own").over(Window.partitionBy()).alias("all"))
+    running = laid.join(F.broadcast(parts), "part").withColumn("upto", F.col("base") + F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)))
+    at = F.lit(float(q)) * (F.col("all") - 1)
+    low, high = (F.min(F.when(F.col("upto") > f(at), F.col("v"))) for f in (F.floor, F.ceil))
+    found = running.agg(low.alias("low"), high.alias("high"), F.max(at - F.floor(at)).alias("over"))
+    return found.select(F.round(F.col("low") * (1 - F.col("over")) + F.col("high") * F.col("over"), places).alias("threshold"))
 
 
 def reference_total_quantile(reference: DataFrame, value: str, q: float, places: int = 2) -> DataFrame:
@@ -205,54 +219,73 @@ _EQUATOR = (1.4,) * 12
 DROUGHT_START = 15.0
 
 
-def drought_step(code: float, temperature: float, rain: float, factor: float) -> float:
-    """One day of the Canadian drought code (Van Wagner 1987): rain above 2.8 mm wets, warmth dries."""
-    if rain > 2.8:
-        effective = 0.83 * rain - 1.27
-        moisture = 800.0 * np.exp(-code / 400.0)
-        code = max(0.0, code - 400.0 * np.log(1.0 + 3.937 * effective / moisture))
-    return code + max(0.0, 0.36 * (max(temperature, -2.8) + 2.8) + factor) * 0.5
+def drought_step(code: np.ndarray, temperature: np.ndarray, rain: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    """One day of the Canadian drought code (Van Wagner 1987) of many cells: rain above 2.8 mm wets, warmth dries."""
+    effective = np.maximum(0.83 * rain - 1.27, 0.0)
+    moisture = 800.0 * np.exp(-code / 400.0)
+    wetted = np.maximum(0.0, code - 400.0 * np.log(1.0 + 3.937 * effective / moisture))
+    dried = np.maximum(0.0, 0.36 * (np.maximum(temperature, -2.8) + 2.8) + factor) * 0.5
+    return np.where(rain > 2.8, wetted, code) + dried
 
 
 def drought_code(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Annual mean of the daily drought code of tas (C), pr (mm) at lat.
 
-    A recursion over the days of a cell: cells are dealt by hash and each one's days are read in order, batch by batch, so
-    memory does not grow with the length of a series. A day with a missing value keeps the code.
+    A recursion over the days of a cell: cells are dealt by hash, each task reads its cells' days in order of dates, and
+    takes a day of all its cells at once. It holds a few numbers for each of its cells, however long the series. A day with
+    a missing value keeps the code; a cell has one row a day at most.
     """
-    dtype = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keys) + ", year int, value double"
+    keyed = df.select(F.xxhash64(*keys).alias("cell"), *keys, "date", "tas", "pr", "lat")
+    named = keyed.select(*keys).schema.fields
+    out_schema = pa.schema([pa.field("cell", pa.int64()), ("year", pa.int32()), ("value", pa.float64())])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, code, year, total, n, out = None, DROUGHT_START, None, 0.0, 0, []
+        cells = np.empty(0, dtype=np.int64)
+        code = total = np.empty(0)
+        n = np.empty(0, dtype=np.int64)
+        year = None
+
+        def close() -> pa.RecordBatch:
+            had = np.flatnonzero(n)
+            return pa.RecordBatch.from_arrays([pa.array(cells[had]), pa.array(np.full(len(had), year), pa.int32()), pa.array(total[had] / n[had])], schema=out_schema)
+
         for batch in batches:
-            names = batch.schema.names
-            columns = {name: batch.column(k).to_pylist() for k, name in enumerate(names)}
-            for row in range(batch.num_rows):
-                key, day = tuple(columns[k][row] for k in keys), columns["date"][row]
-                if (key, day.year) != (at, year):
-                    if n:
-                        out.append((*at, year, total / n))
-                    code = code if key == at else DROUGHT_START
-                    at, year, total, n = key, day.year, 0.0, 0
-                t, r, lat = columns["tas"][row], columns["pr"][row], columns["lat"][row]
-                if t is not None and r is not None:
-                    table = _NORTH if lat > 20 else _SOUTH if lat < -20 else _EQUATOR
-                    code = drought_step(code, t, r, table[day.month - 1])
-                total, n = total + code, n + 1
-        if n:
-            out.append((*at, year, total / n))
-        if out:
-            yield pa.RecordBatch.from_pylist([dict(zip((*keys, "year", "value"), x)) for x in out], schema=pa.schema([*(pa.field(k, batch.schema.field(k).type) for k in keys), ("year", pa.int32()), ("value", pa.float64())]))
-
-    ordered = df.select(*keys, "date", "tas", "pr", "lat").repartition(*keys).sortWithinPartitions(*keys, "date")
-    return ordered.mapInArrow(walk, dtype)
+            own, days = batch.column(0).to_numpy(), batch.column(1).cast(pa.int32()).to_numpy()
+            years, months = (np.asarray(pc.year(batch.column(1))), np.asarray(pc.month(batch.column(1))))
+            tas, pr, lat = (batch.column(k).to_numpy(zero_copy_only=False).astype(float) for k in (2, 3, 4))
+            cuts = np.r_[0, np.flatnonzero(np.diff(days)) + 1, len(days)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if years[a] != year:
+                    if year is not None:
+                        yield close()
+                        total, n = np.zeros(len(cells)), np.zeros(len(cells), dtype=np.int64)
+                    year = int(years[a])
+                fresh = np.setdiff1d(own[a:b], cells)
+                if len(fresh):
+                    order = np.argsort(np.r_[cells, fresh], kind="stable")
+                    grown = [np.r_[x, np.full(len(fresh), v, dtype=x.dtype)][order] for x, v in ((cells, 0), (code, DROUGHT_START), (total, 0), (n, 0))]
+                    cells, code, total, n = np.sort(np.r_[cells, fresh]), *grown[1:]
+                at = np.searchsorted(cells, own[a:b])
+                t, r, month = tas[a:b], pr[a:b], months[a] - 1
+                factor = np.where(lat[a:b] > 20, _NORTH[month], np.where(lat[a:b] < -20, _SOUTH[month], _EQUATOR[month]))
+                known = ~(np.isnan(t) | np.isnan(r))
+                code[at[known]] = drought_step(code[at[known]], t[known], r[known], factor[known])
+                total[at] += code[at]
+                n[at] += 1
+        if year is not None:
+            yield close()
+
+    ordered = keyed.select("cell", "date", "tas", "pr", "lat").repartition("cell").sortWithinPartitions("date", "cell")
+    found = ordered.mapInArrow(walk, "cell long, year int, value double")
+    names = keyed.select("cell", *(f.name for f in named)).distinct()
+    return found.join(names, "cell").select(*keys, "year", "value")
 
 
 # --- after an index --------------------------------------------------------------------------------------------------
 
 
-def fill_and_mask(index: DataFrame, land: DataFrame, value: str = "value") -> DataFrame:
-    """Cells that are no land become NULL, as select.valid_cells finds them."""
+def mask_index(index: DataFrame, land: DataFrame, value: str = "value") -> DataFrame:
+    """Cells that are no land become NULL, as select.valid_cells finds them; annual.postprocess() fills before it masks."""
     return select.apply_mask(index, land, value)
 
 

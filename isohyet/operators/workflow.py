@@ -7,17 +7,15 @@ of one row that every simulation is joined to.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.functions import physics
 
-from . import indices, quantile_mapping, resample, select
+from . import annual, quantile_mapping, resample, select
 
-SIM_KEYS = ("sim_code", "location_id")
+SIM_KEYS = annual.SIM_KEYS
 
 #: Variables that are amounts: their annual value is a sum and their bias a ratio.
 SUMMABLE = ("pr", "evspsbl", "evspsblpot")
@@ -72,70 +70,14 @@ def scenario(reference: DataFrame, simulations: DataFrame, value: str, var: str,
     return quantile_mapping.predict(sims, factors, value, nq, kind, "doy", SIM_KEYS)
 
 
-@dataclass(frozen=True)
-class Index:
-    """An index by name: its function, the variables it reads, and how many parameters may be percentiles such as "90p"."""
-
-    run: Callable[..., DataFrame]
-    needs: tuple[str, ...]
-
-
-INDICES = {
-    "txdaysabove": Index(lambda df, t, a=-1, b=-1, keys=SIM_KEYS: indices.days_above(df, "tasmax", t, a, b, keys), ("tasmax",)),
-    "tndaysbelow": Index(lambda df, t, a=-1, b=-1, keys=SIM_KEYS: indices.days_below(df, "tasmin", t, a, b, keys), ("tasmin",)),
-    "tngmonthsbelow": Index(lambda df, t, keys=SIM_KEYS: indices.months_below(df, "tasmin", t, keys), ("tasmin",)),
-    "hotspellfreq": Index(lambda df, t, w, keys=SIM_KEYS: indices.hot_spell_frequency(df, "tasmax", t, w, keys), ("tasmax",)),
-    "hotspellmaxlen": Index(lambda df, t, w, keys=SIM_KEYS: indices.hot_spell_max_length(df, "tasmax", t, w, keys), ("tasmax",)),
-    "hotspelltotlen": Index(lambda df, t, w, keys=SIM_KEYS: indices.hot_spell_total_length(df, "tasmax", t, w, keys), ("tasmax",)),
-    "heatwavemaxlen": Index(lambda df, n, x, w, keys=SIM_KEYS: indices.heat_wave_max_length(df, n, x, w, keys), ("tasmin", "tasmax")),
-    "heatwavetotlen": Index(lambda df, n, x, w, keys=SIM_KEYS: indices.heat_wave_total_length(df, n, x, w, keys), ("tasmin", "tasmax")),
-    "txg": Index(lambda df, keys=SIM_KEYS: indices.annual_mean(df, "tasmax", keys), ("tasmax",)),
-    "txx": Index(lambda df, keys=SIM_KEYS: indices.annual_max(df, "tasmax", keys), ("tasmax",)),
-    "tng": Index(lambda df, keys=SIM_KEYS: indices.annual_mean(df, "tasmin", keys), ("tasmin",)),
-    "tnx": Index(lambda df, keys=SIM_KEYS: indices.annual_max(df, "tasmin", keys), ("tasmin",)),
-    "tgg": Index(lambda df, keys=SIM_KEYS: indices.mean_temperature(df, keys), ("tasmin", "tasmax")),
-    "etr": Index(lambda df, keys=SIM_KEYS: indices.extreme_range(df, keys), ("tasmin", "tasmax")),
-    "tropicalnights": Index(lambda df, t, keys=SIM_KEYS: indices.tropical_nights(df, t, keys), ("tasmin",)),
-    "rx1day": Index(lambda df, keys=SIM_KEYS: indices.max_amount(df, 1, keys), ("pr",)),
-    "rx5day": Index(lambda df, keys=SIM_KEYS: indices.max_amount(df, 5, keys), ("pr",)),
-    "prcptot": Index(lambda df, a=-1, b=-1, keys=SIM_KEYS: indices.total_amount(df, a, b, keys), ("pr",)),
-    "cwd": Index(lambda df, t, keys=SIM_KEYS: indices.consecutive_wet_days(df, t, keys), ("pr",)),
-    "cdd": Index(lambda df, t, keys=SIM_KEYS: indices.consecutive_dry_days(df, t, keys), ("pr",)),
-    "wetdays": Index(lambda df, low, high=None, keys=SIM_KEYS: indices.wet_days(df, low, high, keys), ("pr",)),
-    "r10mm": Index(lambda df, keys=SIM_KEYS: indices.wet_days(df, 10.0, None, keys), ("pr",)),
-    "r20mm": Index(lambda df, keys=SIM_KEYS: indices.wet_days(df, 20.0, None, keys), ("pr",)),
-    "drydays": Index(lambda df, t, keys=SIM_KEYS: indices.dry_days(df, t, keys), ("pr",)),
-    "sdii": Index(lambda df, t, keys=SIM_KEYS: indices.daily_intensity(df, t, True, keys), ("pr",)),
-    "dryspelltotlen": Index(lambda df, t, w, op="sum", a=-1, b=-1, keys=SIM_KEYS: indices.dry_spell_total_length(df, t, w, op, a, b, keys), ("pr",)),
-    "wgdaysabove": Index(lambda df, s, d=None, tol=0.0, a=-1, b=-1, keys=SIM_KEYS: indices.strong_wind_days(df, s, d, tol, a, b, keys=keys), ("vv", "dd")),
-    "wxdaysabove": Index(lambda df, s, d=None, tol=0.0, a=-1, b=-1, keys=SIM_KEYS: indices.strong_wind_days(df, s, d, tol, a, b, keys=keys), ("vv", "dd")),
-    "droughtcode": Index(lambda df, keys=SIM_KEYS: indices.drought_code(df, keys), ("tas", "pr", "lat")),
-}
-
-
-def threshold_of(reference: DataFrame, value: str, parameter: float | str) -> float:
-    """A parameter as a number: one such as "90p" is that percentile of the reference, rounded to 2 places.
-
-    One number comes to the driver, so that it can be written into every plan as a literal.
-    """
-    if not isinstance(parameter, str):
-        return float(parameter)
-    return float(indices.reference_quantile(reference, value, float(parameter.rstrip("p")) / 100).first()[0])
-
-
 def run_index(name: str, daily: DataFrame, *parameters, reference: DataFrame | None = None, keys: tuple[str, ...] = SIM_KEYS) -> DataFrame:
     """idx, keys, year, value of an index over all simulations; percentile parameters are of the index's first variable."""
-    index = INDICES[name]
-    absent = [v for v in index.needs if v not in daily.columns]
-    if absent:
-        raise ValueError(f"{name} needs {absent}")
-    fixed = [threshold_of(reference, index.needs[0], p) if isinstance(p, str) and p.endswith("p") and p[:-1].isdigit() else p for p in parameters]
-    return index.run(daily, *fixed, keys=keys).select(F.lit(name).alias("idx"), *keys, "year", F.col("value").cast("double").alias("value"))
+    return annual.indices_of([(name, *parameters)], daily, reference, keys)
 
 
 def run_indices(runs: list[tuple], daily: DataFrame, reference: DataFrame | None = None, keys: tuple[str, ...] = SIM_KEYS) -> DataFrame:
-    """Several indices, each (name, *parameters), one below the other."""
-    return reduce(DataFrame.unionByName, (run_index(name, daily, *p, reference=reference, keys=keys) for name, *p in runs))
+    """Several indices, each (name, *parameters), from one pass over the days (see annual.indices_of)."""
+    return annual.indices_of(runs, daily, reference, keys)
 
 
 def made(spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False) -> DataFrame:

@@ -124,7 +124,13 @@ def etr(spark, d):
     return ix.extreme_range(_tas(spark, d))
 
 
-@query()
+_DRIED = "greatest(0, 0.36 * (greatest(x.t, -2.8) + 2.8) + 1.4) * 0.5"
+_WETTED = "greatest(0, d.code - 400 * ln(1 + 3.937 * (0.83 * x.r - 1.27) / (800 * exp(-d.code / 400))))"
+
+
+@query("WITH RECURSIVE " + sql("tas pr", f"SELECT location_id, year(date)::INT AS year, round(avg(code), 6) AS value FROM d WHERE rn > 0 GROUP BY 1, 2",
+           x="SELECT tas.location_id, tas.date, (tasmin::DOUBLE + tasmax::DOUBLE) / 2 AS t, pr::DOUBLE AS r, row_number() OVER (PARTITION BY tas.location_id ORDER BY tas.date) AS rn FROM tas JOIN pr ON pr.location_id = tas.location_id AND pr.date = tas.date",
+           d=f"SELECT DISTINCT location_id, NULL::DATE AS date, 0::BIGINT AS rn, 15::DOUBLE AS code FROM x UNION ALL SELECT x.location_id, x.date, x.rn, CASE WHEN x.t IS NULL OR x.r IS NULL THEN d.code ELSE CASE WHEN x.r > 2.8 THEN {_WETTED} ELSE d.code END + {_DRIED} END FROM d JOIN x ON x.location_id = d.location_id AND x.rn = d.rn + 1").removeprefix("WITH "))
 def drought_code(spark, d):
     both = _tas(spark, d).withColumn("tas", (F.col("tasmin") + F.col("tasmax")) / 2).join(_pr(spark, d).select("location_id", "date", "pr"), ["location_id", "date"])
     return ix.drought_code(both).withColumn("value", F.round("value", 6))
@@ -263,7 +269,7 @@ def first_doy(spark, d):
 def index_masked(spark, d):
     pr = _pr(spark, d)
     land = pr.groupBy("location_id").agg(F.max("pr").alias("m")).filter("m >= 150")
-    return ix.fill_and_mask(ix.max_amount(pr), land)
+    return ix.mask_index(ix.max_amount(pr), land)
 
 
 @query(sql("wind", f"SELECT {_KEY}, round(max(sqrt(u * u + v * v)), 6) AS value FROM wind GROUP BY 1, 2"))

@@ -14,9 +14,9 @@ from .sql import sql
 
 _FIRST, _LAST = model.doy_of("03-01"), model.doy_of("12-31")
 _END_FIRST, _END_LAST = model.doy_of("09-01"), model.doy_of("12-31")
-_START = {"wet_amount": 110.0, "wet_window": 3, "dry_threshold": 12.0, "dry_days": 4, "dry_window": 12, "first": _FIRST, "last": _LAST}
+START = {"wet_amount": 110.0, "wet_window": 3, "dry_threshold": 12.0, "dry_days": 4, "dry_window": 12, "first": _FIRST, "last": _LAST}
 _RATE, _ETP = 35.0, 70.0
-_ENDS = {"max": {"op": "max", "threshold": 40.0, "window": 4, "first": _END_FIRST, "last": _END_LAST}, "sum": {"op": "sum", "threshold": 60.0, "window": 4, "first": _END_FIRST, "last": _END_LAST}, "etp": {"op": "etp", "threshold": _ETP, "window": 4, "rate": _RATE, "first": _END_FIRST, "last": _END_LAST}}
+ENDS = {"max": {"op": "max", "threshold": 40.0, "window": 4, "first": _END_FIRST, "last": _END_LAST}, "sum": {"op": "sum", "threshold": 60.0, "window": 4, "first": _END_FIRST, "last": _END_LAST}, "etp": {"op": "etp", "threshold": _ETP, "window": 4, "rate": _RATE, "first": _END_FIRST, "last": _END_LAST}}
 
 _N = "SELECT location_id, date, pr, year(date)::INT AS year, dayofyear(date)::INT AS doy, row_number() OVER (PARTITION BY location_id ORDER BY date) AS rn FROM pr"
 _YEARS = "SELECT DISTINCT location_id, year FROM n"
@@ -44,38 +44,46 @@ def _ends_sql(op: str) -> dict[str, str]:
 
 @query(sql("pr", "SELECT location_id, year, value::INT AS value FROM starts", **_start))
 def rain_season_start(spark, d):
-    return rs.start(cubes.precipitation(spark, d), **_START)
+    return rs.start(cubes.precipitation(spark, d), **START)
 
 
 def _end(op):
     def run(spark, d):
         pr = cubes.precipitation(spark, d)
-        return rs.reconcile(rs.end(pr, **_ENDS[op]), rs.start(pr, **_START))
+        return rs.reconcile(rs.end(pr, **ENDS[op]), rs.start(pr, **START))
 
     return run
 
 
-for _op in _ENDS:
+for _op in ENDS:
     query(sql("pr", "SELECT location_id, year, value::INT AS value FROM ends", **_start, **_ends_sql(_op)), f"rain_season_end_{_op}")(_end(_op))
 
 
 _PAIR = {"pair": "SELECT s.location_id, s.year, s.value AS a, e.value AS b, lead(e.value) OVER (PARTITION BY s.location_id ORDER BY s.year) AS nb FROM starts s JOIN ends e ON e.location_id = s.location_id AND e.year = s.year"}
 
 
-@query(sql("pr", "SELECT location_id, year, greatest(CASE WHEN (SELECT avg(a) <= avg(b) FROM pair) THEN b - a + 1 ELSE 365 - a + nb + 1 END, 0)::INT AS value FROM pair".replace("greatest(CASE", "CASE WHEN a IS NULL OR (CASE WHEN (SELECT avg(a) <= avg(b) FROM pair) THEN b ELSE nb END) IS NULL THEN NULL ELSE greatest(CASE").replace("END, 0)::INT", "END, 0)::INT END"), **_start, **_ends_sql("max"), **_PAIR))
+LENGTH = "SELECT location_id, year, greatest(CASE WHEN (SELECT avg(a) <= avg(b) FROM pair) THEN b - a + 1 ELSE 365 - a + nb + 1 END, 0)::INT AS value FROM pair".replace("greatest(CASE", "CASE WHEN a IS NULL OR (CASE WHEN (SELECT avg(a) <= avg(b) FROM pair) THEN b ELSE nb END) IS NULL THEN NULL ELSE greatest(CASE").replace("END, 0)::INT", "END, 0)::INT END")
+AMOUNT = "SELECT p.location_id, p.year, CASE WHEN p.a IS NULL THEN NULL WHEN m.same AND p.b IS NOT NULL THEN (SELECT floor(sum(pr)) FROM n WHERE n.location_id = p.location_id AND n.year = p.year AND n.doy BETWEEN p.a AND p.b) WHEN NOT m.same AND p.nb IS NOT NULL THEN (SELECT floor(coalesce(sum(pr) FILTER (n.doy BETWEEN p.a AND 365), 0) + coalesce(sum(pr) FILTER (n.doy <= p.nb), 0)) FROM n WHERE n.location_id = p.location_id AND n.year = p.year) END::DOUBLE AS value FROM pair p JOIN (SELECT location_id, avg(a) <= avg(b) AS same FROM pair GROUP BY 1) m ON m.location_id = p.location_id"
+
+
+def season_sql(query_: str, op: str) -> str:
+    return sql("pr", query_, **_start, **_ends_sql(op), **_PAIR)
+
+
+@query(season_sql(LENGTH, "max"))
 def rain_season_length(spark, d):
     pr = cubes.precipitation(spark, d)
-    starts = durable(rs.start(pr, **_START))
-    return rs.length(starts, durable(rs.reconcile(rs.end(pr, **_ENDS["max"]), starts)))
+    starts = durable(rs.start(pr, **START))
+    return rs.length(starts, durable(rs.reconcile(rs.end(pr, **ENDS["max"]), starts)))
 
 
-@query(sql("pr", "SELECT p.location_id, p.year, CASE WHEN p.a IS NULL THEN NULL WHEN m.same AND p.b IS NOT NULL THEN (SELECT floor(sum(pr)) FROM n WHERE n.location_id = p.location_id AND n.year = p.year AND n.doy BETWEEN p.a AND p.b) WHEN NOT m.same AND p.nb IS NOT NULL THEN (SELECT floor(coalesce(sum(pr) FILTER (n.doy BETWEEN p.a AND 365), 0) + coalesce(sum(pr) FILTER (n.doy <= p.nb), 0)) FROM n WHERE n.location_id = p.location_id AND n.year = p.year) END::DOUBLE AS value FROM pair p JOIN (SELECT location_id, avg(a) <= avg(b) AS same FROM pair GROUP BY 1) m ON m.location_id = p.location_id", **_start, **_ends_sql("max"), **_PAIR))
+@query(season_sql(AMOUNT, "max"))
 def rain_season_prcptot(spark, d):
     pr = cubes.precipitation(spark, d)
-    starts = durable(rs.start(pr, **_START))
-    return rs.amount(pr, starts, durable(rs.reconcile(rs.end(pr, **_ENDS["max"]), starts)))
+    starts = durable(rs.start(pr, **START))
+    return rs.amount(pr, starts, durable(rs.reconcile(rs.end(pr, **ENDS["max"]), starts)))
 
 
-@query(sql("pr", "SELECT location_id, year, a::INT AS start, b::INT AS \"end\" FROM pair", **_start, **_ends_sql("sum"), **_PAIR))
+@query(season_sql("SELECT location_id, year, a::INT AS start, b::INT AS \"end\" FROM pair", "sum"))
 def rain_season_chain(spark, d):
-    return rs.season(cubes.precipitation(spark, d), _START, _ENDS["sum"]).select("location_id", "year", F.col("start"), F.col("end"))
+    return rs.season(cubes.precipitation(spark, d), START, ENDS["sum"]).select("location_id", "year", F.col("start"), F.col("end"))

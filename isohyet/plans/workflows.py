@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from isohyet import model
 from isohyet.operators import availability, grid, select, workflow
 from isohyet.sources import cubes
 from isohyet.streaming import aggregates
 
-from .catalog import query
+from . import indices, seasons
+from .catalog import ORACLE_SQL, query
 from .sql import runs_sql, sql
 
 _KEY = "sim_code, location_id, year(date)::INT AS year"
@@ -24,6 +26,47 @@ def index_of_percentile(spark, d):
     return workflow.run_index("wetdays", cubes.simulations(spark, d), "90p", reference=cubes.reference(spark, d))
 
 
+_DOY = model.doy_of
+#: Each index as asked for, under the name of the query whose SQL it is held against.
+_ALL = [
+    ("txdaysabove", 38.0, _DOY("03-01"), _DOY("11-30"), {"as": "tx_days_above"}), ("tx90p", "90p", {"as": "tx90p"}), ("tndaysbelow", 3.0, _DOY("12-01"), _DOY("02-28"), {"as": "tn_days_below"}),
+    ("tngmonthsbelow", 12.0, {"as": "tng_months_below"}), ("hotspellfreq", 30.0, 3, {"as": "hot_spell_frequency"}), ("hotspellmaxlen", 30.0, 3, {"as": "hot_spell_max_length"}), ("hotspelltotlen", 30.0, 3, {"as": "hot_spell_total_length"}),
+    ("wsdi", 2), ("heatwavemaxlen", 2.0, 30.0, 2, {"as": "heat_wave_max_length"}), ("heatwavetotlen", 2.0, 30.0, 2, {"as": "heat_wave_total_length"}), ("txg",), ("txx",), ("tng",), ("tnx",), ("tgg",), ("etr",),
+    ("tropicalnights", 5.0, {"as": "tropical_nights"}), ("droughtcode", {"as": "drought_code"}), ("rx1day",), ("rx5day",), ("prcptot", _DOY("06-01"), _DOY("10-31")), ("cwd", 20.0), ("cdd", 20.0), ("wetdays", 1.0, {"as": "wet_days"}),
+    ("wetdays", 10.0, 20.0, {"as": "wet_days_between"}), ("r10mm",), ("r20mm",), ("drydays", 1.0, {"as": "dry_days"}), ("sdii", 1.0), ("dryspelltotlen", 20.0, 5, "max", {"as": "dry_spell_max"}),
+    ("dryspelltotlen", 60.0, 5, "sum", _DOY("03-01"), _DOY("11-30"), {"as": "dry_spell_sum_season"}), ("wxdaysabove", 3.0, {"as": "wx_days_above"}), ("wgdaysabove", 3.0, 180.0, 45.0, {"as": "wg_days_above"}),
+    ("rainstart", seasons.START, {"as": "rain_season_start"}), ("rainend", seasons.START, seasons.ENDS["max"], {"as": "rain_season_end_max"}), ("rainlength", seasons.START, seasons.ENDS["max"], {"as": "rain_season_length"}),
+    ("rainamount", seasons.START, seasons.ENDS["max"], {"as": "rain_season_prcptot"}), ("rainseason", seasons.START, seasons.ENDS["sum"]),
+]
+#: The reference of one call is the same for all its indices, so these can't have a shorter one.
+_OWN_SQL = {
+    "tx90p": indices._count("tas", "tasmax > (SELECT round(quantile_cont(tasmax::DOUBLE, 0.9), 2) FROM tas)"),
+    "wsdi": ORACLE_SQL["wsdi"].replace("WHERE year(date) <= 1997 ", ""),
+}
+#: Every year with days has a row here, also where no day has wind.
+_OWN_SQL |= {k: sql("tas", f"SELECT y.location_id, y.year, coalesce(x.value, 0) AS value FROM (SELECT DISTINCT location_id, year(date)::INT AS year FROM tas) y LEFT JOIN ({ORACLE_SQL[k]}) x ON x.location_id = y.location_id AND x.year = y.year") for k in ("wx_days_above", "wg_days_above")}
+
+
+def _all_sql() -> str:
+    labels = [x[-1]["as"] if isinstance(x[-1], dict) and "as" in x[-1] else x[0] for x in _ALL]
+    parts = {label: _OWN_SQL.get(label) or ORACLE_SQL[label] for label in labels if label != "rainseason"}
+    chain = "SELECT location_id, year, a AS value FROM pair", "SELECT location_id, year, b AS value FROM pair", seasons.LENGTH, seasons.AMOUNT
+    parts |= {f"rainseason_{c}": seasons.season_sql(q, "sum") for c, q in zip(("start", "end", "length", "amount"), chain, strict=True)}
+    return " UNION ALL ".join(f"SELECT '{label}' AS idx, location_id, year::INT AS year, round(value::DOUBLE, 6) AS value FROM ({q})" for label, q in parts.items())
+
+
+def _every_variable(spark, d):
+    wind = cubes.wind(spark, d).select("location_id", "date", F.abs("u").alias("vv"), ((F.col("v") + 6) * 30).alias("dd"))
+    return cubes.temperature(spark, d).withColumn("tas", (F.col("tasmin") + F.col("tasmax")) / 2).join(cubes.precipitation(spark, d).select("location_id", "date", "pr"), ["location_id", "date"]).join(wind, ["location_id", "date"], "left")
+
+
+@query(_all_sql())
+def all_indices(spark, d):
+    daily = _every_variable(spark, d)
+    found = workflow.run_indices(_ALL, daily, reference=daily, keys=("location_id",))
+    return found.select("idx", "location_id", "year", F.round("value", 6).alias("value"))
+
+
 _Q = "[0.0001::DOUBLE, 0.125::DOUBLE, 0.375::DOUBLE, 0.625::DOUBLE, 0.875::DOUBLE, 0.9999::DOUBLE]"
 _PLAIN = "NOT (month(date) = 2 AND day(date) = 29)"
 
