@@ -14,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet import model
@@ -227,7 +227,7 @@ def _fused(wanted: list[tuple], days: DataFrame, reference: DataFrame | None, ke
             first.update(plan.first)
         for c, condition in plan.run_of.items():
             plain[f"{c}_ok"] = F.coalesce(condition, F.lit(False))
-            breaks[c] = F.max(F.when(~F.col(f"{c}_ok"), F.col("place")).when(F.col("opens"), F.col("place") - 1)).over(w.rowsBetween(-(1 << 31) + 1, 0))
+            breaks[c] = F.max(F.when(~F.col(f"{c}_ok"), F.col("place")).when(F.col("opens"), F.col("place") - 1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
         values.append(F.struct(F.lit(label).alias("idx"), plan.value.cast("double").alias("value")))
     if breaks:
         first |= {"place": F.row_number().over(w), "opens": F.coalesce(F.year("date") != F.year(F.lag("date").over(w)), F.lit(True))}
