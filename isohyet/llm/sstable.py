@@ -202,11 +202,12 @@ class Reader:
 _MANIFEST_DDL = "shard int, path string, n_documents long, n_ids long"
 
 
-def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, width: int) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, width: int, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
     coder, end = tokens.encoder(vocabulary, width), tokens.END_ID.to_bytes(width, "little")
     for batch in batches:
         ids = [coder.encode(x.as_py()) + end for x in common.utf8(batch.column(2))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary())], names=["doc_id", "mark", "ids"])
+        part = np.searchsorted(bounds, batch.column(0).fill_null(-(1 << 63)).to_numpy(), "left")
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(part, pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "mark", "part", "ids"])
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, width: int) -> Iterator[pa.RecordBatch]:
@@ -232,13 +233,19 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, width: int = 2)
 
     Null texts are empty; every document ends with the end id. Null ids come first, repeated ids stay side by side in
     order of a hash of their texts; a very long text is one entry, in a block of its own size. An empty table writes no
-    shard. Only doc_id and text are read. The manifest: shard (ascending with the ids), path, n_documents, n_ids. Texts
-    are encoded where they are read; ids are shuffled, of `width` bytes each.
+    shard. Only doc_id and text are read. The manifest: shard (ascending with the ids), path, n_documents, n_ids. There
+    are as many shards as the input has partitions, cut at quantiles of doc_id, the numbers that the driver holds; texts
+    are encoded once, where they are read, and ids are shuffled, of `width` bytes each.
     """
+    shards = docs.rdd.getNumPartitions()
+    own = docs.select(F.col("doc_id").cast("long"))
+    cuts = own.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], 100 * shards)).first()[0] if shards > 1 else None
+    bounds = np.array(cuts or [], dtype=np.int64)
     text = common.text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    encoded = common.stored(rows.mapInArrow(partial(_encode, vocabulary=vocabulary, width=width), "doc_id long, mark long, ids binary"), "token-ids")
-    return common.durable(encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "mark").select("doc_id", "ids").mapInArrow(partial(_write, folder=folder, width=width), _MANIFEST_DDL))
+    encoded = rows.mapInArrow(partial(_encode, vocabulary=vocabulary, width=width, bounds=bounds), "doc_id long, mark long, part int, ids binary")
+    dealt = encoded.repartitionById(shards, F.col("part")).sortWithinPartitions("doc_id", "mark").select("doc_id", "ids")
+    return common.durable(dealt.mapInArrow(partial(_write, folder=folder, width=width), _MANIFEST_DDL))
 
 
 _READ_DDL = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"
