@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -101,3 +103,10 @@ def utf8(column: pa.ChunkedArray | pa.Array) -> pa.Array:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return pc.fill_null(column.cast(pa.large_string()), "")
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers stay for later stages, and should not keep what this one needed."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)

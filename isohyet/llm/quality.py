@@ -211,6 +211,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: AdditiveModel, name: str) -
     for batch in batches:
         found = model.score(feature_matrix(common.utf8(batch.column(batch.schema.get_field_index("text")))))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
+    common.give_back()
 
 
 def score(docs: DataFrame, model: AdditiveModel) -> DataFrame:

@@ -333,6 +333,7 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator
             sizes.append(len(hashes))
         columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node_id", "size", "fp", "bands"])
+    common.give_back()
 
 
 #: As _NODE, ties by the least hash of a text.
@@ -347,6 +348,7 @@ def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
         for own, radius in ((size <= SHORT, SHORT_RADIUS), (size >= int(similarity * SHORT), CANDIDATE_RADIUS)):
             if own.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in _linked(band[own], node[own], fps[own], radius)], names=["a", "b"])
+    common.give_back()
 
 
 def similar_pairs(group: np.ndarray, sets: list[np.ndarray], similarity: float) -> Pairs:
@@ -415,6 +417,7 @@ def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity:
             held += len(sets[-1])
     if nodes:
         yield from links()
+    common.give_back()
 
 
 def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -29,8 +29,6 @@ for equal wrongly: 4e-5 for the 2.5e12 contexts of 100 TB. Comparing their bytes
 
 from __future__ import annotations
 
-import contextlib
-import ctypes
 import hashlib
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -317,11 +315,8 @@ def _by_file(files: np.ndarray, records: np.ndarray, kind: int, bucket: int = 0)
 
 
 def _give_back() -> None:
-    """Return freed memory to the system: workers stay for later stages, and should not keep what this one needed."""
     _powers.cache_clear()
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # where the C library has it
-        ctypes.CDLL(None).malloc_trim(0)
+    common.give_back()
 
 
 def _edges(records: np.ndarray, files: np.ndarray) -> np.ndarray:

@@ -108,7 +108,7 @@ def test_run(spark, sf_dir, kept):
 
 #: Names that stages and operators give to their own columns.
 TAKEN = [
-    "quality_score", "cut_spans", "mix_mark", "mix_shards", "mix_copy", "mix_shard", "near_doc", "near_text", "own_text", "near_dropped", "kept_id", "kept_key", "text_key", "fp", "bands", "node", "root",
+    "quality_score", "cut_spans", "mix_mark", "mix_shards", "mix_copy", "mix_shard", "near_row", "near_kept", "kept_id", "kept_key", "text_key", "fp", "bands", "node", "root",
     "component_id", "size", "block", "blocks", "mark", "shards", "score", "shard", "file", "blob", "bucket", "start", "length", "worker", "slot", "x", "path", "Mix_Mark_", "quality_score_",
 ]
 
