@@ -28,12 +28,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     id and text are copies, and one of them stays, whichever its other columns. Null texts are copies of empty ones. Other
     columns pass unchanged, whatever their names; an empty table stays empty. Very long texts are compared whole.
     """
-    doc, text, key, dropped = (common.fresh(docs.columns, x) for x in ("near_doc", "near_text", "own_text", "near_dropped"))
-    # a row for each id and text
+    own, kept = common.fresh(docs.columns, "near_row"), common.fresh(docs.columns, "near_kept")
+    row = lambda doc_id, key, name: F.struct(doc_id.cast("long").alias("doc_id"), key.alias("text_key")).alias(name)  # noqa: E731  equal where both are, nulls too
     groups = simhash.similar_documents(docs, shingle_words=5, similarity=0.8)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))).select(F.col("doc_id").alias(doc), F.col("text_key").alias(text)).distinct()
-    rows = docs.withColumn(key, F.xxhash64(common.text_or_empty())).join(kept, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(text)), "left_semi")
-    return rows.dropDuplicates(["doc_id", key]).select(docs.columns)  # ids and texts repeat in copies of a row only
+    firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))).select(row(F.col("doc_id"), F.col("text_key"), kept)).distinct()
+    keyed = docs.select("*", row(F.col("doc_id"), F.xxhash64(common.text_or_empty()), own))
+    # texts are shuffled once: both steps are by the same key
+    return keyed.join(firsts, F.col(own) == F.col(kept), "left_semi").dropDuplicates([own]).select(docs.columns)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
