@@ -109,6 +109,11 @@ def clamp(value: Column, low: float | None = None, high: float | None = None) ->
     return out
 
 
-def perturb(value: Column, size: float = 1e-12, seed: int = 42) -> Column:
-    """Add seeded noise from 0 to size, to break ties before ranks are taken."""
-    return value + F.rand(seed) * F.lit(size)
+def step_noise(*step: str, seed: int = 42) -> Column:
+    """A number from 0 to 1, the same for all cells of a step (such as a simulation's day) and in every run."""
+    return F.xxhash64(F.lit(seed), *step).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
+
+
+def perturb(value: Column, *step: str, size: float = 1e-12, seed: int = 42) -> Column:
+    """Add noise from 0 to size, one draw for each step, to break ties before ranks are taken."""
+    return value + step_noise(*step, seed=seed) * F.lit(size)

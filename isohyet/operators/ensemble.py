@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isohyet.functions import physics
+
 from . import resample
 
 #: Scenario name of all simulations together, and of the reference.
@@ -150,6 +152,34 @@ def clusters(features: DataFrame, columns: list[str], k: int, seed: int = 42) ->
     return model.transform(assembled).drop("features")
 
 
+def clusters_of_all(features: DataFrame, columns: list[str], n: int, seed: int = 42) -> DataFrame:
+    """k and cluster for every number of clusters from 1 to n - 1, of the n simulations in features."""
+    one = features.withColumns({"k": F.lit(1), "cluster": F.lit(0)})
+    for k in range(2, n):  # a model for each k; simulations are few
+        one = one.unionByName(clusters(features, columns, k, seed).withColumn("k", F.lit(k)))
+    return one
+
+
+def calc_stats(daily: DataFrame, value: str, var: str, spans: list[tuple[int, int]], keys: tuple[str, ...] = ("rcp", "hor"), cells: DataFrame | None = None, units: tuple[str, str] | None = None, centiles: tuple[float, ...] = (), reference: DataFrame | None = None) -> DataFrame:
+    """keys, mean, std, max, min and centiles over simulations of a variable's annual values in horizons.
+
+    daily: sim_code, rcp, location_id, date, value. Amounts are summed over a year, others averaged; cells (location_id of a
+    clip or of one point) limit where, units (from, to) converts, and with a reference, of the same form without sim_code,
+    its mean over years is taken off. One scan of each: years, horizons and simulations are groupings of the same rows.
+    """
+    how = "sum" if var in ("pr", "evspsbl", "evspsblpot") else "mean"
+
+    def years(df: DataFrame, own: tuple[str, ...]) -> DataFrame:
+        out = df if cells is None else df.join(cells.select("location_id"), "location_id", "left_semi")
+        out = resample.annual(out, value, how, (*own, "location_id"))
+        return out.withColumn(value, physics.convert(F.col(value), *units)) if units else out
+
+    per_sim = horizons(years(daily, ("sim_code", "rcp")), spans).groupBy("sim_code", *keys).agg(F.avg(value).alias(value))
+    if reference is not None:
+        per_sim = delta(per_sim, value, years(reference, ()))
+    return ensemble(per_sim, value, keys, centiles)
+
+
 def linear_trend(df: DataFrame, value: str, keys: tuple[str, ...], x: str = "year") -> DataFrame:
     """keys, slope, intercept of a straight line by least squares."""
     return df.groupBy(*keys).agg(F.regr_slope(value, x).alias("slope"), F.regr_intercept(value, x).alias("intercept"))
@@ -184,5 +214,13 @@ def polynomial(df: DataFrame, value: str, keys: tuple[str, ...], degree: int, x:
     return sums.select(*keys, "x0", solve("s", "t", "xs").alias("coefficients"))
 
 
+def trend_table(df: DataFrame, value: str, keys: tuple[str, ...], degree: int = 4, x: str = "year") -> DataFrame:
+    """keys, x, value, trend (a polynomial) and detrended (without the straight line): the rows behind the trend diagram."""
+    fit = polynomial(df, value, keys, degree, x)
+    flat = detrend(df, value, keys, x).select(*keys, x, F.col(value).alias("detrended"))
+    curve = df.join(fit, [*keys]).withColumn("trend", evaluate_polynomial("coefficients", F.col(x) - F.col("x0")))
+    return curve.select(*keys, x, value, "trend").join(flat, [*keys, x])
+
+
 def evaluate_polynomial(coefficients: str, x: Column) -> Column:
     return F.aggregate(coefficients, F.lit(0.0), lambda acc, c: acc * x + c)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from isohyet.functions import physics
 
+from . import select
+
 
 def properties(cells: DataFrame) -> DataFrame:
     """One row: n_lon, n_lat and the cell size on each axis (NULL with one cell only)."""
@@ -54,6 +56,32 @@ def rotated_weights(targets: DataFrame, cells: DataFrame, pole_lon: float, pole_
     return bilinear_weights(turned, cells.select("location_id", F.col("rlon").alias("lon"), F.col("rlat").alias("lat")))
 
 
+def has_rotated_axes(cells: DataFrame) -> bool:
+    """Whether cells are told by places on a rotated grid, by their columns alone."""
+    return {"rlon", "rlat"} <= set(cells.columns)
+
+
+def regular_targets(cells: DataFrame, step_lon: float, step_lat: float) -> DataFrame:
+    """target_id, lon, lat: a regular grid over the cells' lon and lat, with the mean cell size as step.
+
+    An axis holds as many whole steps as its extent; what is left over is half before the first place and half after the
+    last. The grid is made of one row of extents, in place.
+    """
+    extent = cells.agg(*(f(c).alias(f"{c}{k}") for c in ("lon", "lat") for k, f in enumerate((F.min, F.max))))
+    steps = lambda c, step: F.floor((F.col(f"{c}1") - F.col(f"{c}0")) / step + 1e-9)
+    first = lambda c, step: F.col(f"{c}0") + ((F.col(f"{c}1") - F.col(f"{c}0")) - steps(c, step) * step) / 2
+    axes = extent.select(first("lon", step_lon).alias("x0"), first("lat", step_lat).alias("y0"), steps("lon", step_lon).alias("nx"), F.explode(F.sequence(F.lit(0), steps("lat", step_lat))).alias("j"))
+    every = axes.select("x0", "y0", "nx", "j", F.explode(F.sequence(F.lit(0), F.col("nx"))).alias("i"))
+    return every.select((F.col("j") * (F.col("nx") + 1) + F.col("i")).cast("long").alias("target_id"), (F.col("x0") + F.col("i") * step_lon).alias("lon"), (F.col("y0") + F.col("j") * step_lat).alias("lat"))
+
+
+def land_cells(cells: DataFrame, daily: DataFrame | None = None, value: str = "value", fraction: str = "sftlf") -> DataFrame:
+    """location_id of land: cells with some share of it where that is known, else those whose daily values vary."""
+    if fraction in cells.columns:
+        return cells.filter(F.col(fraction) > 0).select("location_id")
+    return select.valid_cells(daily, value)
+
+
 def _filled(matrix: np.ndarray, sweeps: int) -> np.ndarray:
     """Sweeps that fill missing cells next to known ones: linear along each axis, one cell from either side, averaged."""
     known = matrix.copy()

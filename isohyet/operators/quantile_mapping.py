@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import resample, runs, select
+from isohyet.functions import physics
+
+from . import ensemble, resample, runs, select
 
 KEYS = runs.KEYS
 LOW, HIGH = 0.0001, 0.9999
@@ -41,8 +43,13 @@ def quantiles(df: DataFrame, value: str, nq: int, group: str = "doy", window: in
     return _pooled(df, value, group, window, keys).groupBy(*keys, "grp").agg(F.percentile(value, F.array(*map(F.lit, nodes(nq)))).alias("quantiles"))
 
 
-def train(reference: DataFrame, simulated: DataFrame, value: str, nq: int, kind: str = "+", group: str = "doy", window: int = 1, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """keys, grp, node, q, factor: what to add to (kind +) or multiply (kind *) simulated values by; NULL where 0 divides."""
+def train(reference: DataFrame, simulated: DataFrame, value: str, nq: int, kind: str = "+", group: str = "doy", window: int = 1, keys: tuple[str, ...] = KEYS, detrend: bool = False) -> DataFrame:
+    """keys, grp, node, q, factor: what to add to (kind +) or multiply (kind *) simulated values by; NULL where 0 divides.
+
+    detrend takes each series' straight line over time off first.
+    """
+    if detrend:
+        reference, simulated = detrended(reference, value, keys), detrended(simulated, value, keys)
     ref = quantiles(reference, value, nq, group, window, keys).withColumnRenamed("quantiles", "ref_q")
     sim = quantiles(simulated, value, nq, group, window, keys)
     both = ref.join(sim, [*keys, "grp"])
@@ -112,22 +119,52 @@ def pad_quantiles(factors: DataFrame, nq: int) -> DataFrame:
     return factors.unionByName(low).unionByName(high)
 
 
-def preprocess(df: DataFrame, value: str, volumetric: bool, noise: float = 0.0, seed: int = 42) -> DataFrame:
-    """Without 29 February; volumetric values are not negative, and get seeded noise if asked for."""
-    out = select.remove_feb29(df)
+def _position() -> Column:
+    return F.datediff("date", F.lit("1970-01-01").cast("date")).cast("double")
+
+
+def detrended(df: DataFrame, value: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """The series without its straight line over time, around the line's mean; column trend holds what was taken off."""
+    mean = Window.partitionBy(*keys)
+    fit = ensemble.linear_trend(df.withColumn("x", _position()), value, keys, "x")
+    line = F.col("slope") * _position() + F.col("intercept")
+    out = df.join(fit, [*keys]).withColumn("line", line)
+    out = out.withColumn("trend", F.col("line") - F.avg("line").over(mean))
+    return out.withColumn(value, F.col(value) - F.col("trend")).drop("slope", "intercept", "line")
+
+
+def predict_detrended(simulated: DataFrame, factors: DataFrame, value: str, nq: int, kind: str = "+", group: str = "doy", keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """As predict, of the series without its trend, which is put back afterwards; factors come of train(..., detrend=True)."""
+    found = predict(detrended(simulated, value, keys), factors, value, nq, kind, group, keys)
+    return found.withColumns({value: F.col(value) + F.col("trend"), "adjusted": F.col("adjusted") + F.col("trend")}).drop("trend")
+
+
+def preprocess(df: DataFrame, value: str, volumetric: bool, noise: float = 0.0, seed: int = 42, ceiling: float | None = None, implausible: float | None = None, days_of_year: int = 365) -> DataFrame:
+    """Without 29 February; volumetric values are not negative.
+
+    With noise each day of a simulation gets one seeded draw, the same for all its cells. Values above the ceiling (100 for
+    cloud cover) become it, and those above what is plausible (0.01 for rates in kg m-2 s-1) next to nothing. Series of
+    360-day years (columns year and doy instead of date) are brought onto plain years first.
+    """
+    keys = tuple(k for k in ("sim_code", "location_id") if k in df.columns)
+    out = select.remove_feb29(resample.from_360_days(df, value, keys) if days_of_year == 360 else df)
+    if ceiling is not None:
+        out = out.withColumn(value, physics.clamp(F.col(value), high=ceiling))
+    if implausible is not None:
+        out = out.withColumn(value, F.when(F.col(value) > implausible, 1e-12).otherwise(F.col(value)))
     if volumetric:
-        out = out.withColumn(value, F.when(F.col(value) < 0, 0.0).otherwise(F.col(value)))
-        out = out.withColumn(value, F.col(value) + F.rand(seed) * noise) if noise else out
+        out = out.withColumn(value, physics.clamp(F.col(value), low=0.0))
+        out = out.withColumn(value, physics.perturb(F.col(value), *(k for k in keys if k == "sim_code"), "date", size=noise, seed=seed)) if noise else out
     return out
 
 
-def adjust(reference: DataFrame, simulated: DataFrame, value: str, volumetric: bool, nq: int = 50, window: int = 30, limit: float = 3.0, reference_years: tuple[int, int] | None = None, keys: tuple[str, ...] = KEYS) -> DataFrame:
+def adjust(reference: DataFrame, simulated: DataFrame, value: str, volumetric: bool, nq: int = 50, window: int = 30, limit: float = 3.0, reference_years: tuple[int, int] | None = None, keys: tuple[str, ...] = KEYS, detrend: bool = False) -> DataFrame:
     """The whole chain: clean, fill gaps, learn factors over the reference years, clip them and apply them to all years."""
     kind = "*" if volumetric else "+"
     ref, sim = (resample.fill_gaps(preprocess(x, value, volumetric), value, keys) for x in (reference, simulated))
     past = select.select_period(sim, *reference_years) if reference_years else sim
-    factors = train(ref, past, value, nq, kind, "doy", window, keys)
-    return predict(sim, clip_factors(factors, limit) if volumetric else factors, value, nq, kind, "doy", keys)
+    factors = train(ref, past, value, nq, kind, "doy", window, keys, detrend)
+    return (predict_detrended if detrend else predict)(sim, clip_factors(factors, limit) if volumetric else factors, value, nq, kind, "doy", keys)
 
 
 def missing_parameters(wanted: DataFrame, known: DataFrame, keys: tuple[str, ...] = ("sim_code", "var")) -> DataFrame:
@@ -136,9 +173,15 @@ def missing_parameters(wanted: DataFrame, known: DataFrame, keys: tuple[str, ...
 
 
 def update_parameters(known: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = ("sim_code", "var")) -> DataFrame:
+    """The known rows, and the wanted ones that are not there yet."""
     return known.unionByName(missing_parameters(wanted, known, keys))
 
 
+def write_errors(known: DataFrame, errors: DataFrame, keys: tuple[str, ...] = ("sim_code", "var")) -> DataFrame:
+    """The bias-parameter table with bias_err replaced where an error was computed."""
+    return known.join(errors.select(*keys, F.col("bias_err").alias("fresh")), [*keys], "left").withColumn("bias_err", F.coalesce("fresh", "bias_err")).select(known.columns)
+
+
 def moving_window_rows(df: DataFrame, value: str, window: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """A row's centred window as an array, from window - window // 2 - 1 rows before it to window // 2 after."""
     half = window // 2

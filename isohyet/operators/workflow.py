@@ -42,12 +42,24 @@ def extract(historical: DataFrame, future: DataFrame, cells: DataFrame, lon: tup
 
 
 def is_hourly(df: DataFrame, keys: tuple[str, ...] = ("location_id",)) -> bool:
-    """Whether some day has more than one record of a cell: one bounded look at the data."""
-    return not df.groupBy(*keys, F.col("ts").cast("date")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    """Whether a day has more than one record of a cell: a look at one day of one cell, the first row's."""
+    one = df.select(*keys, F.col("ts").cast("date").alias("day")).first()
+    if one is None:
+        return False
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.lit(one[k]))
+    return df.filter(same & (F.col("ts").cast("date") == F.lit(one["day"]))).limit(2).count() > 1
 
 
 def interpolate(df: DataFrame, weights: DataFrame, keys: tuple[str, ...] = ("sim_code", "date")) -> DataFrame:
-    """Daily values on the reference's grid; weights come from grid.bilinear_weights or, for stations, select.nearest_cells."""
+    """Daily values on the reference's grid; weights come from grid.bilinear_weights or, for stations, select.nearest_cells.
+
+    Records by ts instead of date are averaged by day first, which leaves daily ones as they are.
+    """
+    if "ts" in df.columns and "date" not in df.columns:
+        own = [k for k in keys if k != "date"]
+        df = df.groupBy(*own, "location_id", F.col("ts").cast("date").alias("date")).agg(F.avg("value").alias("value"))
     if "weight" not in weights.columns:
         return df.join(weights.withColumnRenamed("station_id", "target_id"), "location_id")
     met = df.join(weights, "location_id")

@@ -162,6 +162,38 @@ def polyfit4(spark, d):
     return en.polynomial(means, "v", ("sim_code",), 4)
 
 
+_MEANS = "SELECT sim_code, year, avg(pr)::DOUBLE AS v, (year - 1998)::DOUBLE AS x FROM simyear GROUP BY 1, 2"
+
+
+def _orthogonal(degree: int) -> dict[str, str]:
+    """Polynomials that are orthogonal over each simulation's years, by their three-term recurrence, and the fit along them."""
+    parts = {"m": _MEANS, "p0": "SELECT *, 1::DOUBLE AS p, 0::DOUBLE AS before, 0::DOUBLE AS fit FROM m"}
+    for k in range(degree + 1):
+        parts[f"s{k}"] = f"SELECT sim_code, sum(x * p * p) / sum(p * p) AS a, sum(p * p) / nullif(sum(before * before), 0) AS b, sum(v * p) / sum(p * p) AS c FROM p{k} GROUP BY 1"
+        parts[f"p{k + 1}"] = f"SELECT p.sim_code, p.year, p.v, p.x, (p.x - s.a) * p.p - coalesce(s.b, 0) * p.before AS p, p.p AS before, p.fit + s.c * p.p AS fit FROM p{k} p JOIN s{k} s ON s.sim_code = p.sim_code"
+    return parts
+
+
+@query(sql("simyear", "SELECT t.sim_code, t.year, round(t.v, 4) AS v, round(t.fit, 4) AS trend, round(t.v - (l.s * t.year + l.i) + l.m, 4) AS detrended FROM p5 t JOIN (SELECT sim_code, regr_slope(v, year) AS s, regr_intercept(v, year) AS i, avg(v) AS m FROM m GROUP BY 1) l ON l.sim_code = t.sim_code", **_orthogonal(4)))
+def trend_diagram(spark, d):
+    means = _years(spark, d).groupBy("sim_code", "year").agg(F.avg("pr").alias("v"))
+    found = en.trend_table(means, "v", ("sim_code",))
+    return found.select("sim_code", "year", *(F.round(c, 4).alias(c) for c in ("v", "trend", "detrended")))
+
+
+@query(sql("simyear refyear", f"SELECT rcp, hor, round(avg(v - r) + 0.0, 6) AS mean, round(stddev_pop(v), 6) AS std, round(max(v - r), 6) AS max, round(min(v - r), 6) AS min, round(quantile_cont(v - r, 0.5), 6) AS c50 FROM (SELECT sim_code, rcp, hor, avg(pr / 86400)::DOUBLE AS v FROM simyear, {_HOR} WHERE year BETWEEN y1 AND y2 AND location_id < 10 GROUP BY 1, 2, 3), (SELECT avg(pr / 86400)::DOUBLE AS r FROM refyear WHERE location_id < 10) GROUP BY 1, 2"))
+def calc_stats(spark, d):
+    cells = cubes.cells(spark, d).filter("location_id < 10")
+    found = en.calc_stats(cubes.simulations(spark, d), "pr", "pr", _SPANS, cells=cells, units=("mm", "kg m-2 s-1"), centiles=(50,), reference=cubes.reference(spark, d))
+    return _rounded(found, "mean", "std", "max", "min", "c50")
+
+
+@query()
+def clusters_of_all(spark, d):
+    features = _years(spark, d).groupBy("sim_code").agg(F.avg("pr").alias("mean"), F.stddev_pop("pr").alias("std"))
+    return en.clusters_of_all(features, ["mean", "std"], 6).select("k", "sim_code", "cluster")
+
+
 @query()
 def clusters(spark, d):
     features = _years(spark, d).groupBy("sim_code").agg(F.avg("pr").alias("mean"), F.stddev_pop("pr").alias("std"))
