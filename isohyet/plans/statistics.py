@@ -244,6 +244,28 @@ def qm_train_month(spark, d):
     return _rounded(_train(spark, d, "+", "month"), "factor").drop("q")
 
 
+def _flat(cube: str) -> str:
+    """The cube's training years without each cell's straight line over time, around its mean."""
+    own = f"SELECT *, datediff('day', DATE '1970-01-01', date) AS x FROM {cube} WHERE year(date) BETWEEN {_PAST[0]} AND {_PAST[1]}"
+    return f"SELECT a.location_id, a.date, a.pr - (l.s * a.x + l.i) + l.m AS pr FROM ({own}) a JOIN (SELECT location_id, regr_slope(pr, x) AS s, regr_intercept(pr, x) AS i, avg(pr) AS m FROM ({own}) GROUP BY 1) l ON l.location_id = a.location_id"
+
+
+_FLAT = {"refd": _flat("ref"), "prd": _flat("pr")}
+
+
+@query(sql("ref pr", _FACTORS.replace("6) + 0.0", "4) + 0.0"), **_FLAT, **_train_sql(lambda cube: _month(cube + "d"), "+")))
+def qm_train_detrended(spark, d):
+    ref, sim = (select.select_period(x, *_PAST) for x in (cubes.reference(spark, d), cubes.precipitation(spark, d)))
+    found = qm.train(ref, sim, "pr", _NQ, "+", "month", keys=("location_id",), detrend=True)
+    return found.select("location_id", "grp", "node", (F.round("factor", 4) + 0.0).alias("factor"))
+
+
+@query(sql("pr", "SELECT location_id, strftime(date, '%Y-%m-%d') AS date, greatest(0, CASE WHEN least(pr - 5, 100) > 90 THEN 1e-12 ELSE least(pr - 5, 100) END)::DOUBLE AS pr FROM pr WHERE NOT (month(date) = 2 AND day(date) = 29)"))
+def qm_preprocess(spark, d):
+    found = qm.preprocess(cubes.precipitation(spark, d).withColumn("pr", F.col("pr") - 5), "pr", True, ceiling=100.0, implausible=90.0)
+    return found.select("location_id", F.col("date").cast("string").alias("date"), "pr")
+
+
 @query(sql("ref pr", _FACTORS.replace("round(factor, 6) + 0.0", "round(greatest(least(factor, 1.5), -1.5), 6) + 0.0").replace("FROM f", "FROM f WHERE factor IS NOT NULL"), **_train_sql(_month, "*")))
 def qm_clip(spark, d):
     return _rounded(qm.clip_factors(_train(spark, d, "*", "month"), 1.5).filter("factor is not null"), "factor").drop("q")

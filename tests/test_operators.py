@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isohyet import config, model
 from isohyet.functions import physics
-from isohyet.operators import ensemble, grid, indices, quantile_mapping, resample, runs, select
+from isohyet.operators import annual, ensemble, grid, indices, quantile_mapping, resample, runs, select, workflow
 from isohyet.sources import tables
 from isohyet.streaming import aggregates
 
@@ -206,3 +206,87 @@ def test_stored_results_are_built_once(spark, tmp_path):
     for force in (False, False, True):
         assert workflow.made(spark, str(tmp_path / "x"), build, force).count() == 3
     assert len(calls) == 2
+
+
+def test_noise_is_one_draw_a_step(spark):
+    df = spark.range(400).selectExpr("concat('s', id % 2) as sim_code", "cast(id div 40 as int) as location_id", "date_add(date'2001-01-01', cast(id % 40 as int)) as date", "1.0 as pr")
+    noisy = lambda x: {(r.sim_code, r.location_id, r.date): r.pr - 1 for r in quantile_mapping.preprocess(x, "pr", True, 0.5).collect()}
+    found = noisy(df)
+    assert found == noisy(df.repartition(7)) and all(0 <= v < 0.5 for v in found.values())
+    by_step = {}
+    for (sim, _, day), v in found.items():
+        by_step.setdefault((sim, day), set()).add(v)
+    assert all(len(v) == 1 for v in by_step.values()) and len({next(iter(v)) for v in by_step.values()}) == len(by_step)
+
+
+def test_detrended_mapping_puts_the_trend_back(spark):
+    days = [date(2001, 1, 1) + timedelta(days=k) for k in range(730)]
+    rng = np.random.default_rng(1)
+    flat = rng.normal(0, 1, 730)
+    sim = spark.createDataFrame([(1, d, float(v + 0.01 * k + 3)) for k, (d, v) in enumerate(zip(days, flat))], "location_id int, date date, tas double")
+    ref = spark.createDataFrame([(1, d, float(v)) for d, v in zip(days, flat)], "location_id int, date date, tas double")
+    factors = quantile_mapping.train(ref, sim, "tas", 5, "+", "all", detrend=True)
+    found = [r.adjusted for r in quantile_mapping.predict_detrended(sim, factors, "tas", 5, "+", "all").orderBy("date").collect()]
+    slope = np.polyfit(np.arange(730), found, 1)[0]
+    assert abs(np.mean(found) - flat.mean()) < 0.1 and abs(slope - 0.01) < 0.001
+
+
+def test_bias_parameters_are_kept_up(spark):
+    known = spark.createDataFrame([("a", "pr", 0.5), ("b", "pr", None)], "sim_code string, var string, bias_err double")
+    wanted = spark.createDataFrame([("a", "pr", None), ("c", "pr", None)], "sim_code string, var string, bias_err double")
+    grown = quantile_mapping.update_parameters(known, wanted)
+    assert {tuple(r) for r in grown.collect()} == {("a", "pr", 0.5), ("b", "pr", None), ("c", "pr", None)}
+    errors = spark.createDataFrame([("b", "pr", 0.25)], "sim_code string, var string, bias_err double")
+    assert {tuple(r) for r in quantile_mapping.write_errors(grown, errors).collect()} == {("a", "pr", 0.5), ("b", "pr", 0.25), ("c", "pr", None)}
+
+
+def test_hourly_records_are_seen_and_averaged(spark):
+    hours = spark.range(48).selectExpr("'s' as sim_code", "1 as location_id", "timestamp'2001-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id as int)) as ts", "cast(id as double) as value")
+    assert workflow.is_hourly(hours) and not workflow.is_hourly(hours.filter("hour(ts) = 3")) and not workflow.is_hourly(hours.limit(0))
+    weights = spark.createDataFrame([(9, 1, 1.0)], "target_id long, location_id int, weight double")
+    assert {str(r.date): r.value for r in workflow.interpolate(hours, weights).collect()} == {"2001-01-01": 11.5, "2001-01-02": 35.5}
+
+
+def test_regular_targets_and_land(spark):
+    cells = spark.createDataFrame([(0, 0.0, 10.0, 0.0), (1, 1.1, 10.4, 0.3), (2, 2.3, 11.0, 1.0)], "location_id int, lon double, lat double, sftlf double")
+    found = sorted((r.target_id, round(r.lon, 6), round(r.lat, 6)) for r in grid.regular_targets(cells, 1.0, 0.5).collect())
+    assert found == [(k, round(0.15 + k % 3, 6), round(10.0 + 0.5 * (k // 3), 6)) for k in range(9)]
+    assert [r.location_id for r in grid.land_cells(cells).collect()] == [1, 2]
+    daily = spark.createDataFrame([(0, 1.0), (0, 1.0), (1, 1.0), (1, 2.0), (2, None)], "location_id int, value double")
+    assert [r.location_id for r in grid.land_cells(cells.drop("sftlf"), daily).collect()] == [1]
+    assert grid.has_rotated_axes(cells.withColumnRenamed("lon", "rlon").withColumnRenamed("lat", "rlat")) and not grid.has_rotated_axes(cells)
+
+
+def test_index_maps_are_filled_then_masked(spark):
+    cells = spark.createDataFrame([(k, float(k % 3), float(k // 3)) for k in range(9)], "location_id int, lon double, lat double")
+    found = spark.createDataFrame([("txx", "s", k, 2001, None if k == 4 else float(k)) for k in range(9)], "idx string, sim_code string, location_id int, year int, value double")
+    got = {r.location_id: (str(r.date), r.value) for r in annual.postprocess(found, cells, cells.filter("location_id <> 8")).collect()}
+    assert got[4] == ("2001-01-01", 4.0) and got[8] == ("2001-01-01", None) and got[7][1] == 7.0 and len(got) == 9
+
+
+def test_prepared_days(spark):
+    df = spark.createDataFrame([(s, 1, date(y, m, d), 280.15) for s in ("ref", "x") for y, m, d in ((2000, 2, 29), (2000, 3, 1), (2003, 1, 1))], "sim_code string, location_id int, date date, tasmax double")
+    got = sorted((r.sim_code, str(r.date), round(r.tasmax, 6)) for r in annual.prepare(df, True, "ref", (1999, 2001)).collect())
+    assert got == [("ref", "2000-03-01", 7.0), ("x", "2000-02-29", 7.0), ("x", "2000-03-01", 7.0), ("x", "2003-01-01", 7.0)]
+    with pytest.raises(ValueError):
+        annual.indices_of([("nothing",)], df)
+
+
+def test_quantiles_by_counts(spark):
+    rng = np.random.default_rng(2)
+    values = [None if rng.random() < 0.1 else float(v) for v in rng.integers(0, 40, 997)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    known = [v for v in values if v is not None]
+    for q in (0.0, 0.31, 0.5, 0.9, 1.0):
+        assert indices.reference_quantile(df, "v", q, 6).first()[0] == pytest.approx(np.quantile(known, q))
+
+
+def test_small_helpers(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2003, 1.0), (1, 2001, 2.0), (2, 2002, 3.0)], "location_id int, year int, value double")
+    assert sorted((r.location_id, r.year, r.position) for r in indices.ranked_years(df).collect()) == [(1, 2001, 0), (1, 2003, 1), (2, 2002, 0)]
+    days = spark.createDataFrame([(1, date(2001, 1, k), float(k)) for k in range(1, 6)], "location_id int, date date, v double")
+    assert [r.window for r in quantile_mapping.moving_window_rows(days, "v", 3).orderBy("date").collect()] == [[1.0, 2.0], [1.0, 2.0, 3.0], [2.0, 3.0, 4.0], [3.0, 4.0, 5.0], [4.0, 5.0]]
+    tables.write_csv(df, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 3
+    sims = spark.createDataFrame([("b",), ("ref",), ("a",)], "sim_code string")
+    assert [r.sim_code for r in tables.order_simulations(sims).collect()] == ["ref", "a", "b"]
