@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
 
 from isohyet import model
 from isohyet.session import durable
@@ -61,6 +64,34 @@ def start(df: DataFrame, wet_amount: float, wet_window: int, dry_threshold: floa
     return days.withColumn("value", F.when(F.col("value") <= 365, F.col("value")))
 
 
+def _evaporated(table: pa.Table, keys: tuple[str, ...], least: int, most: int, threshold: float) -> pa.Table:
+    """Of one cell's days: for each season the day with the shortest span of least to most days that lose the threshold.
+
+    With C the running sum of losses, w days to t lose C(t) - C(t - w); each w is tried on all days at once, and days drop
+    out as soon as they are found. A cell's series is as long as its calendar, 40,000 days for 110 years.
+    """
+    table = table.sort_by("date")
+    date = table.column("date").cast(pa.int32()).to_numpy()
+    year, doy, season, in_season, rains = (table.column(c).to_numpy() for c in ("year", "doy", "season", "in_season", "rains"))
+    c = np.r_[0.0, np.cumsum(np.nan_to_num(table.column("loss").to_numpy().astype(float)))]
+    span = np.zeros(len(date), dtype=np.int64)
+    open_ = np.flatnonzero(in_season)
+    for w in range(max(1, least), most + 1):
+        open_ = open_[open_ + 1 >= w] if w > 1 else open_
+        hit = c[open_ + 1] - c[np.maximum(open_ + 1 - w, 0)] >= threshold - TOLERANCE
+        span[open_[hit]] = w
+        open_ = open_[~hit]
+        if not len(open_):
+            break
+    hits = np.flatnonzero(span)
+    hits = hits[np.lexsort((date[hits], span[hits], season[hits]))]
+    hits = hits[np.r_[True, season[hits][1:] != season[hits][:-1]]] if len(hits) else hits
+    last = np.maximum.accumulate(np.where(rains, np.arange(len(date)), -1))[hits]
+    near = (last >= 0) & (date[hits] - date[last] <= span[hits]) & (year[hits] == year[last])
+    own = [table.column(k).combine_chunks().take(pa.array(hits)) for k in keys]
+    return pa.Table.from_arrays([*own, *(pa.array(x[hits], pa.int32()) for x in (season, year, doy)), pa.array(near)], names=[*keys, "season", "year", "doy", "rain_near"])
+
+
 def end(df: DataFrame, op: str, threshold: float, window: int, rate: float = 0.0, first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """keys, year, value: day of year on which the season ends, or NULL, before it is held against the season's start.
 
@@ -86,20 +117,14 @@ def end(df: DataFrame, op: str, threshold: float, window: int, rate: float = 0.0
         length = (last - first if not wraps else 365 - first + last) + 1
         least = math.ceil(threshold / rate) if rate > 0 else (1 if "etp" in df.columns else length)
         most = length - least if rate > 0 or "etp" in df.columns else length
-        # C(t) - C(t - w) is what w days to t evaporate beyond their rain; the least such w by looking back along C
         loss = (F.col("etp") if rate <= 0 and "etp" in df.columns else F.lit(float(rate))) - F.col("pr")
-        cum = base.withColumn("c", F.sum(loss).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-        cum = cum.withColumn("rn", F.row_number().over(w))
-        reach = max(most, least)
-        back = F.collect_list("c").over(w.rowsBetween(-reach, -1))
-        # the sum before the series begins is 0, and no window reaches further back
-        line = F.when(F.col("rn") <= reach, F.concat(F.array(F.lit(0.0)), back)).otherwise(back)
-        tried = F.slice(F.reverse(line), F.lit(least), F.lit(max(0, most - least + 1)))
-        where = F.array_position(F.transform(tried, lambda x: F.col("c") - x >= threshold - TOLERANCE), F.lit(True))
-        raining = F.max(F.when(F.col("pr") > 0, F.col("date"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        hits = cum.withColumns({"w": F.when(where > 0, where + (least - 1)), "rained_last": raining}).filter(F.col("w").isNotNull() & F.col("in_season"))
-        near = F.coalesce((F.datediff("date", "rained_last") <= F.col("w")) & (F.year("rained_last") == F.col("year")), F.lit(False))
-        found = hits.withColumn("rain_near", near).groupBy(*keys, "season").agg(F.min_by(F.struct("year", "doy", "rain_near"), F.struct("w", "date")).alias("x"))
+        days = base.select(*keys, "date", "year", "doy", "season", "in_season", loss.cast("double").alias("loss"), F.coalesce(F.col("pr") > 0, F.lit(False)).alias("rains"))
+        schema = StructType([*(days.schema[k] for k in keys), StructField("season", IntegerType()), StructField("year", IntegerType()), StructField("doy", IntegerType()), StructField("rain_near", BooleanType())])
+
+        def search(table: pa.Table) -> pa.Table:
+            return _evaporated(table, keys, least, most, threshold)
+
+        found = days.groupBy(*keys).applyInArrow(search, schema).select(*keys, "season", F.struct("year", "doy", "rain_near").alias("x"))
     else:
         raise ValueError(f"unknown op: {op}")
     days = found.filter("x.rain_near").select(*keys, F.col("x.year").alias("year"), F.col("x.doy").alias("value"), (F.col("x.year") == F.col("season")).alias("own"))

@@ -21,9 +21,13 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
 def durable(df: DataFrame) -> DataFrame:
     """Computed once and written to the folder of spark.checkpoint.dir, which all executors share.
 
-    For small results that several branches of a plan read. Where the setting is absent a new local folder is taken.
+    For results that several branches of a plan read. Where the setting is absent a new local folder is taken, but only
+    where the master is local: other machines would not see it.
     """
     context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='isohyet-')}")
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='isohyet-')}")
     return df.checkpoint(eager=True)
