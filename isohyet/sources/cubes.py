@@ -54,9 +54,9 @@ def wind(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simulations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """pr of six simulations <line status>_<return flag>_<rcp>, 0 on days without a shipment."""
     rcp = F.element_at(F.create_map(F.lit("A"), F.lit("rcp26"), F.lit("N"), F.lit("rcp45"), F.lit("R"), F.lit("rcp85")), F.col("l_returnflag"))
-    items = shipments(spark, sf_dir).withColumn("sim_code", F.concat_ws("_", "l_linestatus", "l_returnflag", rcp))
-    sums = items.groupBy("sim_code", "location_id", "date").agg(F.sum("l_quantity").alias("pr"))
-    codes = sums.select("sim_code").distinct()
+    code = F.concat_ws("_", "l_linestatus", "l_returnflag", rcp)
+    sums = shipments(spark, sf_dir).groupBy(code.alias("sim_code"), "location_id", "date").agg(F.sum("l_quantity").alias("pr"))
+    codes = table(spark, sf_dir, "lineitem").select(code.alias("sim_code")).distinct()  # every item has a supplier
     grid = cells(spark, sf_dir)
     every = days(codes.join(F.broadcast(grid), how="cross"))  # simulations by the 25 cells of the grid
     return every.join(sums, ["sim_code", "location_id", "date"], "left").withColumn("pr", F.coalesce("pr", F.lit(0.0))).withColumn("rcp", F.element_at(F.split("sim_code", "_"), -1))
