@@ -30,4 +30,5 @@ def rows(cases: dict[str, dict[date, float]]) -> list[tuple]:
     return [(name, d, v) for name, values in cases.items() for d, v in values.items()]
 
 
-PROFILE = "1/1-31/3=1.01, 1/4-3/4=5.01, 4/4-13/4=1.01, 14/4-22/4=.99, 23/4-3/5=1.01, 4/5-15/10=5.01, 16/10=4.01, 17/10=3.01, 18/10=2.01, 19/10=1.01"
+# Fixed value: the profile of amounts that golden cases of the rain season share.
+PROFILE = "1/1-31/3=1.01, 1/4-3/4=5.01, 4/4-13/4=1.01, 14/4-22/4=0.99, 23/4-3/5=1.01, 4/5-15/10=5.01, 16/10=4.01, 17/10=3.01, 18/10=2.01, 19/10=1.01"

@@ -27,6 +27,8 @@ def _season(text):
     return (doy_of(first) if first != "-" else -1), (doy_of(last) if last != "-" else -1)
 
 
+# Golden cases of the definition of dry spells: case, op, threshold, window, season, base amount, assigned
+# amounts, and the days of the index in 1981 and 1982.
 DRY = [
     (5, "max", 1, 14, "03-01 11-30", 1, "1/3-14/3=0", (14, 0)), (6, "max", 1, 14, "03-01 11-30", 1, "1/3-13/3=0", (0, 0)), (7, "max", 1, 14, "03-01 11-30", 1, "1/3-7/3=0, 9/3-15/3=0", (0, 0)),
     (8, "max", 1, 14, "03-01 11-30", 1, "28/2-13/3=0", (13, 0)), (9, "max", 1, 14, "03-01 11-30", 1, "18/11-1/12=0", (13, 0)), (10, "max", 1, 14, "03-01 11-30", 1, "1/3-14/3=0, 1/8-14/8=0", (28, 0)),
@@ -51,9 +53,10 @@ def test_dry_spells(spark):
         assert got == {k: e for k, (_, e) in cases.items()}, (op, threshold, window, season)
 
 
+# Golden cases of the definition of dry spells over short series.
 @pytest.mark.parametrize("values, expected", [
-    ([1.01] * 6 + [.01] * 3 + [.51] * 2 + [.75] * 2 + [.51] + [.01] * 3 + [1.01] * 3, {"max": 20, "sum": 12}),
-    ([.01] * 6 + [1.01] * 3 + [.51] * 2 + [.75] * 2 + [.51] + [.01] * 6, {"max": 20, "sum": 18}),
+    ([1.01] * 6 + [0.01] * 3 + [0.51] * 2 + [0.75] * 2 + [0.51] + [0.01] * 3 + [1.01] * 3, {"max": 20, "sum": 12}),
+    ([0.01] * 6 + [1.01] * 3 + [0.51] * 2 + [0.75] * 2 + [0.51] + [0.01] * 6, {"max": 20, "sum": 18}),
 ])
 def test_short_dry_spells(spark, values, expected):
     df = spark.createDataFrame([("a", date(2000, 7, 1) + timedelta(days=k), v) for k, v in enumerate(values)], "location_id string, date date, pr double")
@@ -63,11 +66,13 @@ def test_short_dry_spells(spark, values, expected):
 
 @pytest.mark.parametrize("op, threshold", [("max", 1.0), ("sum", 14.0)])
 def test_dry_spell_across_new_year(spark, op, threshold):
-    values = [threshold + .01] * 358 + [.99] * 14 + [threshold + .01] * 358
+    values = [threshold + 0.01] * 358 + [0.99] * 14 + [threshold + 0.01] * 358
     df = spark.createDataFrame([("a", date(1981, 1, 1) + timedelta(days=k), v) for k, v in enumerate(values)], "location_id string, date date, pr double")
     assert _got(indices.dry_spell_total_length(df, threshold, 14, op, *_season("12-01 01-31"))) == {"a": (7, 7)}
 
 
+# Golden cases of the definition of the season's start: season, and by case the assigned amounts and the day
+# of year in 1981 (none in 1982).
 STARTS = [
     ("03-01 12-31", {"1": (PROFILE, 91), "3": ("1/4-3/4=5, 4/4-3/5=1", 91), "4": ("1/4-3/4=5, 4/4-13/4=1, 23/4-3/5=1", 91), "5": ("1/4-3/4=5, 4/4-13/4=1, 24/4-3/5=1", None), "6": ("1/4-2/4=5, 4/4-13/4=1, 23/4-3/5=1", None),
                      "7": ("1/4-3/4=5, 4/4-28/4=1", 91), "8": ("1/4-3/4=5, 4/4-8/4=1, 14/4-23/4=1, 29/4-3/5=1", 91), "9": ("1/4-2/4=5, 4/4-3/5=1, 1/6-3/6=5, 4/6-3/7=1", 152), "12": ("1/4=15, 3/4-22/4=1", 91), "13": ("1/4=15, 3/4-21/4=1", None)}),
@@ -83,6 +88,8 @@ def test_rain_season_starts(spark, season, cases):
     assert got == {k: (e, None) for k, (_, e) in cases.items()}
 
 
+# Golden cases of the definition of the season's end: op, threshold, season, rate, and by case the assigned
+# amounts and the days of year in 1981 and 1982.
 ENDS = [
     ("max", 5.0, "09-01 12-31", 5.0, {"1": (PROFILE, 288, None), "3": ("", None, None), "11": ("1/4-30/9=5", 273, None), "12": ("1/4-31/8=5", None, None), "13": ("1/4-30/9=2.5", 244, None), "14": ("1/4-15/10=5", 288, None)}),
     ("sum", 70.0, "09-01 12-31", 5.0, {"1": (PROFILE, 275, None), "3": ("", None, None), "17": ("1/4-30/9=70", 273, None), "18": ("1/4-30/9=70, 1/10=70", 274, None), "19": ("1/4-30/9=70, 8/10=70", 281, None)}),
@@ -109,6 +116,8 @@ def test_no_end_in_steady_rain(spark, op, threshold, rate):
     assert _got(rainseason.end(df, op, threshold, 14, rate, *_season("09-01 12-31"))) == {"4": (None, None)}
 
 
+# Golden cases of the definition of the season's length and amount: case, assigned amounts, base amount,
+# and starts, ends, lengths and amounts in 1981 and 1982.
 LENGTHS = [
     ("1", PROFILE, 0.0, (91, None), (288, None), (198, None), (871, None)),
     ("3", "", 1.0, (91, 92), (273, 272), (183, 181), (183, 181)),
@@ -129,7 +138,8 @@ def test_length_and_amount(spark, case, assigned, base, starts, ends, length, am
         assert _got(rainseason.amount(pr, a, b, next_year=True)) == {case: amount}
 
 
-CHAIN = "1/1-31/3=1.01, 1/4-3/4=5.01, 4/4-13/4=1.01, 14/4-22/4=.99, 23/4-3/5=1.01, 4/5-15/10=5, 16/10=4, 17/10=3, 18/10=2, 19/10=1"
+# Golden cases of a whole season, with its start, end, length and amount in 1981.
+CHAIN = "1/1-31/3=1.01, 1/4-3/4=5.01, 4/4-13/4=1.01, 14/4-22/4=0.99, 23/4-3/5=1.01, 4/5-15/10=5, 16/10=4, 17/10=3, 18/10=2, 19/10=1"
 
 
 @pytest.mark.parametrize("assigned, end, next_start, expected", [
