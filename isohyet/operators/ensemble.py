@@ -143,13 +143,15 @@ def shared_simulations(df: DataFrame, n_vars: int) -> DataFrame:
 
 
 def clusters(features: DataFrame, columns: list[str], k: int, seed: int = 42) -> DataFrame:
-    """Add cluster, from k-means over the feature columns."""
+    """Add cluster, from k-means over the feature columns; clusters are numbered in order of their first feature's mean."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
     assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(features)
-    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(assembled)
-    return model.transform(assembled).drop("features")
+    model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="found").fit(assembled)
+    centres = [tuple(c) for c in model.clusterCenters()]  # k points
+    names = F.array(*(F.lit(sorted(centres).index(c)) for c in centres))
+    return model.transform(assembled).withColumn("cluster", F.get(names, F.col("found"))).drop("features", "found")
 
 
 def clusters_of_all(features: DataFrame, columns: list[str], n: int, seed: int = 42) -> DataFrame:

@@ -58,3 +58,26 @@ def rotated_regrid(spark, d):
     targets = plain.select(F.col("location_id").alias("target_id"), "lon", "lat")
     weights = grid.rotated_weights(targets, cells, 10.0, 80.0)
     return weights.select("target_id", "location_id", F.round("weight", 6).alias("weight"))
+
+
+_TURN = {"sin": "sin(radians(170))", "cos": "cos(radians(170))", "sp": "sin(radians(10))", "cp": "cos(radians(10))"}
+_BACK = "SELECT location_id, rlon, rlat, degrees(atan2(along * {sp} + ny * {cp}, along * {cp} - ny * {sp})) AS lon, degrees(asin(nz)) AS lat FROM (SELECT *, x * {cos} - z * {sin} AS along, y AS ny, x * {sin} + z * {cos} AS nz FROM (SELECT location_id, lon AS rlon, lat AS rlat, cos(radians(lon)) * cos(radians(lat)) AS x, sin(radians(lon)) * cos(radians(lat)) AS y, sin(radians(lat)) AS z FROM cells))".format(**_TURN)
+_THERE = "SELECT target_id, degrees(atan2(across, along * {cos} + z * {sin})) AS x, degrees(asin(z * {cos} - along * {sin})) AS y FROM (SELECT target_id, z, p * {cp} + q * {sp} AS along, q * {cp} - p * {sp} AS across FROM (SELECT target_id, cos(radians(lon)) * cos(radians(lat)) AS p, sin(radians(lon)) * cos(radians(lat)) AS q, sin(radians(lat)) AS z FROM t))".format(**_TURN)
+
+
+@query(sql("cells", "SELECT t.target_id, c.location_id, round((1 - abs(t.x - c.rlon)) * (1 - abs(t.y - c.rlat)), 6) AS weight FROM turned t JOIN plain c ON abs(t.x - c.rlon) < 1 AND abs(t.y - c.rlat) < 1 WHERE t.x BETWEEN 0 AND 4 AND t.y BETWEEN 0 AND 4",
+           plain=_BACK, t="SELECT location_id::BIGINT AS target_id, lon + 0.31 AS lon, lat - 0.23 AS lat FROM plain", turned=_THERE))
+def rotated_weights(spark, d):
+    """Bilinear weights of a rotated grid at points beside its cells, those outside left out."""
+    cells = cubes.cells(spark, d).select("location_id", F.col("lon").alias("rlon"), F.col("lat").alias("rlat"))
+    plain = grid.unrotate(cells, 10.0, 80.0)
+    targets = plain.select(F.col("location_id").cast("long").alias("target_id"), (F.col("lon") + 0.31).alias("lon"), (F.col("lat") - 0.23).alias("lat"))
+    return grid.rotated_weights(targets, cells, 10.0, 80.0).select("target_id", "location_id", F.round("weight", 6).alias("weight"))
+
+
+_STEP = 0.7
+
+
+@query(sql("cells", f"SELECT (j * (nx + 1) + i)::BIGINT AS target_id, round(x0 + i * {_STEP}, 6) AS lon, round(y0 + j * {_STEP}, 6) AS lat FROM (SELECT *, unnest(range(0, ny + 1)) AS j FROM (SELECT *, unnest(range(0, nx + 1)) AS i FROM (SELECT lo + ((hi - lo) - nx * {_STEP}) / 2 AS x0, la + ((ha - la) - ny * {_STEP}) / 2 AS y0, nx, ny FROM (SELECT *, floor((hi - lo) / {_STEP})::BIGINT AS nx, floor((ha - la) / {_STEP})::BIGINT AS ny FROM (SELECT min(lon) AS lo, max(lon) AS hi, min(lat) AS la, max(lat) AS ha FROM cells)))))"))
+def regular_targets(spark, d):
+    return grid.regular_targets(cubes.cells(spark, d), _STEP, _STEP).select("target_id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))

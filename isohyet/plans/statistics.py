@@ -156,10 +156,6 @@ def trend_removed(spark, d):
     return en.detrend(means, "v", ("sim_code",)).select("sim_code", "year", F.round("v", 4).alias("v"))
 
 
-@query()
-def polyfit4(spark, d):
-    means = _years(spark, d).groupBy("sim_code", "year").agg(F.avg("pr").alias("v"))
-    return en.polynomial(means, "v", ("sim_code",), 4)
 
 
 _MEANS = "SELECT sim_code, year, avg(pr)::DOUBLE AS v, (year - 1998)::DOUBLE AS x FROM simyear GROUP BY 1, 2"
@@ -174,6 +170,23 @@ def _orthogonal(degree: int) -> dict[str, str]:
     return parts
 
 
+def _powers(degree: int) -> dict[str, str]:
+    """The same fit as coefficients of powers of the year less the mean year, the lowest first."""
+    zeros = ", ".join(["0::DOUBLE"] * (degree + 1))
+    parts = _orthogonal(degree) | {"q0": f"SELECT sim_code, [1::DOUBLE, {zeros[len('0::DOUBLE, '):]}] AS p, [{zeros}] AS before, [{zeros}] AS fit FROM s0"}
+    for k in range(degree + 1):
+        up = f"list_prepend(0::DOUBLE, q.p[1:{degree}])"
+        parts[f"q{k + 1}"] = f"SELECT q.sim_code, [{up}[i] - s.a * q.p[i] - coalesce(s.b, 0) * q.before[i] FOR i IN range(1, {degree + 2})] AS p, q.p AS before, [q.fit[i] + s.c * q.p[i] FOR i IN range(1, {degree + 2})] AS fit FROM q{k} q JOIN s{k} s ON s.sim_code = q.sim_code"
+    return parts
+
+
+@query(sql("simyear", "SELECT sim_code, 1998::DOUBLE AS x0, " + ", ".join(f"round(fit[{k + 1}], 4) + 0.0 AS c{k}" for k in range(5)) + " FROM q5", **_powers(4)))
+def polyfit4(spark, d):
+    means = _years(spark, d).groupBy("sim_code", "year").agg(F.avg("pr").alias("v"))
+    found = en.polynomial(means, "v", ("sim_code",), 4)
+    return found.select("sim_code", "x0", *((F.round(F.element_at("coefficients", 5 - k), 4) + 0.0).alias(f"c{k}") for k in range(5)))
+
+
 @query(sql("simyear", "SELECT t.sim_code, t.year, round(t.v, 4) AS v, round(t.fit, 4) AS trend, round(t.v - (l.s * t.year + l.i) + l.m, 4) AS detrended FROM p5 t JOIN (SELECT sim_code, regr_slope(v, year) AS s, regr_intercept(v, year) AS i, avg(v) AS m FROM m GROUP BY 1) l ON l.sim_code = t.sim_code", **_orthogonal(4)))
 def trend_diagram(spark, d):
     means = _years(spark, d).groupBy("sim_code", "year").agg(F.avg("pr").alias("v"))
@@ -194,7 +207,16 @@ def clusters_of_all(spark, d):
     return en.clusters_of_all(features, ["mean", "std"], 6).select("k", "sim_code", "cluster")
 
 
-@query()
+_SPLITS = {
+    "f": "SELECT sim_code, avg(pr)::DOUBLE AS mean, stddev_pop(pr) AS std, row_number() OVER (ORDER BY sim_code) - 1 AS n FROM simyear GROUP BY 1",
+    "side": "SELECT m, sim_code, mean, std, (m >> n) & 1 AS g FROM f, range(1, (1 << (SELECT count(*)::INT FROM f)) - 1) t(m)",
+    "spread": "SELECT m, sum((mean - a) ** 2 + (std - b) ** 2) AS ss FROM (SELECT *, avg(mean) OVER (PARTITION BY m, g) AS a, avg(std) OVER (PARTITION BY m, g) AS b FROM side) GROUP BY 1",
+    "best": "SELECT arg_min(m, (ss, m)) AS m FROM spread",
+}
+
+
+# the definition: of all splits in two the one whose clusters spread least
+@query(sql("simyear", "SELECT sim_code, (CASE WHEN avg(mean) OVER (PARTITION BY g) <= (SELECT avg(c) FROM (SELECT avg(mean) AS c FROM side JOIN best USING (m) GROUP BY g)) THEN 0 ELSE 1 END)::INT AS cluster FROM side JOIN best USING (m)", **_SPLITS))
 def clusters(spark, d):
     features = _years(spark, d).groupBy("sim_code").agg(F.avg("pr").alias("mean"), F.stddev_pop("pr").alias("std"))
     return en.clusters(features, ["mean", "std"], 2).select("sim_code", "cluster")
