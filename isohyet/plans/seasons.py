@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from isohyet import model
 from isohyet.operators import rainseason as rs
-from isohyet.session import durable
 from isohyet.sources import cubes
 
 from .catalog import query
@@ -73,15 +72,15 @@ def season_sql(query_: str, op: str) -> str:
 @query(season_sql(LENGTH, "max"))
 def rain_season_length(spark, d):
     pr = cubes.precipitation(spark, d)
-    starts = durable(rs.start(pr, **START))
-    return rs.length(starts, durable(rs.reconcile(rs.end(pr, **ENDS["max"]), starts)))
+    starts = rs.start(pr, **START)
+    return rs.length(starts, rs.reconcile(rs.end(pr, **ENDS["max"]), starts))
 
 
 @query(season_sql(AMOUNT, "max"))
 def rain_season_prcptot(spark, d):
     pr = cubes.precipitation(spark, d)
-    starts = durable(rs.start(pr, **START))
-    return rs.amount(pr, starts, durable(rs.reconcile(rs.end(pr, **ENDS["max"]), starts)))
+    starts = rs.start(pr, **START)  # its exchanges are the same wherever it is read, and Spark makes them once
+    return rs.amount(pr, starts, rs.reconcile(rs.end(pr, **ENDS["max"]), starts))
 
 
 @query(season_sql("SELECT location_id, year, a::INT AS start, b::INT AS \"end\" FROM pair", "sum"))

@@ -7,13 +7,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: The whole years that the tables' dates span.
 FIRST, LAST = "1995-01-01", "2001-12-31"
 
 
+#: Schemas of tables that were read, by session and path.
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table. Its schema is looked up in a file once a session; each look is a job of its own."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = spark.sparkContext.applicationId, path
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
