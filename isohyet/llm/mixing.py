@@ -32,6 +32,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
+def _mark() -> Column:
+    """A hash of a row's id and text; ids of any width give the same."""
+    return F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), F.col("text"))
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, max_repeat: float = MAX_REPEAT) -> DataFrame:
     """From a row per source (source, source_size, n): those columns and target.
 
@@ -72,7 +77,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
     that orders rows; repeated rows with one id and one text share it. Reruns give the same rows. An empty table gives
     none. Of the input only doc_id, text and source are read. The number of shards grows with the words, unless given.
     """
-    base = common.durable(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(common.text_or_empty()).alias("size"), F.xxhash64(F.lit(SEED), "doc_id", "text").alias("mark")))
+    base = common.durable(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(common.text_or_empty()).alias("size"), _mark().alias("mark")))
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     sources = targets(sizes, weights, share, max_repeat)
     per_block = F.greatest(F.lit(ROWS_PER_BLOCK), F.ceil(F.sum("n").over(Window.partitionBy()) / F.lit(MAX_BLOCKS)))
@@ -113,7 +118,7 @@ def materialise(docs: DataFrame, plan: DataFrame, shards: int | None = None) ->
     from the plan unless given.
     """
     mark, dealt, copy, shard = (common.fresh(docs.columns, x) for x in ("mix_mark", "mix_shards", "mix_copy", "mix_shard"))
-    keyed = docs.withColumn(mark, F.xxhash64(F.lit(SEED), F.col("doc_id").cast("long"), "text"))
+    keyed = docs.withColumn(mark, _mark())
     # rows that repeat one id and text share each plan row; a plan row serves one of them
     taken = plan.groupBy(F.col("mark").alias(mark)).agg(F.max("shards").alias(dealt))
     if shards is None:

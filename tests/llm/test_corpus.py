@@ -288,6 +288,8 @@ def test_mixing(docs, rows, odd, empty):
     assert sorted((r.doc_id, r.shards) for r in again) == sorted((r.doc_id, r.shards) for r in found)
     copies = mixing.materialise(docs, mixing.mix(docs, shards=6))
     assert Counter(r.doc_id for r in copies.collect()) == Counter({r.doc_id: len(r.shards) for r in found if r.shards})
+    narrow = docs.withColumn("doc_id", docs.doc_id.cast("int"))
+    assert mixing.materialise(narrow, mixing.mix(narrow, shards=6)).count() == copies.count()
     assert mixing.mix(odd).count() == odd.count() and mixing.mix(empty).count() == 0
 
 
