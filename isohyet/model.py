@@ -36,6 +36,19 @@ def require(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"missing columns {missing}; found {df.columns}")
 
 
+def standardise(df: DataFrame, names: dict[str, str], schema: T.StructType = DAILY) -> DataFrame:
+    """A source's table in canonical columns: renamed (names: its name to ours), cast, in the schema's order; the rest goes.
+
+    Columns of the schema that the source lacks are NULL. Names are compared as Spark does, and no two may become one.
+    """
+    taken = [names.get(c, c) for c in df.columns]
+    twice = sorted({c for c in taken if taken.count(c) > 1 and c in schema.names})
+    if twice:
+        raise ValueError(f"several columns for {twice}")
+    source = {ours: c for c, ours in zip(df.columns, taken, strict=True)}
+    return df.select(*((df[f"`{source[f.name]}`"] if f.name in source else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema))
+
+
 def doy_of(month_day: str) -> int:
     """Day of year of "mm-dd" in a plain year; 29 February counts as 28 February."""
     month, day = (int(x) for x in month_day.split("-"))

@@ -129,6 +129,18 @@ def annual_comparison(obs: DataFrame, sim: DataFrame, adjusted: DataFrame, value
     return parts[0].join(parts[1], [*keys, "year"], "full").join(parts[2], [*keys, "year"], "full")
 
 
+def bias_comparison(obs: DataFrame, sim: DataFrame, adjusted: DataFrame, value: str, keys: tuple[str, ...] = ("location_id",)) -> DataFrame:
+    """keys, day, obs, sim, adjusted by place in the series, from 1. Days of simulations; what observations have beyond them goes.
+
+    The series are stacked and numbered, and one grouping by the numbering's own keys puts them side by side.
+    """
+    named = [x.select(*keys, "date", F.lit(n).alias("series"), F.col(value).alias("v")) for x, n in ((obs, "obs"), (sim, "sim"), (adjusted, "adjusted"))]
+    stacked = named[0].unionByName(named[1]).unionByName(named[2])
+    placed = stacked.withColumn("day", F.row_number().over(Window.partitionBy(*keys, "series").orderBy("date")))
+    wide = placed.groupBy(*keys, "day").agg(*(F.max(F.when(F.col("series") == n, F.col("v"))).alias(n) for n in ("obs", "sim", "adjusted")), F.max((F.col("series") != "obs").cast("int")).alias("simulated"))
+    return wide.filter("simulated = 1").drop("simulated")
+
+
 def positional_comparison(obs: DataFrame, sim: DataFrame, value: str, keys: tuple[str, ...] = ("location_id",)) -> DataFrame:
     """Daily values side by side by their place in the series, from 1, whatever their dates."""
     place = F.row_number().over(Window.partitionBy(*keys).orderBy("date"))

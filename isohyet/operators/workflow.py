@@ -82,6 +82,21 @@ def scenario(reference: DataFrame, simulations: DataFrame, value: str, var: str,
     return quantile_mapping.predict(sims, factors, value, nq, kind, "doy", SIM_KEYS)
 
 
+def scenarios(reference: DataFrame, simulations: DataFrame, variables: tuple[str, ...], **options) -> DataFrame:
+    """var, sim_code, location_id, date, value, adjusted of several variables, all simulations and places in one job.
+
+    Both tables are long (column var); each variable follows its own rules (see scenario), and reads only its partition.
+    """
+    out = None
+    for var in variables:
+        own = [x.filter(F.col("var") == var).drop("var") for x in (reference, simulations)]
+        found = scenario(*own, "value", var, **options).select(F.lit(var).alias("var"), *SIM_KEYS, "date", "value", "adjusted")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        raise ValueError("no variables")
+    return out
+
+
 def run_index(name: str, daily: DataFrame, *parameters, reference: DataFrame | None = None, keys: tuple[str, ...] = SIM_KEYS) -> DataFrame:
     """idx, keys, year, value of an index over all simulations; percentile parameters are of the index's first variable."""
     return annual.indices_of([(name, *parameters)], daily, reference, keys)

@@ -131,6 +131,15 @@ def workflow_daily(spark, d):
     return en.positional_comparison(cubes.reference(spark, d), cubes.precipitation(spark, d), "pr")
 
 
+_PLACED = "SELECT location_id, row_number() OVER (PARTITION BY location_id ORDER BY date) AS day, pr FROM"
+
+
+@query(sql("ref pr", "SELECT b.location_id, b.day::INT AS day, a.pr AS obs, b.pr AS sim, b.pr / 2 AS adjusted FROM b LEFT JOIN a ON a.location_id = b.location_id AND a.day = b.day", a=f"{_PLACED} ref WHERE year(date) <= 1998", b=f"{_PLACED} pr"))
+def bias_series(spark, d):
+    pr = cubes.precipitation(spark, d)
+    return en.bias_comparison(select.select_period(cubes.reference(spark, d), 1990, 1998), pr, pr.withColumn("pr", F.col("pr") / 2), "pr")
+
+
 @query(sql("simyear", "SELECT sim_code FROM (SELECT DISTINCT sim_code, rcp FROM simyear WHERE rcp <> 'rcp26') GROUP BY 1"))
 def shared_sims(spark, d):
     codes = _years(spark, d).select("sim_code", "rcp").distinct()

@@ -14,6 +14,12 @@ def read_daily(spark: SparkSession, *paths: str) -> DataFrame:
     return model.missing_to_null(spark.read.schema(model.DAILY).option("recursiveFileLookup", "false").parquet(*paths), "value")
 
 
+def list_files(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """path, length, modified of the files below a folder whose names match, at any depth; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(path)
+    return files.select("path", "length", F.col("modificationTime").alias("modified"))
+
+
 def write_cube(df: DataFrame, path: str, by: tuple[str, ...] = ("var", "sim_code")) -> None:
     """Write a table in partitions by the given columns; the commit protocol leaves no half-written output behind."""
     df.write.mode("overwrite").partitionBy(*by).parquet(path)

@@ -290,3 +290,39 @@ def test_small_helpers(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 3
     sims = spark.createDataFrame([("b",), ("ref",), ("a",)], "sim_code string")
     assert [r.sim_code for r in tables.order_simulations(sims).collect()] == ["ref", "a", "b"]
+
+
+def test_several_variables_are_adjusted_in_one_job(spark):
+    from isohyet.operators import workflow
+
+    days = spark.range(730).selectExpr("cast(id % 2 as int) as location_id", "date_add(date'2001-01-01', cast(id div 2 as int)) as date", "1.0 + id * 37 % 11 as value")
+    both = lambda df: df.withColumn("var", F.explode(F.array(F.lit("pr"), F.lit("tas"))))
+    ref, sims = both(days), both(days.select(F.lit("a_rcp26").alias("sim_code"), "location_id", "date", (F.col("value") * 2).alias("value")))
+    found = workflow.scenarios(ref, sims, ("pr", "tas"), nq=4, window=10)
+    for var in ("pr", "tas"):
+        alone = workflow.scenario(ref.filter(ref["var"] == var).drop("var"), sims.filter(sims["var"] == var).drop("var"), "value", var, 4, 10)
+        want = sorted((r.location_id, r.date, round(r.adjusted, 6)) for r in alone.collect())
+        assert len(want) == 730 and sorted((r.location_id, r.date, round(r.adjusted, 6)) for r in found.filter(found["var"] == var).collect()) == want
+    with pytest.raises(ValueError):
+        workflow.scenarios(ref, sims, ())
+
+
+def test_broken_writes_are_built_anew(spark, tmp_path):
+    from isohyet.operators import workflow
+
+    path = tmp_path / "cube"
+    path.mkdir()
+    (path / "part-00000.parquet").write_bytes(b"PAR1 cut off")
+    assert workflow.made(spark, str(path), lambda: spark.range(4)).count() == 4
+    files = [r.path.rsplit("/", 1)[1] for r in tables.list_files(spark, str(tmp_path)).collect()]
+    assert files and "part-00000.parquet" not in files
+    assert tables.list_files(spark, str(tmp_path), "*.csv").count() == 0
+
+
+def test_sources_in_canonical_columns(spark):
+    df = spark.createDataFrame([("a", 1, "2001-02-03", 2, 9.5)], "`Sim.Code` string, place int, day string, tas int, height double")
+    found = model.standardise(df, {"Sim.Code": "sim_code", "place": "location_id", "day": "date", "tas": "value"})
+    assert found.schema.names == model.DAILY.names and [f.dataType for f in found.schema] == [f.dataType for f in model.DAILY]
+    assert tuple(found.first()) == (None, "a", "1", None, None, date(2001, 2, 3), 2.0)
+    with pytest.raises(ValueError):
+        model.standardise(df, {"tas": "value", "height": "value"})
