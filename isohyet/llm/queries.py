@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import counting, fingerprints, media, mixing, packing, quality, sharding, simhash, sstable, suffixes
+from . import counting, divergence, fingerprints, infill, media, mixing, packing, pieces, quality, sharding, simhash, sstable, suffixes
 
 QUERIES = {
     "op1_harmonic_packing": packing.op1_harmonic_packing,
@@ -15,7 +15,10 @@ QUERIES = {
     "op8_simhash_groups": simhash.op8_simhash_groups,
     "op9_token_shards": sstable.op9_token_shards,
     "op10_quality_scores": quality.op10_quality_scores,
+    "op11_fill_in_middle": infill.op11_fill_in_middle,
+    "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_sentencepiece": pieces.op13_sentencepiece,
 }
 
-#: None of these can be written in SQL: they hash, tokenise, compress or learn. Their tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {}
+#: The others can't be written in SQL: they hash, tokenise, compress or learn. Their tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {"op11_fill_in_middle": infill.OP11_SQL, "op12_source_divergence": divergence.OP12_SQL}

@@ -8,14 +8,17 @@ import tempfile
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
+import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
 from isohyet.llm import counting, fingerprints, media, queries, quality, tokens
 from tests.llm.test_corpus import SCHEMA, _brute_components, _brute_repeats, _check_packed, _ids, _slow_fingerprint, _targets, _texts
 from tests.llm.test_pipeline import TAKEN
+from tests.llm.test_units import brute_audit
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -172,6 +175,47 @@ def test_op10_on_held_out_labels(spark):
     assert len(held) > 60 and area > 0.97 and np.mean(good >= quality.THRESHOLD) > 0.97 and np.mean(bad < quality.THRESHOLD) > 0.8
 
 
+def test_op11(spark, folder, texts):
+    found = {r.doc_id: tuple(r)[1:] for r in _run(spark, folder, "op11_fill_in_middle", "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string")}
+    for doc, text in texts.items():
+        h = hashlib.sha256(f"1:{doc}".encode()).hexdigest()
+        h1, h2, h3, h4 = (int(h[k : k + 8], 16) for k in (0, 8, 16, 24))
+        n = len(text)
+        a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+        plain = not text or "<P>" in text or "<S>" in text or "<M>" in text or h3 % 100 >= 90
+        form = "plain" if plain else "spm" if h4 % 100 < 20 else "psm"
+        out = {"plain": text, "psm": f"<P>{text[:a]}<S>{text[b:]}<M>{text[a:b]}", "spm": f"<S>{text[b:]}<P>{text[:a]}<M>{text[a:b]}"}[form]
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        assert found.pop(doc) == (n, form, None if plain else a, None if plain else b - a, digest(out), digest(text))
+    assert not found
+
+
+def test_op12(spark, folder):
+    found = _run(spark, folder, "op12_source_divergence", "lang string, source string, part string, item string, value bigint, rank int")
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("lang", "source", "text").collect()
+    assert sorted(map(tuple, found)) == brute_audit(rows)
+
+
+def test_op13(spark, folder, texts):
+    found = {r.doc_id: tuple(r)[1:] for r in _run(spark, folder, "op13_sentencepiece", "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")}
+    model = sentencepiece.SentencePieceProcessor(model_file=tokens.vocabulary_path("piece_bpe_32k.model"))
+    for doc, text in texts.items():
+        ids = model.encode(text, add_bos=True, add_eos=True)
+        assert found.pop(doc) == (len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), hashlib.sha256(model.decode(ids).encode()).hexdigest())
+    assert not found
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    sf_dir = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    got, want = queries.QUERIES[name](spark, sf_dir), con.sql(queries.ORACLE_SQL[name])
+    order = sorted(got.columns)
+    assert order == sorted(want.columns)
+    assert sorted((tuple(r[c] for c in order) for r in got.collect()), key=repr) == sorted(want.project(", ".join(order)).fetchall(), key=repr)
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
