@@ -18,21 +18,29 @@ def properties(cells: DataFrame) -> DataFrame:
     return cells.agg(F.count_distinct("lon").alias("n_lon"), F.count_distinct("lat").alias("n_lat"), size("lon").alias("d_lon"), size("lat").alias("d_lat"))
 
 
+#: Parts of a cell below which a place is a cell's own, and weights below which a corner plays no part.
+SNAP = 1e-9
+
+
 def bilinear_weights(targets: DataFrame, cells: DataFrame) -> DataFrame:
     """target_id, location_id, weight of a regular grid's four corners around each target; none for targets outside.
 
-    A corner is found by its place on the axes, so targets and cells meet by an equi-join.
+    A corner is found by its place on the axes, so targets and cells meet by an equi-join. Places within SNAP of a cell
+    are the cell's own: rounding makes no corner of a neighbour, and loses no target on the edge.
     """
     p = cells.agg(F.min("lon").alias("lon0"), F.max("lon").alias("lon1"), F.min("lat").alias("lat0"), F.max("lat").alias("lat1"), F.count_distinct("lon").alias("nx"), F.count_distinct("lat").alias("ny"))
-    sized = p.withColumns({"dx": (F.col("lon1") - F.col("lon0")) / F.greatest(F.col("nx") - 1, F.lit(1)), "dy": (F.col("lat1") - F.col("lat0")) / F.greatest(F.col("ny") - 1, F.lit(1))})
-    at = targets.crossJoin(F.broadcast(sized)).filter(F.col("lon").between(F.col("lon0"), F.col("lon1")) & F.col("lat").between(F.col("lat0"), F.col("lat1")))  # one row
-    x, y = F.try_divide(F.col("lon") - F.col("lon0"), F.col("dx")), F.try_divide(F.col("lat") - F.col("lat0"), F.col("dy"))
-    at = at.withColumns({"x": F.coalesce(x, F.lit(0.0)), "y": F.coalesce(y, F.lit(0.0))})
+    # an axis with one cell has steps of 1, and only that cell is on it
+    step = lambda c, n: F.when(F.col(n) > 1, (F.col(f"{c}1") - F.col(f"{c}0")) / (F.col(n) - 1)).otherwise(1.0)
+    sized = p.withColumns({"dx": step("lon", "nx"), "dy": step("lat", "ny")})
+    at = targets.crossJoin(F.broadcast(sized))  # one row
+    place = lambda c, d: (F.col(c) - F.col(f"{c}0")) / F.col(d)
+    snapped = lambda x: F.when(F.abs(x - F.rint(x)) <= SNAP, F.rint(x)).otherwise(x)
+    at = at.withColumns({"x": snapped(place("lon", "dx")), "y": snapped(place("lat", "dy"))}).filter("x between 0 and nx - 1 and y between 0 and ny - 1")
     at = at.withColumns({"i": F.least(F.floor("x"), F.greatest(F.col("nx") - 2, F.lit(0))), "j": F.least(F.floor("y"), F.greatest(F.col("ny") - 2, F.lit(0)))})
     fx, fy = F.col("x") - F.col("i"), F.col("y") - F.col("j")
     corner = F.explode(F.array(*(F.struct((F.col("i") + a).alias("i"), (F.col("j") + b).alias("j"), ((fx if a else 1 - fx) * (fy if b else 1 - fy)).alias("weight")) for a in (0, 1) for b in (0, 1))))
-    corners = at.select("target_id", corner.alias("k")).select("target_id", "k.*").filter("weight <> 0")
-    placed = cells.crossJoin(F.broadcast(sized)).select("location_id", F.round(F.coalesce(F.try_divide(F.col("lon") - F.col("lon0"), F.col("dx")), F.lit(0.0))).cast("long").alias("i"), F.round(F.coalesce(F.try_divide(F.col("lat") - F.col("lat0"), F.col("dy")), F.lit(0.0))).cast("long").alias("j"))  # one row
+    corners = at.select("target_id", corner.alias("k")).select("target_id", "k.*").filter(F.col("weight") > SNAP)
+    placed = cells.crossJoin(F.broadcast(sized)).select("location_id", F.rint(place("lon", "dx")).cast("long").alias("i"), F.rint(place("lat", "dy")).cast("long").alias("j"))  # one row
     return corners.join(placed, ["i", "j"]).select("target_id", "location_id", "weight")
 
 

@@ -149,11 +149,16 @@ def _pairs(starts: DataFrame, ends: DataFrame, keys: tuple[str, ...]) -> DataFra
     return starts.withColumnRenamed("value", "start").join(ends.withColumnRenamed("value", "end"), [*keys, "year"], "full")
 
 
-def length(starts: DataFrame, ends: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    """Days from start to end. Where, on average over all, starts come after ends, a season ends in the next year."""
+def length(starts: DataFrame, ends: DataFrame, keys: tuple[str, ...] = KEYS, cell: str = "location_id") -> DataFrame:
+    """Days from start to end. Where, on average over a series' cells and years, starts come after ends, a season ends in the next year.
+
+    A series is what the keys other than the cell tell: each simulation decides for itself.
+    """
     both = _pairs(starts, ends, keys)
-    means = both.agg((F.avg("start") <= F.avg("end")).alias("same_year"))
-    both = both.withColumn("next_end", F.lead("end").over(Window.partitionBy(*keys).orderBy("year"))).crossJoin(F.broadcast(means))
+    series = [k for k in keys if k != cell]
+    means = both.groupBy(*series).agg((F.avg("start") <= F.avg("end")).alias("same_year"))  # a row for each series
+    following = both.withColumn("next_end", F.lead("end").over(Window.partitionBy(*keys).orderBy("year")))
+    both = following.join(means, series) if series else following.crossJoin(F.broadcast(means))
     days = F.when(F.col("same_year"), F.col("end") - F.col("start") + 1).otherwise(365 - F.col("start") + F.col("next_end") + 1)
     # a season that would end before it starts has no length
     return both.select(*keys, "year", F.when(days >= 0, days).when(days < 0, 0).alias("value"))

@@ -51,7 +51,20 @@ def fill_na_spatial(spark, d):
     return grid.fill_in_space(holes, "value").withColumn("value", F.round("value", 6))
 
 
-@query()
+@query(sql("pr", "SELECT t.target_id, y.year, CASE WHEN count(y.value) = count(*) THEN round(avg(y.value), 6) END AS value FROM t JOIN years y ON abs(t.x - y.lon) <= 0.5 AND y.lat = t.y GROUP BY 1, 2",
+           years="SELECT location_id, lon, lat, year(date)::INT AS year, CASE WHEN location_id % 6 <> 1 THEN sum(pr)::DOUBLE END AS value FROM pr GROUP BY 1, 2, 3, 4",
+           t="SELECT location_id::BIGINT AS target_id, lon AS x, lat AS y FROM cells UNION ALL SELECT location_id + 100, lon + 0.5, lat FROM cells WHERE lon < 4"))
+def regrid_beside_gaps(spark, d):
+    """A grid of tenths of a degree onto its own cells and the middles between them: a gap spreads to no cell that is known."""
+    years = cubes.precipitation(spark, d).groupBy("location_id", F.year("date").alias("year")).agg(F.sum("pr").alias("value"))
+    holes = years.withColumn("value", F.when(F.col("location_id") % 6 != 1, F.col("value")))
+    cells = cubes.cells(spark, d).select("location_id", (F.col("lon") * 0.1).alias("lon"), (F.col("lat") * 0.1).alias("lat"))
+    own, beside = (cells.select((F.col("location_id") + k).cast("long").alias("target_id"), (F.col("lon") + more).alias("lon"), "lat") for k, more in ((0, 0.0), (100, 0.05)))
+    found = grid.regrid(holes, grid.bilinear_weights(own.unionByName(beside), cells), "value", ("year",))
+    return found.select("target_id", "year", F.round("value", 6).alias("value"))
+
+
+@query(sql("cells", "SELECT location_id AS target_id, location_id, 1::DOUBLE AS weight FROM cells"))
 def rotated_regrid(spark, d):
     cells = cubes.cells(spark, d).select("location_id", F.col("lon").alias("rlon"), F.col("lat").alias("rlat"))
     plain = grid.unrotate(cells, 10.0, 80.0)

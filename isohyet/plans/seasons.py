@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from isohyet import model
 from isohyet.operators import rainseason as rs
+from isohyet.operators import runs
 from isohyet.sources import cubes
 
 from .catalog import query
@@ -86,3 +87,16 @@ def rain_season_prcptot(spark, d):
 @query(season_sql("SELECT location_id, year, a::INT AS start, b::INT AS \"end\" FROM pair", "sum"))
 def rain_season_chain(spark, d):
     return rs.season(cubes.precipitation(spark, d), START, ENDS["sum"]).select("location_id", "year", F.col("start"), F.col("end"))
+
+
+# simulations of rcp85 have their season across the new year, the others within it
+_OPEN = "pr >= 1 AND dayofyear(date) >= CASE WHEN rcp = 'rcp85' THEN 250 ELSE 60 END"
+_CLOSE = "pr >= 1 AND dayofyear(date) >= CASE WHEN rcp = 'rcp85' THEN 30 ELSE 200 END"
+
+
+@query(sql("sim", "SELECT p.sim_code, p.location_id, p.year, greatest(CASE WHEN m.same THEN b - a + 1 ELSE 365 - a + nb + 1 END, CASE WHEN a IS NOT NULL AND (CASE WHEN m.same THEN b ELSE nb END) IS NOT NULL THEN 0 END)::INT AS value FROM pair p JOIN (SELECT sim_code, avg(a) <= avg(b) AS same FROM pair GROUP BY 1) m ON m.sim_code = p.sim_code",
+           pair=f"SELECT *, lead(b) OVER (PARTITION BY sim_code, location_id ORDER BY year) AS nb FROM (SELECT sim_code, location_id, year(date)::INT AS year, min(CASE WHEN {_OPEN} THEN dayofyear(date) END) AS a, min(CASE WHEN {_CLOSE} THEN dayofyear(date) END) AS b FROM sim GROUP BY ALL)"))
+def rain_season_length_by_simulation(spark, d):
+    """Lengths where some simulations' seasons cross the new year: each decides by its own means."""
+    pr, keys = cubes.simulations(spark, d), ("sim_code", "location_id")
+    return rs.length(runs.first_doy(pr, _OPEN, keys), runs.first_doy(pr, _CLOSE, keys), keys)

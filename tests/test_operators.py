@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from isohyet import config, model
 from isohyet.functions import physics
-from isohyet.operators import annual, ensemble, grid, indices, quantile_mapping, resample, runs, select, workflow
+from isohyet.operators import annual, ensemble, grid, indices, quantile_mapping, rainseason, resample, runs, select, workflow
 from isohyet.sources import tables
 from isohyet.streaming import aggregates
 
@@ -186,7 +186,29 @@ def test_rotated_grid_keeps_linear_fields(spark):
     field = cells.select("location_id", F.lit("2000-01-01").cast("date").alias("date"), (3 * F.col("rlon") - 2 * F.col("rlat") + 1).alias("v"))
     got = {r.target_id: r.v for r in grid.regrid(field, weights, "v").collect()}
     want = {k: 3 * x - 2 * y + 1 for k, x, y in points if 0 <= x <= 4 and 0 <= y <= 4}
-    assert set(got) - {1} == set(want) - {1} and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want if k in got)
+    assert set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+    own = grid.rotated_weights(plain.select(F.col("location_id").alias("target_id"), "lon", "lat"), plain.select("location_id", "rlon", "rlat"), 10.0, 80.0)
+    assert sorted((r.target_id, r.location_id) for r in own.collect()) == [(k, k) for k in range(25)]
+
+
+def test_gaps_do_not_spread(spark):
+    cells = spark.createDataFrame([(4 * y + x, 0.1 * x, 0.1 * y) for x in range(4) for y in range(4)], "location_id int, lon double, lat double")
+    targets = cells.select(F.col("location_id").alias("target_id"), "lon", "lat")
+    weights = grid.bilinear_weights(targets, cells)
+    assert weights.count() == 16 and weights.filter("weight <> 1").count() == 0
+    field = cells.select("location_id", F.lit(1).alias("date"), F.when(F.col("location_id") != 10, F.col("lon")).alias("v"))
+    got = {r.target_id: r.v for r in grid.regrid(field, weights, "v").collect()}
+    assert set(got) == set(range(16)) and [k for k, v in got.items() if v is None] == [10]
+    line = cells.filter("lat = 0")
+    assert {r.target_id for r in grid.bilinear_weights(targets, line).collect()} == {0, 1, 2, 3}
+    assert grid.bilinear_weights(targets, cells.limit(0)).count() == 0
+
+
+def test_each_simulation_has_its_own_season(spark):
+    rows = [("a", c, y, 100, 200) for c in (1, 2) for y in (1, 2)] + [("b", c, y, 300, 50) for c in (1, 2) for y in (1, 2)]
+    both = spark.createDataFrame(rows, "sim_code string, location_id int, year int, s int, e int")
+    found = rainseason.length(both.select("sim_code", "location_id", "year", F.col("s").alias("value")), both.select("sim_code", "location_id", "year", F.col("e").alias("value")), ("sim_code", "location_id"))
+    assert {(r.sim_code, r.year, r.value) for r in found.collect()} == {("a", 1, 101), ("a", 2, 101), ("b", 1, 116), ("b", 2, None)}
 
 
 def test_index_by_name_needs_its_variables(spark):

@@ -40,7 +40,7 @@ def test_query(spark, duck, sf_dir, name):
 def test_registry():
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
     assert len(catalog.QUERIES) > 100
-    assert set(catalog.QUERIES) - set(catalog.ORACLE_SQL) == {"clusters_of_all", "rotated_regrid"}
+    assert set(catalog.QUERIES) - set(catalog.ORACLE_SQL) == {"clusters_of_all"}
 
 
 def test_entry(spark):
