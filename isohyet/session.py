@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,16 +19,29 @@ def session(master: str | None = None, shuffle_partitions: int | None = None, **
     return builder.config(map=settings).getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Computed once and written to the folder of spark.checkpoint.dir, which all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share.
 
-    For results that several branches of a plan read. Where the setting is absent a new local folder is taken, but only
-    where the master is local: other machines would not see it.
+    Where the setting is absent a new local folder is taken, but only where the master is local: other machines would not
+    see it.
     """
-    context = df.sparkSession.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='isohyet-')}")
+    context = spark.sparkContext
+    held = context._jsc.sc().getCheckpointDir()
+    if held.isDefined():
+        return held.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(folder or f"file://{tempfile.mkdtemp(prefix='isohyet-')}")
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new name for a folder below the shared one; who asks for it drops it."""
+    return f"{shared_folder(spark)}/isohyet/{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Computed once and written to the shared folder, for results that several branches of a plan read."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
