@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.functions import physics
@@ -64,6 +64,52 @@ def rotated_weights(targets: DataFrame, cells: DataFrame, pole_lon: float, pole_
     return bilinear_weights(turned, cells.select("location_id", F.col("rlon").alias("lon"), F.col("rlat").alias("lat")))
 
 
+def _turned(lon: Column, beside: Column) -> Column:
+    """A longitude as the one of its turns that is nearest to another."""
+    return beside + F.pmod(lon - beside + 180, F.lit(360.0)) - 180
+
+
+def curvilinear_weights(targets: DataFrame, cells: DataFrame, bin_degrees: float = 1.0) -> DataFrame:
+    """target_id, location_id, weight for a grid that is told by its cells' lon and lat alone (and places i, j in it).
+
+    Four neighbouring cells make a quad, on which longitude and latitude are bilinear; where a target lies in it is the
+    root of a quadratic equation. Quads and targets meet by the squares of `bin_degrees` that they touch, an equi-join. A
+    target on an edge is in several quads and takes the one of the least place; targets in none get no row. Missing cells
+    make no quads. Grids may cross the 180th meridian; a quad around a pole isn't told by longitudes and makes none.
+    """
+    across = max(1, round(360 / bin_degrees))
+    size = 360 / across
+    named = lambda k: cells.select("i", "j", *(F.col(c).cast("double" if c != "location_id" else cells.schema[c].dataType).alias(f"{c}_{k}") for c in ("location_id", "lon", "lat")))
+    quads = named("a")
+    for k, (di, dj) in zip("bcd", ((1, 0), (0, 1), (1, 1)), strict=True):
+        quads = quads.join(named(k).withColumns({"i": F.col("i") - di, "j": F.col("j") - dj}), ["i", "j"])
+    quads = quads.withColumns({f"lon_{k}": _turned(F.col(f"lon_{k}"), F.col("lon_a")) for k in "bcd"})
+    bound = lambda f, c: f(*(F.col(f"{c}_{k}") for k in "abcd"))
+    quads = quads.withColumns({"west": bound(F.least, "lon"), "east": bound(F.greatest, "lon"), "south": bound(F.least, "lat"), "north": bound(F.greatest, "lat")}).filter("east - west < 180")
+    square = lambda x: F.floor(x / size)
+    touched = lambda low, high: F.explode(F.sequence(square(F.col(low) - SNAP), square(F.col(high) + SNAP)))
+    placed = quads.withColumn("bx", touched("west", "east")).withColumn("by", touched("south", "north")).withColumn("bx", F.pmod("bx", F.lit(across))).drop("west", "east", "south", "north")
+    at = targets.select("target_id", F.col("lon").alias("x"), F.col("lat").alias("y"), F.pmod(square(F.col("lon")), F.lit(across)).alias("bx"), square(F.col("lat")).alias("by"))
+    met = at.join(placed.distinct() if across < 4 else placed, ["bx", "by"])
+    # corner a, the sides to b and to c, what d is off their parallelogram, and the target, all from a
+    part = {f"{n}{c}": e for c, axis in (("x", "lon"), ("y", "lat")) for n, e in (("e", F.col(f"{axis}_b") - F.col(f"{axis}_a")), ("f", F.col(f"{axis}_c") - F.col(f"{axis}_a")), ("g", F.col(f"{axis}_a") - F.col(f"{axis}_b") - F.col(f"{axis}_c") + F.col(f"{axis}_d")))}
+    met = met.withColumns({**part, "hx": _turned(F.col("x"), F.col("lon_a")) - F.col("lon_a"), "hy": F.col("y") - F.col("lat_a")})
+    cross = lambda a, b: F.col(f"{a}x") * F.col(f"{b}y") - F.col(f"{a}y") * F.col(f"{b}x")
+    met = met.withColumns({"k2": cross("g", "f"), "k1": cross("e", "f") + cross("h", "g"), "k0": cross("h", "e")})
+    root = F.sqrt(F.greatest(F.col("k1") * F.col("k1") - 4 * F.col("k2") * F.col("k0"), F.lit(0.0)))
+    half = -(F.col("k1") + F.when(F.col("k1") < 0, -root).otherwise(root)) / 2  # never a difference of like numbers
+    both = F.explode(F.array(F.try_divide(half, F.col("k2")), F.try_divide(F.col("k0"), half)))
+    met = met.withColumn("v", both).filter("v is not null")
+    wide = F.abs(F.col("ex") + F.col("gx") * F.col("v")) >= F.abs(F.col("ey") + F.col("gy") * F.col("v"))
+    along = lambda c: F.try_divide(F.col(f"h{c}") - F.col(f"f{c}") * F.col("v"), F.col(f"e{c}") + F.col(f"g{c}") * F.col("v"))
+    snapped = lambda c: F.when(F.abs(c) <= SNAP, 0.0).when(F.abs(c - 1) <= SNAP, 1.0).otherwise(c)
+    inside = met.withColumn("u", F.when(wide, along("x")).otherwise(along("y"))).withColumns({"u": snapped(F.col("u")), "v": snapped(F.col("v"))}).filter("u between 0 and 1 and v between 0 and 1")
+    u, v = F.col("u"), F.col("v")
+    corners = F.array(*(F.struct(F.col(f"location_id_{k}").alias("location_id"), w.alias("weight")) for k, w in (("a", (1 - u) * (1 - v)), ("b", u * (1 - v)), ("c", (1 - u) * v), ("d", u * v))))
+    one = inside.groupBy("target_id").agg(F.min(F.struct("i", "j", "v", "u", corners.alias("corners"))).alias("q"))
+    return one.select("target_id", F.explode("q.corners").alias("k")).select("target_id", "k.*").filter(F.col("weight") > SNAP)
+
+
 def has_rotated_axes(cells: DataFrame) -> bool:
     """Whether cells are told by places on a rotated grid, by their columns alone."""
     return {"rlon", "rlat"} <= set(cells.columns)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from isohyet.functions import physics
 
-from . import annual, quantile_mapping, resample, select
+from . import annual, grid, quantile_mapping, resample, select
 
 SIM_KEYS = annual.SIM_KEYS
 
@@ -41,6 +41,17 @@ def extract(historical: DataFrame, future: DataFrame, cells: DataFrame, lon: tup
     return select.select_period(select.subset_box(historical.unionByName(future), cells, lon, lat), *years)
 
 
+def to_regular(df: DataFrame, cells: DataFrame, value: str, step_lon: float, step_lat: float, keys: tuple[str, ...] = ("date",)) -> DataFrame:
+    """Values of a rotated or otherwise bent grid on a regular one over it: keys, location_id (new), lon, lat, value.
+
+    cells: location_id, places i and j in the grid, lon, lat. Targets outside the bent grid get no rows; values whose
+    corners are not all known are NULL.
+    """
+    targets = grid.regular_targets(cells, step_lon, step_lat)
+    found = grid.regrid(df, grid.curvilinear_weights(targets, cells, max(step_lon, step_lat)), value, keys)
+    return found.join(targets, "target_id").select(*keys, F.col("target_id").alias("location_id"), "lon", "lat", value)
+
+
 def is_hourly(df: DataFrame, keys: tuple[str, ...] = ("location_id",)) -> bool:
     """Whether a day has more than one record of a cell: a look at one day of one cell, the first row's."""
     one = df.select(*keys, F.col("ts").cast("date").alias("day")).first()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from isohyet.operators import grid, select
+from isohyet.operators import grid, select, workflow
 from isohyet.sources import cubes
 
 from .catalog import query
@@ -94,3 +94,32 @@ _STEP = 0.7
 @query(sql("cells", f"SELECT (j * (nx + 1) + i)::BIGINT AS target_id, round(x0 + i * {_STEP}, 6) AS lon, round(y0 + j * {_STEP}, 6) AS lat FROM (SELECT *, unnest(range(0, ny + 1)) AS j FROM (SELECT *, unnest(range(0, nx + 1)) AS i FROM (SELECT lo + ((hi - lo) - nx * {_STEP}) / 2 AS x0, la + ((ha - la) - ny * {_STEP}) / 2 AS y0, nx, ny FROM (SELECT *, floor((hi - lo) / {_STEP})::BIGINT AS nx, floor((ha - la) / {_STEP})::BIGINT AS ny FROM (SELECT min(lon) AS lo, max(lon) AS hi, min(lat) AS la, max(lat) AS ha FROM cells)))))"))
 def regular_targets(spark, d):
     return grid.regular_targets(cubes.cells(spark, d), _STEP, _STEP).select("target_id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
+
+
+# a grid whose lon and lat are bilinear in its own places x and y, and points at known places of it: inside, on an edge, at a cell, outside
+_BEND = "{x} + 0.05 * {x} * {y} + 0.2 * {y} AS lon, {y} - 0.03 * {x} * {y} + 0.1 * {x} AS lat"
+_SPOTS = ((0, 0.3, 0.6), (100, 0.5, 0.0), (200, 0.0, 0.0))
+
+
+@query(sql("cells", "SELECT t.target_id, c.location_id, round((1 - abs(t.x - c.lon)) * (1 - abs(t.y - c.lat)), 9) AS weight FROM t JOIN cells c ON abs(t.x - c.lon) < 1 AND abs(t.y - c.lat) < 1 WHERE t.x <= 4 AND t.y <= 4",
+           t=" UNION ALL ".join(f"SELECT location_id::BIGINT + {k} AS target_id, lon + {dx} AS x, lat + {dy} AS y FROM cells" for k, dx, dy in _SPOTS)))
+def curvilinear_weights(spark, d):
+    """Weights of a bent grid that is known by its cells' lon and lat alone."""
+    own = cubes.cells(spark, d).select("location_id", F.col("lon").alias("x"), F.col("lat").alias("y"))
+    bent = lambda df, name: df.selectExpr(name, "x", "y", *(part.format(x="x", y="y") for part in _BEND.split(", ")))
+    cells = bent(own, "location_id").select("location_id", F.col("x").cast("int").alias("i"), F.col("y").cast("int").alias("j"), "lon", "lat")
+    spots = [own.selectExpr(f"cast(location_id as bigint) + {k} as target_id", f"x + {dx} as x", f"y + {dy} as y") for k, dx, dy in _SPOTS]
+    targets = bent(spots[0].unionByName(spots[1]).unionByName(spots[2]), "target_id")
+    return grid.curvilinear_weights(targets, cells).select("target_id", "location_id", F.round("weight", 9).alias("weight"))
+
+
+@query(sql("cells pr", "SELECT t.target_id AS location_id, round(t.lon, 6) AS lon, round(t.lat, 6) AS lat, y.year, round(sum((1 - abs(t.x - y.lon)) * (1 - abs(t.y - y.lat)) * y.pr), 4) AS pr FROM placed t JOIN years y ON abs(t.x - y.lon) < 1 AND abs(t.y - y.lat) < 1 GROUP BY ALL",
+           years="SELECT location_id, lon, lat, year(date)::INT AS year, sum(pr)::DOUBLE AS pr FROM pr GROUP BY ALL",
+           axes="SELECT (max(lon + 0.2 * lat) - min(lon + 0.2 * lat)) AS wide, (max(lat + 0.1 * lon) - min(lat + 0.1 * lon)) AS high, floor(4.8 / 0.7 + 1e-9)::BIGINT AS nx, floor(4.4 / 0.7 + 1e-9)::BIGINT AS ny FROM cells",
+           t="SELECT j * (nx + 1) + i AS target_id, (wide - nx * 0.7) / 2 + i * 0.7 AS lon, (high - ny * 0.7) / 2 + j * 0.7 AS lat FROM (SELECT *, unnest(range(0, ny + 1)) AS j FROM (SELECT *, unnest(range(0, nx + 1)) AS i FROM axes))",
+           placed="SELECT * FROM (SELECT *, (lon - 0.2 * lat) / 0.98 AS x, (lat - 0.1 * lon) / 0.98 AS y FROM t) WHERE x BETWEEN -1e-9 AND 4 + 1e-9 AND y BETWEEN -1e-9 AND 4 + 1e-9"))
+def curvilinear_to_regular(spark, d):
+    """Annual precipitation of a slanted grid on a regular one."""
+    years = cubes.precipitation(spark, d).groupBy("location_id", F.year("date").alias("year")).agg(F.sum("pr").alias("pr"))
+    cells = cubes.cells(spark, d).select("location_id", F.col("lon").cast("int").alias("i"), F.col("lat").cast("int").alias("j"), (F.col("lon") + 0.2 * F.col("lat")).alias("lon"), (F.col("lat") + 0.1 * F.col("lon")).alias("lat"))
+    return workflow.to_regular(years, cells, "pr", 0.7, 0.7, ("year",)).select("location_id", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"), "year", F.round("pr", 4).alias("pr"))

@@ -191,6 +191,32 @@ def test_rotated_grid_keeps_linear_fields(spark):
     assert sorted((r.target_id, r.location_id) for r in own.collect()) == [(k, k) for k in range(25)]
 
 
+@pytest.mark.parametrize("away", [0.0, 177.5])
+def test_bent_grids(spark, away):
+    """Places are found again in a grid of any quads, also across the 180th meridian; each target once, none outside."""
+    rng = np.random.default_rng(4)
+    n = 7
+    lon = away + np.arange(n)[:, None] * 0.9 + 0.15 * rng.normal(size=(n, n)) + 0.2 * np.arange(n)
+    lat = 40 + np.arange(n) * 0.8 + 0.1 * rng.normal(size=(n, n)) - 0.1 * np.arange(n)[:, None]
+    wrap = lambda x: (x + 180) % 360 - 180
+    cells = spark.createDataFrame([(n * i + j, i, j, float(wrap(lon[i, j])), float(lat[i, j])) for i in range(n) for j in range(n)], "location_id int, i int, j int, lon double, lat double")
+    places = [(float(rng.integers(0, n - 1)), float(rng.integers(0, n - 1)), *rng.random(2)) for _ in range(200)]
+    places += [(i, j, u, v) for i in (0, 2, 5) for j in (0, 3, 5) for u, v in ((0, 0), (1, 1), (0.5, 0), (1, 0.25))]
+    rows, want = [], {}
+    for k, (i, j, u, v) in enumerate(places):
+        i, j = int(i), int(j)
+        w = {(i, j): (1 - u) * (1 - v), (i + 1, j): u * (1 - v), (i, j + 1): (1 - u) * v, (i + 1, j + 1): u * v}
+        rows.append((k, float(wrap(sum(x * lon[c] for c, x in w.items()))), float(sum(x * lat[c] for c, x in w.items()))))
+        want |= {(k, n * a + b): x for (a, b), x in w.items() if x > 1e-9}
+    rows += [(999, float(wrap(away - 3)), 42.0), (998, float(wrap(away + 3)), 55.0)]
+    for size in (0.5, 5.0, 400.0):
+        found = grid.curvilinear_weights(spark.createDataFrame(rows, "target_id int, lon double, lat double"), cells, size).collect()
+        got = {(r.target_id, r.location_id): r.weight for r in found}
+        assert len(got) == len(found) and set(got) == set(want) and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+    holes = grid.curvilinear_weights(spark.createDataFrame(rows, "target_id int, lon double, lat double"), cells.filter("location_id <> 8"), 1.0)
+    assert 8 not in {r.location_id for r in holes.collect()} and holes.count() > 0
+
+
 def test_gaps_do_not_spread(spark):
     cells = spark.createDataFrame([(4 * y + x, 0.1 * x, 0.1 * y) for x in range(4) for y in range(4)], "location_id int, lon double, lat double")
     targets = cells.select(F.col("location_id").alias("target_id"), "lon", "lat")
