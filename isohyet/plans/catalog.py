@@ -25,4 +25,4 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-from . import availability, grids, indices, seasons, selection, statistics, stores, workflows  # noqa: E402, F401
+from . import availability, grids, indices, seasons, selection, statistics, stores, streams, workflows  # noqa: E402, F401

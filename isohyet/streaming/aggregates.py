@@ -29,6 +29,15 @@ def write_daily(df: DataFrame, path: str, checkpoint: str, trigger: dict | None
     return df.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def read_written_days(spark: SparkSession, path: str) -> DataFrame:
+    """What write_daily() has written, as a stream: closed days, each once."""
+    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+
+
 def wet_day_counts(days: DataFrame, threshold: float, keys: tuple[str, ...] = ("event_type",)) -> DataFrame:
-    """Running count of days at or above a threshold, for complete or update output."""
+    """Days at or above a threshold, of the written daily table or, for complete or update output, of a stream of it.
+
+    The days must have been written first (read_written_days): a count over a stream's open days would count them anew
+    with each of their values, and Spark refuses it.
+    """
     return days.groupBy(*keys).agg(F.count_if(F.col("sum") >= threshold).alias("wet_days"))
