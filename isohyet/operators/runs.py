@@ -39,6 +39,15 @@ def runs(df: DataFrame, condition: str | Column, keys: tuple[str, ...] = KEYS) -
     return marked.withColumn("run", failed).groupBy(*keys, "year", "run").agg(F.sum(F.col("ok").cast("long")).alias("length")).drop("run")
 
 
+def spells(df: DataFrame, condition: str | Column, at_least: int = 1, keys: tuple[str, ...] = KEYS) -> DataFrame:
+    """keys, year, start, end, length of each run of at least so many days; runs are cut at the new year."""
+    ok = F.coalesce(F.expr(condition) if isinstance(condition, str) else condition, F.lit(False))
+    marked = df.select(*keys, "date", F.year("date").alias("year"), ok.alias("ok"))
+    failed = F.sum((~F.col("ok")).cast("int")).over(Window.partitionBy(*keys, "year").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
+    days = marked.withColumn("run", failed).filter("ok").groupBy(*keys, "year", "run")
+    return days.agg(F.min("date").alias("start"), F.max("date").alias("end"), F.count(F.lit(1)).alias("length")).filter(F.col("length") >= at_least).drop("run")
+
+
 def longest_run(df: DataFrame, condition: str | Column, at_least: int = 1, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """value: days of the year's longest run, 0 if shorter than at_least."""
     longest = runs(df, condition, keys).groupBy(*keys, "year").agg(F.max("length").alias("value"))

@@ -56,13 +56,31 @@ def control_point(df: DataFrame, cells: DataFrame, lon: float | None = None, lat
     return df.join(cell, "location_id", "left_semi")
 
 
-def inside_polygon(cells: DataFrame, edges: DataFrame) -> DataFrame:
-    """location_id of cells whose centre lies in a polygon: a ray to the right crosses its rings an odd number of times.
+def regions_of(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """region, location_id of cells whose centre lies in a region: a ray to the right crosses its rings an odd number of times.
 
-    edges has one row per side: x1, y1, x2, y2. Cells and edges are dimension tables; daily values never meet edges.
+    edges: region, x1, y1, x2, y2, a row for each side of any ring, holes among them. A side is told in each row of
+    latitudes that it reaches, as wide as the cells are apart, and meets the cells of that row by an equi-join. Of regions
+    that share a border a cell on it lies in one; where regions overlap it lies in each.
     """
-    crosses = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / F.when(F.col("y2") != F.col("y1"), F.col("y2") - F.col("y1")) + F.col("x1"))
-    return cells.join(edges, crosses).groupBy("location_id").agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 1").select("location_id")
+    apart = cells.agg(F.try_divide(F.max("lat") - F.min("lat"), F.count_distinct("lat") - 1).alias("height"))
+    height = apart.select(F.when(F.col("height") > 0, F.col("height")).otherwise(1.0)).scalar()
+    row = lambda c: F.floor(F.col(c) / F.col("height"))
+    sides = edges.filter("y1 <> y2").withColumns({"height": height, "low": F.least("y1", "y2"), "high": F.greatest("y1", "y2")})
+    told = sides.withColumn("row", F.explode(F.sequence(row("low"), row("high")))).select("region", "row", "x1", "y1", "x2", "y2")
+    placed = cells.withColumn("height", height).select("location_id", "lon", "lat", row("lat").alias("row"))
+    crosses = ((F.col("y1") > F.col("lat")) != (F.col("y2") > F.col("lat"))) & (F.col("lon") < (F.col("x2") - F.col("x1")) * (F.col("lat") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1"))
+    return placed.join(told, "row").filter(crosses).groupBy("region", "location_id").agg(F.count(F.lit(1)).alias("n")).filter("n % 2 = 1").select("region", "location_id")
+
+
+def region_means(df: DataFrame, members: DataFrame, value: str, keys: tuple[str, ...] = ("date",)) -> DataFrame:
+    """region, keys, value: the mean over the cells of each region; members as regions_of() gives them."""
+    return df.join(members, "location_id").groupBy("region", *keys).agg(F.avg(value).alias(value))
+
+
+def inside_polygon(cells: DataFrame, edges: DataFrame) -> DataFrame:
+    """location_id of cells whose centre lies in one polygon (sides x1, y1, x2, y2)."""
+    return regions_of(cells, edges.select(F.lit(0).alias("region"), "x1", "y1", "x2", "y2")).select("location_id")
 
 
 def clip(df: DataFrame, cells: DataFrame, edges: DataFrame) -> DataFrame:
