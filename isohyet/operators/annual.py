@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from isohyet import model
 from isohyet.functions import physics
-from isohyet.session import durable
+from isohyet.session import durable, stored
 
 from . import grid, indices, rainseason, runs, select
 
@@ -181,8 +181,10 @@ def indices_of(wanted: list[tuple], daily: DataFrame, reference: DataFrame | Non
         if absent:
             raise ValueError(f"{name} needs {absent}")
     fused, apart = [x for x in labelled if x[1] in FUSED], [x for x in labelled if x[1] in APART]
-    days = durable(daily) if apart and len(labelled) > 1 else daily
-    parts = [_fused(fused, days, reference, keys)] if fused else []
+    # what is read on its own is kept as Parquet if it is read again, and no other column of the days
+    needed = sorted({v for _, name, *_ in apart for v in APART[name]})
+    days = stored(daily.select(*keys, "date", *needed)) if len(apart) > 1 else daily
+    parts = [_fused(fused, daily, reference, keys)] if fused else []
     seasons: dict[str, DataFrame] = {}
     for label, name, *parameters in apart:
         if name == "droughtcode":

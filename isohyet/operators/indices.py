@@ -34,13 +34,20 @@ def _year(df: DataFrame, agg: Column, keys: tuple[str, ...] = KEYS) -> DataFrame
 # --- thresholds ------------------------------------------------------------------------------------------------------
 
 
-def reference_quantile(reference: DataFrame, value: str, q: float, places: int = 2) -> DataFrame:
+#: Distinct values up to which one task looks a quantile up; beyond it the values are cut into ranges.
+FEW_VALUES = 200_000
+
+
+def reference_quantile(reference: DataFrame, value: str, q: float, places: int = 2, few: int = FEW_VALUES) -> DataFrame:
     """One row, threshold: a quantile over all days and cells of the reference, rounded.
 
-    Exact, without all values in one task: equal values are counted before they are shuffled, ranges of them are summed,
-    and the quantile's rank, or the two around it, is looked up by running counts inside the ranges.
+    Exact, without all days in one task, and the days are read once: equal values are counted before they are shuffled, and
+    the counts are kept. Up to `few` distinct values, which measurements of a fixed precision have, are weighed by one
+    aggregate; more are summed by ranges, and the quantile's rank, or the two around it, is looked up inside a range.
     """
-    counts = reference.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(reference.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    if counts.count() <= few:
+        return counts.agg(F.round(F.percentile("v", float(q), F.col("n")), places).alias("threshold"))
     laid = durable(counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()))
     # one row a range
     parts = laid.groupBy("part").agg(F.sum("n").alias("own")).select("part", F.coalesce(F.sum("own").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"), F.sum("own").over(Window.partitionBy()).alias("all"))

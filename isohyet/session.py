@@ -45,3 +45,10 @@ def durable(df: DataFrame) -> DataFrame:
     """Computed once and written to the shared folder, for results that several branches of a plan read."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """As durable(), but as Parquet: several readers take the columns and rows that each needs."""
+    folder = scratch(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -25,6 +25,20 @@ def write_cube(df: DataFrame, path: str, by: tuple[str, ...] = ("var", "sim_code
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def save_by_series(df: DataFrame, name: str, path: str, keys: tuple[str, ...] = ("location_id",), buckets: int = 64) -> DataFrame:
+    """A table whose files hold whole series in order of days, as a table of the catalog; returns it as read.
+
+    A bucket, the series of equal hashes of keys, is one file, sorted by keys and date. Windows over a series' days and
+    groupings by its keys then need neither an exchange nor a sort, however often they are computed.
+    """
+    spark = df.sparkSession
+    # one file a bucket: dealt by the hash that buckets are told by
+    dealt = df.repartition(buckets, *keys).sortWithinPartitions(*keys, "date")
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys, "date").saveAsTable(name)
+    spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")  # files are whole buckets, so their order holds
+    return spark.table(name)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
