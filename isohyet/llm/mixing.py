@@ -118,14 +118,17 @@ def materialise(docs: DataFrame, plan: DataFrame, shards: int | None = None) ->
     from the plan unless given.
     """
     mark, dealt, copy, shard = (common.fresh(docs.columns, x) for x in ("mix_mark", "mix_shards", "mix_copy", "mix_shard"))
-    keyed = docs.withColumn(mark, _mark())
+    # by the id as well: different documents of one mark keep their own copies
+    key = lambda of: F.struct(F.col("doc_id").cast("long").alias("doc_id"), of.alias("mark"))  # noqa: E731  equal where both are, nulls too
+    keyed = docs.withColumn(mark, key(_mark()))
+    if shards is None:
+        plan = common.stored(plan.select("doc_id", "mark", "shards"), "mix-plan")
     # rows that repeat one id and text share each plan row; a plan row serves one of them
-    taken = plan.groupBy(F.col("mark").alias(mark)).agg(F.max("shards").alias(dealt))
+    taken = plan.groupBy(key(F.col("mark")).alias(mark)).agg(F.max("shards").alias(dealt))
     if shards is None:
-        plan = common.stored(plan.select("mark", "shards"), "mix-plan")
         shards = (plan.agg(F.max(F.array_max("shards"))).first()[0] or 0) + 1  # one number
     copies = keyed.join(taken, mark).select("*", F.posexplode(dealt).alias(copy, shard))
-    return copies.repartitionById(shards, F.col(shard)).sortWithinPartitions(F.xxhash64(mark, copy, F.lit(SEED))).drop(mark, dealt)
+    return copies.repartitionById(shards, F.col(shard)).sortWithinPartitions(F.xxhash64(f"{mark}.mark", copy, F.lit(SEED))).drop(mark, dealt)
 
 
 def op4_source_mixing(spark, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
@@ -167,8 +167,9 @@ def _compare(fps: np.ndarray, planes: np.ndarray, queries: np.ndarray, low: np.n
 def bucket_links(fps: np.ndarray, group: np.ndarray, radius: int) -> Pairs:
     """Index pairs within the radius that connect all such fingerprints of equal group; group must be sorted.
 
-    All pairs of a group of up to LARGE. In a larger one, all are compared with the first block; what is then not in the
-    largest component is compared with all. Pairs inside that component are already connected, so no component is lost.
+    All pairs of a group of up to LARGE. In a larger one, all are compared with the first block. What is then not in the
+    largest component goes by its own bits where the radius leaves some to share (_by_own_bits); else it is compared with
+    all. Pairs inside that component are already connected, so no component is lost.
     """
     n = len(fps)
     if n < 2:
@@ -185,7 +186,35 @@ def bucket_links(fps: np.ndarray, group: np.ndarray, radius: int) -> Pairs:
         yield from near
         root = _local_roots(size, ((i - s, j - s) for i, j in near))
         rest = rows[root != np.bincount(root).argmax()]
-        yield from _compare(fps, planes, rest, np.full(len(rest), s), np.full(len(rest), s + size), radius)
+        if fps.shape[1] == 1 and radius <= 8 and len(rest) > LARGE:
+            yield from ((rows[i], rows[j]) for i, j in _by_own_bits(fps[rows], radius))
+        else:
+            yield from _compare(fps, planes, rest, np.full(len(rest), s), np.full(len(rest), s + size), radius)
+
+
+def _by_own_bits(fps: np.ndarray, radius: int) -> Pairs:
+    """As bucket_links() for one large group of 64-bit fingerprints, in time that grows about with their number.
+
+    Only bits that differ in the group count. They are cut into blocks, more than the radius: fingerprints within it have
+    all but `radius` blocks alike, so for each choice of blocks they stand side by side in the order of those. Groups of
+    equal blocks are compared, large ones by their own bits again, which are fewer.
+    """
+    varying = int(np.bitwise_or.reduce(fps[:, 0])) & ~int(np.bitwise_and.reduce(fps[:, 0]))
+    bits = [b for b in range(64) if varying >> b & 1]
+    n = len(fps)
+    if len(bits) <= radius:  # all are within the radius
+        yield np.arange(n - 1), np.arange(1, n)
+        return
+    for m in range(radius + 1, min(len(bits), radius + 4) + 1):
+        kept = m - radius
+        if n <= _LANES << (len(bits) * kept // m):
+            break
+    edges = [len(bits) * k // m for k in range(m + 1)]
+    blocks = [sum(1 << b for b in bits[lo:hi]) for lo, hi in zip(edges, edges[1:])]
+    for chosen in combinations(blocks, kept):
+        key = fps[:, 0] & np.uint64(sum(chosen))
+        order = np.argsort(key, kind="stable")
+        yield from ((order[i], order[j]) for i, j in bucket_links(fps[order], key[order], radius))
 
 
 def _local_roots(n: int, pairs: Pairs) -> np.ndarray:
@@ -316,9 +345,15 @@ def _sketch_of(hashes: np.ndarray) -> tuple[bytes, list[int]]:
     return found, [b - (1 << 64) if b >> 63 else b for b in (*bands, xxhash.xxh64_intdigest(found, BANDS))]
 
 
-def _node(hashes: np.ndarray) -> int:
-    node = xxhash.xxh3_64_intdigest(hashes.tobytes())
-    return node - (1 << 64) if node >> 63 else node
+def _node(hashes: np.ndarray) -> tuple[int, int]:
+    """The two halves of a 128-bit hash of a set of shingles, as signed longs."""
+    node = xxhash.xxh3_128_intdigest(hashes.tobytes())
+    return tuple(x - (1 << 64) if x >> 63 else x for x in (node & (1 << 64) - 1, node >> 64))
+
+
+def text_key() -> Column:
+    """128 bits that tell a text (null: empty)."""
+    return F.unhex(F.md5(common.text_or_empty()))
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator[pa.RecordBatch]:
@@ -331,14 +366,14 @@ def _sketches(batches: Iterator[pa.RecordBatch], shingle_words: int) -> Iterator
             keys.append(own)
             nodes.append(_node(hashes))
             sizes.append(len(hashes))
-        columns = [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node_id", "size", "fp", "bands"])
+        columns = [batch.column(0), batch.column(1), pa.array([n for n, _ in nodes], pa.int64()), pa.array([m for _, m in nodes], pa.int64()), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "node_id", "more", "size", "fp", "bands"])
     common.give_back()
 
 
 #: As _NODE, ties by the least hash of a text.
-_TEXT_NODE = "struct<last:boolean,id:long,text_key:long,node_id:long>"
-_TEXT_NODE_ARROW = pa.struct([("last", pa.bool_()), ("id", pa.int64()), ("text_key", pa.int64()), ("node_id", pa.int64())])
+_TEXT_NODE = "struct<last:boolean,id:long,text_key:binary,node_id:long>"
+_TEXT_NODE_ARROW = pa.struct([("last", pa.bool_()), ("id", pa.int64()), ("text_key", pa.binary()), ("node_id", pa.int64())])
 
 
 def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
@@ -420,12 +455,25 @@ def _confirm(batches: Iterator[pa.RecordBatch], shingle_words: int, similarity:
     common.give_back()
 
 
+def apart(marked: DataFrame) -> DataFrame:
+    """node_id that tells sets of shingles by 128 bits: of sets that share 64, all but the first take their other 64.
+
+    Of n sets n * n / 2**65 share one, so what is joined, and kept by every task, is none or a few rows at any real size.
+    """
+    sets = marked.select("node_id", "more").distinct()
+    shared = common.durable(sets.groupBy("node_id").agg(F.min("more").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("node_id", "first"))
+    if shared.isEmpty():
+        return marked
+    own = F.when(F.col("first").isNotNull() & (F.col("more") != F.col("first")), F.col("more")).otherwise(F.col("node_id"))
+    return marked.join(F.broadcast(shared), "node_id", "left").withColumn("node_id", own).drop("first")
+
+
 def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float = 0.8) -> DataFrame:
     """A row per input row: doc_id, text_key, component_id, kept_id, kept_key, of documents linked when their shingles overlap enough.
 
     Similarity is the intersection of two texts' distinct shingles of words over their union. Candidates are compared where
     they share one of BANDS min-hash bands or a fingerprint of 256 bits: of texts that share 0.8 of their shingles all but
-    about one in 5,000 do. The key of a text is its XXH64. component_id is the least id of those linked; kept_id and kept_key
+    about one in 5,000 do. The key of a text is its MD5 (128 bits). component_id is the least id of those linked; kept_id and kept_key
     are the id, nulls last, and text key of their first row, which tell components apart with or without ids. Inside a
     connected set of candidates links are exact; one of more than HELD shingles is compared block by block. The radii of
     candidates are for a similarity of 0.8 or more. Nulls, empty and very long texts, repeated rows, other columns and empty
@@ -433,8 +481,9 @@ def similar_documents(docs: DataFrame, shingle_words: int = 5, similarity: float
     """
     if similarity < 0.8:
         raise ValueError("the radii of candidates need a similarity of 0.8 at least")
-    rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    marked = common.durable(rows.mapInArrow(partial(_sketches, shingle_words=shingle_words), "doc_id long, text_key long, node_id long, size long, fp binary, bands array<long>"))
+    rows = docs.select(F.col("doc_id").cast("long"), common.text_or_empty().alias("text")).select("doc_id", text_key().alias("text_key"), "text")
+    marked = common.durable(rows.mapInArrow(partial(_sketches, shingle_words=shingle_words), "doc_id long, text_key binary, node_id long, more long, size long, fp binary, bands array<long>"))
+    marked = apart(marked)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_key"))
     nodes = marked.groupBy("node_id").agg(least.alias("least"), F.first("size").alias("size"), F.first("fp").alias("fp"), F.first("bands").alias("bands"))
     nodes = common.durable(nodes.select(F.struct("least.last", "least.id", "least.text_key", "node_id").alias("node"), "node_id", "size", "fp", "bands"))

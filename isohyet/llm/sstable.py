@@ -206,7 +206,7 @@ def _encode(batches: Iterator[pa.RecordBatch], vocabulary: str, width: int, boun
     coder, end = tokens.encoder(vocabulary, width), tokens.END_ID.to_bytes(width, "little")
     for batch in batches:
         ids = [coder.encode(x.as_py()) + end for x in common.utf8(batch.column(2))]
-        part = np.searchsorted(bounds, batch.column(0).fill_null(-(1 << 63)).to_numpy(), "left")
+        part = np.searchsorted(bounds, _place(batch.column(0).fill_null(-(1 << 63)).to_numpy(), batch.column(1).to_numpy()), "left")
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(part, pa.int32()), pa.array(ids, pa.binary())], names=["doc_id", "mark", "part", "ids"])
 
 
@@ -228,21 +228,47 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, width: int) -> Iterat
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "n_documents": [writer.entries], "n_ids": [writer.ids]})
 
 
+#: Rows that are looked at for each shard where shards are cut.
+SAMPLED_PER_SHARD = 40
+
+
+def _place(doc_id: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Rows as (id, mark), in the order of shards; a null id is the least."""
+    found = np.empty(len(doc_id), dtype=[("doc_id", "<i8"), ("mark", "<i8")])
+    found["doc_id"], found["mark"] = doc_id, mark
+    return found
+
+
+def shard_bounds(docs: DataFrame, shards: int) -> np.ndarray:
+    """(id, mark) where shards but the last end: quantiles of a sample whose size follows the number of shards.
+
+    The driver holds SAMPLED_PER_SHARD ids a shard, whatever the rows are, and only ids are read. Marks are hashes, spread
+    evenly, so any such numbers stand for them: rows of one id, or without one, are cut by the hash of their texts. A
+    row's own place decides where it goes, so the sample decides the sizes of shards and nothing else.
+    """
+    if shards < 2:
+        return _place(np.zeros(0), np.zeros(0))
+    share = min(1.0, SAMPLED_PER_SHARD * shards / max(1, docs.count()))
+    own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc_id"))
+    found = (own.sample(share, seed=1) if share < 1 else own).toArrow()["doc_id"].to_numpy()
+    marks = np.random.default_rng(1).integers(-(1 << 63), 1 << 63, size=len(found), dtype=np.int64, endpoint=False)
+    places = np.sort(_place(found, marks), order=["doc_id", "mark"])
+    return places[[len(places) * k // shards for k in range(1, shards)]] if len(places) else places
+
+
 def write_shards(docs: DataFrame, folder: str, vocabulary: str, width: int = 2) -> DataFrame:
     """Encode whole texts and write them as shards in ascending doc_id order; returns the manifest, one row per shard.
 
     Null texts are empty; every document ends with the end id. Null ids come first, repeated ids stay side by side in
     order of a hash of their texts; a very long text is one entry, in a block of its own size. An empty table writes no
     shard. Only doc_id and text are read. The manifest: shard (ascending with the ids), path, n_documents, n_ids. There
-    are as many shards as the input has partitions, cut at quantiles of doc_id, the numbers that the driver holds; texts
+    are as many shards as the input has partitions, cut at quantiles of a sample (shard_bounds); texts
     are encoded once, where they are read, and ids are shuffled, of `width` bytes each.
     """
     shards = docs.rdd.getNumPartitions()
-    own = docs.select(F.col("doc_id").cast("long"))
-    cuts = own.agg(F.percentile_approx("doc_id", [k / shards for k in range(1, shards)], 100 * shards)).first()[0] if shards > 1 else None
-    bounds = np.array(cuts or [], dtype=np.int64)
     text = common.text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    bounds = shard_bounds(docs, shards)
     encoded = rows.mapInArrow(partial(_encode, vocabulary=vocabulary, width=width, bounds=bounds), "doc_id long, mark long, part int, ids binary")
     dealt = encoded.repartitionById(shards, F.col("part")).sortWithinPartitions("doc_id", "mark").select("doc_id", "ids")
     return common.durable(dealt.mapInArrow(partial(_write, folder=folder, width=width), _MANIFEST_DDL))

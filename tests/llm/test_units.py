@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from isohyet.llm import divergence, infill, pieces, tokens
+from isohyet.llm import divergence, infill, mixing, pieces, simhash, sstable, tokens
 from tests.llm.test_corpus import SCHEMA, _texts
 
 MODEL = tokens.vocabulary_path("piece_bpe_32k.model")
@@ -142,7 +142,8 @@ def test_whole_texts_and_segments_merge_alike():
     """Segments are only a saving: merging a text as a whole gives the same ids."""
     own, rng = pieces.codec(MODEL), random.Random(12)
     for _ in range(300):
-        text = own.library.normalize(_rough(rng, 60) + " the thing" * rng.randrange(3))
+        text = own.library.normalize(_rough(rng, 60) + rng.choice(["", " the thing.", "a.b,c ...\"x", "1.2)(.", "(see [1].)", "..a.\n.b"]))
+        assert "".join(own.merger.split(text)) == text
         assert own.merger.encode(text) == [i for s in own.merger.split(text) for i in own.merger.encode(s)]
 
 
@@ -158,3 +159,63 @@ def test_pieces_of_tables(spark):
     library = pieces.codec(MODEL).library
     assert Counter((r.doc_id, r.text, tuple(pieces._unpacked(r.ids))) for r in found) == Counter((r[0], r[1] or "", tuple(library.encode(r[1] or "", add_bos=True, add_eos=True))) for r in rows)
     assert pieces.decode(pieces.encode(docs.limit(0), MODEL), MODEL).count() == 0
+
+
+def test_large_buckets_go_by_their_own_bits(monkeypatch):
+    """A bucket without a component: its pairs are found without comparing all, whatever its bits are."""
+    rng = np.random.default_rng(21)
+    monkeypatch.setattr(simhash, "LARGE", 100)
+    for spread in (10, 20, 40, 64):
+        fps = rng.integers(0, 1 << 63, size=(1500, 1), dtype=np.uint64) & np.uint64((1 << spread) - 1)
+        if spread > 20:
+            fps[700:] = fps[:800] ^ (np.uint64(1) << rng.integers(0, spread, size=(800, 1)).astype(np.uint64))
+        fps = np.unique(fps, axis=0)
+        roots = simhash._local_roots(len(fps), simhash.bucket_links(fps, np.zeros(len(fps), dtype=np.int64), 4))
+        near = np.bitwise_count(fps[:, 0][:, None] ^ fps[:, 0][None, :]) <= 4
+        assert np.array_equal(roots, simhash._local_roots(len(fps), [np.nonzero(near)]))
+
+
+def test_large_buckets_take_about_linear_time(monkeypatch):
+    rng, compared = np.random.default_rng(22), []
+    within = simhash._within
+    monkeypatch.setattr(simhash, "_within", lambda fps, planes, query, *more: compared.append(len(query)) or within(fps, planes, query, *more))
+    counts = []
+    for n in (10_000, 40_000):
+        compared.clear()
+        fps = rng.integers(0, 1 << 63, size=(n, 1), dtype=np.uint64) & np.uint64((1 << 48) - 1)
+        assert sum(len(i) for i, _ in simhash.bucket_links(fps, np.zeros(n, dtype=np.int64), 4)) < n
+        counts.append(sum(compared))
+    assert counts[1] < 6 * counts[0] and counts[1] < 40_000 * 40  # blocks of 64; all pairs would be 25 million
+
+
+def test_sets_that_share_half_a_hash_stay_apart(spark):
+    rows = [(1, 7, 5), (2, 7, 5), (3, 7, 9), (4, 8, 9)]
+    found = simhash.apart(spark.createDataFrame(rows, "doc_id long, node_id long, more long"))
+    assert sorted((r.doc_id, r.node_id) for r in found.collect()) == [(1, 7), (2, 7), (3, 9), (4, 8)]
+    one = spark.createDataFrame(rows[1:2], "doc_id long, node_id long, more long")
+    assert simhash.apart(one) is one
+
+
+def test_documents_of_one_mark_keep_their_own_copies(spark):
+    docs = spark.createDataFrame([(1, "a", None, "s", 1), (2, "b", None, "s", 1), (None, "c", None, "s", 1)], SCHEMA)
+    marks = {r.doc_id: r.m for r in docs.select("doc_id", mixing._mark().alias("m")).collect()}
+    plan = spark.createDataFrame([(1, marks[1], [0, 1]), (2, marks[1], [0]), (2, marks[2], [1]), (None, marks[None], [0, 0, 1])], "doc_id long, mark long, shards array<int>")
+    got = Counter(r.text for r in mixing.materialise(docs, plan).collect())
+    assert got == {"a": 2, "b": 1, "c": 3}
+
+
+def test_cuts_of_shards_are_bounded(spark, tmp_path):
+    """Cuts come from a sample that follows the shards; one id of half the rows is cut by texts; rows stay in order."""
+    rows = [(7 if k % 2 else None if k % 6 == 0 else k, f"text {k}", None, None, 1) for k in range(3000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(12)
+    bounds = sstable.shard_bounds(docs, 12)
+    assert len(bounds) == 11 and len(sstable.shard_bounds(docs, 1)) == 0 and len(sstable.shard_bounds(docs.limit(0), 12)) == 0
+    assert (np.sort(bounds, order=["doc_id", "mark"]) == bounds).all() and (bounds["doc_id"] == 7).sum() >= 4
+    vocabulary = tokens.vocabulary_path("word_bpe_49k.json")
+    manifest = sstable.write_shards(docs, f"file://{tmp_path}", vocabulary)
+    counts = [r.n_documents for r in manifest.collect()]
+    assert sum(counts) == 3000 and max(counts) < 3 * 3000 / 12
+    found = sstable.read_shards(manifest).orderBy("start").collect()
+    ids = [-(1 << 63) if r.doc_id is None else r.doc_id for r in found]
+    assert ids == sorted(ids) and Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1].tolist()]
