@@ -32,7 +32,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     row = lambda doc_id, key, name: F.struct(doc_id.cast("long").alias("doc_id"), key.alias("text_key")).alias(name)  # noqa: E731  equal where both are, nulls too
     groups = simhash.similar_documents(docs, shingle_words=5, similarity=0.8)
     firsts = groups.filter(F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))).select(row(F.col("doc_id"), F.col("text_key"), kept)).distinct()
-    keyed = docs.select("*", row(F.col("doc_id"), F.xxhash64(common.text_or_empty()), own))
+    keyed = docs.select("*", row(F.col("doc_id"), simhash.text_key(), own))
     # texts are shuffled once: both steps are by the same key
     return keyed.join(firsts, F.col(own) == F.col(kept), "left_semi").dropDuplicates([own]).select(docs.columns)
 
