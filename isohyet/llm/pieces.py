@@ -4,19 +4,19 @@ For vocabularies of the merge type. A text's symbols begin as its characters. An
 symbols whose union is a piece, the best score first and of equal scores the leftmost; its first pair is merged and the
 pairs with its new neighbours go onto the agenda, until it is empty. Symbols that are no piece become byte pieces.
 
-No piece holds a blank after another character, so no merge joins what stands before a blank with the blank, and none
-crosses a character that no longer piece holds. Texts are cut there into segments, and each distinct segment is merged
-once. What is new in an Arrow batch is compared with the sentencepiece library's ids, and so is every decoded text.
+No merge joins neighbours that no piece holds side by side: a character and the blank after it, a line feed and
+anything, a letter and a stop. Texts are cut there into segments, and each distinct segment is merged once. What is new in an Arrow batch is compared with the sentencepiece library's ids, and so is every decoded text.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
+import string
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,17 +31,26 @@ BLANK = "▁"
 MEMO_ENTRIES, MEMO_BYTES, LONGEST_KEPT = 400_000, 24_000_000, 64
 
 
+def _escaped(chars: set[str]) -> str:
+    return "".join(re.escape(c) for c in sorted(chars))
+
+
 class Merger:
     """Ids of normalised texts, from pieces with scores and the ids of the 256 byte pieces."""
 
     def __init__(self, scored: dict[str, tuple[float, int]], byte_ids: list[int]):
-        self.scored, self.byte_ids = scored, byte_ids
+        self.cost, self.ids, self.byte_ids = {p: -score for p, (score, _) in scored.items()}, {p: i for p, (_, i) in scored.items()}, byte_ids
         longer = [p for p in scored if len(p) > 1]
-        joined = set("".join(longer))
+        pairs = {p[k : k + 2] for p in longer for k in range(len(p) - 1)}
         #: A line feed that no longer piece holds stands alone; it comes between most paragraphs.
-        self.alone = "\n" if "\n" not in joined else ""
-        crossing = any(BLANK in p.lstrip(BLANK) for p in longer)
-        self.segments = None if crossing else re.compile(f"{BLANK}*[^{BLANK}{self.alone}]+|{BLANK}+" + (f"|{self.alone}" if self.alone else ""))
+        self.alone = "" if any("\n" in x for x in pairs) else "\n"
+        crossing = any(x[0] != BLANK and x[1] == BLANK for x in pairs)
+        # marks such as stops that no piece has after a letter begin a segment, unless what is before them may join them
+        marks = {q for q in string.punctuation if not any(x[1] == q and x[0].isalpha() for x in pairs)}
+        joining = {x[0] for x in pairs if x[1] in marks} - {BLANK}
+        inner = f"[^{BLANK}{self.alone}{_escaped(marks)}]*"
+        body = f"[{_escaped(marks)}]?{inner}" + (f"(?:(?<=[{_escaped(joining)}])[{_escaped(marks)}]{inner})*" if joining else "") if marks else inner
+        self.segments = None if crossing else re.compile((f"{self.alone}|" if self.alone else "") + f"{BLANK}+{body}|(?!{BLANK})(?=.){body}", re.DOTALL)
 
     def split(self, text: str) -> list[str]:
         """Segments that no merge crosses; the whole text if pieces may cross blanks."""
@@ -49,55 +58,45 @@ class Merger:
             return [text] if text else []
         return self.segments.findall(text)
 
-    def symbols(self, segment: str) -> Iterator[str]:
-        """What is left when no two neighbours make a piece."""
+    def encode(self, segment: str) -> list[int]:
+        """Merge until no two neighbours make a piece; what is no piece becomes its bytes."""
         n = len(segment)
-        if segment in self.scored and n <= 2:
-            return iter((segment,))
-        scored = self.scored
-        end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), [*range(1, n), -1]
-        agenda: list[tuple[float, int, int]] = []
-
-        def propose(left: int, right: int) -> None:
-            found = scored.get(segment[left : end[right]])
-            if found is not None:
-                agenda.append((-found[0], left, end[right])) if building else heapq.heappush(agenda, (-found[0], left, end[right]))
-
-        building = True
-        for left in range(n - 1):
-            propose(left, left + 1)
-        building = False
-        heapq.heapify(agenda)
+        if n == 1 or n == 2 and segment in self.cost:
+            return self.spell(segment)
+        cost = self.cost.get
+        # symbols are told by where they begin: where they end, which is where the next begins (0: merged away), and the one before
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        agenda = [(c, k, k + 2) for k in range(n - 1) if (c := cost(segment[k : k + 2])) is not None]
+        heapify(agenda)
         while agenda:
-            _, left, stop = heapq.heappop(agenda)
-            right = after[left] if end[left] else -1
-            if right < 0 or end[right] != stop:  # one of the two has been merged meanwhile
+            _, left, stop = heappop(agenda)
+            right = end[left]
+            if not right or right >= stop or end[right] != stop:  # one of the two has been merged meanwhile
                 continue
-            end[left], end[right], after[left] = stop, 0, after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-                propose(left, after[right])
-            if before[left] >= 0:
-                propose(before[left], left)
-
-        def left_over() -> Iterator[str]:
-            at = 0
-            while at >= 0 and n:
-                yield segment[at : end[at]]
-                at = after[at]
-
-        return left_over()
-
-    def encode(self, segment: str) -> list[int]:
+            end[left], end[right] = stop, 0
+            if stop < n:
+                before[stop] = left
+                if (c := cost(segment[left : end[stop]])) is not None:
+                    heappush(agenda, (c, left, end[stop]))
+            if left:
+                first = before[left]
+                if (c := cost(segment[first:stop])) is not None:
+                    heappush(agenda, (c, first, stop))
         out: list[int] = []
-        for symbol in self.symbols(segment):
-            found = self.scored.get(symbol)
-            if found is not None:
-                out.append(found[1])
+        at = 0
+        while at < n:
+            found = self.ids.get(segment[at : end[at]])
+            if found is None:
+                out += self.spell(segment[at : end[at]])
             else:
-                out.extend(self.byte_ids[b] for b in symbol.encode())
+                out.append(found)
+            at = end[at]
         return out
 
+    def spell(self, symbol: str) -> list[int]:
+        found = self.ids.get(symbol)
+        return [self.byte_ids[b] for b in symbol.encode()] if found is None else [found]
+
 
 class Memo(dict):
     """Segment to ids as bytes; what is missing is merged, kept, and waits in `fresh` to be checked."""
