@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    """UTC, adaptive execution and skew-join splitting; on a cluster leave master and partitions to its own settings."""
+    """UTC, adaptive execution, skew-join splitting, checkpoints that go once nothing reads them; on a cluster leave master and partitions to its own settings."""
     builder = SparkSession.builder.appName("isohyet")
-    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.ui.enabled": "false", **conf}
+    settings = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.skewJoin.enabled": "true", "spark.ui.enabled": "false", "spark.cleaner.referenceTracking.cleanCheckpoints": "true", **conf}
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

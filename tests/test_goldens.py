@@ -93,6 +93,7 @@ def test_rain_season_starts(spark, season, cases):
 ENDS = [
     ("max", 5.0, "09-01 12-31", 5.0, {"1": (PROFILE, 288, None), "3": ("", None, None), "11": ("1/4-30/9=5", 273, None), "12": ("1/4-31/8=5", None, None), "13": ("1/4-30/9=2.5", 244, None), "14": ("1/4-15/10=5", 288, None)}),
     ("sum", 70.0, "09-01 12-31", 5.0, {"1": (PROFILE, 275, None), "3": ("", None, None), "17": ("1/4-30/9=70", 273, None), "18": ("1/4-30/9=70, 1/10=70", 274, None), "19": ("1/4-30/9=70, 8/10=70", 281, None)}),
+    # case 1 is 305 where sums are rounded; of exact sums the day after is the first
     ("etp", 70.0, "09-01 12-31", 5.0, {"1": (PROFILE, 306, None), "3": ("", None, None), "5": ("1/4-30/9=5", 287, None), "6": ("1/4-30/9=5, 1/10-31/12=2.5", 301, None)}),
     ("etp", 70.0, "09-01 12-31", 0.0, {"7": ("1/4-30/9=5", None, None)}),
     ("etp", 70.0, "09-01 12-31", 10.0, {"8": ("1/4-30/9=5", 280, None), "9": ("1/4-30/9=5, 3/10-4/10=10", 284, None)}),
