@@ -61,6 +61,11 @@ def month_day_of(doy: int) -> str:
     return (date(_PLAIN_YEAR, 1, 1) + timedelta(days=doy - 1)).strftime("%m-%d")
 
 
+def month_day(day_of_year: Column) -> Column:
+    """month_day_of() of a column."""
+    return F.date_format(F.date_add(F.lit(f"{_PLAIN_YEAR}-01-01").cast("date"), day_of_year - 1), "MM-dd")
+
+
 def is_leap(year: Column) -> Column:
     return (year % 4 == 0) & ((year % 100 != 0) | (year % 400 == 0))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.functions import physics
@@ -115,6 +115,14 @@ def has_rotated_axes(cells: DataFrame) -> bool:
     return {"rlon", "rlat"} <= set(cells.columns)
 
 
+def with_places(cells: DataFrame) -> DataFrame:
+    """Cells of a rotated grid with their places i and j on its axes, which are numbered by one task (a row for each place)."""
+    for axis, place in (("rlon", "i"), ("rlat", "j")):
+        numbered = cells.select(axis).distinct().withColumn(place, F.row_number().over(Window.orderBy(axis)) - 1)
+        cells = cells.join(numbered, axis)
+    return cells
+
+
 def regular_targets(cells: DataFrame, step_lon: float, step_lat: float) -> DataFrame:
     """target_id, lon, lat: a regular grid over the cells' lon and lat, with the mean cell size as step.
 

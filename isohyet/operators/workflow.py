@@ -36,18 +36,30 @@ def load_reanalysis(df: DataFrame, var: str, cells: DataFrame, lon: tuple[float,
     return out.withColumn("value", -value if var in FLIPPED else value)
 
 
-def extract(historical: DataFrame, future: DataFrame, cells: DataFrame, lon: tuple[float, float], lat: tuple[float, float], years: tuple[int, int]) -> DataFrame:
-    """Historical and future rows of a box and a range of years, as one series."""
-    return select.select_period(select.subset_box(historical.unionByName(future), cells, lon, lat), *years)
+def extract(historical: DataFrame, future: DataFrame, cells: DataFrame, lon: tuple[float, float], lat: tuple[float, float], years: tuple[int, int], value: str = "value", step: tuple[float, float] | None = None, keys: tuple[str, ...] = ("date",)) -> DataFrame:
+    """Historical and future rows of a box and a range of years, as one series.
+
+    Where cells are those of a rotated grid (columns rlon and rlat beside lon and lat), the series comes on a regular grid of
+    the given steps instead, as to_regular() gives it: keys, location_id (new), lon, lat, value.
+    """
+    series = select.select_period(historical.unionByName(future), *years)
+    if not grid.has_rotated_axes(cells):
+        return select.subset_box(series, cells, lon, lat)
+    if step is None:
+        raise ValueError("cells of a rotated grid need the steps of the regular one")
+    return to_regular(series, grid.with_places(cells), value, *step, keys, (lon, lat))
 
 
-def to_regular(df: DataFrame, cells: DataFrame, value: str, step_lon: float, step_lat: float, keys: tuple[str, ...] = ("date",)) -> DataFrame:
+def to_regular(df: DataFrame, cells: DataFrame, value: str, step_lon: float, step_lat: float, keys: tuple[str, ...] = ("date",), box: tuple[tuple[float, float], tuple[float, float]] | None = None) -> DataFrame:
     """Values of a rotated or otherwise bent grid on a regular one over it: keys, location_id (new), lon, lat, value.
 
     cells: location_id, places i and j in the grid, lon, lat. Targets outside the bent grid get no rows; values whose
-    corners are not all known are NULL.
+    corners are not all known are NULL. With a box only its targets are kept, and only cells around them are joined.
     """
     targets = grid.regular_targets(cells, step_lon, step_lat)
+    if box:
+        for axis, (low, high) in zip(("lon", "lat"), box, strict=True):
+            targets = targets.filter(F.col(axis).between(low - grid.SNAP, high + grid.SNAP))
     found = grid.regrid(df, grid.curvilinear_weights(targets, cells, max(step_lon, step_lat)), value, keys)
     return found.join(targets, "target_id").select(*keys, F.col("target_id").alias("location_id"), "lon", "lat", value)
 

@@ -25,4 +25,4 @@ def query(sql: str | None = None, name: str | None = None):
     return register
 
 
-from . import availability, grids, indices, joins, seasons, selection, statistics, stores, streams, surfaces, workflows  # noqa: E402, F401
+from . import availability, files, grids, indices, joins, seasons, selection, statistics, stores, streams, surfaces, workflows  # noqa: E402, F401

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isohyet import model
+from isohyet.operators import select
 
 
 def read_daily(spark: SparkSession, *paths: str) -> DataFrame:
@@ -43,14 +44,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_station_csv(spark: SparkSession, path: str, values: tuple[str, ...], separator: str = ",", stations: DataFrame | None = None) -> DataFrame:
+def read_station_csv(spark: SparkSession, path: str, values: tuple[str, ...], separator: str = ",", stations: DataFrame | None = None, station: str = r"([^/]+?)(\.[^./]*)?$") -> DataFrame:
     """Station series from files with columns annees, mois, jours and values; station_id is the file's name.
 
-    Rows whose date does not exist are dropped. With a station table its columns are joined on.
+    station: a pattern whose first group is the station's name in a file's path. Rows whose date does not exist are
+    dropped. With a station table its columns are joined on.
     """
     schema = T.StructType([*(T.StructField(c, T.IntegerType()) for c in ("annees", "mois", "jours")), *(T.StructField(c, T.DoubleType()) for c in values)])
     df = spark.read.schema(schema).option("header", True).option("sep", separator).csv(path)
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.[^./]*)?$", 1)
+    name = F.regexp_extract(F.input_file_name(), station, 1)
     df = df.select(name.alias("station_id"), F.try_make_timestamp("annees", "mois", "jours", F.lit(0), F.lit(0), F.lit(0)).cast("date").alias("date"), *values)
     df = model.missing_to_null(df.filter("date is not null"), *values)
     return df if stations is None else df.join(stations, "station_id", "left")
@@ -62,8 +64,8 @@ def date_of_path(path: Column) -> Column:
 
 
 def simulation_of_path(path: Column) -> dict[str, Column]:
-    """Institute, model and scenario from a path that ends .../institute/model/scenario/file."""
-    parts = F.split(path, "/")
+    """Institute, model and scenario from a path that ends .../institute/model/scenario/file; folders may be told as key=value."""
+    parts = F.split(F.regexp_replace(path, r"(?<=/)[^/=]*=", ""), "/")
     return {"institute": F.element_at(parts, -4), "model": F.element_at(parts, -3), "scenario": F.element_at(parts, -2)}
 
 
@@ -73,9 +75,34 @@ def pair_scenarios(catalog: DataFrame, historical: str = "historical") -> DataFr
     return catalog.filter(F.col("scenario") != historical).join(past, "model")
 
 
-def order_simulations(df: DataFrame) -> DataFrame:
+def simulation_order() -> tuple[Column, Column]:
     """The reference first, then the others by code."""
-    return df.orderBy(F.col("sim_code") != "ref", "sim_code")
+    return F.col("sim_code") != "ref", F.col("sim_code")
+
+
+def order_simulations(df: DataFrame) -> DataFrame:
+    return df.orderBy(*simulation_order())
+
+
+def datasets(df: DataFrame, rcp: str | None = None, sim_code: str | None = None, reference: bool = True) -> DataFrame:
+    """Rows of the simulations of a scenario, of one simulation, or of all, with those of the reference or without."""
+    wanted = F.lit(True)
+    if rcp is not None:
+        wanted = model.rcp_of(F.col("sim_code")) == rcp
+    if sim_code is not None:
+        wanted = wanted & (F.col("sim_code") == sim_code)
+    own = F.col("sim_code") == "ref"
+    return df.filter(own | wanted if reference else ~own & wanted)
+
+
+def crop(spark: SparkSession, path: str, keyword: str, cells: DataFrame, lon: tuple[float, float], lat: tuple[float, float], target: str) -> DataFrame:
+    """Cut the files of a cube whose path contains the keyword to a box, and write them as a cube; returns it as read.
+
+    Files without the keyword are left out of the scan. The box is widened as select.box_of() tells.
+    """
+    daily = spark.read.schema(model.DAILY).parquet(path).filter(F.contains(F.col("_metadata.file_path"), F.lit(keyword)))
+    write_cube(select.subset_box(daily, cells.withColumn("location_id", F.col("location_id").cast("string")), lon, lat), target)
+    return read_daily(spark, target)
 
 
 def except_simulations(df: DataFrame, exceptions: DataFrame) -> DataFrame:

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
-from isohyet.sources import netcdf, zarr
+from isohyet import model
+from isohyet.operators import workflow
+from isohyet.sources import netcdf, tables, zarr
 
 BOX = "lon between 1 and 2 and lat >= 3 and date between date'1996-02-01' and date'1996-12-01'"
 
@@ -172,3 +174,20 @@ def test_long_headers_are_read_again(tmp_path, monkeypatch):
     path.write_bytes(path.read_bytes()[:60])
     with pytest.raises(ValueError, match="ends early"):
         netcdf.read_header(f"file://{path}")
+
+
+def test_crop_scans_only_files_with_the_keyword(spark, tmp_path):
+    rows = [("pr", sim, str(k), float(k), 0.0, date(2000, 1, 1), float(k)) for sim in ("A_x", "B_x") for k in range(4)]
+    daily = spark.createDataFrame(rows, model.DAILY)
+    tables.write_cube(daily, f"{tmp_path}/whole")
+    cells = daily.select("location_id", "lon", "lat").distinct()
+    found = tables.crop(spark, f"{tmp_path}/whole", "sim_code=B_", cells, (1.0, 2.0), (-1.0, 1.0), f"{tmp_path}/cut")
+    assert {(r.sim_code, r.location_id) for r in found.collect()} == {("B_x", "1"), ("B_x", "2")}
+    assert all("sim_code=B_" in r.path for r in tables.list_files(spark, f"{tmp_path}/cut").collect())
+
+
+def test_rotated_extract_needs_steps(spark):
+    daily = spark.createDataFrame([(0, date(2000, 1, 1), 1.0)], "location_id int, date date, value double")
+    cells = spark.createDataFrame([(0, 0.0, 0.0, 0.0, 0.0)], "location_id int, rlon double, rlat double, lon double, lat double")
+    with pytest.raises(ValueError, match="steps"):
+        workflow.extract(daily, daily, cells, (0.0, 1.0), (0.0, 1.0), (2000, 2000))
