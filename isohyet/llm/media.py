@@ -35,6 +35,8 @@ ROW = 64
 LEVEL = 1
 ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 16 << 20
+#: Ranges that are planned at most; beyond, they grow instead, and most archives are read by one task.
+RANGES = 100_000
 BATCH_BYTES = 8 << 20
 ATTEMPTS = 3
 _PNG = b"\x89PNG\r\n\x1a\n"
@@ -242,8 +244,9 @@ class _Reader(DataSourceReader):
         self.manifest, self.total, self.step = options["manifest"], int(options["totalbytes"]), int(options.get("rangebytes", RANGE_BYTES))
 
     def partitions(self) -> list[_Range]:
-        """Equal ranges of the line of all members' bytes."""
-        return [_Range(low, min(self.total, low + self.step)) for low in range(0, self.total, self.step)] or [_Range(0, 0)]
+        """Equal ranges of the line of all members' bytes, RANGES of them at most."""
+        step = max(self.step, -(-self.total // RANGES))
+        return [_Range(low, min(self.total, low + step)) for low in range(0, self.total, step)] or [_Range(0, 0)]
 
     def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
         if partition.low == partition.high:
