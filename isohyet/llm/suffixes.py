@@ -30,7 +30,7 @@ for equal wrongly: 4e-5 for the 2.5e12 contexts of 100 TB. Comparing their bytes
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache, partial
 from typing import NamedTuple
 
@@ -266,12 +266,14 @@ def _pack(records: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[tuple
         yield b, b"".join(np.ascontiguousarray(part[c]).tobytes() for c in records.dtype.names) if records.dtype.names else part.tobytes()
 
 
-_FOUND_DDL = "bucket int, file int, kind int, blob binary"
+_FOUND_DDL = "bucket int, file int, kind int, blob binary, files binary"
 
 
-def _found(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-    columns = zip(*rows, strict=True) if rows else ((), (), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "file", "kind", "blob"])
+def _found(rows: list[tuple[int, int, int, bytes]], onward: Iterable[tuple[int, int, int, bytes, bytes]] = ()) -> pa.RecordBatch:
+    """Rows of one file each, and what goes on to the second grouping, of many files: files tells that of each record."""
+    every = [*((*row, None) for row in rows), *onward]
+    columns = zip(*every, strict=True) if every else ((), (), (), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "file", "kind", "blob", "files"])
 
 
 def _anchor_job(batches: Iterator[pa.RecordBatch], name: str, buckets: int, limits: Limits) -> Iterator[pa.RecordBatch]:
@@ -305,13 +307,12 @@ def _unpack(blob: bytes, dtype: np.dtype) -> np.ndarray:
     return out
 
 
-def _by_file(files: np.ndarray, records: np.ndarray, kind: int, bucket: int = 0) -> Iterator[tuple[int, int, int, bytes]]:
+def _by_file(files: np.ndarray, records: np.ndarray, kind: int) -> Iterator[tuple[int, int, int, bytes]]:
     order = np.argsort(files, kind="stable")
     files, records = files[order], records[order]
     cuts = np.flatnonzero(np.r_[True, files[1:] != files[:-1], True]) if len(files) else np.zeros(1, np.int64)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        part = records[a:b]
-        yield bucket, int(files[a]), kind, b"".join(np.ascontiguousarray(part[c]).tobytes() for c in part.dtype.names) if kind == _ON else part.tobytes()
+        yield 0, int(files[a]), kind, records[a:b].tobytes()
 
 
 def _give_back() -> None:
@@ -326,24 +327,27 @@ def _edges(records: np.ndarray, files: np.ndarray) -> np.ndarray:
     return out
 
 
-def _group_anchors(batches: Iterator[pa.RecordBatch], last: bool, limits: Limits) -> Iterator[pa.RecordBatch]:
-    """Of a bucket's anchors: spans of repeats, edges of contexts that must be compared, and what goes on to the next grouping."""
+def _group_anchors(batches: Iterator[pa.RecordBatch], last: bool, limits: Limits, buckets: int = 1) -> Iterator[pa.RecordBatch]:
+    """Of a bucket's anchors: spans of repeats, edges of contexts that must be compared, and what goes on to the next grouping.
+
+    buckets: how many that grouping has; a row that goes on to one of them carries the anchors of all files of this group.
+    """
     rows: list[tuple[int, int, int, bytes]] = []
+    onward: list[tuple[int, int, int, bytes, bytes]] = []
     parts: dict[int, list[np.ndarray]] = {_SORTED: [], _DEALT: []}
     files: dict[int, list[np.ndarray]] = {_SORTED: [], _DEALT: []}
     told = [np.empty(0, dtype="<u8")]
-    bucket = 0
     for batch in batches:
-        for bucket, file, kind, blob in zip(*(batch.column(c).to_pylist() for c in ("bucket", "file", "kind", "blob")), strict=True):
+        for file, kind, blob, whose in zip(*(batch.column(c).to_pylist() for c in ("file", "kind", "blob", "files")), strict=True):
             if kind == _SPANS:
                 if blob:
                     rows.append((0, file, _SPANS, blob))
             elif kind in (_HOT, _HOT_ON):
                 told.append(np.frombuffer(blob, dtype="<u8"))
             else:
-                kind = _SORTED if kind == _ON else kind
-                parts[kind].append(_unpack(blob, _ANCHOR))
-                files[kind].append(np.full(len(parts[kind][-1]), file, dtype=np.int64))
+                own = _unpack(blob, _ANCHOR)
+                files[_SORTED if kind == _ON else kind].append(np.frombuffer(whose, dtype="<u4").astype(np.int64) if kind == _ON else np.full(len(own), file, dtype=np.int64))
+                parts[_SORTED if kind == _ON else kind].append(own)
     hot = np.unique(np.concatenate(told))
     again = [np.empty(0, dtype="<u8")]
     for kind in (_DEALT, _SORTED):
@@ -365,11 +369,12 @@ def _group_anchors(batches: Iterator[pa.RecordBatch], last: bool, limits: Limits
         if last:
             rows += _by_file(file[~dealt & (n > 1)], _edges(x, file)[~dealt & (n > 1)], _SORTED)
         else:
-            rows += _by_file(file[~dealt], x[~dealt], _ON, bucket)
+            keys, whose = x["h"][~dealt], file[~dealt].astype("<u4")
+            onward += [(b, 0, _ON, blob, own) for (b, blob), (_, own) in zip(_pack(x[~dealt], keys, buckets), _pack(whose, keys, buckets), strict=True)]
             again.append(np.unique(x["h"][dealt]))
     if not last and len(hot := np.unique(np.concatenate([hot, *again]))):
-        rows.append((bucket, 0, _HOT_ON, hot.astype("<u8").tobytes()))
-    yield _found(rows)
+        rows += [(b, 0, _HOT_ON, blob) for b, blob in _pack(hot.astype("<u8"), hot, buckets)]
+    yield _found(rows, onward)
     _give_back()
 
 
@@ -680,12 +685,14 @@ def _repeats(docs: DataFrame, replace: str, limits: Limits) -> DataFrame:
         raise RuntimeError("staged files are named in more than one way")
     name, buckets = f"{folder}/{first}", max(1, round(size * 2.4 / 39 / PER_BUCKET))
     files = listed.select("file").repartitionById(most + 1, F.col("file"))
-    anchored = files.mapInArrow(partial(_anchor_job, name=name, buckets=buckets, limits=limits), _FOUND_DDL).withColumn("part", F.floor(F.col("file") / limits.files).cast("int"))
+    # groups of files meet in fewer buckets each, so that a group of one bucket holds PER_BUCKET anchors whatever the size
+    coarse = max(1, buckets // (most // limits.files + 1))
+    anchored = files.mapInArrow(partial(_anchor_job, name=name, buckets=coarse, limits=limits), _FOUND_DDL).withColumn("part", F.floor(F.col("file") / limits.files).cast("int"))
     whole = most < limits.files
 
     def group(last: bool):
         def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            yield from _group_anchors(batches, last, limits)
+            yield from _group_anchors(batches, last, limits, buckets)
 
         return of
 

@@ -153,6 +153,9 @@ def test_many_archives(spark):
     assert found.rdd.getNumPartitions() == 1
     source = media._Reader({"manifest": "nowhere", "totalbytes": "1000", "rangebytes": "300"})
     assert [(p.low, p.high) for p in source.partitions()] == [(0, 300), (300, 600), (600, 900), (900, 1000)]
+    large = media._Reader({"manifest": "nowhere", "totalbytes": str(10**14)}).partitions()
+    assert len(large) == media.RANGES and large[0].low == 0 and large[-1].high == 10**14
+    assert all(p.high == q.low for p, q in zip(large, large[1:]))
     bad = manifest.first().path
     fs, inner = common.open_fs(bad)
     with fs.open_input_file(inner) as file:
@@ -409,6 +412,35 @@ def test_hot_anchors(spark, files, limits):
     assert {r.doc_id: tuple(r)[1:] for r in suffixes.repeat_report(table, limits).collect()} == _brute_repeats(list(enumerate(texts)))
 
 
+def test_levels_of_buckets(spark, monkeypatch):
+    """Several groups of files and very many buckets: the first grouping takes fewer, and results are the same."""
+    monkeypatch.setattr(suffixes, "PER_BUCKET", 40)
+    rng = random.Random(13)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(5, 120))) for _ in range(150)]
+    texts += [rng.choice(texts)[20:] + " " + rng.choice(texts) for _ in range(50)]
+    table = spark.createDataFrame([(k, t, None, None, 0) for k, t in enumerate(texts)], SCHEMA).repartition(9)
+    want = _brute_repeats(list(enumerate(texts)))
+    for limits in (suffixes.Limits(), suffixes.Limits(files=2), suffixes.Limits(files=4, given=3)):
+        assert {r.doc_id: tuple(r)[1:] for r in suffixes.repeat_report(table, limits).collect()} == want
+
+
+def test_what_goes_on_is_packed_by_bucket():
+    """A row for each bucket of the second grouping, not for each file, and nothing is lost on the way."""
+    rng = np.random.default_rng(4)
+    x = np.zeros(3000, dtype=suffixes._ANCHOR)
+    x["h"], x["ctx"], x["doc"], x["lo"] = rng.integers(0, 1 << 62, 3000), rng.integers(0, 1 << 62, 3000), np.arange(3000), 3
+    rows = [(0, f, suffixes._SORTED, b"".join(np.ascontiguousarray(x[f::100][c]).tobytes() for c in x.dtype.names)) for f in range(100)]
+    (found,) = suffixes._group_anchors(iter([suffixes._found(rows)]), False, suffixes.Limits(), 7)
+    assert found.column("bucket").to_pylist() == list(range(7)) and set(found.column("kind").to_pylist()) == {suffixes._ON}
+    seen = set()
+    for bucket, blob, files in zip(*(found.column(c).to_pylist() for c in ("bucket", "blob", "files"))):
+        own = suffixes._unpack(blob, suffixes._ANCHOR)
+        assert (own["h"] % np.uint64(7) == bucket).all()
+        seen |= set(zip(np.frombuffer(files, "<u4").tolist(), own["doc"].tolist()))
+    assert seen == {(k % 100, k) for k in range(3000)}
+
+
 def test_many_contexts_are_dealt(spark):
     """What a piece and a group give for one anchor stays within the limits, and says so where it would not."""
     rng = np.random.default_rng(3)
