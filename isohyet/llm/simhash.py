@@ -386,10 +386,18 @@ def _link_bands(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterato
     common.give_back()
 
 
+def _spread(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... n[0] of them, then those from begin[1], and so on."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin, n)
+
+
 def similar_pairs(group: np.ndarray, sets: list[np.ndarray], similarity: float) -> Pairs:
     """Index pairs that connect all sets of equal group whose intersection is that share of their union; group must be sorted.
 
-    In each group 64 sets are compared with all, and then each that isn't in what was the largest component.
+    In each group 64 sets are compared with all, and then each that isn't in what was the largest component. Elements are
+    ordered from rare to common in the group. Similar sets share at least ceil(similarity * size) elements, so one of them
+    is among the first size - ceil(similarity * size) + 1 of each: only these are indexed, and what all have in common
+    isn't. Sets that meet there are intersected.
     """
     sizes = np.array([len(x) for x in sets], dtype=np.int64)
     starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
@@ -397,21 +405,37 @@ def similar_pairs(group: np.ndarray, sets: list[np.ndarray], similarity: float)
         n, own = e - s, sizes[s:e]
         if n < 2:
             continue
-        members = np.repeat(np.arange(n), own)
-        order = np.argsort(np.concatenate(sets[s:e]), kind="stable")
-        values, members = np.concatenate(sets[s:e])[order], members[order]
+        empty = s + np.flatnonzero(own == 0)
+        if len(empty) > 1:
+            yield empty[:-1], empty[1:]
+        every, begin = np.concatenate(sets[s:e]), np.cumsum(own) - own
+        _, name, times = np.unique(every, return_inverse=True, return_counts=True)
+        rank = np.empty(len(times), dtype=np.int64)
+        rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+        members, place = np.repeat(np.arange(n), own), rank[name]
+        place = place[np.lexsort((place, members))]  # each set's own, from rare to common
+        n_first = np.minimum(own, own - np.ceil(similarity * own - 1e-9).astype(np.int64) + 1)
+        place = place[_spread(begin, n_first)]
+        first_begin = np.cumsum(n_first) - n_first
+        order = np.argsort(place, kind="stable")
+        values, posting = place[order], np.repeat(np.arange(n), n_first)[order]
         root = np.arange(n)
 
         def compare(k: int) -> tuple[np.ndarray, np.ndarray] | None:
-            low, high = np.searchsorted(values, sets[s + k], "left"), np.searchsorted(values, sets[s + k], "right")
-            m = high - low
-            at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(low, m)
-            shared = np.bincount(members[at], minlength=n)
-            near = np.flatnonzero((shared >= similarity * (own + own[k] - shared) - 1e-9) & (root != root[k]))
+            mine, elements = place[first_begin[k] : first_begin[k] + n_first[k]], sets[s + k]
+            low = np.searchsorted(values, mine, "left")
+            met = np.unique(posting[_spread(low, np.searchsorted(values, mine, "right") - low)])
+            met = met[(root[met] != root[k]) & (own[met] >= similarity * own[k] - 1e-9) & (own[k] >= similarity * own[met] - 1e-9)]
+            if not len(met):
+                return None
+            others = every[_spread(begin[met], own[met])]
+            at = np.minimum(np.searchsorted(elements, others), own[k] - 1)
+            shared = np.add.reduceat((elements[at] == others).astype(np.int64), np.cumsum(own[met]) - own[met])
+            near = met[shared >= similarity * (own[met] + own[k] - shared) - 1e-9]
             if not len(near):
                 return None
-            met = np.unique(np.r_[root[near], root[k]])
-            root[np.isin(root, met)] = met[0]
+            joined = np.unique(np.r_[root[near], root[k]])
+            root[np.isin(root, joined)] = joined[0]
             return np.full(len(near), s + k), s + near
 
         main = 0

@@ -54,6 +54,23 @@ def test_pairs_of_large_groups_connect_what_is_similar():
     assert got.tolist() == [want[k] for k in range(300)] and 2 < len(set(want.values())) < 250
 
 
+def test_pairs_beside_common_elements():
+    """Sets that share most of what they hold with all others, pairs just at and just below the share, empty sets, one that holds another."""
+    rng = np.random.default_rng(6)
+    common, sets = rng.integers(0, 1 << 62, 60), []
+    for k in range(60):
+        own = np.r_[common, rng.integers(0, 1 << 62, 20)]
+        sets.append(own)
+        if k % 3 == 0:  # 80 of 100 in all, or 79 of 101
+            sets.append(np.r_[own[: 80 - k % 2], rng.integers(0, 1 << 62, 20 + k % 2)])
+    sets += [np.empty(0, np.int64), np.empty(0, np.int64), common, np.r_[common, rng.integers(0, 1 << 62, 15)]]
+    sets = [np.unique(x).astype(np.uint64) for x in sets]
+    got = simhash._local_roots(len(sets), simhash.similar_pairs(np.zeros(len(sets), np.int64), sets, 0.8))
+    want = _brute_components({k: frozenset(x.tolist()) for k, x in enumerate(sets)}, lambda a, b: (not a and not b) or _near(a, b))
+    assert got.tolist() == [want[k] for k in range(len(sets))]
+    assert len(set(want.values())) < len(sets) - 5
+
+
 def test_one_row_of_each_group_stays(spark):
     text = lambda k: " ".join(f"t{k}x{n}" for n in range(30))
     rows = [(1, text(0)), (2, text(0)), (2, text(1)), (2, text(1)), (3, text(2)), (3, text(3)), (None, text(4)), (None, text(4)), (None, text(5)), (9, text(5)), (None, text(6))]
