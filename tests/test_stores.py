@@ -180,6 +180,11 @@ def test_crop_scans_only_files_with_the_keyword(spark, tmp_path):
     rows = [("pr", sim, str(k), float(k), 0.0, date(2000, 1, 1), float(k)) for sim in ("A_x", "B_x") for k in range(4)]
     daily = spark.createDataFrame(rows, model.DAILY)
     tables.write_cube(daily, f"{tmp_path}/whole")
+    others = list(Path(f"{tmp_path}/whole").glob("var=pr/sim_code=A_x/*.parquet"))
+    assert others
+    for file in others:
+        file.write_bytes(b"no Parquet: whoever opens it fails")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
     cells = daily.select("location_id", "lon", "lat").distinct()
     found = tables.crop(spark, f"{tmp_path}/whole", "sim_code=B_", cells, (1.0, 2.0), (-1.0, 1.0), f"{tmp_path}/cut")
     assert {(r.sim_code, r.location_id) for r in found.collect()} == {("B_x", "1"), ("B_x", "2")}
