@@ -1,7 +1,7 @@
 """All annual indices in one pass over the days.
 
-An index is told as columns over the ordered days of a series and one aggregate over each year of them. The columns of all
-indices asked for share one partitioning and one order, and the aggregates share one grouping by the same keys: one scan,
+An index is told (yearly.py) as columns over the ordered days of a series and one aggregate over each year of them. The columns
+of all indices asked for share one partitioning and one order, and the aggregates share one grouping by the same keys: one scan,
 one exchange and one sort serve any number of indices. A run's length so far is the distance to the last day that broke
 it, so longest runs, days in runs and numbers of runs are plain aggregates too.
 
@@ -10,133 +10,21 @@ The rain season and the drought code are not sums over a year's days; they read
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet import model
-from isohyet.functions import physics
 from isohyet.session import durable, stored
 
-from . import grid, indices, rainseason, runs, select
+from . import grid, indices, rainseason, select
+from .yearly import FUSED, over_years
 
 SIM_KEYS = ("sim_code", "location_id")
 #: Variables that sources give in kelvin.
 KELVIN = ("tas", "tasmin", "tasmax")
 
 
-@dataclass(frozen=True)
-class Plan:
-    """An index: windows in two levels over the ordered days (the second may use the first), conditions of runs, an aggregate.
-
-    A condition named c is followed as c_run: the length of the run that has come to this day, 0 where it fails.
-    """
-
-    value: Column
-    first: dict[str, Column] = field(default_factory=dict)
-    second: dict[str, Column] = field(default_factory=dict)
-    run_of: dict[str, Column] = field(default_factory=dict)
-
-
-Build = Callable[..., Plan]
-
-
-def _count(condition: Column) -> Plan:
-    return Plan(F.count_if(condition))
-
-
-def _in(a: int, b: int) -> Column:
-    return model.in_season(F.dayofyear("date"), a, b)
-
-
-def _season(condition: Column, a: int, b: int) -> Plan:
-    return _count(condition & _in(a, b) if (a, b) != (-1, -1) else condition)
-
-
-def _longest(n: str, w, condition: Column, at_least: int) -> Plan:
-    longest = F.max(f"{n}_run")
-    return Plan(F.when(longest >= at_least, longest).otherwise(0), run_of={n: condition})
-
-
-def _in_runs(n: str, w, condition: Column, at_least: int) -> Plan:
-    # a run's first at_least days count once it has come so far
-    return Plan(F.sum(F.when(F.col(f"{n}_run") == at_least, at_least).when(F.col(f"{n}_run") > at_least, 1).otherwise(0)), run_of={n: condition})
-
-
-def _events(n: str, w, condition: Column, at_least: int) -> Plan:
-    return Plan(F.count_if(F.col(f"{n}_run") == max(1, at_least)), run_of={n: condition})
-
-
-def _windows(n: str, w, value: Column, length: int, how, ok: Callable[[Column], Column], inside: Column) -> Plan:
-    """Days that lie in some window of so many days whose aggregate is ok."""
-    ends = F.coalesce(ok(F.when(F.count(f"{n}_v").over(w.rowsBetween(-(length - 1), 0)) == length, how(f"{n}_v").over(w.rowsBetween(-(length - 1), 0)))), F.lit(False))
-    return Plan(F.count_if(F.col(f"{n}_in") & inside), {f"{n}_v": value}, {f"{n}_ends": ends}, {}), length
-
-
-def _months_below(t: Column) -> Plan:
-    means = [F.avg(F.when(F.month("date") == m, F.col("tasmin"))) for m in range(1, 13)]
-    return Plan(reduce(lambda a, b: a + b, (F.when(m < t, 1).otherwise(0) for m in means)))
-
-
-def _wet_mean(t: Column, truncate: bool) -> Plan:
-    mean = F.avg(F.when(F.col("pr") >= t, F.col("pr")))
-    return Plan(F.when(mean < 0, F.ceil(mean)).otherwise(F.floor(mean)).cast("double") if truncate else mean)
-
-
-def _wind(n: str, w, speed: Column, direction: float | None = None, tolerance: float = 0.0, a: int = -1, b: int = -1, circular: bool = False) -> Plan:
-    strong = F.col("vv") > speed
-    if direction is not None:
-        apart = physics.angle_between(F.col("dd"), F.lit(direction)) if circular else F.col("dd") - direction
-        strong = strong & (apart <= tolerance)
-    return _count(strong & _in(a, b))
-
-
-def _dry_spell(n: str, w, t: Column, length: int, op: str = "sum", a: int = -1, b: int = -1):
-    amount = F.when(F.col("pr") < (t if op == "max" else F.lit(0.0)), 0.0).otherwise(F.col("pr"))
-    inside = model.in_season_leap(F.col("date"), a, b) if (a, b) != (-1, -1) else F.lit(True)
-    return _windows(n, w, amount, length, F.max if op == "max" else F.sum, lambda x: x < t, inside)
-
-
-_hot = lambda t: F.col("tasmax") > t
-_wave = lambda n, x: (F.col("tasmin") > n) & (F.col("tasmax") > x)
-
-#: Name: the variables it reads, and its plan from (a name of its own, the windows' order, *parameters).
-FUSED: dict[str, tuple[tuple[str, ...], Build]] = {
-    "txdaysabove": (("tasmax",), lambda n, w, t, a=-1, b=-1: _season(_hot(t), a, b)),
-    "tx90p": (("tasmax",), lambda n, w, t, a=-1, b=-1: _season(_hot(t), a, b)),
-    "tndaysbelow": (("tasmin",), lambda n, w, t, a=-1, b=-1: _season(F.col("tasmin") < t, a, b)),
-    "tngmonthsbelow": (("tasmin",), lambda n, w, t: _months_below(t)),
-    "hotspellfreq": (("tasmax",), lambda n, w, t, k: _events(n, w, _hot(t), k)),
-    "hotspellmaxlen": (("tasmax",), lambda n, w, t, k: _longest(n, w, _hot(t), k)),
-    "hotspelltotlen": (("tasmax",), lambda n, w, t, k: _windows(n, w, F.col("tasmax"), k, F.min, lambda x: x >= t, F.lit(True))),
-    "wsdi": (("tasmax",), lambda n, w, k=6: _in_runs(n, w, F.col("tasmax") > F.col("doy_threshold"), k)),
-    "heatwavemaxlen": (("tasmin", "tasmax"), lambda n, w, lo, hi, k: _longest(n, w, _wave(lo, hi), k)),
-    "heatwavetotlen": (("tasmin", "tasmax"), lambda n, w, lo, hi, k: _in_runs(n, w, _wave(lo, hi), k)),
-    "txg": (("tasmax",), lambda n, w: Plan(F.avg("tasmax"))),
-    "txx": (("tasmax",), lambda n, w: Plan(F.max("tasmax"))),
-    "tng": (("tasmin",), lambda n, w: Plan(F.avg("tasmin"))),
-    "tnx": (("tasmin",), lambda n, w: Plan(F.max("tasmin"))),
-    "tgg": (("tasmin", "tasmax"), lambda n, w: Plan(F.avg((F.col("tasmin") + F.col("tasmax")) / 2))),
-    "etr": (("tasmin", "tasmax"), lambda n, w: Plan(F.max("tasmax") - F.min("tasmin"))),
-    "tropicalnights": (("tasmin",), lambda n, w, t: _count(F.col("tasmin") > t)),
-    "rx1day": (("pr",), lambda n, w: Plan(F.max("pr"))),
-    "rx5day": (("pr",), lambda n, w: Plan(F.max(f"{n}_s"), {f"{n}_s": runs.rolling("pr", 5, F.sum, w)})),
-    "prcptot": (("pr",), lambda n, w, a=-1, b=-1: Plan(F.coalesce(F.sum(F.when(_in(a, b), F.col("pr"))), F.lit(0.0)))),
-    "cwd": (("pr",), lambda n, w, t: _longest(n, w, F.col("pr") >= t, 1)),
-    "cdd": (("pr",), lambda n, w, t: _longest(n, w, F.col("pr") < t, 1)),
-    "wetdays": (("pr",), lambda n, w, lo, hi=None: _count(F.col("pr") >= lo if hi is None else (F.col("pr") >= lo) & (F.col("pr") < hi))),
-    "r10mm": (("pr",), lambda n, w: _count(F.col("pr") >= 10)),
-    "r20mm": (("pr",), lambda n, w: _count(F.col("pr") >= 20)),
-    "drydays": (("pr",), lambda n, w, t: _count(F.col("pr") < t)),
-    "sdii": (("pr",), lambda n, w, t, truncate=True: _wet_mean(t, truncate)),
-    "dryspelltotlen": (("pr",), _dry_spell),
-    "wgdaysabove": (("vv", "dd"), _wind),
-    "wxdaysabove": (("vv", "dd"), _wind),
-}
-
 #: Parts of the rain season, and the variables that these and the drought code read.
 SEASON = {"rainstart": "start", "rainend": "end", "rainlength": "length", "rainamount": "amount"}
 APART: dict[str, tuple[str, ...]] = {**dict.fromkeys((*SEASON, "rainseason"), ("pr",)), "droughtcode": ("tas", "pr", "lat")}
@@ -207,37 +95,10 @@ def _fused(wanted: list[tuple], days: DataFrame, reference: DataFrame | None, ke
     if percentiles:
         days = days.crossJoin(F.broadcast(_thresholds(percentiles, reference)))  # one row
     if any(name == "wsdi" for _, name, *_ in wanted):
-        by_doy = indices.doy_percentile(reference, "tasmax", keys=("location_id",)).withColumnRenamed("threshold", "doy_threshold")
-        days = days.withColumn("doy", F.least(F.dayofyear("date"), F.lit(365))).join(by_doy, ["location_id", "doy"], "left")
-    w = runs.series(keys)
-    first: dict[str, Column] = {}
-    second: dict[str, Column] = {}
-    third: dict[str, Column] = {}
-    plain: dict[str, Column] = {}
-    values = []
-    breaks = {}
-    for k, (label, name, *parameters) in enumerate(wanted):
-        var = FUSED[name][0][0]
-        fixed = [F.col(f"`{var}_{p}`") if _is_percentile(p) else F.lit(p) if isinstance(p, float) else p for p in parameters]
-        plan = FUSED[name][1](f"i{k}", w, *fixed)
-        if isinstance(plan, tuple):  # windows that mark days: values, ends, days inside
-            plan, length = plan
-            plain.update(plan.first)
-            second.update(plan.second)
-            third[f"i{k}_in"] = runs.in_any_window(f"i{k}_ends", length, w)
-        else:
-            first.update(plan.first)
-        for c, condition in plan.run_of.items():
-            plain[f"{c}_ok"] = F.coalesce(condition, F.lit(False))
-            breaks[c] = F.max(F.when(~F.col(f"{c}_ok"), F.col("place")).when(F.col("opens"), F.col("place") - 1)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        values.append(F.struct(F.lit(label).alias("idx"), plan.value.cast("double").alias("value")))
-    if breaks:
-        first |= {"place": F.row_number().over(w), "opens": F.coalesce(F.year("date") != F.year(F.lag("date").over(w)), F.lit(True))}
-        second |= {f"{c}_break": b for c, b in breaks.items()}
-        third |= {f"{c}_run": F.col("place") - F.col(f"{c}_break") for c in breaks}
-    for level in (plain, first, second, third):
-        if level:
-            days = days.withColumns(level)
+        days = indices.with_doy_threshold(days, indices.doy_percentile(reference, "tasmax", keys=("location_id",)))
+    told = [(name, tuple(F.col(f"`{FUSED[name][0][0]}_{p}`") if _is_percentile(p) else p for p in parameters)) for _, name, *parameters in wanted]
+    days, values = over_years(told, days, keys)
+    values = [F.struct(F.lit(label).alias("idx"), v.cast("double").alias("value")) for (label, *_), v in zip(wanted, values, strict=True)]
     years = days.groupBy(*keys, F.year("date").alias("year")).agg(F.array(*values).alias("x"))
     return years.select(*keys, "year", F.explode("x").alias("x")).select("x.idx", *keys, "year", "x.value")
 

@@ -1,7 +1,7 @@
 """Annual climate indices: from daily rows to (keys, year, value).
 
-Each index is a function of a table of daily values and its thresholds. Comparisons are strict or not as each index
-defines. Counts are longs; a year without data has no row unless said otherwise.
+Each index is a function of a table of daily values and its thresholds; what it is is told in yearly.py. Comparisons are
+strict or not as each index defines. Counts are longs; a year with days has a row, a year without has none.
 """
 
 from __future__ import annotations
@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet import model
-from isohyet.functions import physics
 from isohyet.session import durable
 
-from . import runs, select
+from . import runs, select, yearly
 
 KEYS = runs.KEYS
 
@@ -27,10 +26,6 @@ def _count(df: DataFrame, condition: Column, keys: tuple[str, ...] = KEYS) -> Da
     return df.groupBy(*keys, F.year("date").alias("year")).agg(F.count_if(condition).alias("value"))
 
 
-def _year(df: DataFrame, agg: Column, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return df.groupBy(*keys, F.year("date").alias("year")).agg(agg.alias("value"))
-
-
 # --- thresholds ------------------------------------------------------------------------------------------------------
 
 
@@ -66,39 +61,36 @@ def reference_total_quantile(reference: DataFrame, value: str, q: float, places:
 
 def days_above_reference(df: DataFrame, threshold: DataFrame, value: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Days above a threshold that was derived from the reference: one row, joined to every simulation."""
-    return _count(df.crossJoin(F.broadcast(threshold)), F.col(value) > F.col("threshold"), keys)
+    return yearly.one("txdaysabove", df.crossJoin(F.broadcast(threshold)), F.col("threshold"), keys=keys, tasmax=value)
 
 
 # --- temperature -----------------------------------------------------------------------------------------------------
 
 
 def days_above(df: DataFrame, value: str, threshold: float, first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _count(select.subset_doy(df, first, last) if (first, last) != (-1, -1) else df, F.col(value) > threshold, keys)
+    return yearly.one("txdaysabove", df, threshold, first, last, keys=keys, tasmax=value)
 
 
 def days_below(df: DataFrame, value: str, threshold: float, first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _count(select.subset_doy(df, first, last) if (first, last) != (-1, -1) else df, F.col(value) < threshold, keys)
+    return yearly.one("tndaysbelow", df, threshold, first, last, keys=keys, tasmin=value)
 
 
 def months_below(df: DataFrame, value: str, threshold: float, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Months whose mean is below a threshold."""
-    means = df.groupBy(*keys, F.year("date").alias("year"), F.month("date").alias("month")).agg(F.avg(value).alias("mean"))
-    return means.groupBy(*keys, "year").agg(F.count_if(F.col("mean") < threshold).alias("value"))
+    return yearly.one("tngmonthsbelow", df, threshold, keys=keys, tasmin=value)
 
 
 def hot_spell_frequency(df: DataFrame, value: str, threshold: float, window: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return runs.run_events(df, F.col(value) > threshold, window, keys)
+    return yearly.one("hotspellfreq", df, threshold, window, keys=keys, tasmax=value)
 
 
 def hot_spell_max_length(df: DataFrame, value: str, threshold: float, window: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return runs.longest_run(df, F.col(value) > threshold, window, keys)
+    return yearly.one("hotspellmaxlen", df, threshold, window, keys=keys, tasmax=value)
 
 
 def hot_spell_total_length(df: DataFrame, value: str, threshold: float, window: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Days in spells of at least window days at or above the threshold; a spell may cross the new year."""
-    w = runs.series(keys)
-    ended = df.withColumn("ends", runs.rolling(value, window, F.min, w) >= threshold)
-    return _count(ended.withColumn("hot", runs.in_any_window("ends", window, w)), F.col("hot"), keys)
+    return yearly.one("hotspelltotlen", df, threshold, window, keys=keys, tasmax=value)
 
 
 def doy_percentile(reference: DataFrame, value: str, q: float = 0.9, window: int = 5, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -108,38 +100,43 @@ def doy_percentile(reference: DataFrame, value: str, q: float = 0.9, window: int
     return pooled.groupBy(*keys, "doy").agg(F.percentile(value, q).alias("threshold"))
 
 
+def with_doy_threshold(df: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """The days with their day of year's threshold, NULL where there is none; thresholds by doy and whatever keys they have."""
+    by_doy = thresholds.withColumnRenamed("threshold", "doy_threshold")
+    return df.withColumn("doy", F.least(F.dayofyear("date"), F.lit(365))).join(by_doy, [c for c in by_doy.columns if c != "doy_threshold"], "left")
+
+
 def warm_spell_duration(df: DataFrame, thresholds: DataFrame, value: str, window: int = 6, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Days in runs of at least window days above the percentile of their day of year."""
-    by_doy = df.withColumn("doy", F.least(F.dayofyear("date"), F.lit(365))).join(thresholds, [*[k for k in keys if k in thresholds.columns], "doy"], "left")
-    return runs.run_total(by_doy, F.col(value) > F.col("threshold"), window, keys)
+    return yearly.one("wsdi", with_doy_threshold(df, thresholds), window, keys=keys, tasmax=value)
 
 
 def heat_wave_max_length(df: DataFrame, tasmin: float, tasmax: float, window: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return runs.longest_run(df, (F.col("tasmin") > tasmin) & (F.col("tasmax") > tasmax), window, keys)
+    return yearly.one("heatwavemaxlen", df, tasmin, tasmax, window, keys=keys)
 
 
 def heat_wave_total_length(df: DataFrame, tasmin: float, tasmax: float, window: int, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return runs.run_total(df, (F.col("tasmin") > tasmin) & (F.col("tasmax") > tasmax), window, keys)
+    return yearly.one("heatwavetotlen", df, tasmin, tasmax, window, keys=keys)
 
 
 def annual_mean(df: DataFrame, value: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _year(df, F.avg(value), keys)
+    return yearly.one("txg", df, keys=keys, tasmax=value)
 
 
 def annual_max(df: DataFrame, value: str, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _year(df, F.max(value), keys)
+    return yearly.one("txx", df, keys=keys, tasmax=value)
 
 
 def mean_temperature(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _year(df, F.avg((F.col("tasmin") + F.col("tasmax")) / 2), keys)
+    return yearly.one("tgg", df, keys=keys)
 
 
 def extreme_range(df: DataFrame, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _year(df, F.max("tasmax") - F.min("tasmin"), keys)
+    return yearly.one("etr", df, keys=keys)
 
 
 def tropical_nights(df: DataFrame, threshold: float, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return days_above(df, "tasmin", threshold, keys=keys)
+    return yearly.one("tropicalnights", df, threshold, keys=keys)
 
 
 # --- precipitation ---------------------------------------------------------------------------------------------------
@@ -148,35 +145,33 @@ def tropical_nights(df: DataFrame, threshold: float, keys: tuple[str, ...] = KEY
 def max_amount(df: DataFrame, days: int = 1, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """The year's greatest amount in so many consecutive days; the days may begin in the year before."""
     if days == 1:
-        return annual_max(df, "pr", keys)
-    return _year(df.withColumn("amount", runs.rolling("pr", days, F.sum, runs.series(keys))), F.max("amount"), keys)
+        return yearly.one("rx1day", df, keys=keys)
+    return yearly.one("rx5day", df, days, keys=keys)
 
 
 def total_amount(df: DataFrame, first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _year(select.subset_doy(df, first, last), F.coalesce(F.sum("pr"), F.lit(0.0)), keys)
+    return yearly.one("prcptot", df, first, last, keys=keys)
 
 
 def consecutive_wet_days(df: DataFrame, threshold: float, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return runs.longest_run(df, F.col("pr") >= threshold, 1, keys)
+    return yearly.one("cwd", df, threshold, keys=keys)
 
 
 def consecutive_dry_days(df: DataFrame, threshold: float, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return runs.longest_run(df, F.col("pr") < threshold, 1, keys)
+    return yearly.one("cdd", df, threshold, keys=keys)
 
 
 def wet_days(df: DataFrame, low: float, high: float | None = None, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    wet = F.col("pr") >= low
-    return _count(df, wet if high is None else wet & (F.col("pr") < high), keys)
+    return yearly.one("wetdays", df, low, high, keys=keys)
 
 
 def dry_days(df: DataFrame, threshold: float, keys: tuple[str, ...] = KEYS) -> DataFrame:
-    return _count(df, F.col("pr") < threshold, keys)
+    return yearly.one("drydays", df, threshold, keys=keys)
 
 
 def daily_intensity(df: DataFrame, threshold: float, truncate: bool = True, keys: tuple[str, ...] = KEYS) -> DataFrame:
     """Mean amount of wet days; cut to whole mm unless truncate is False. NULL in years without a wet day."""
-    mean = F.avg(F.when(F.col("pr") >= threshold, F.col("pr")))
-    return _year(df, F.when(mean < 0, F.ceil(mean)).otherwise(F.floor(mean)).cast("double") if truncate else mean, keys)
+    return yearly.one("sdii", df, threshold, truncate, keys=keys)
 
 
 def dry_spell_total_length(df: DataFrame, threshold: float, window: int, op: str = "max", first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -185,12 +180,7 @@ def dry_spell_total_length(df: DataFrame, threshold: float, window: int, op: str
     A window is dry if all its amounts are below the threshold (op max) or their sum is (op sum); with op max amounts
     below the threshold count as none. Windows may cross the new year. Bounds from March on move in leap years.
     """
-    w = runs.series(keys)
-    amount = F.when(F.col("pr") < (threshold if op == "max" else 0.0), 0.0).otherwise(F.col("pr"))
-    ended = df.withColumn("amount", amount).withColumn("ends", runs.rolling("amount", window, F.max if op == "max" else F.sum, w) < threshold)
-    marked = ended.withColumn("dry", runs.in_any_window("ends", window, w))
-    season = model.in_season_leap(F.col("date"), first, last) if (first, last) != (-1, -1) else F.lit(True)
-    return _count(marked, F.col("dry") & season, keys)
+    return yearly.one("dryspelltotlen", df, threshold, window, op, first, last, keys=keys)
 
 
 def dry_spell_total_length_raw(df: DataFrame, threshold: float, window: int, op: str = "sum", first: int = -1, last: int = -1, keys: tuple[str, ...] = KEYS) -> DataFrame:
@@ -210,11 +200,7 @@ def strong_wind_days(df: DataFrame, speed: float, direction: float | None = None
 
     circular compares the shorter arc instead of the plain difference.
     """
-    strong = F.col("vv") > speed
-    if direction is not None:
-        apart = physics.angle_between(F.col("dd"), F.lit(direction)) if circular else F.col("dd") - direction
-        strong = strong & (apart <= tolerance)
-    return _count(select.subset_doy(df, first, last), strong, keys)
+    return yearly.one("wgdaysabove", df, speed, direction, tolerance, first, last, circular, keys=keys)
 
 
 # --- drought code ----------------------------------------------------------------------------------------------------
