@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from isohyet.functions import physics
 
-from . import resample
+from . import resample, select
 
 #: Scenario name of all simulations together, and of the reference.
 POOLED, REFERENCE = "rcpxx", "ref"
@@ -96,6 +96,40 @@ def taylor(df: DataFrame, value: str, reference: DataFrame, on: tuple[str, ...])
     return own.unionByName(out)
 
 
+#: What values are grouped by in Taylor statistics; a year is one group of all days.
+STEPS = {"day": F.dayofmonth, "month": F.month, "year": lambda date: F.lit(0)}
+
+
+def taylor_of_days(df: DataFrame, value: str, reference: DataFrame, step: str = "month", summable: bool = False, period: tuple[int, int] | None = None, cells: DataFrame | None = None, places: int | None = None) -> DataFrame:
+    """sim_code, sdev, crmsd, ccoef from daily cubes, as taylor() gives them of ready series; the reference is labelled ref.
+
+    Of each series: by days, gaps are closed first (amounts count as none, other values are interpolated in time); then
+    29 February goes, the period and the cells (location_id) are kept, each day is the mean over cells, and days are grouped by
+    day of month or month, or taken together: sums over the number of years with days, or means. A simulation that
+    lacks one of the reference's groups, or has others, is left out.
+
+    The reference is one more simulation in one plan; its values reach the others' groups by a window over a row for each
+    simulation and group, not by a join.
+    """
+    series = reference.select(F.lit(REFERENCE).alias("sim_code"), "location_id", "date", value).unionByName(df.select("sim_code", "location_id", "date", value))
+    if cells is not None:
+        series = series.join(cells.select("location_id").distinct(), "location_id", "left_semi")
+    if step == "day":
+        series = series.withColumn(value, F.coalesce(value, F.lit(0.0))) if summable else resample.fill_days(series, value, ("sim_code", "location_id"))
+    series = select.remove_feb29(select.select_period(series, *period) if period else series)
+    days = series.groupBy("sim_code", "date").agg(F.avg(value).alias("v"))
+    groups = days.groupBy("sim_code", STEPS[step](F.col("date")).alias("step")).agg(F.sum("v").alias("sum"), F.avg("v").alias("mean"), F.collect_set(F.year("date")).alias("years"))
+    own = Window.partitionBy("sim_code")
+    n_years = F.size(F.array_distinct(F.flatten(F.collect_list("years").over(own))))
+    values = groups.select("sim_code", "step", (F.coalesce("sum", F.lit(0.0)) / n_years if summable else F.col("mean")).alias("p"), F.count(F.lit(1)).over(own).alias("n"))
+    same = Window.partitionBy("step")
+    of_ref = lambda c: F.max(F.when(F.col("sim_code") == REFERENCE, F.col(c))).over(same)
+    pairs = values.withColumns({"r": of_ref("p"), "n_ref": of_ref("n")}).withColumn("met", F.count("n_ref").over(own))
+    both = pairs.filter("n = n_ref and met = n and p is not null and r is not null").groupBy("sim_code")
+    out = both.agg(F.stddev_pop("p").alias("sdev"), F.stddev_pop(F.col("p") - F.col("r")).alias("crmsd"), F.when(F.col("sim_code") == REFERENCE, 1.0).otherwise(F.corr("p", "r")).alias("ccoef"))
+    return out if places is None else out.withColumns({c: F.round(c, places) for c in ("sdev", "crmsd", "ccoef")})
+
+
 def error(method: str, obs: str = "obs", pred: str = "pred") -> Column:
     """Aggregate: r2, mae, rmse or rrmse of predictions; pairs with a missing side do not count."""
     both = F.col(obs).isNotNull() & F.col(pred).isNotNull()

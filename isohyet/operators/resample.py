@@ -93,6 +93,19 @@ def fill_gaps(df: DataFrame, value: str, keys: tuple[str, ...] = ("location_id",
     return ends.withColumn(value, F.coalesce(value, F.col("v0") + (F.col("v1") - F.col("v0")) * share)).drop("v0", "v1", "d0", "d1")
 
 
+def fill_days(df: DataFrame, value: str, keys: tuple[str, ...] = ("location_id",)) -> DataFrame:
+    """keys, date, value for each day from a series' first known value to its last, linear where days are missing or have no row.
+
+    A known day tells the days up to the next known one, so one window serves, without a join to a calendar.
+    """
+    w = Window.partitionBy(*keys).orderBy("date")
+    known = df.select(*keys, "date", F.col(value).cast("double").alias("v0")).filter("v0 is not null")
+    spans = known.withColumns({"d1": F.lead("date").over(w), "v1": F.lead("v0").over(w)}).withColumn("gap", F.datediff("d1", "date"))
+    told = spans.withColumn("step", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("gap") - 1, F.lit(0)))))
+    share = F.try_divide(F.col("step").cast("double"), F.col("gap").cast("double"))
+    return told.select(*keys, F.date_add("date", F.col("step")).alias("date"), F.coalesce(F.col("v0") + (F.col("v1") - F.col("v0")) * share, "v0").alias(value))
+
+
 def complete_years(df: DataFrame, first: int, last: int, keys: tuple[str, ...]) -> DataFrame:
     """Rows for every year of a range; what was absent is NULL."""
     every = df.select(*keys).distinct().withColumn("year", F.explode(F.sequence(F.lit(first), F.lit(last))))

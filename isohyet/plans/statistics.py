@@ -99,6 +99,35 @@ def taylor(spark, d):
     return _rounded(found, "sdev", "crmsd", "ccoef")
 
 
+_TAYLOR = "SELECT s.sim_code, round(stddev_pop(s.p), 6) AS sdev, round(stddev_pop(s.p - r.p), 6) AS crmsd, CASE WHEN s.sim_code = 'ref' THEN 1.0 ELSE round(corr(s.p, r.p), 6) END AS ccoef FROM g s JOIN g r ON r.sim_code = 'ref' AND s.k = r.k GROUP BY 1"
+_NO_FEB29 = "NOT (month(date) = 2 AND day(date) = 29)"
+
+
+@query(sql("sim ref", _TAYLOR, laid="SELECT 'ref' AS sim_code, location_id, lon, date, pr FROM ref UNION ALL SELECT sim_code, location_id, lon, date, pr FROM sim",
+           g=f"SELECT sim_code, month(date) AS k, sum(v) / 4 AS p FROM (SELECT sim_code, date, avg(pr) AS v FROM laid WHERE lon <= 2 AND year(date) BETWEEN 1996 AND 1999 AND {_NO_FEB29} GROUP BY ALL) GROUP BY ALL"))
+def taylor_of_amounts(spark, d):
+    """Monthly amounts of a region and period, from daily cubes."""
+    cells = cubes.cells(spark, d).filter("lon <= 2")
+    found = en.taylor_of_days(cubes.simulations(spark, d), "pr", cubes.reference(spark, d), "month", True, (1996, 1999), cells)
+    return _rounded(found, "sdev", "crmsd", "ccoef")
+
+
+_KNOWN = "{}_value(CASE WHEN v IS NOT NULL THEN {} END IGNORE NULLS) OVER (PARTITION BY sim_code, location_id ORDER BY date ROWS BETWEEN {})"
+_BEFORE, _AFTER = "UNBOUNDED PRECEDING AND CURRENT ROW", "CURRENT ROW AND UNBOUNDED FOLLOWING"
+
+
+@query(sql("tas", _TAYLOR, laid="SELECT 'ref' AS sim_code, location_id, date, tasmax::DOUBLE AS v FROM tas UNION ALL SELECT 'nights', location_id, date, tasmin FROM tas UNION ALL SELECT 'middle', location_id, date, (tasmin + tasmax) / 2 FROM tas",
+           ends=f"SELECT sim_code, location_id, date, v, {_KNOWN.format('last', 'date', _BEFORE)} AS d0, {_KNOWN.format('last', 'v', _BEFORE)} AS v0, {_KNOWN.format('first', 'date', _AFTER)} AS d1, {_KNOWN.format('first', 'v', _AFTER)} AS v1 FROM laid",
+           filled="SELECT sim_code, location_id, date, CASE WHEN v IS NOT NULL THEN v ELSE v0 + (v1 - v0) * (date - d0) / (d1 - d0) END AS v FROM ends",
+           g=f"SELECT sim_code, day(date) AS k, avg(v) AS p FROM (SELECT sim_code, date, avg(v) AS v FROM filled WHERE {_NO_FEB29} GROUP BY ALL) GROUP BY ALL"))
+def taylor_of_gaps(spark, d):
+    """Daily temperatures whose gaps are closed in time before they are grouped by day of month."""
+    tas = cubes.temperature(spark, d)
+    sims = tas.select(F.explode(F.array(*(F.struct(F.lit(n).alias("sim_code"), c.cast("double").alias("t")) for n, c in (("nights", F.col("tasmin")), ("middle", (F.col("tasmin") + F.col("tasmax")) / 2))))).alias("x"), "location_id", "date").select("x.*", "location_id", "date")
+    found = en.taylor_of_days(sims, "t", tas.select("location_id", "date", F.col("tasmax").cast("double").alias("t")), "day")
+    return _rounded(found, "sdev", "crmsd", "ccoef")
+
+
 _ERR = {"r2": "1 - sum((o - p) ** 2) / nullif(sum((o - m) ** 2), 0)", "mae": "avg(abs(o - p))", "rmse": "sqrt(avg((o - p) ** 2))", "rrmse": "coalesce(sqrt(avg((o - p) ** 2)) / nullif(stddev_pop(o), 0), 0)"}
 
 
