@@ -188,8 +188,42 @@ def shared_simulations(df: DataFrame, n_vars: int) -> DataFrame:
     return df.groupBy("sim_code").agg(F.count_distinct("var").alias("n")).filter(F.col("n") == n_vars).select("sim_code")
 
 
+def halves(features: DataFrame, columns: list[str]) -> DataFrame:
+    """Add cluster, 0 or 1: of all splits in two, by one or two feature columns, the one with the least sum of squares about its means.
+
+    A line parts the halves of that split, and can be turned until it goes through a simulation of each. So every pair tells
+    two splits: what is left, or right, of its line, with what is on the line on the first one's side of their midpoint.
+    The best split leaves a gap in the order of extent / n^1.5, so what is within 1e-12 of the extent counts as on the line.
+    Of equal splits it is the one that keeps the last simulations, by the other columns, in one half. One simulation has no split.
+    """
+    keys = [c for c in features.columns if c not in columns]
+    known = [F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), F.raise_error(F.lit(f"{c} has a missing value"))).otherwise(F.col(c)).alias(c) for c in columns]
+    whole = features.select(F.struct(*keys, *known).alias("row")).agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    x, y = (F.transform("rows", lambda r: r[columns[k]].cast("double") if k < len(columns) else F.lit(0.0)) for k in (0, 1))
+    first = whole.select("rows", x.alias("x"), y.alias("y")).select("*", F.posexplode("x").alias("i", "xi")).repartition("i")
+    pairs = first.select("*", F.posexplode("x").alias("j", "xj")).filter("i < j")
+    lines = pairs.selectExpr("rows", "x", "y", "i", "xi", "y[i] AS yi", "xj - xi AS dx", "y[j] - y[i] AS dy", "1e-12D * (array_max(x) - array_min(x) + array_max(y) - array_min(y)) AS near", "explode(array(1, -1)) AS turn")
+    side = """transform(x, (v, n) -> CASE
+        WHEN turn * (dx * (y[n] - yi) - dy * (v - xi)) > near * sqrt(dx * dx + dy * dy) THEN 1
+        WHEN turn * (dx * (y[n] - yi) - dy * (v - xi)) < -near * sqrt(dx * dx + dy * dy) THEN 0
+        WHEN dx = 0 AND dy = 0 THEN int(n <= i)
+        ELSE int(2 * (dx * (v - xi) + dy * (y[n] - yi)) < dx * dx + dy * dy) END)"""
+    splits = lines.select("rows", "x", "y", F.expr(side).alias("side")).withColumn("g", F.expr("transform(side, s -> int(s != element_at(side, -1)))"))
+    means = {f"{c}{g}": F.expr(f"aggregate(zip_with(g, {c}, (s, v) -> if(s = {g}, v, 0D)), 0D, (a, v) -> a + v) / size(filter(g, s -> s = {g}))") for c in "xy" for g in (0, 1)}
+    spread = "aggregate(transform(g, (s, n) -> pow(x[n] - if(s = 1, x1, x0), 2) + pow(y[n] - if(s = 1, y1, y0), 2)), 0D, (a, v) -> a + v)"
+    named = "if(x1 < x0 OR x1 = x0 AND y1 < y0, transform(g, s -> 1 - s), g)"
+    told = splits.withColumns(means).selectExpr("rows", f"{named} AS named", f"struct({spread} AS ss, reverse(g) AS g) AS rank")
+    best = told.agg(F.min_by("named", "rank").alias("named"), F.first("rows").alias("rows"))
+    return best.select("named", F.posexplode("rows").alias("n", "row")).select(*(F.col("row")[c].alias(c) for c in features.columns), F.get("named", "n").alias("cluster"))
+
+
 def clusters(features: DataFrame, columns: list[str], k: int, seed: int = 42) -> DataFrame:
-    """Add cluster, from k-means over the feature columns; clusters are numbered in order of their first feature's mean."""
+    """Add cluster, from k-means over the feature columns; clusters are numbered in order of their first feature's mean.
+
+    Two clusters of one or two features are the best split of all; others are what k-means ends at from its seed.
+    """
+    if k == 2 and len(columns) <= 2:
+        return halves(features, columns)
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 

@@ -183,6 +183,55 @@ def test_clusters_part_what_is_apart(spark):
     assert len({found[f"s{k}"] for k in range(0, 20, 2)}) == 1 and found["s0"] != found["s1"]
 
 
+def _best_split(points):
+    """Of all splits of the points in two the one that spreads least, of equal ones the least as a number; clusters by their first mean."""
+    n, best = len(points), None
+    for m in range(1, 2 ** (n - 1)):
+        sides = [[p for k, p in enumerate(points) if m >> k & 1 == g] for g in (0, 1)]
+        means = [np.mean(s, axis=0) for s in sides]
+        ss = sum(((np.array(s) - c) ** 2).sum() for s, c in zip(sides, means))
+        if best is None or ss < best[0] - 1e-9:
+            best = ss, m, tuple(means[1]) < tuple(means[0])
+    return [(best[1] >> k & 1) ^ best[2] for k in range(n)]
+
+
+def _clusters(spark, points, order, parts):
+    rows = [(f"s{k:02d}", float(points[k][0]), float(points[k][1])) for k in order]
+    found = ensemble.clusters(spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "sim_code string, mean double, std double"), ["mean", "std"], 2)
+    return [r.cluster for r in sorted(found.collect())]
+
+
+def test_two_clusters_spread_least_in_any_order_of_rows(spark):
+    rng = np.random.default_rng(8)
+    points = [(14602.737, 2486.688), (14534.88, 2345.908), (14597.554, 2461.394), (14478.509, 2418.893), (14643.297, 2463.613), (14574.057, 2400.229)]
+    assert {tuple(_clusters(spark, points, rng.permutation(6), parts)) for parts in (1, 2, 3, 6)} == {(1, 0, 1, 0, 1, 0)}
+
+
+@pytest.mark.parametrize("points", [
+    [(0, 0), (1, 0), (2, 0)],  # two splits are equal
+    [(0, 0), (0, 1), (1, 0), (1, 1)],
+    [(0, 3), (5, 3), (0, 3), (5, 3), (5, 3)],
+    [(2, 0), (2, 9), (2, 1), (2, 8)],  # equal first means
+    [(k, 2 * k) for k in (0, 7, 1, 9, 3, 8)],
+    [(1, 1), (1, 1), (1, 1)],
+    [(4, 4), (1, 1)],
+    *(np.random.default_rng(k).normal(size=(9, 2)) * (1, 10**k) for k in range(3)),
+    *(np.random.default_rng(k).integers(0, 6, size=(9, 2)) for k in range(3)),
+])
+def test_two_clusters_against_all_splits(spark, points):
+    assert _clusters(spark, points, range(len(points)), 2) == _best_split(points)
+
+
+def test_two_clusters_of_one_feature_and_other_columns(spark):
+    rows = [("a", 7.0, None), ("b", 0.0, 1), ("c", 1.0, 2), ("d", 3.0, 3)]
+    found = ensemble.clusters(spark.createDataFrame(rows, "sim_code string, mean double, n int"), ["mean"], 2)
+    assert found.columns == ["sim_code", "mean", "n", "cluster"]
+    assert sorted(tuple(r) for r in found.collect()) == [("a", 7.0, None, 1), ("b", 0.0, 1, 0), ("c", 1.0, 2, 0), ("d", 3.0, 3, 0)]
+    assert ensemble.clusters(spark.createDataFrame(rows[:1], "sim_code string, mean double, n int"), ["mean"], 2).collect() == []
+    with pytest.raises(Exception, match="missing value"):
+        ensemble.clusters(spark.createDataFrame([("a", 1.0), ("b", float("nan"))], "sim_code string, mean double"), ["mean"], 2).collect()
+
+
 def test_rotated_grid_keeps_linear_fields(spark):
     cells = spark.createDataFrame([(5 * x + y, float(x), float(y)) for x in range(5) for y in range(5)], "location_id int, rlon double, rlat double")
     plain = grid.unrotate(cells, 10.0, 80.0)
